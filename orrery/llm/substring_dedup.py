@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_or_sentinel, materialize, partitions
+from ._common import NULL_ID, id_or_sentinel, materialize, partitions
 from ._text import SPACES, grams, mix, pack, sliding_min, split_by_bucket, text_blocks, tokenize, valid_starts
 
 _U = np.uint64
@@ -223,11 +223,13 @@ def _repeats(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(id_or_sentinel("doc_id").alias("_k"), F.xxhash64("text").alias("_h"), F.col("doc_id"), F.col("text"))
+    return docs.select(id_or_sentinel("doc_id").alias("_k"), F.xxhash64("text").alias("_h"), F.col("text"))
 
 
 def repeated_spans(docs: DataFrame, window: int = 20, prefix: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(keyed documents dealt by document, spans (_k, _h, s, e) of words to remove; spans may overlap)."""
+    """(keyed documents dealt by document, spans (_k, _h, s, e) of words to remove; spans may overlap).
+
+    Both joins read the dealt documents with the same columns, so their texts are shuffled once."""
     spark = docs.sparkSession
     keyed = _keyed(docs)
     runs = materialize(
@@ -287,7 +289,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, prefix: int = 5, digest_o
     """doc_id, n_words, n_removed, kept_sha256 and (unless digest_only) kept_text, a row per row of `docs`."""
     dealt, spans = repeated_spans(docs, window, prefix)
     cuts = spans.groupBy("_k", "_h").agg(F.collect_list(F.struct("s", "e")).alias("c"))
-    joined = dealt.join(cuts, ["_k", "_h"], "left").select("doc_id", "text", F.col("c.s").alias("s"), F.col("c.e").alias("e"))
+    joined = dealt.join(cuts, ["_k", "_h"], "left").select(F.nullif("_k", F.lit(NULL_ID)).alias("doc_id"), "text", F.col("c.s").alias("s"), F.col("c.e").alias("e"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ("" if digest_only else ", kept_text string")
     return joined.mapInArrow(lambda it: _cut(it, digest_only), schema)
 

@@ -1,13 +1,70 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline: language, near copies, benchmark passages, secrets, source mix.
+
+Every stage takes (spark, docs, sf_dir), reads all rows that the one before kept,
+and returns the columns of `docs`; the last one adds `copy` (a document that the
+mix takes k times has k rows).  Rows may hold NULLs in any column; a stage's
+defined cases are those of the operator that it calls.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from orrery.llm import decontaminate, jaccard_join, language_id, mixing, secrets
+from orrery.llm._common import materialize
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in a language of the corpus; the model learns from the labelled rows of `docs`."""
+    return language_id.keep_known(docs, language_id.fit(docs, F.lit(True)))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near copies (five words, similarity 0.8)."""
+    found = jaccard_join.jaccard_components(docs, n=5, percent=80)
+    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
+    kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
+    # rows that repeat a doc_id: one stays; a NULL id tells nothing, so those rows all stay unless their texts are equal
+    first = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(F.xxhash64("text"))
+    names = kept.columns
+    return kept.withColumn("_row_of_id", F.row_number().over(first)).where("_row_of_id = 1").select(*names)
+
+
+def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret replaced by a mark."""
+    return secrets.redact(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    took = mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
+    names = docs.columns
+    ranked = docs.withColumn("_row_of_id", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))))
+    joined = ranked.join(took, ranked["doc_id"].eqNullSafe(took["_id"]))
+    times = F.element_at("_copies", F.col("_row_of_id"))
+    return joined.where(times > 0).select(*names, F.explode(F.sequence(F.lit(1), times)).alias("copy"))
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("near_copies", one_of_each_group),
+    ("decontamination", no_benchmark_passages),
+    ("secrets", no_secrets),
+    ("mixing", mixed_sources),
+]
+
+#: The first stage is a trained model, so no SQL stands for the whole.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -177,12 +177,12 @@ def find_windows(w, index: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(starts), np.concatenate(wins)
 
 
-def _scan(batches, shared, passes: bool, last: bool) -> Iterator[pa.RecordBatch]:
-    """Appends to each row: n_words, hit word spans and items; earlier blocks' spans and items are merged in."""
+def _scan(batches, shared, keep: int, text_at: int, passes: bool, last: bool) -> Iterator[pa.RecordBatch]:
+    """The first `keep` columns, then (but for the last block, if the text is not among them) the text, n_words, hit
+    spans and items; what earlier blocks found is merged in."""
     index = shared.value
     for batch in batches:
-        cols = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-        for i, j, data, off in text_blocks(cols["text"]):
+        for i, j, data, off in text_blocks(batch.column(text_at)):
             w = tokenize(data, off, PUNCTUATION, lower=True)
             start, win = find_windows(w, index)
             depth = np.zeros(len(w.hash) + 1, np.int32)
@@ -193,62 +193,60 @@ def _scan(batches, shared, passes: bool, last: bool) -> Iterator[pa.RecordBatch]
             items: list[set] = [set() for _ in range(j - i)]
             for d, x in zip(doc.tolist(), win.tolist(), strict=True):
                 items[d].update(index["item"][index["ptr"][x] : index["ptr"][x + 1]].tolist())
-            spans = []
+            spans, found = [], []
             for r in range(j - i):
                 h = hit[w.ptr[r] : w.ptr[r + 1]]
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], h.view(np.int8), [0]])))
-                old = cols["spans"][i + r].as_py() if passes else []
-                spans.append([*edge.tolist(), *old])
-            found = [[index["names"][x] for x in s if x >= 0] + (cols["items"][i + r].as_py() if passes else []) for r, s in enumerate(items)]
-            carried = ["doc_id"] if last else ["doc_id", "text"]
-            rest = [cols[n].slice(i, j - i) for n in carried]
-            yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(w.counts(), pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))], names=[*carried, "n_words", "spans", "items"]
-            )
-
-
-def _state(last: bool) -> str:
-    return "doc_id long, " + ("" if last else "text string, ") + "n_words long, spans array<int>, items array<string>"
-
-
-def mark_benchmark_words(docs: DataFrame, items: DataFrame, window: int = 13, max_block_words: int = 2_000_000) -> DataFrame:
-    """doc_id, n_words, spans (flat begin, end word pairs of hit words; may overlap if there are several
-    blocks) and items (ids as text, with repeats) for every row of `docs`."""
-    state = docs.select("doc_id", "text")
+                spans.append([*edge.tolist(), *(batch.column(batch.num_columns - 2)[i + r].as_py() if passes else [])])
+                found.append([index["names"][x] for x in items[r] if x >= 0] + (batch.column(batch.num_columns - 1)[i + r].as_py() if passes else []))
+            columns = [batch.column(c).slice(i, j - i) for c in range(keep)]
+            if not last and text_at == keep:
+                columns.append(batch.column(text_at).slice(i, j - i))
+            columns += [pa.array(w.counts(), pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[f"c{n}" for n in range(len(columns))])
+
+
+def mark_benchmark_words(docs: DataFrame, items: DataFrame, keep: list[str], window: int = 13, max_block_words: int = 2_000_000) -> DataFrame:
+    """For every row of `docs` the `keep` columns as c0, c1, ..., then n_words, spans (flat begin, end word pairs of
+    hit words; may overlap if there are several blocks) and items (ids as text, with repeats)."""
+    text_at = keep.index("text") if "text" in keep else len(keep)
+    own = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
+    state = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], *([F.col("text").alias(f"c{len(keep)}")] if text_at == len(keep) else []))
     blocks = item_blocks(items, max_block_words)
     sc = docs.sparkSession.sparkContext
-    if not blocks:
-        empty = {"keys": np.zeros(1, _U), "first": np.zeros(2, np.int64), "words": np.zeros((0, window), _U), "length": np.zeros(0, np.int64), "offset": np.zeros(0, np.int64), "item": np.zeros(0, np.int64), "ptr": np.zeros(1, np.int64), "names": [], "sizes": []}
-        shared = sc.broadcast(empty)
-        return state.mapInArrow(lambda it: _scan(it, shared, False, True), _state(True))
-    for k, block in enumerate(blocks):
-        loaded = _load(block, window, max_block_words)
-        vocab = _vocabulary(loaded)
-        sizes = sorted({min(SHINGLE, int(x)) for x in loaded["length"]})
-        shared = sc.broadcast(_index(loaded, _count_vocabulary(docs, vocab, sizes), vocab))
-        last = k == len(blocks) - 1
-        state = state.mapInArrow(lambda it, shared=shared, k=k, last=last: _scan(it, shared, k > 0, last), _state(last))
+    for k, block in enumerate(blocks or [None]):
+        if block is None:
+            index = {"keys": np.zeros(1, _U), "first": np.zeros(2, np.int64), "words": np.zeros((0, window), _U), "length": np.zeros(0, np.int64), "offset": np.zeros(0, np.int64), "item": np.zeros(0, np.int64), "ptr": np.zeros(1, np.int64), "names": [], "sizes": []}
+        else:
+            loaded = _load(block, window, max_block_words)
+            vocab = _vocabulary(loaded)
+            sizes = sorted({min(SHINGLE, int(x)) for x in loaded["length"]})
+            index = _index(loaded, _count_vocabulary(docs, vocab, sizes), vocab)
+        last = k >= len(blocks) - 1
+        shared = sc.broadcast(index)
+        schema = ", ".join([*own, *([] if last or text_at < len(keep) else ["text string"]), "n_words long", "spans array<int>", "items array<string>"])
+        state = state.mapInArrow(lambda it, shared=shared, k=k, last=last: _scan(it, shared, len(keep), text_at, k > 0, last), schema)
     return state
 
 
-def _verdict(batches, keep_text: bool) -> Iterator[pa.RecordBatch]:
+def verdict(words: int, spans: list[int], items: list[str]) -> tuple[int, list[str], bool]:
+    """(hit words, sorted item ids, contaminated)."""
+    end = total = 0
+    for s, e in sorted(zip(spans[::2], spans[1::2], strict=True)):
+        total += max(0, e - max(s, end))
+        end = max(end, e)
+    return total, sorted(set(items)), total > 0 and 20 * total >= words
+
+
+def _verdicts(batches, with_spans: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n = batch.column(1).to_pylist()
-        hits, counts, shas, bad = [], [], [], []
-        for words, spans, items in zip(n, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            end = total = 0
-            for s, e in sorted(zip(spans[::2], spans[1::2], strict=True)):
-                total += max(0, e - max(s, end))
-                end = max(end, e)
-            ids = sorted(set(items))
-            hits.append(total)
-            counts.append(len(ids))
-            shas.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
-            bad.append(total > 0 and 20 * total >= words)
-        cols = [batch.column(0), batch.column(1), pa.array(hits, pa.int64()), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(bad, pa.bool_())]
+        n, spans, items = (batch.column(c) for c in (1, 2, 3))
+        got = [verdict(*x) for x in zip(n.to_pylist(), spans.to_pylist(), items.to_pylist(), strict=True)]
+        shas = [hashlib.sha256(",".join(ids).encode()).hexdigest() for _, ids, _ in got]
+        cols = [batch.column(0), n, pa.array([h for h, _, _ in got], pa.int64()), pa.array([len(x) for _, x, _ in got], pa.int64()), pa.array(shas, pa.string()), pa.array([bad for _, _, bad in got], pa.bool_())]
         names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-        if keep_text:
-            cols += [batch.column(2), batch.column(3)]
+        if with_spans:
+            cols += [spans, items]
             names += ["spans", "items"]
         yield pa.RecordBatch.from_arrays(cols, names=names)
 
@@ -257,9 +255,24 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, max_block
     """A row per document: n_words, n_hit, n_items, items_sha256, contaminated (and spans, items on request).
 
     contaminated: any word is hit, and hit words are at least a twentieth of all words."""
-    marked = mark_benchmark_words(docs, items, window, max_block_words)
+    marked = mark_benchmark_words(docs, items, ["doc_id"], window, max_block_words)
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + (", spans array<int>, items array<string>" if with_spans else "")
-    return marked.mapInArrow(lambda it: _verdict(it, with_spans), schema)
+    return marked.mapInArrow(lambda it: _verdicts(it, with_spans), schema)
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 13, max_block_words: int = 2_000_000) -> DataFrame:
+    """The rows of `docs`, with all their columns, that are not contaminated."""
+    names = docs.columns
+    marked = mark_benchmark_words(docs, items, names, window, max_block_words)
+
+    def clean(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, spans, found = (batch.column(batch.num_columns - c).to_pylist() for c in (3, 2, 1))
+            ok = pa.array([not verdict(*x)[2] for x in zip(n, spans, found, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays(batch.columns[:-3], names=batch.schema.names[:-3]).filter(ok)
+
+    kept = marked.mapInArrow(clean, marked.drop("n_words", "spans", "items").schema)
+    return kept.toDF(*names)
 
 
 def op8_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -215,6 +215,23 @@ def predict(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
     return docs.select(*keep, F.col("text").alias("_text_of_prediction")).mapInArrow(lambda it: _predict(it, shared), f"{fields}, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose language is told with a score of `least` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    at = names.index("text")
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
+            (told,) = _predict([one], shared)
+            ok = [n != UND and s >= least for n, s in zip(told.column(0).to_pylist(), told.column(1).to_pylist(), strict=True)]
+            yield batch.filter(pa.array(ok, pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
+
+
 def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
 

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from . import decontaminate, jaccard_join, substring_dedup
+from . import chat, decontaminate, jaccard_join, language_id, mixing, secrets, substring_dedup, topk, url_filter, warc
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
+    "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_secrets": secrets.op3_secrets,
+    "op4_top_k": topk.op4_top_k,
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
+    "op6_url_filter": url_filter.op6_url_filter,
+    "op7_warc": warc.op7_warc,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op9_chat_format": chat.op9_chat_format,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
 ORACLE_SQL = {
+    "op4_top_k": topk.ORACLE_SQL,
     "op5_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op6_url_filter": url_filter.ORACLE_SQL,
     "op8_decontaminate": decontaminate.ORACLE_SQL,
+    "op9_chat_format": chat.ORACLE_SQL,
     "op10_substring_dedup": substring_dedup.ORACLE_SQL,
 }

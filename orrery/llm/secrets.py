@@ -115,38 +115,6 @@ def _alphabet(token: Column) -> Column:
     return expr
 
 
-def battery(tokens: DataFrame) -> DataFrame:
-    """Adds k, the three statistics' p-values, `p_random` (combined) and `p_text` to tokens (body string).
-
-    body: the token without padding."""
-    n = F.length("body")
-    t = tokens.withColumn("alphabet", _alphabet(F.col("body"))).withColumn("k", F.length("alphabet").cast("double"))
-    t = t.withColumn("chi", _chi_squared(F.col("body"), F.col("k"))).withColumn(
-        "x", F.transform(F.split("body", ""), lambda c: (F.instr(F.col("alphabet"), c) - 1).cast("double"))
-    )
-    df = F.col("k") - 1
-    wilson = (F.pow(F.col("chi") / df, 1 / 3) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-    half = F.transform("x", lambda v: F.when(v >= F.col("k") / 2, 1).otherwise(0))
-    t = t.withColumn("half", half)
-    up = F.aggregate("half", F.lit(0), lambda a, v: a + v).cast("double")
-    lagged = F.zip_with(F.slice("half", F.lit(1), n - 1), F.slice("half", F.lit(2), n - 1), lambda a, b: F.when(a != b, 1).otherwise(0))
-    t = t.withColumn("n1", up).withColumn("runs", F.aggregate(lagged, F.lit(1), lambda a, v: a + v).cast("double"))
-    n1, n2 = F.col("n1"), n - F.col("n1")
-    expected = 2 * n1 * n2 / n + 1
-    variance = 2 * n1 * n2 * (2 * n1 * n2 - n) / (n.cast("double") * n * (n - 1))
-    z_runs = F.when(variance > 0, (F.col("runs") - expected) / F.sqrt(variance))
-    t = t.withColumn("mean", F.aggregate("x", F.lit(0.0), lambda a, v: a + v) / n)
-    spread = F.aggregate("x", F.lit(0.0), lambda a, v: a + F.pow(v - F.col("mean"), 2))
-    product = F.aggregate(
-        F.zip_with(F.slice("x", F.lit(1), n - 1), F.slice("x", F.lit(2), n - 1), lambda a, b: (a - F.col("mean")) * (b - F.col("mean"))), F.lit(0.0), lambda a, v: a + v
-    )
-    z_serial = F.when(spread > 0, (product / spread + 1 / n) * F.sqrt(n.cast("double")))
-    least = F.least(upper_tail(wilson), 2 * upper_tail(F.abs(F.coalesce(z_runs, F.lit(99.0)))), 2 * upper_tail(F.abs(F.coalesce(z_serial, F.lit(99.0)))))
-    shift = n * (F.greatest(F.lit(COINCIDENCE), 1.2 / F.col("k")) * F.col("k") - 1)
-    z_text = (F.col("chi") - df - shift) / F.sqrt(2 * df + 4 * shift)
-    return t.withColumn("p_random", F.least(F.lit(1.0), 3 * least)).withColumn("p_text", upper_tail(-z_text)).drop("x", "half", "mean", "n1", "runs")
-
-
 def _length_band(n: Column) -> Column:
     return F.least(F.lit(10), F.floor(F.log2(n.cast("double"))).cast("int"))
 
@@ -155,6 +123,46 @@ def _bin(p: Column) -> Column:
     return F.least(F.lit(TOP_BIN), F.floor(-BINS * F.log10(F.greatest(p, F.lit(1e-30))))).cast("int")
 
 
+def battery(token: Column) -> Column:
+    """struct<band, bin, p_random, p_text> of a token: length band, bin of p_text, combined p-value of the three
+    tests, and p-value against text.  One expression, so it also serves inside array functions."""
+    body = F.rtrim(token, F.lit("="))
+    n = F.length(body)
+    alphabet = _alphabet(body)
+    one = F.array(F.struct(body.alias("body"), alphabet.alias("alphabet"), F.length(alphabet).cast("double").alias("k"), n.alias("n")))
+
+    def test(s: Column) -> Column:
+        k, n, df = s["k"], s["n"], s["k"] - 1
+        chi = _chi_squared(s["body"], k)
+        x = F.transform(F.split(s["body"], ""), lambda c: (F.instr(s["alphabet"], c) - 1).cast("double"))
+        return F.struct(s["body"].alias("body"), k.alias("k"), n.alias("n"), df.alias("df"), chi.alias("chi"), x.alias("x"), (F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n).alias("mean"))
+
+    def sums(s: Column) -> Column:
+        pairs = F.zip_with(F.slice(s["x"], F.lit(1), s["n"] - 1), F.slice(s["x"], F.lit(2), s["n"] - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        middle = s["k"] / 2
+        return F.struct(
+            s["k"].alias("k"), s["n"].alias("n"), s["df"].alias("df"), s["chi"].alias("chi"),
+            F.aggregate(s["x"], F.lit(0.0), lambda a, v: a + F.when(v >= middle, 1.0).otherwise(0.0)).alias("n1"),
+            F.aggregate(pairs, F.lit(1.0), lambda a, p: a + F.when((p["a"] >= middle) != (p["b"] >= middle), 1.0).otherwise(0.0)).alias("runs"),
+            F.aggregate(s["x"], F.lit(0.0), lambda a, v: a + F.pow(v - s["mean"], 2)).alias("spread"),
+            F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["a"] - s["mean"]) * (p["b"] - s["mean"])).alias("product"),
+        )
+
+    def verdict(s: Column) -> Column:
+        n, n1, df, k = s["n"], s["n1"], s["df"], s["k"]
+        n2 = n - n1
+        wilson = (F.pow(s["chi"] / df, 1 / 3) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+        variance = 2 * n1 * n2 * (2 * n1 * n2 - n) / (n.cast("double") * n * (n - 1))
+        z_runs = F.when(variance > 0, (s["runs"] - 2 * n1 * n2 / n - 1) / F.sqrt(variance))
+        z_serial = F.when(s["spread"] > 0, (s["product"] / s["spread"] + 1 / n) * F.sqrt(n.cast("double")))
+        least = F.least(upper_tail(wilson), 2 * upper_tail(F.abs(F.coalesce(z_runs, F.lit(99.0)))), 2 * upper_tail(F.abs(F.coalesce(z_serial, F.lit(99.0)))))
+        shift = n * (F.greatest(F.lit(COINCIDENCE), 1.2 / k) * k - 1)
+        p_text = upper_tail(-(s["chi"] - df - shift) / F.sqrt(2 * df + 4 * shift))
+        return F.struct(_length_band(n).alias("band"), _bin(p_text).alias("bin"), F.least(F.lit(1.0), 3 * least).alias("p_random"), p_text.alias("p_text"))
+
+    return F.element_at(F.transform(F.transform(F.transform(one, test), sums), verdict), 1)
+
+
 def _located(docs: DataFrame, keep: list[str]) -> DataFrame:
     """`keep` columns, base spans by kind (b0, b1, b2) and candidate tokens (array c, overlapping no base span)."""
     text = F.coalesce(F.col("_t"), F.lit(""))
@@ -164,11 +172,6 @@ def _located(docs: DataFrame, keep: list[str]) -> DataFrame:
     return d.withColumn("c", free)
 
 
-def _tested(located: DataFrame) -> DataFrame:
-    tokens = located.select(F.explode("c").alias("t")).select(F.rtrim(F.col("t.m"), F.lit("=")).alias("body"))
-    return battery(tokens).select(_length_band(F.length("body")).alias("band"), _bin(F.col("p_text")).alias("bin"))
-
-
 def discovery_bins(tested: DataFrame, fdr: float) -> dict[int, int]:
     """Per length band the lowest bin of p-values that the Benjamini-Hochberg procedure accepts; at most 11 rows."""
     count = tested.groupBy("band", "bin").agg(F.count("*").alias("n"))
@@ -184,15 +187,15 @@ def scan_secrets(docs: DataFrame, keep: list[str] | None = None, alpha: float =
 
     Two passes: the first counts p-values over all tokens, the second marks."""
     keep = keep or ["doc_id"]
-    lowest = discovery_bins(_tested(_located(docs, [])), fdr)
-    located = _located(docs, keep)
-    # tokens are tested where they stand: the battery's columns are built over one struct per token
-    judged = located
-    if lowest:
-        limit = F.create_map(*[F.lit(x) for b, v in lowest.items() for x in (b, v)])
-        judged = located.withColumn("c", F.filter("c", lambda t: _accepts(t["m"], limit, alpha)))
-    else:
-        judged = located.withColumn("c", F.filter("c", lambda t: F.lit(False)))
+    tested = _located(docs, []).select(F.explode(F.transform("c", lambda t: battery(t["m"]))).alias("t")).select("t.band", "t.bin")
+    lowest = discovery_bins(tested, fdr)
+    never = F.lit(TOP_BIN + 1)
+    limit = F.create_map(*[F.lit(x) for b, v in lowest.items() for x in (b, v)]) if lowest else F.create_map(F.lit(-1), never)
+
+    def secret(verdict: Column) -> Column:
+        return (verdict["p_random"] >= alpha) & (verdict["bin"] >= F.coalesce(F.element_at(limit, verdict["band"]), never))
+
+    judged = _located(docs, keep).withColumn("c", F.filter("c", lambda t: secret(battery(t["m"]))))
     plain = [F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))) for c in ("b0", "b1", "b2", "c")]
     base = F.array_sort(F.concat(*plain[:3]))
     every = F.array_sort(F.concat(*plain))
@@ -207,43 +210,26 @@ def scan_secrets(docs: DataFrame, keep: list[str] | None = None, alpha: float =
     )
 
 
-def _accepts(token: Column, limit: Column, alpha: float) -> Column:
-    """The battery and the discovery limit as one expression on a token (also inside array functions)."""
-    body = F.rtrim(token, F.lit("="))
-    n = F.length(body)
-    alphabet = _alphabet(body)
-    one = F.array(F.struct(body.alias("body"), alphabet.alias("alphabet"), F.length(alphabet).cast("double").alias("k"), n.alias("n")))
-
-    def test(s: Column) -> Column:
-        k, n, df = s["k"], s["n"], s["k"] - 1
-        chi = _chi_squared(s["body"], k)
-        x = F.transform(F.split(s["body"], ""), lambda c: (F.instr(s["alphabet"], c) - 1).cast("double"))
-        return F.struct(s["body"].alias("body"), k.alias("k"), n.alias("n"), df.alias("df"), chi.alias("chi"), x.alias("x"), (F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / n).alias("mean"))
-
-    def sums(s: Column) -> Column:
-        pairs = F.zip_with(F.slice(s["x"], F.lit(1), s["n"] - 1), F.slice(s["x"], F.lit(2), s["n"] - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        middle = s["k"] / 2
-        return F.struct(
-            s["k"].alias("k"), s["n"].alias("n"), s["df"].alias("df"), s["chi"].alias("chi"),
-            F.aggregate(s["x"], F.lit(0.0), lambda a, v: a + F.when(v >= middle, 1.0).otherwise(0.0)).alias("n1"),
-            F.aggregate(pairs, F.lit(1.0), lambda a, p: a + F.when((p["a"] >= middle) != (p["b"] >= middle), 1.0).otherwise(0.0)).alias("runs"),
-            F.aggregate(s["x"], F.lit(0.0), lambda a, v: a + F.pow(v - s["mean"], 2)).alias("spread"),
-            F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["a"] - s["mean"]) * (p["b"] - s["mean"])).alias("product"),
-        )
-
-    def verdict(s: Column) -> Column:
-        n, n1, df, k = s["n"], s["n1"], s["df"], s["k"]
-        n2 = n - n1
-        wilson = (F.pow(s["chi"] / df, 1 / 3) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-        variance = 2 * n1 * n2 * (2 * n1 * n2 - n) / (n.cast("double") * n * (n - 1))
-        z_runs = F.when(variance > 0, (s["runs"] - 2 * n1 * n2 / n - 1) / F.sqrt(variance))
-        z_serial = F.when(s["spread"] > 0, (s["product"] / s["spread"] + 1 / n) * F.sqrt(n.cast("double")))
-        least = F.least(upper_tail(wilson), 2 * upper_tail(F.abs(F.coalesce(z_runs, F.lit(99.0)))), 2 * upper_tail(F.abs(F.coalesce(z_serial, F.lit(99.0)))))
-        shift = n * (F.greatest(F.lit(COINCIDENCE), 1.2 / k) * k - 1)
-        p_text = upper_tail(-(s["chi"] - df - shift) / F.sqrt(2 * df + 4 * shift))
-        return (3 * least >= alpha) & (_bin(p_text) >= F.coalesce(F.element_at(limit, _length_band(n)), F.lit(TOP_BIN + 1)))
-
-    return F.element_at(F.transform(F.transform(F.transform(one, test), sums), verdict), 1)
+def redact(docs: DataFrame, mark: str = "[SECRET]", alpha: float = 0.001, fdr: float = 0.05) -> DataFrame:
+    """The rows of `docs`, with all their columns: each secret in `text` is replaced by `mark` (overlapping ones by
+    one mark), and `n_chars`, if there, is the new length where the text changed."""
+    names = docs.columns
+    plain = docs.select(*[F.col(c).alias(f"col_{i}") for i, c in enumerate(names)], "text")
+    got = scan_secrets(plain, [f"col_{i}" for i in range(len(names))], alpha, fdr)
+    text = F.col(f"col_{names.index('text')}")
+    cut = F.aggregate(
+        "found",
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).alias("out"),
+        ),
+        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
+    )
+    changed = F.size("found") > 0
+    got = got.withColumn("cut", F.when(changed, cut).otherwise(text))
+    out = {"text": F.col("cut"), "n_chars": F.when(changed, F.length("cut").cast("long")).otherwise(F.col(f"col_{names.index('n_chars')}") if "n_chars" in names else F.lit(None))}
+    return got.select(*[out.get(c, F.col(f"col_{i}")).alias(c) for i, c in enumerate(names)])
 
 
 def op3_secrets(spark, sf_dir: str) -> DataFrame:

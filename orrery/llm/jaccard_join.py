@@ -8,8 +8,8 @@ similarity; the result is each document's component.  All links are found.
 2. Candidate families.  Sizes fall into bands; for a band, `H` bounds how many
    elements two linkable sets can differ in.  The hash space is cut into
    G = H + 1 + e parts, so linked sets agree on e + 1 parts at least.  A set
-   emits one signature per non-empty part (and one per (e+1)-subset of its empty
-   parts, where it has so many).  Signatures meet in memory-sized buckets.  Pairs
+   emits one signature per non-empty part (and, if it has more than e empty
+   parts, one for each of the first of them).  Signatures meet in memory-sized buckets.  Pairs
    that agree too rarely are dropped by that count; groups of more than STAR sets
    give a star instead of pairs.  Components of this graph are families: every
    link lies inside one.
@@ -29,8 +29,8 @@ NULL; rows that share a doc_id are one node; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -58,16 +58,27 @@ class Bands:
         while edges[-1] < 1 << 31:
             edges.append(max(edges[-1] + 1, -(-edges[-1] * 10 // 7)))
         self.edges = np.array(edges, np.int64)
+        self.known: dict[int, tuple[int, int]] = {}
 
     def home(self, n: int) -> int:
         return int(np.searchsorted(self.edges, n, "right")) - 1
 
     def scheme(self, band: int) -> tuple[int, int]:
-        """(H, e) for pairs whose smaller set lies in the band."""
-        top = int(self.edges[band + 1]) - 1
-        both = top + top * 100 // self.percent
-        h = both * (100 - self.percent) // (100 + self.percent)
-        return h, 2 + h // 12
+        """(H, e) for pairs whose smaller set lies in the band.  e exceeds the number of empty parts that sets of the
+        band's least size usually have (mean and three deviations)."""
+        if band not in self.known:
+            top = int(self.edges[band + 1]) - 1
+            both = top + top * 100 // self.percent
+            h = both * (100 - self.percent) // (100 + self.percent)
+            extra = 2
+            while extra < 2 * h + 2:
+                g = h + 1 + extra
+                mean = g * math.exp(-int(self.edges[band]) / g)
+                if mean + 3 * math.sqrt(mean) <= extra:
+                    break
+                extra += 1
+            self.known[band] = (h, extra)
+        return self.known[band]
 
     def schemes(self, n: int) -> list[int]:
         """The home band, and the one below if a set of n words can be the larger of a pair from there."""
@@ -106,13 +117,9 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[list[np.ndarray],
             tag = _U((band * 0x9E3779B97F4A7C15 + 1) & (2**64 - 1))
             own = mix(np.add.reduceat(x * (x >> _U(7) | _U(1)), head) + tag + part[head] * _U(0xC2B2AE3D27D4EB4F))
             empty = g - len(head)
-            if empty > extra:
-                free = np.setdiff1d(np.arange(g), part[head].astype(np.int64))
-                sets_of = np.array(list(combinations(free.tolist(), extra + 1)), np.uint64)
-                code = np.zeros(len(sets_of), _U)
-                for c in range(extra + 1):
-                    code = mix(code + sets_of[:, c] + _U(1))
-                own = np.concatenate([own, mix(code + tag)])
+            if empty > extra:  # all agreeing parts might be empty: the common ones show in the first empty - e of either
+                free = np.setdiff1d(np.arange(g), part[head].astype(np.int64))[: empty - extra]
+                own = np.concatenate([own, mix(mix(free.astype(_U) + _U(1)) + tag)])
             own_s.append(own)
             own_n.append(np.full(len(own), max(1, extra + 1 - empty), np.int16))
         sigs.append(np.concatenate(own_s) if own_s else x[:0])

@@ -1,6 +1,8 @@
-"""Registered queries and the SQL each must agree with."""
+"""All registered queries and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import expressions, joins, maps
+from .base import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES", "expressions", "joins", "maps"]

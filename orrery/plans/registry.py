@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import expressions, joins, maps
+from . import expressions, filters, histograms, joins, maps, spectra
 from .base import ORACLE_SQL, QUERIES
 
-__all__ = ["ORACLE_SQL", "QUERIES", "expressions", "joins", "maps"]
+__all__ = ["ORACLE_SQL", "QUERIES", "expressions", "filters", "histograms", "joins", "maps", "spectra"]

@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 _U = np.uint64
 _ODD = 0x9E3779B97F4A7C15
 _ODD2 = 0xD6E8FEB86659FD93
@@ -50,20 +49,21 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(_ODD))
 
 
-@lru_cache(maxsize=8)
-def _powers(odd: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = pow(odd, -1, 2**64)
-    out = []
-    for base in (odd, inverse):
-        p = np.full(n, _U(base), _U)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_TABLES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _power_tables(odd: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << 18, 1 << (max(n, 1) - 1).bit_length())
-    return _powers(odd, size)
+    """At least n powers of odd and of its inverse modulo 2^64; one pair of tables per base is kept."""
+    have = _TABLES.get(odd)
+    if have is None or len(have[0]) < n:
+        size, out = max(1 << 18, 1 << (max(n, 1) - 1).bit_length()), []
+        for base in (odd, pow(odd, -1, 2**64)):
+            p = np.full(size, _U(base), _U)
+            p[0] = 1
+            np.multiply.accumulate(p, out=p)
+            out.append(p)
+        _TABLES[odd] = have = (out[0], out[1])
+    return have
 
 
 @dataclass

@@ -206,9 +206,10 @@ def _scan(batches, shared, keep: int, text_at: int, passes: bool, last: bool) ->
             yield pa.RecordBatch.from_arrays(columns, names=[f"c{n}" for n in range(len(columns))])
 
 
-def mark_benchmark_words(docs: DataFrame, items: DataFrame, keep: list[str], window: int = 13, max_block_words: int = 2_000_000) -> DataFrame:
-    """For every row of `docs` the `keep` columns as c0, c1, ..., then n_words, spans (flat begin, end word pairs of
-    hit words; may overlap if there are several blocks) and items (ids as text, with repeats)."""
+def mark_benchmark_words(docs: DataFrame, items: DataFrame, keep: list[str], finish, schema: str, window: int = 13, max_block_words: int = 2_000_000) -> DataFrame:
+    """Marks every row of `docs` and hands the record batches to `finish`, a generator with the given schema, in the
+    same Python pass.  The batches hold the `keep` columns, n_words, spans (flat begin, end word pairs of hit words;
+    may overlap if there are several blocks) and items (ids as text, with repeats)."""
     text_at = keep.index("text") if "text" in keep else len(keep)
     own = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
     state = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], *([F.col("text").alias(f"c{len(keep)}")] if text_at == len(keep) else []))
@@ -224,9 +225,11 @@ def mark_benchmark_words(docs: DataFrame, items: DataFrame, keep: list[str], win
             index = _index(loaded, _count_vocabulary(docs, vocab, sizes), vocab)
         last = k >= len(blocks) - 1
         shared = sc.broadcast(index)
-        schema = ", ".join([*own, *([] if last or text_at < len(keep) else ["text string"]), "n_words long", "spans array<int>", "items array<string>"])
-        state = state.mapInArrow(lambda it, shared=shared, k=k, last=last: _scan(it, shared, len(keep), text_at, k > 0, last), schema)
-    return state
+        if last:
+            return state.mapInArrow(lambda it, shared=shared, k=k: finish(_scan(it, shared, len(keep), text_at, k > 0, True)), schema)
+        between = ", ".join([*own, *([] if text_at < len(keep) else ["text string"]), "n_words long", "spans array<int>", "items array<string>"])
+        state = state.mapInArrow(lambda it, shared=shared, k=k: _scan(it, shared, len(keep), text_at, k > 0, False), between)
+    raise AssertionError("there is always a last block")
 
 
 def verdict(words: int, spans: list[int], items: list[str]) -> tuple[int, list[str], bool]:
@@ -255,15 +258,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, max_block
     """A row per document: n_words, n_hit, n_items, items_sha256, contaminated (and spans, items on request).
 
     contaminated: any word is hit, and hit words are at least a twentieth of all words."""
-    marked = mark_benchmark_words(docs, items, ["doc_id"], window, max_block_words)
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + (", spans array<int>, items array<string>" if with_spans else "")
-    return marked.mapInArrow(lambda it: _verdicts(it, with_spans), schema)
+    return mark_benchmark_words(docs, items, ["doc_id"], lambda it: _verdicts(it, with_spans), schema, window, max_block_words)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 13, max_block_words: int = 2_000_000) -> DataFrame:
     """The rows of `docs`, with all their columns, that are not contaminated."""
     names = docs.columns
-    marked = mark_benchmark_words(docs, items, names, window, max_block_words)
 
     def clean(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,8 +272,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 13, max_b
             ok = pa.array([not verdict(*x)[2] for x in zip(n, spans, found, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays(batch.columns[:-3], names=batch.schema.names[:-3]).filter(ok)
 
-    kept = marked.mapInArrow(clean, marked.drop("n_words", "spans", "items").schema)
-    return kept.toDF(*names)
+    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
+    return mark_benchmark_words(docs, items, names, clean, schema, window, max_block_words).toDF(*names)
 
 
 def op8_decontaminate(spark, sf_dir: str) -> DataFrame:

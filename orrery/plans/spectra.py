@@ -22,10 +22,10 @@ def _spectrum(spark, sf):
 
 
 @query("a25_look_average", f"""
-WITH {_SPEC}, a AS (SELECT epoch, energy, sector, sum(greatest(psd, 20000)*(detector+1))/sum(detector+1) AS v FROM s GROUP BY ALL) SELECT epoch, energy, round(avg(v), 4) AS psd FROM a GROUP BY ALL""")
+WITH {_SPEC}, a AS (SELECT epoch, energy, sector, sum(greatest(psd, 20000)*(detector+1))/sum(detector+1) AS v FROM s GROUP BY ALL) SELECT epoch, energy, round(avg(v), 7) AS psd FROM a GROUP BY ALL""")
 def a25(spark, sf):
     d = S.look_average(_spectrum(spark, sf), ["epoch", "energy"], "psd", F.col("detector") + 1, 20000.0)
-    return d.select("epoch", "energy", r(F.col("psd"), "psd"))
+    return d.select("epoch", "energy", r(F.col("psd"), "psd", 7))
 
 
 _PA = "p AS (SELECT epoch, energy, psd, (detector-1)*25.7 AS pa, 12.85 AS delta FROM s)"
@@ -53,11 +53,11 @@ def a28(spark, sf):
 
 
 @query("a29_a30_group_statistics", """
-SELECT o_custkey, round(avg(o_totalprice), 4) AS mean, round(stddev_samp(o_totalprice), 4) AS std, round(avg(o_totalprice) FILTER (o_orderkey % 3 <> 0), 4) AS good_mean, round(stddev_pop(o_totalprice) FILTER (o_orderkey % 3 <> 0), 4) AS good_std FROM orders GROUP BY 1""")
+SELECT o_custkey, round(avg(o_totalprice), 7) AS mean, round(stddev_samp(o_totalprice), 4) AS std, round(avg(o_totalprice) FILTER (o_orderkey % 3 <> 0), 7) AS good_mean, round(stddev_pop(o_totalprice) FILTER (o_orderkey % 3 <> 0), 4) AS good_std FROM orders GROUP BY 1""")
 def a29(spark, sf):
     o = table(spark, sf, "orders")
     g = S.mean_std_good(o, ["o_custkey"], F.col("o_orderkey") % 3 != 0, ["o_totalprice"])
-    return S.group_mean_std(o, "o_custkey", "o_totalprice").join(g, "o_custkey").select("o_custkey", r(F.col("mean"), "mean"), r(F.col("std"), "std"), r(F.col("o_totalprice_mean"), "good_mean"), r(F.col("o_totalprice_std"), "good_std"))
+    return S.group_mean_std(o, "o_custkey", "o_totalprice").join(g, "o_custkey").select("o_custkey", r(F.col("mean"), "mean", 7), r(F.col("std"), "std"), r(F.col("o_totalprice_mean"), "good_mean", 7), r(F.col("o_totalprice_std"), "good_std"))
 
 
 @query("a31_a32_a33_histogram_sums", """
@@ -252,10 +252,10 @@ def _mean_fit(pdf):
 
 
 @query("f1_run_group_fits", """
-SELECT user_id, CASE WHEN count(*) >= 3 AND avg(value) > 20 THEN round(avg(value), 6) END AS mean, CASE WHEN count(*) < 3 THEN 1 WHEN avg(value) <= 20 THEN 2 ELSE 0 END AS fit_flag FROM events GROUP BY user_id""")
+SELECT user_id, CASE WHEN count(*) >= 3 AND avg(value) > 20 THEN round(avg(value), 9) END AS mean, CASE WHEN count(*) < 3 THEN 1 WHEN avg(value) <= 20 THEN 2 ELSE 0 END AS fit_flag FROM events GROUP BY user_id""")
 def f1(spark, sf):
     d = FIT.run_group_fits(table(spark, sf, "events").select("user_id", "value"), "user_id", _mean_fit, "mean double, n long")
-    return d.select("user_id", r(F.col("mean"), "mean", 6), "fit_flag")
+    return d.select("user_id", r(F.col("mean"), "mean", 9), "fit_flag")
 
 
 @query("f2_registered_combination", """

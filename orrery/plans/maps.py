@@ -85,12 +85,12 @@ def _psets(spark, sf):
 
 @query("a9_correct_survival", _CELLS + """,
  s AS (SELECT cell, sum(survival*exposure)/nullif(sum(exposure), 0) AS p, bit_or(CASE WHEN exposure<>0 THEN flags ELSE 0 END) AS f FROM m GROUP BY cell)
-SELECT cell, map_id, round(sum(intensity/nullif(p, 0)), 2) AS intensity, round(sum(stat/nullif(p, 0)), 7) AS stat, bit_or(f) AS flags FROM m LEFT JOIN s USING (cell) GROUP BY cell, map_id""")
+SELECT cell, map_id, round(sum(intensity*1.0471975/nullif(p, 0)), 4) AS intensity, round(sum(stat/nullif(p, 0)), 7) AS stat, bit_or(f) AS flags FROM m LEFT JOIN s USING (cell) GROUP BY cell, map_id""")
 def a9(spark, sf):
-    c = cells(spark, sf)
+    c = cells(spark, sf).withColumn("intensity", F.col("intensity") * 1.0471975)
     s = M.project_to_sky(c.select("cell", F.col("survival").alias("p"), "exposure", "flags", F.lit(True).alias("in_view")), ["cell"])
     d = M.correct_survival(c, s, ["cell"]).groupBy("cell", "map_id").agg(F.sum("intensity").alias("i"), F.sum("stat").alias("s"), F.bit_or("flags").alias("flags"))
-    return d.select("cell", "map_id", r(F.col("i"), "intensity", 2), r(F.col("s"), "stat", 7), "flags")
+    return d.select("cell", "map_id", r(F.col("i"), "intensity", 4), r(F.col("s"), "stat", 7), "flags")
 
 
 @query("a10_subtract_background", """

@@ -22,10 +22,10 @@ def _spectrum(spark, sf):
 
 
 @query("a25_look_average", f"""
-WITH {_SPEC}, a AS (SELECT epoch, energy, sector, sum(greatest(psd, 20000)*(detector+1))/sum(detector+1) AS v FROM s GROUP BY ALL) SELECT epoch, energy, round(avg(v), 7) AS psd FROM a GROUP BY ALL""")
+WITH {_SPEC}, a AS (SELECT epoch, energy, sector, sum(greatest(psd*1.0471975, 20000)*(detector+1))/sum(detector+1) AS v FROM s GROUP BY ALL) SELECT epoch, energy, round(avg(v), 5) AS psd FROM a GROUP BY ALL""")
 def a25(spark, sf):
-    d = S.look_average(_spectrum(spark, sf), ["epoch", "energy"], "psd", F.col("detector") + 1, 20000.0)
-    return d.select("epoch", "energy", r(F.col("psd"), "psd", 7))
+    d = S.look_average(_spectrum(spark, sf).withColumn("psd", F.col("psd") * 1.0471975), ["epoch", "energy"], "psd", F.col("detector") + 1, 20000.0)
+    return d.select("epoch", "energy", r(F.col("psd"), "psd", 5))
 
 
 _PA = "p AS (SELECT epoch, energy, psd, (detector-1)*25.7 AS pa, 12.85 AS delta FROM s)"

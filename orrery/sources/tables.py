@@ -20,7 +20,8 @@ def read_lookup_csv(spark: SparkSession, path: str, schema: str | StructType, he
 def read_lookup_matrix(spark: SparkSession, path: str, width: int) -> DataFrame:
     """A matrix file as (line, column, value).  Lines are numbered in file order, so the file must be one partition."""
     d = spark.read.csv(path, schema=", ".join(f"_c{i} double" for i in range(width)), comment="#")
-    return d.select(F.monotonically_increasing_id().alias("line"), F.posexplode(F.array(*[f"_c{i}" for i in range(width)])).alias("column", "value"))
+    lines = d.select(F.monotonically_increasing_id().alias("line"), F.array(*[f"_c{i}" for i in range(width)]).alias("v"))
+    return lines.select("line", F.posexplode("v").alias("column", "value"))
 
 
 def read_table_dat(spark: SparkSession, path: str, columns: dict[str, tuple[int, str]]) -> DataFrame:

@@ -62,7 +62,7 @@ def item_blocks(items: DataFrame, max_block_words: int) -> list[DataFrame]:
 def _load(block: DataFrame, window: int, max_block_words: int) -> dict:
     """Windows of a block, distinct: words (padded), length, items."""
     rows = block.collect()  # bounded: about max_block_words / 2 words, checked here
-    if sum(len(r.words) for r in rows) > 4 * max(max_block_words, max(len(r.words) for r in rows)):
+    if sum(len(r.words) for r in rows) > 4 * max(max_block_words, max((len(r.words) for r in rows), default=0)):
         raise ValueError("a benchmark block is larger than max_block_words allows")
     names = sorted({r.item for r in rows if r.item is not None}) if rows else []
     number = {x: i for i, x in enumerate(names)}
@@ -216,10 +216,10 @@ def mark_benchmark_words(docs: DataFrame, items: DataFrame, keep: list[str], fin
     blocks = item_blocks(items, max_block_words)
     sc = docs.sparkSession.sparkContext
     for k, block in enumerate(blocks or [None]):
-        if block is None:
-            index = {"keys": np.zeros(1, _U), "first": np.zeros(2, np.int64), "words": np.zeros((0, window), _U), "length": np.zeros(0, np.int64), "offset": np.zeros(0, np.int64), "item": np.zeros(0, np.int64), "ptr": np.zeros(1, np.int64), "names": [], "sizes": []}
+        loaded = _load(block, window, max_block_words) if block is not None else None
+        if loaded is None or not len(loaded["length"]):
+            index = {"keys": np.zeros(0, _U), "first": np.zeros(1, np.int64), "words": np.zeros((0, window), _U), "length": np.zeros(0, np.int64), "offset": np.zeros(0, np.int64), "item": np.zeros(0, np.int64), "ptr": np.zeros(1, np.int64), "names": [], "sizes": []}
         else:
-            loaded = _load(block, window, max_block_words)
             vocab = _vocabulary(loaded)
             sizes = sorted({min(SHINGLE, int(x)) for x in loaded["length"]})
             index = _index(loaded, _count_vocabulary(docs, vocab, sizes), vocab)

@@ -9,10 +9,14 @@ similarity; the result is each document's component.  All links are found.
    elements two linkable sets can differ in.  The hash space is cut into
    G = H + 1 + e parts, so linked sets agree on e + 1 parts at least.  A set
    emits one signature per non-empty part (and, if it has more than e empty
-   parts, one for each of the first of them).  Signatures meet in memory-sized buckets.  Pairs
-   that agree too rarely are dropped by that count; groups of more than STAR sets
-   give a star instead of pairs.  Components of this graph are families: every
-   link lies inside one.
+   parts, one for each of the first of them); `need` is how many signatures it
+   shares with any set that it links with, at least.  Signatures meet in
+   memory-sized buckets.  Those of more than COLD sets are hot (passages that many
+   documents hold, or large groups of near copies): each set leaves out its
+   need - 1 most frequent hot signatures (prefix filter), and the sets under a
+   kept one form a star.  Under the others all pairs are listed, and dropped if
+   they agree too rarely.  Components of this graph are families: every link
+   lies inside one.
 3. Tiles.  A family is one tile, or, if large, tiles of size band x chunk, paired
    with themselves, each other and the next band only.  A tile holds the sorted
    sets of a bounded number of documents.  There, hashed bitmaps bound the overlap
@@ -37,14 +41,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ._common import NULL_ID, id_or_sentinel, materialize, partitions
 from ._text import SPACES, grams, mix, pack, split_by_bucket, text_blocks, tokenize
 from .components import connected_components
 
 _U = np.uint64
-#: Largest group of equal signatures whose pairs are listed; larger ones give a star.
-STAR = 16
+#: Largest group of equal signatures whose pairs are listed; larger ones are hot.
+COLD = 16
 #: Signatures in one bucket; documents and shingles in one side of a tile.
 BUCKET, TILE_DOCS, TILE_SHINGLES = 1 << 20, 512, 1 << 21
 
@@ -102,11 +107,11 @@ def shingle_sets(words, n: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Per document: part signatures, and how many of them a linked set must share at least."""
-    sigs, needs = [], []
+def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Per document: part signatures, how many of them a linked set must share at least, and their bands."""
+    sigs, needs, homes = [], [], []
     for x in sets:
-        own_s, own_n = [], []
+        own_s, own_n, own_b = [], [], []
         for band in bands.schemes(len(x)) if len(x) else []:
             h, extra = bands.scheme(band)
             if not h:
@@ -122,9 +127,11 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[list[np.ndarray],
                 own = np.concatenate([own, mix(mix(free.astype(_U) + _U(1)) + tag)])
             own_s.append(own)
             own_n.append(np.full(len(own), max(1, extra + 1 - empty), np.int16))
+            own_b.append(np.full(len(own), band, np.int16))
         sigs.append(np.concatenate(own_s) if own_s else x[:0])
         needs.append(np.concatenate(own_n) if own_n else np.zeros(0, np.int16))
-    return sigs, needs
+        homes.append(np.concatenate(own_b) if own_b else np.zeros(0, np.int16))
+    return sigs, needs, homes
 
 
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -137,16 +144,17 @@ def _describe(batches, n: int, bands: Bands) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i, j, data, off in text_blocks(batch.column(1)):
             sets = shingle_sets(tokenize(data, off, SPACES, lower=True), n)
-            sigs, needs = signatures(sets, bands)
+            sigs, needs, homes = signatures(sets, bands)
             f1 = np.array([np.add.reduce(x, dtype=_U) for x in sets], _U)
             f2 = np.array([np.bitwise_xor.reduce(mix(x)) if len(x) else 0 for x in sets], _U)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), _lists(sigs, pa.int64()), _lists(needs, pa.int16())],
-                names=["k", "n", "f1", "f2", "sig", "need"],
+                [batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), _lists(sigs, pa.int64()), _lists(needs, pa.int16()), _lists(homes, pa.int16())],
+                names=["k", "n", "f1", "f2", "sig", "need", "band"],
             )
 
 
-_DEALT = pa.schema([("bucket", pa.int64()), ("sig", pa.binary()), ("k", pa.binary()), ("need", pa.binary()), ("star", pa.binary()), ("edges", pa.binary())])
+_ROW = np.dtype([("sig", "u8"), ("k", "i8"), ("need", "i2"), ("band", "i2")])
+_DEALT = pa.schema([("bucket", pa.int64()), ("rows", pa.binary()), ("hot", pa.binary()), ("members", pa.binary())])
 
 
 def _groups(sig: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,95 +168,109 @@ def _groups(sig: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _deal(batches, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packs signatures by bucket; a group that is large in this task already becomes a star, and only its centre travels."""
-    held: list[tuple] = []
+    """Packs signatures by bucket.  A group that is hot in this task already sends one marked row to its bucket; its
+    members are listed at once, so a bucket's size does not depend on the largest group."""
+    held: list[np.ndarray] = []
     size = 0
 
     def flush():
         nonlocal held, size
         if not held:
             return
-        sig, need, k = (np.concatenate(x) for x in zip(*held, strict=True))
+        rows = np.concatenate(held)
         held, size = [], 0
-        order, at, length = _groups(sig, k)
-        big = length > STAR
-        centre = np.zeros(len(sig), bool)
-        centre[order[at[big]]] = True
-        member = np.repeat(big, length)
-        hub = np.repeat(k[order[at]], length)
-        a, b = hub[member], k[order][member]
-        keep = np.zeros(len(sig), bool)
-        keep[order] = ~member
-        keep |= centre
-        edges = np.unique(np.stack([a, b], 1)[a != b], axis=0)
-        rows = []
-        idx = np.flatnonzero(keep)
-        for bucket, part in split_by_bucket((sig[idx] % _U(buckets)).astype(np.int64)):
-            p = idx[part]
-            rows.append([bucket, pack(sig[p]), pack(k[p]), pack(need[p]), pack(centre[p].astype(np.int8)), b""])
-        for c in range(0, len(edges), 1 << 16):
-            part = edges[c : c + (1 << 16)]
-            rows.append([int(mix(part[:1, 1].view(_U))[0] % _U(buckets)), b"", b"", b"", b"", pack(part)])
-        for c in range(0, len(rows), 256):
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows[c : c + 256], strict=True), _DEALT, strict=True)], schema=_DEALT)
+        order, at, length = _groups(rows["sig"], rows["k"])
+        rows = rows[order]
+        big = np.repeat(length > COLD, length)
+        mark = np.zeros(len(rows), np.int8)
+        mark[at[length > COLD]] = 1
+        out = []
+        sent = np.flatnonzero(~big | (mark > 0))
+        for bucket, part in split_by_bucket((rows["sig"][sent] % _U(buckets)).astype(np.int64)):
+            p = sent[part]
+            out.append([bucket, pack(rows[p]), pack(mark[p]), b""])
+        members = rows[big]
+        for c in range(0, len(members), 1 << 15):
+            part = members[c : c + (1 << 15)]
+            out.append([int(mix(part["sig"][:1])[0] % _U(buckets)), b"", b"", pack(part)])
+        for c in range(0, len(out), 256):
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out[c : c + 256], strict=True), _DEALT, strict=True)], schema=_DEALT)
 
     for batch in batches:
-        k = batch.column(0).to_numpy(zero_copy_only=False)
-        count = np.diff(batch.column(1).offsets.to_numpy())
-        sig = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(_U)
-        held.append((sig, batch.column(2).flatten().to_numpy(zero_copy_only=False), np.repeat(k, count)))
-        size += len(sig)
+        lists = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (1, 2, 3)]
+        rows = np.empty(len(lists[0]), _ROW)
+        rows["sig"], rows["need"], rows["band"] = lists[0].view(_U), lists[1], lists[2]
+        rows["k"] = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(batch.column(1).offsets.to_numpy()))
+        held.append(rows)
+        size += len(rows)
         if size >= BUCKET:
             yield from flush()
     yield from flush()
 
 
+_FOUND = "kind int, a long, b long, agree long, need int, band int"
+
+
 def _candidates(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A bucket's candidate pairs: how many signatures agree, how many must, and whether it is a star's edge."""
-    sigs = [np.frombuffer(x, _U) for x in pdf.sig if x]
-    parts = []
-    for x in pdf.edges:
-        if x:
-            e = np.frombuffer(x, np.int64).reshape(-1, 2)
-            parts.append((e[:, 0], e[:, 1], np.ones(len(e), np.int64), np.ones(len(e), np.int64)))
-    if sigs:
-        sig = np.concatenate(sigs)
-        k = np.concatenate([np.frombuffer(x, np.int64) for x in pdf.k if x])
-        need = np.concatenate([np.frombuffer(x, np.int16) for x in pdf.need if x]).astype(np.int64)
-        star = np.concatenate([np.frombuffer(x, np.int8) for x in pdf.star if x])
-        order, at, length = _groups(sig, k)
-        starred = np.add.reduceat(star[order].astype(np.int64), at) > 0
-        wide = (length > 1) & ((length > STAR) | starred)
-        member = np.repeat(wide, length)
-        hub = np.repeat(k[order[at]], length)[member]
-        parts.append((hub, k[order][member], np.ones(len(hub), np.int64), np.ones(len(hub), np.int64)))
-        for g in range(2, STAR + 1):
-            rows = at[(length == g) & ~wide]
-            if len(rows):
-                block = order[rows[:, None] + np.arange(g)]
+    """A bucket's pairs under cold signatures (kind 0: how many agree, how many must) and members of hot ones (kind 1: a
+    is the set, b the signature)."""
+    members = [np.frombuffer(x, _ROW) for x in pdf.members if x]
+    pairs = []
+    packed = [np.frombuffer(x, _ROW) for x in pdf.rows if x]
+    if packed:
+        rows = np.concatenate(packed)
+        mark = np.concatenate([np.frombuffer(x, np.int8) for x in pdf.hot if x])
+        order, at, length = _groups(rows["sig"], rows["k"])
+        rows, mark = rows[order], mark[order]
+        hot = (np.add.reduceat(mark.astype(np.int64), at) > 0) | (length > COLD)
+        members.append(rows[np.repeat(hot, length) & (mark == 0)])
+        for g in range(2, COLD + 1):
+            first = at[(length == g) & ~hot]
+            if len(first):
+                block = first[:, None] + np.arange(g)
                 i, j = np.triu_indices(g, 1)
-                x, y = block[:, i].ravel(), block[:, j].ravel()
-                parts.append((k[x], k[y], np.maximum(need[x], need[y]), np.zeros(len(x), np.int64)))
-    if not parts:
-        return pd.DataFrame({"a": [], "b": [], "agree": [], "need": [], "star": []})
-    a, b, need, star = (np.concatenate(x) for x in zip(*parts, strict=True))
-    frame = pd.DataFrame({"a": a, "b": b, "need": need, "star": star})
-    frame = frame[frame.a != frame.b]
-    return frame.groupby(["a", "b"], as_index=False).agg(agree=("need", "size"), need=("need", "min"), star=("star", "max"))[["a", "b", "agree", "need", "star"]]
+                x, y = rows[block[:, i].ravel()], rows[block[:, j].ravel()]
+                pairs.append(np.stack([x["k"], y["k"], np.maximum(x["need"], y["need"]), x["band"]], 1).astype(np.int64))
+    out = []
+    if pairs:
+        p = np.concatenate(pairs)
+        p, agree = np.unique(p[p[:, 0] != p[:, 1]], axis=0, return_counts=True)
+        out.append(pd.DataFrame({"kind": 0, "a": p[:, 0], "b": p[:, 1], "agree": agree, "need": p[:, 2], "band": p[:, 3]}))
+    if members:
+        m = np.concatenate(members)
+        out.append(pd.DataFrame({"kind": 1, "a": m["k"], "b": m["sig"].view(np.int64) if m["sig"].flags.c_contiguous else m["sig"].astype(np.int64), "agree": 1, "need": m["need"].astype(np.int64), "band": m["band"].astype(np.int64)}))
+    return pd.concat(out) if out else pd.DataFrame({c.split()[0]: [] for c in _FOUND.split(", ")})
+
+
+def _family_edges(found: DataFrame) -> DataFrame:
+    hot = found.where("kind = 1").select(F.col("a").alias("k"), F.col("b").alias("sig"), "need", "band")
+    often = hot.groupBy("sig").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("k", "band").orderBy(F.col("n").desc(), "sig"))
+    kept = hot.join(often, "sig").withColumn("rank", rank).where("rank >= need").select("sig", "k")
+    centre = kept.groupBy("sig").agg(F.min("k").alias("c"))
+    stars = kept.join(centre, "sig").where("k <> c").select(F.col("c").alias("a"), F.col("k").alias("b"))
+    count = hot.groupBy("k", "band").agg(F.count("*").alias("h"))
+    pairs = found.where("kind = 0").groupBy("a", "b", "band").agg(F.sum("agree").alias("agree"), F.max("need").alias("need"))
+    # what two sets share under hot signatures is not counted here
+    pairs = pairs.join(count.select(F.col("k").alias("a"), "band", F.col("h").alias("ha")), ["a", "band"], "left").join(count.select(F.col("k").alias("b"), "band", F.col("h").alias("hb")), ["b", "band"], "left")
+    zero = F.lit(0)
+    pairs = pairs.where(F.col("agree") >= F.greatest(F.lit(1), F.col("need") - F.least(F.coalesce("ha", zero), F.coalesce("hb", zero))))
+    return pairs.select("a", "b").union(stars)
 
 
 def _families(described: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes n, f1, f2, rep; families node, root)."""
     spark = described.sparkSession
-    reps = materialize(described.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("k").alias("rep"), F.first("sig").alias("sig"), F.first("need").alias("need")), "classes")
+    first = [F.first(c).alias(c) for c in ("sig", "need", "band")]
+    reps = materialize(described.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("k").alias("rep"), *first), "classes")
     total = reps.agg(F.coalesce(F.sum(F.size("sig")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(partitions(spark), -(-int(total) // BUCKET))
-    pairs = (
-        reps.where(F.size("sig") > 0).select("rep", "sig", "need")
-        .mapInArrow(lambda it: _deal(it, buckets), "bucket long, sig binary, k binary, need binary, star binary, edges binary")
-        .groupBy("bucket").applyInPandas(_candidates, "a long, b long, agree long, need long, star long")
+    found = (
+        reps.where(F.size("sig") > 0).select("rep", "sig", "need", "band")
+        .mapInArrow(lambda it: _deal(it, buckets), "bucket long, rows binary, hot binary, members binary")
+        .groupBy("bucket").applyInPandas(_candidates, _FOUND)
     )
-    edges = pairs.groupBy("a", "b").agg(F.sum("agree").alias("agree"), F.min("need").alias("need"), F.max("star").alias("star")).where("star = 1 OR agree >= need").select("a", "b")
+    edges = _family_edges(materialize(found, "candidates"))
     return reps.select("n", "f1", "f2", "rep"), connected_components(edges)
 
 
@@ -351,7 +373,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id for every row of `docs`; similarity of percent / 100 or more links."""
     bands = Bands(percent)
     keyed = docs.select(id_or_sentinel("doc_id").alias("k"), "text")
-    described = materialize(keyed.mapInArrow(lambda it: _describe(it, n, bands), "k long, n long, f1 long, f2 long, sig array<long>, need array<short>"), "described")
+    described = materialize(keyed.mapInArrow(lambda it: _describe(it, n, bands), "k long, n long, f1 long, f2 long, sig array<long>, need array<short>, band array<short>"), "described")
     classes, families = _families(described)
     seats = _tiles(classes, families, percent)
     links = (

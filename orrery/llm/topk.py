@@ -96,6 +96,9 @@ def _collect(batches, shared, cutoffs, k: int, scale: int) -> Iterator[pa.Record
     """Phase 1 without cutoffs, phases 2 and 3 with them."""
     qid, qs = shared.value
     limit = cutoffs.value if cutoffs else None
+    if limit is not None:
+        free = np.array([x is None for x in limit], bool)
+        limit = np.array([0 if x is None else x for x in limit], np.int64)
     held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
     for ids, column in _tiles(batches):
         local = _local_scores(qs, _quantise(column, qs.shape[1], scale))
@@ -105,14 +108,14 @@ def _collect(batches, shared, cutoffs, k: int, scale: int) -> Iterator[pa.Record
             at = np.concatenate(picks, 1)
             q, r = np.repeat(np.arange(len(qid)), at.shape[1]), at.ravel()
         else:
-            hit = np.zeros(local[0].shape, bool)
+            hit = np.repeat(free[:, None], len(ids), 1)
             for s in local:
                 hit |= (s * len(local) >= limit[:, None]).astype(bool)
             q, r = np.nonzero(hit)
         score = sum(s[q, r] for s in local)
         keep = ids[r] != qid[q]
         if limit is not None:
-            keep &= (score >= limit[q]).astype(bool)
+            keep &= free[q] | (score >= limit[q]).astype(bool)
         q, r, score = q[keep], ids[r[keep]], score[keep]
         held = _best(np.concatenate([held[0], q]), np.concatenate([held[1], r]), np.concatenate([held[2], score]), k)
     yield from _emit(held, qid)
@@ -144,7 +147,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
         lists = rows.mapInArrow(lambda it, shared=shared: _collect(it, shared, None, k, scale), kind)
         best = lists.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
         found = {r["query_id"]: r["t"] for r in best.groupBy("query_id").agg(F.min("score").alias("t"), F.count("*").alias("n")).where(F.col("n") == k).collect()}
-        cut = np.array([found.get(i, _LOW // BLOCKS) for i in ids.tolist()], np.int64)
+        # a bound that was clipped, or no bound, lets every row through
+        cut = np.array([None if not _LOW < found.get(i, _LOW) < _HIGH else found[i] for i in ids.tolist()], object)
         cutoffs = spark.sparkContext.broadcast(cut)
         part = rows.mapInArrow(lambda it, shared=shared, cutoffs=cutoffs: _collect(it, shared, cutoffs, k, scale), kind)
         out = part if out is None else out.unionByName(part)

@@ -49,7 +49,7 @@ def plain_text(page: str) -> str:
 
 def title_of(page: str) -> str:
     m = _HEAD_TITLE.search(page)
-    return _BLANK.sub(" ", html.unescape(_TAG.sub("", m[1]))).replace("\n", " ").strip() if m else ""
+    return " ".join(html.unescape(_TAG.sub("", m[1])).split()) if m else ""
 
 
 def digest(data: bytes) -> str:

@@ -81,7 +81,7 @@ def p14(spark, sf):
 
 @query("p17_mask_negative_moments", """
 WITH b AS (SELECT c_custkey, c_acctbal < 0 AS core, c_nationkey-3 < 0 AS halo FROM customer)
-SELECT c.c_custkey, round(CASE WHEN NOT core THEN c_acctbal END, 2) AS core, round(CASE WHEN NOT halo THEN 7.5 END, 2) AS halo, round(CASE WHEN NOT (core OR halo) THEN c_acctbal*2 END, 2) AS total, CASE WHEN core OR halo THEN 9 ELSE 1 END AS flags FROM customer c JOIN b USING (c_custkey)""")
+SELECT c.c_custkey, round(CASE WHEN NOT core THEN c_acctbal END, 2) AS core, round(CASE WHEN NOT halo THEN 7.5::DOUBLE END, 2) AS halo, round(CASE WHEN NOT (core OR halo) THEN c_acctbal*2 END, 2) AS total, CASE WHEN core OR halo THEN 9 ELSE 1 END AS flags FROM customer c JOIN b USING (c_custkey)""")
 def p17(spark, sf):
     c = table(spark, sf, "customer")
     one = F.lit(1.0)

@@ -204,7 +204,7 @@ def w13(spark, sf):
     return W.gated_candidates(c, ["day"], 1.85, 100.0)
 
 
-@query("w14_even_spacing", "SELECT 43200000000.0 AS half_us")
+@query("w14_even_spacing", "SELECT 43200000000.0::DOUBLE AS half_us")
 def w14(spark, sf):
     return W.even_spacing_check(table(spark, sf, "orders").select(F.date_trunc("day", "o_orderdate").alias("d")).unionByName(spark.range(2500).select((F.lit("1995-01-01").cast("timestamp") + F.make_dt_interval(F.col("id").cast("int"))).alias("d"))), F.unix_micros("d"))
 

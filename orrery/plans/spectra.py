@@ -180,12 +180,12 @@ def t2(spark, sf):
 @query("t3_t4_event_words", """
 WITH w AS (SELECT l_orderkey AS ev, (l_suppkey % 8)::INTEGER AS g, (l_linenumber)::INTEGER AS address, (40*l_quantity)::INTEGER AS adc, l_linestatus='F' AS low FROM lineitem), b AS (SELECT *, adc*CASE WHEN low THEN 20 ELSE 1 END AS signal, row_number() OVER (PARTITION BY ev, g ORDER BY adc*CASE WHEN low THEN 20 ELSE 1 END DESC, address DESC) AS n FROM w WHERE adc < 2047),
 k AS (SELECT * FROM b WHERE n=1), v AS (SELECT ev FROM k WHERE g IN (1, 2) GROUP BY ev HAVING count(*)=2)
-SELECT ev, round(sum(CASE WHEN g=1 THEN 0.9*(adc*(0.1*address)+CASE WHEN low THEN 2 ELSE 1 END) END), 4) AS e_delta, round(sum(CASE WHEN g=2 THEN 0.9*(adc*(0.1*address)+CASE WHEN low THEN 2 ELSE 1 END) END), 4) AS e_prime, round(sum(0.9*(adc*(0.1*address)+CASE WHEN low THEN 2 ELSE 1 END)), 4) AS total FROM k WHERE ev IN (SELECT ev FROM v) GROUP BY ev""")
+SELECT ev, round(sum(CASE WHEN g=1 THEN 0.9::DOUBLE*(adc*(0.1::DOUBLE*address)+CASE WHEN low THEN 2 ELSE 1 END) END), 6) AS e_delta, round(sum(CASE WHEN g=2 THEN 0.9::DOUBLE*(adc*(0.1::DOUBLE*address)+CASE WHEN low THEN 2 ELSE 1 END) END), 6) AS e_prime, round(sum(0.9::DOUBLE*(adc*(0.1::DOUBLE*address)+CASE WHEN low THEN 2 ELSE 1 END)), 6) AS total FROM k WHERE ev IN (SELECT ev FROM v) GROUP BY ev""")
 def t3(spark, sf):
     w = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("ev"), (F.col("l_suppkey") % 8).cast("int").alias("group"), F.col("l_linenumber").alias("address"), (F.col("l_quantity") * 40).cast("int").alias("adc"), (F.col("l_linestatus") == "F").alias("low_gain"))
     gain = w.select("address", "low_gain").distinct().select("address", "low_gain", (F.col("address") * 0.1).alias("a"), F.when(F.col("low_gain"), 2.0).otherwise(1.0).alias("b"))
     d = S.event_energies(S.top_per_group(w, "ev", [1, 2]), gain, "ev", 1, 2, F.lit(0.9))
-    return d.select("ev", r(F.col("e_delta"), "e_delta"), r(F.col("e_prime"), "e_prime"), r(F.col("total"), "total"))
+    return d.select("ev", r(F.col("e_delta"), "e_delta", 6), r(F.col("e_prime"), "e_prime", 6), r(F.col("total"), "total", 6))
 
 
 @query("t5_nearest_index", f"""

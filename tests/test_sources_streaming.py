@@ -28,7 +28,7 @@ def test_missing_values_and_products(spark, tmp_path):
     d = spark.createDataFrame([(1, -1e31, 5.0, "a"), (2, 2.0, 50.0, "b")], "id int, v double, w double, s string")
     n = S.null_out_of_range(S.null_fill(d, {"v": -1e31, "s": 0}), {"w": (0.0, 10.0)})
     assert [tuple(r) for r in n.orderBy("id").collect()] == [(1, None, 5.0, "a"), (2, 2.0, None, "b")]
-    out = str(tmp_path / "imap_x_map-a_20240102-repoint00012_v003.parquet")
+    out = str(tmp_path / "sky_x_map-a_20240102-repoint00012_v003.parquet")
     S.write_product(n, out, "id smallint, v float", {"v": -1e31})
     back = S.read_partitioned_by_name(spark, out).orderBy("id")
     assert [r.v for r in back.collect()] == [float(spark.range(1).select(F.lit(-1e31).cast("float")).first()[0]), 2.0]
@@ -38,7 +38,7 @@ def test_missing_values_and_products(spark, tmp_path):
     a = S.product_attributes("prod", parents, "L3", F.col("d"), F.col("d"))
     r = a.first()
     assert r.science == ["f1"] and r.ancillary == ["k1"] and S.lineage_rows(a).count() == 2
-    parts = spark.range(1).select(*S.named_parts(F.lit("imap_hi_map-a_20240102-repoint00012_v003.cdf"))).first()
+    parts = spark.range(1).select(*S.named_parts(F.lit("sky_hi_map-a_20240102-repoint00012_v003.cdf"))).first()
     assert (parts.descriptor, parts.start_date, parts.repointing, parts.version) == ("map-a", dt.date(2024, 1, 2), 12, 3)
 
 

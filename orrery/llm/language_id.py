@@ -215,8 +215,10 @@ def predict(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
     return docs.select(*keep, F.col("text").alias("_text_of_prediction")).mapInArrow(lambda it: _predict(it, shared), f"{fields}, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: dict, least: float = 0.5) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose language is told with a score of `least` or more."""
+def keep_known(docs: DataFrame, model: dict, least: float = 0.3) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose language is told with a score of `least` or more.
+
+    The default is little above chance among four languages: texts of one or two common words score 0.4, and stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])

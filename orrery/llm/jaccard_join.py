@@ -148,8 +148,8 @@ def _describe(batches, n: int, bands: Bands) -> Iterator[pa.RecordBatch]:
             f1 = np.array([np.add.reduce(x, dtype=_U) for x in sets], _U)
             f2 = np.array([np.bitwise_xor.reduce(mix(x)) if len(x) else 0 for x in sets], _U)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), _lists(sigs, pa.int64()), _lists(needs, pa.int16()), _lists(homes, pa.int16())],
-                names=["k", "n", "f1", "f2", "sig", "need", "band"],
+                [batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array([len(x) for x in sigs], pa.int64()), _lists(sigs, pa.int64()), _lists(needs, pa.int16()), _lists(homes, pa.int16())],
+                names=["k", "n", "f1", "f2", "parts", "sig", "need", "band"],
             )
 
 
@@ -261,17 +261,18 @@ def _family_edges(found: DataFrame) -> DataFrame:
 def _families(described: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes n, f1, f2, rep; families node, root)."""
     spark = described.sparkSession
-    first = [F.first(c).alias(c) for c in ("sig", "need", "band")]
-    reps = materialize(described.where("n > 0").groupBy("n", "f1", "f2").agg(F.min("k").alias("rep"), *first), "classes")
-    total = reps.agg(F.coalesce(F.sum(F.size("sig")), F.lit(0)).alias("n")).first()["n"]
+    key = ["n", "f1", "f2"]
+    classes = materialize(described.where("n > 0").groupBy(*key).agg(F.min("k").alias("rep")), "classes")
+    total = described.agg(F.coalesce(F.sum("parts"), F.lit(0)).alias("n")).first()["n"]
     buckets = max(partitions(spark), -(-int(total) // BUCKET))
+    one = described.where("parts > 0").join(classes.withColumnRenamed("rep", "k"), ["k", *key], "left_semi")  # a class's signatures travel once
     found = (
-        reps.where(F.size("sig") > 0).select("rep", "sig", "need", "band")
+        one.select("k", "sig", "need", "band")
         .mapInArrow(lambda it: _deal(it, buckets), "bucket long, rows binary, hot binary, members binary")
         .groupBy("bucket").applyInPandas(_candidates, _FOUND)
     )
     edges = _family_edges(materialize(found, "candidates"))
-    return reps.select("n", "f1", "f2", "rep"), connected_components(edges)
+    return classes, connected_components(edges)
 
 
 def _tiles(classes: DataFrame, families: DataFrame, percent: int) -> DataFrame:
@@ -373,7 +374,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id for every row of `docs`; similarity of percent / 100 or more links."""
     bands = Bands(percent)
     keyed = docs.select(id_or_sentinel("doc_id").alias("k"), "text")
-    described = materialize(keyed.mapInArrow(lambda it: _describe(it, n, bands), "k long, n long, f1 long, f2 long, sig array<long>, need array<short>, band array<short>"), "described")
+    described = materialize(keyed.mapInArrow(lambda it: _describe(it, n, bands), "k long, n long, f1 long, f2 long, parts long, sig array<long>, need array<short>, band array<short>"), "described")
     classes, families = _families(described)
     seats = _tiles(classes, families, percent)
     links = (

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.expr import let
+
 
 def centered_mean(df: DataFrame, by: list[str], order: str, value: str, width: int = 7) -> DataFrame:
     """Mean of the rows around each; at the start the window shrinks on both sides, at the end by truncation."""
@@ -21,21 +23,21 @@ def centered_mean(df: DataFrame, by: list[str], order: str, value: str, width: i
 
 def _leave_one_out(values: Column, x: Column) -> Column:
     """Whether, for some left-out row, |median - x| >= 3 population deviations of the rest."""
-    n = F.size(values) - 1
-    s = F.array_sort(values)
-    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
-    square = F.aggregate(values, F.lit(0.0), lambda a, v: a + v * v)
+    facts = F.struct(
+        F.sort_array(values).alias("s"), F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("sum"), F.aggregate(values, F.lit(0.0), lambda a, v: a + v * v).alias("squares"),
+        (F.size(values) - 1).alias("n"), F.floor((F.size(values) - 2) / 2).cast("int").alias("lo"), F.floor((F.size(values) - 1) / 2).cast("int").alias("hi"),
+    )
 
-    def at(i: Column, gone: Column) -> Column:
-        return F.get(s, F.when(i < gone, i).otherwise(i + 1))
+    def test(f: Column) -> Column:
+        def bad(v: Column, gone: Column) -> Column:
+            at = lambda i: F.get(f["s"], F.when(i < gone, i).otherwise(i + 1))
+            mean = (f["sum"] - v) / f["n"]
+            off = (at(f["lo"]) + at(f["hi"])) / 2 - x
+            return off * off >= 9 * F.greatest(F.lit(0.0), (f["squares"] - v * v) / f["n"] - mean * mean)
 
-    def bad(v: Column, gone: Column) -> Column:
-        lo, hi = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
-        median = (at(lo, gone) + at(hi, gone)) / 2
-        mean = (total - v) / n
-        return F.abs(median - x) >= 3 * F.sqrt(F.greatest(F.lit(0.0), (square - v * v) / n - mean * mean))
+        return F.when(f["n"] >= 1, F.exists(F.transform(f["s"], bad), lambda b: b)).otherwise(False)
 
-    return F.when(n >= 1, F.exists(F.transform(s, bad), lambda b: b)).otherwise(False)
+    return let(facts, test)
 
 
 def outlier_flag(df: DataFrame, by: list[str], order: str, value: str, width: int = 61) -> DataFrame:

@@ -154,7 +154,12 @@ def m23_tensor_to_field(spark, sf):
     return d.select("vec_id", r(F.col("t.parallel"), "parallel", 3), r(F.col("t.perpendicular"), "perpendicular", 3))
 
 
-@query("m24_principal_temperature")
+@query("m24_principal_temperature", f"""
+WITH v AS (SELECT vec_id, {_E} FROM embeddings), t AS (SELECT vec_id, 2+vx AS xx, vy AS xy, 3+vz AS yy, 0.1::DOUBLE AS xz, 0.2::DOUBLE AS yz, 4.0::DOUBLE AS zz FROM v), m AS (SELECT *, (xx+yy+zz)/3 AS m FROM t),
+p AS (SELECT *, sqrt((pow(xx-m, 2)+pow(yy-m, 2)+pow(zz-m, 2)+2*(xy*xy+xz*xz+yz*yz))/6) AS p, (xx-m)*((yy-m)*(zz-m)-yz*yz)-xy*(xy*(zz-m)-yz*xz)+xz*(xy*yz-(yy-m)*xz) AS d FROM m),
+e AS (SELECT vec_id, m, m+2*p*cos(acos(greatest(-1, least(1, d/(2*p*p*p))))/3) AS hi, m+2*p*cos(acos(greatest(-1, least(1, d/(2*p*p*p))))/3+2*pi()/3) AS lo FROM p), o AS (SELECT vec_id, hi, 3*m-hi-lo AS mid, lo, hi-m >= m-lo AS f FROM e),
+r AS (SELECT vec_id, CASE WHEN lo >= 0 AND hi > 0 THEN CASE WHEN f THEN hi ELSE lo END END AS par, CASE WHEN lo >= 0 AND hi > 0 THEN sqrt(mid*CASE WHEN f THEN lo ELSE hi END) END AS perp FROM o)
+SELECT vec_id, round(par, 6) AS parallel, round(perp, 6) AS perpendicular, round(CASE WHEN perp = 0 THEN NULL ELSE par/perp END, 6) AS ratio FROM r""")
 def m24_principal_temperature(spark, sf):
     t = [F.col("vx") + 2, F.col("vy"), F.col("vz") + 3, F.lit(0.1), F.lit(0.2), F.lit(4.0)]
     par, perp, ratio = X.principal_temperature(t)

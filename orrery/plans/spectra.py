@@ -171,7 +171,12 @@ def a51(spark, sf):
     return S.epoch_half_width(d, "epoch", 24, 2, 30).select("epoch", F.expr("half_ns div 1000000").alias("half_ms"))
 
 
-@query("t2_second_peak")
+@query("t2_second_peak", f"""
+WITH {_SPEC}, c AS (SELECT epoch, energy, sum(psd) AS counts, greatest(0, sum(psd)-2*sum(psd*bg)) AS res FROM s GROUP BY 1, 2),
+m AS (SELECT *, first_value(energy) OVER (PARTITION BY epoch ORDER BY counts DESC, energy) AS e0, lag(res) OVER (PARTITION BY epoch ORDER BY energy) AS before, row_number() OVER (PARTITION BY epoch ORDER BY energy) AS i, count(*) OVER (PARTITION BY epoch) AS n FROM c),
+w AS (SELECT *, energy >= 1.5*e0 AND energy <= 4*e0 AS far, min(CASE WHEN energy >= 1.5*e0 AND energy <= 4*e0 AND res > before THEN energy END) OVER (PARTITION BY epoch) AS rise FROM m),
+p AS (SELECT epoch, any_value(e0) AS main_energy, arg_max(struct_pack(i := i, n := n), struct_pack(r := res, e := -energy)) FILTER (far AND energy >= rise) AS p FROM w GROUP BY epoch)
+SELECT epoch, main_energy, p.i AS peak_bin, CASE WHEN p.i > 3 AND p.i < p.n THEN p.i-3 END AS first_bin, CASE WHEN p.i > 3 AND p.i < p.n THEN p.i+1 END AS last_bin, CASE WHEN p IS NULL THEN 'no rise' WHEN p.i <= 3 OR p.i >= p.n THEN 'at the edge' END AS error FROM p""")
 def t2(spark, sf):
     d = _spectrum(spark, sf).groupBy("epoch", "energy").agg(F.sum("psd").alias("counts"), (F.sum(F.col("psd") * F.col("bg"))).alias("back"))
     return S.second_peak(d, ["epoch"], "energy", "counts", "back")

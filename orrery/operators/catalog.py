@@ -75,9 +75,10 @@ def first_changed(old: DataFrame, new: DataFrame, key: str, columns: list[str],
     for c in columns:
         a, b = F.col(f"_o_{c}"), F.col(c)
         differs = differs | (a.isNull() != b.isNull()) | F.coalesce(F.abs(a - b) > atol + rtol * F.abs(b), F.lit(False))
-    changed = j.where(differs).agg(F.min(key).alias("changed"))
-    ends = old.agg(F.max(key).alias("a")).join(new.agg(F.max(key).alias("b")), F.lit(True)).select(F.when(F.col("a") != F.col("b"), F.least("a", "b") + 1).alias("grown"))
-    return changed.join(ends, F.lit(True)).select(F.coalesce("changed", "grown").alias(f"first_{key}"))  # two one-row tables
+    changed = j.where(differs).agg(F.min(key).alias("changed")).withColumn("grown", F.lit(None).cast("long"))
+    both = old.select(F.col(key).alias("a"), F.lit(None).cast("long").alias("b")).unionByName(new.select(F.lit(None).cast("long").alias("a"), F.col(key).alias("b")))
+    ends = both.agg(F.max("a").alias("a"), F.max("b").alias("b")).select(F.lit(None).cast("long").alias("changed"), F.when(F.col("a") != F.col("b"), F.least("a", "b") + 1).alias("grown"))
+    return changed.unionByName(ends).agg(F.coalesce(F.max("changed"), F.max("grown")).alias(f"first_{key}"))
 
 
 def intersect_keys(catalog: DataFrame, descriptors: list[str], key: str) -> DataFrame:

@@ -51,7 +51,7 @@ _U = np.uint64
 #: Largest group of equal signatures whose pairs are listed; larger ones are hot.
 COLD = 16
 #: Signatures in one bucket; documents and shingles in one side of a tile.
-BUCKET, TILE_DOCS, TILE_SHINGLES = 1 << 20, 512, 1 << 21
+BUCKET, TILE_DOCS, TILE_SHINGLES = 1 << 19, 512, 1 << 21
 
 
 class Bands:

@@ -106,16 +106,19 @@ def _spans(k: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray, n
     return k[at], start[at], start[last] + window
 
 
-def _first_of_each(win: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """True for the earliest place of each window."""
+def _first_of_each(win: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the earliest place of each window, index of all later places, by place).
+
+    Each place counts once: rows that repeat a document hold its places, they don't repeat its windows."""
     order = np.lexsort((rank, win))
-    w = win[order]
+    w, r = win[order], rank[order]
     first = np.empty(len(w), bool)
     first[:1] = True
     first[1:] = w[1:] != w[:-1]
-    out = np.empty(len(w), bool)
-    out[order] = first
-    return out
+    later = ~first
+    later[1:] &= r[1:] != r[:-1]
+    lose = order[later]
+    return np.sort(order[first]), lose[np.argsort(rank[lose], kind="stable")]
 
 
 def _place(k: np.ndarray, h: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -133,15 +136,12 @@ def _place(k: np.ndarray, h: np.ndarray, doc: np.ndarray, start: np.ndarray) ->
 
 def _deal(k, h, doc, key, count, win, start, window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     rank = _place(k, h, doc, start)
-    keep = _first_of_each(win, rank)
-    lose = np.flatnonzero(~keep)
-    lose = lose[np.argsort(rank[lose], kind="stable")]
+    kept, lose = _first_of_each(win, rank)
     d, s, e = _spans((rank[lose] >> 32), start[lose], window)
     head = lose[np.searchsorted(rank[lose] >> 32, d)] if len(d) else lose[:0]
     span_doc = doc[head]
     split = (count // (1 << 16) + 1).astype(_U)
     bucket = (mix(key + (win % split) * _U(0x9E3779B97F4A7C15)) % _U(buckets)).astype(np.int64)
-    kept = np.flatnonzero(keep)
     rows = []
     for b, part in split_by_bucket(bucket[kept]):
         p = kept[part]
@@ -210,11 +210,7 @@ def _repeats(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
     if wins:
         k, h, doc, win, start = (np.concatenate(x) for x in (ks, hs, docs, wins, at))
         rank = _place(k, h, doc, start)
-        lose = np.flatnonzero(~_first_of_each(win, rank))
-        lose = lose[np.argsort(rank[lose], kind="stable")]
-        again = np.ones(len(lose), bool)
-        again[1:] = rank[lose][1:] != rank[lose][:-1]
-        lose = lose[again]
+        _, lose = _first_of_each(win, rank)
         d, s, e = _spans(rank[lose] >> 32, start[lose], window)
         if len(d):
             src = doc[lose[np.searchsorted(rank[lose] >> 32, d)]]

@@ -104,6 +104,16 @@ def test_substring_dedup_small_groups_and_empty(spark):
     assert substring_dedup.substring_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("flush", [1 << 20, 1])
+def test_substring_dedup_keeps_repeated_rows_that_occur_nowhere_else(spark, monkeypatch, flush):
+    monkeypatch.setattr(substring_dedup, "FLUSH", flush)
+    only, anonymous, other = (" ".join(f"{name}{i}" for i in range(60)) for name in ("only", "anonymous", "other"))
+    rows = [(7, only)] * 3 + [(None, anonymous)] * 3 + [(8, other)] * 2 + [(9, other + " end")] * 2 + [(10, anonymous)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((r.doc_id or 0, r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.substring_dedup(d).collect())
+    assert got == [(0, 60, 0, anonymous)] * 3 + [(7, 60, 0, only)] * 3 + [(8, 60, 0, other)] * 2 + [(9, 61, 60, "end")] * 2 + [(10, 60, 60, "")]
+
+
 def brute_components(rows, n, percent):
     sets = {}
     for d, t in rows:

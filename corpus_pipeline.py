@@ -42,13 +42,17 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    took = mixing.mix_sources(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies"))
+    """Each document as often as the mix takes it.
+
+    Decisions come back by document, (doc_id, source, text): its rows differ by one copy at most, so two counts tell all."""
+    same = lambda text_hash: [F.coalesce("doc_id", F.lit(0)).alias("_d"), F.isnull("doc_id").alias("_dn"), F.coalesce("source", F.lit("")).alias("_s"), F.isnull("source").alias("_sn"), text_hash.alias("_t")]
+    key = ["_d", "_dn", "_s", "_sn", "_t"]
+    took = mixing.mix_sources(docs).select(*same(F.col("text_hash")), "copies").groupBy(*key).agg(F.min("copies").alias("_least"), (F.sum("copies") - F.count("*") * F.min("copies")).alias("_more"))
     names = docs.columns
-    ranked = docs.withColumn("_row_of_id", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))))
-    joined = ranked.join(took, ranked["doc_id"].eqNullSafe(took["_id"]))
-    times = F.element_at("_copies", F.col("_row_of_id"))
-    return joined.where(times > 0).select(*names, F.explode(F.sequence(F.lit(1), times)).alias("copy"))
+    joined = docs.select(*names, *same(F.xxhash64("text"))).join(took.where("_least > 0 OR _more > 0"), key)
+    row = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*names)))
+    times = (F.col("_least") + (F.col("_row") <= F.col("_more")).cast("int")).cast("int")
+    return joined.withColumn("_row", row).withColumn("_times", times).where("_times > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("copy"))
 
 
 STAGES = [

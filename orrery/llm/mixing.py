@@ -49,7 +49,8 @@ def _count_words(batches) -> Iterator[pa.RecordBatch]:
             first[heads] = inside[1:][heads]
             at = np.flatnonzero(first)
             size = np.diff(np.searchsorted(at, off, "left"))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(size, pa.int64())], names=["doc_id", "source", "size"])
+            same = [batch.column(c).slice(i, j - i) for c in (0, 1, 3)]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(size, pa.int64())], names=["doc_id", "source", "text_hash", "size"])
 
 
 def source_targets(sizes: DataFrame, max_repeats: int = 3) -> DataFrame:
@@ -125,8 +126,9 @@ def _fill(pdf: pd.DataFrame, max_repeats: int) -> pd.DataFrame:
 
 
 def mix_sources(docs: DataFrame, seed: int = 1, max_repeats: int = 3) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken for every row of `docs`."""
-    sizes = materialize(docs.select("doc_id", "source", "text").mapInArrow(_count_words, "doc_id long, source string, size long"), "sizes")
+    """doc_id, source, text_hash (xxhash64), size, source_size, target, copies, taken for every row of `docs`."""
+    texts = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("text_hash"))
+    sizes = materialize(texts.mapInArrow(_count_words, "doc_id long, source string, text_hash long, size long"), "sizes")
     counted = sizes.groupBy("source", "size").agg(F.count("*").alias("count"))
     targets = source_targets(counted.select("source", (F.col("size") * F.col("count")).alias("size")), max_repeats)
     plan = (
@@ -134,10 +136,11 @@ def mix_sources(docs: DataFrame, seed: int = 1, max_repeats: int = 3) -> DataFra
         .groupBy("source").applyInPandas(lambda pdf: _fill(pdf, max_repeats), "source string, size long, count long, source_size long, target double, passes int, extra long")
     )
     plan = materialize(plan, "plan")
-    h = F.xxhash64(F.lit(seed), F.col("s.doc_id"))
+    # the text tells apart rows that share a doc_id or have none, so they spread over the buckets too
+    h = F.xxhash64(F.lit(seed), F.col("s.doc_id"), F.col("s.text_hash"))
     rows = (
         sizes.alias("s").join(plan.alias("p"), F.expr("s.source <=> p.source AND s.size = p.size"))
-        .select("s.doc_id", "s.source", "s.size", "source_size", "target", "passes", "extra", "count", h.alias("h"))
+        .select("s.doc_id", "s.source", "s.text_hash", "s.size", "source_size", "target", "passes", "extra", "count", h.alias("h"))
         .withColumn("bucket", F.floor(F.pmod(F.col("h"), F.lit(1 << 30)) * F.ceil(F.col("count") / RANKED) / F.lit(1 << 30)))
     )
     some = (F.col("extra") > 0) & (F.col("extra") < F.col("count"))
@@ -146,11 +149,11 @@ def mix_sources(docs: DataFrame, seed: int = 1, max_repeats: int = 3) -> DataFra
         rows.where(some).groupBy("source", "size", "bucket").agg(F.count("*").alias("n"), F.first("extra").alias("x"))
         .select("source", "size", "bucket", F.greatest(F.lit(0), F.col("x") - F.coalesce(F.sum("n").over(before), F.lit(0))).alias("take"))
     )
-    ranked = rows.where(some).withColumn("rank", F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("h", "doc_id")))
+    ranked = rows.where(some).withColumn("rank", F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("h", "doc_id", "text_hash")))
     chosen = ranked.alias("r").join(part.alias("t"), F.expr("r.source <=> t.source AND r.size = t.size AND r.bucket = t.bucket")).select("r.*", (F.col("rank") <= F.col("take")).cast("int").alias("more")).drop("rank")
     whole = rows.where(~some).withColumn("more", F.when((F.col("extra") > 0) & (F.col("extra") >= F.col("count")), 1).otherwise(0))
     copies = (F.col("passes") + F.col("more")).cast("int")
-    return chosen.unionByName(whole).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return chosen.unionByName(whole).select("doc_id", "source", "text_hash", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
 
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orrery.llm import chat, language_id, secrets, topk, url_filter, warc
+from orrery.llm import chat, language_id, mixing, secrets, topk, url_filter, warc
 
 CLASH = ("k", "found", "spans", "c", "b0", "_t", "part", "y", "slot", "order", "score", "rank", "query_id")
 
@@ -247,3 +247,22 @@ def test_pipeline_keeps_clean_documents_and_catches_planted_ones(spark, tmp_path
     secret = spark.read.parquet(str(tmp_path / "secrets")).where("doc_id = 204").first()
     assert "abcdefghijklmnop" not in secret.text and secret.n_chars == len(secret.text)
     assert kept["mixing"] <= kept["secrets"] and corpus_pipeline.run(spark, str(tmp_path)).count() == table.count()
+
+
+def test_pipeline_mixes_rows_without_an_id_as_decided(spark):
+    rng = random.Random(4)
+    rows = [(i if i % 3 else None, " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.choice((1, 3, 8, 40)))), rng.choice(["a", "b", "b", "b", "c", None]), i) for i in range(600)]
+    rows += [(None, "same text", "b", i) for i in range(50)] + [(5, "same text", s, i) for i, s in enumerate("abcabc")] + [(None, None, None, 0), (1, rows[1][1], rows[1][2], 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").repartition(5)
+    want, got = {}, {}
+    for r in mixing.mix_sources(docs).where("copies > 0").collect():
+        k = (r.source, r["size"])
+        want[k] = want.get(k, 0) + r.copies
+    out = corpus_pipeline.mixed_sources(spark, docs, "")
+    assert out.columns == [*docs.columns, "copy"]
+    for r in out.collect():
+        k = (r.source, len((r.text or "").split()))
+        got[k] = got.get(k, 0) + 1
+    assert got == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan

@@ -8,9 +8,12 @@ WARC-Concurrent-To; the source's payload digest is kept as
 WARC-Source-Payload-Digest (metadata, conversion).  Record ids are name-based
 (from the source's id and the kind), so reruns agree.
 
-Plain text: comments, script, style and similar elements go; block elements end
-a line; other tags vanish; character references are resolved; white space is
-collapsed within lines and empty lines are dropped.
+Plain text: comments, script, style, noscript, template, svg and head go; block
+elements end a line; other tags vanish; character references are resolved; white
+space is collapsed within lines and empty lines are dropped.  As in HTML, a head
+ends before the first thing that can't be in it, and an unclosed comment, script
+or style takes the rest of the page.  Of a noscript, template or svg that is
+self-closed or never closed only the tag goes.
 
 Each record is built where its source lies; there is no shuffle.
 
@@ -33,15 +36,88 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivatives")
-_DROP = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|head)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
+#: tags that decide what is text
+_MARK = re.compile(r"<!--|<(/?)(script|style|noscript|template|svg|head|title)(?=[\s/>])[^>]*>", re.I)
+#: what may lie between those in a head: space, void elements, declarations, end tags that don't end it
+_IN_HEAD = re.compile(r"(?:\s++|<(?:meta|link|base|basefont|bgsound|html)(?=[\s/>])[^>]*>|<(?:!(?!--)|\?)[^>]*>|</(?!(?:head|body|html|br|svg|template)(?=[\s/>]))[A-Za-z][^>]*>)*+", re.I)
+_EMPTY_COMMENT = re.compile(r"-?>")
+_COMMENT_END = re.compile(r"--!?>")
+_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in ("script", "style", "title")}
+_NOSCRIPT = re.compile(r"<(/?)noscript(?=[\s/>])[^>]*>", re.I)
 _HEAD_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 _BLOCK = re.compile(r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|thead|tbody|section|article|header|footer|nav|aside|main|h[1-6]|blockquote|pre|form|figure|title)\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[A-Za-z!?][^>]*>")
 _BLANK = re.compile(r"[ \t\r\f\v ]+")
 
 
+def _shown(page: str) -> str:
+    """The page without comments and elements that show no text, each replaced by a space; one pass."""
+    out: list[str] = []
+    opened: list[tuple[str, int, bool]] = []  # template and svg that wait for their end: name, pieces before, in head
+    waiting = {"template": 0, "svg": 0}
+    at, in_head, titles = 0, False, True
+    while True:
+        if in_head:
+            at = _IN_HEAD.match(page, at).end()
+            m = _MARK.match(page, at)
+            if not m or (m[2] or "").lower() == "svg":
+                in_head = False  # text or an element of the body: the end tag was left out
+                continue
+        elif not (m := _MARK.search(page, at)):
+            break
+        out.append(page[at : m.start()])
+        at, name, end = m.end(), (m[2] or "").lower(), m[1] == "/"
+        empty = m[0].endswith("/>")
+        stop = None
+        if not name:
+            short = _EMPTY_COMMENT.match(page, at)
+            stop = short or _COMMENT_END.search(page, at)
+            at = stop.end() if stop else len(page)
+        elif name in waiting and end and waiting[name]:
+            while True:
+                last, pieces, head = opened.pop()
+                waiting[last] -= 1
+                if last == name:
+                    break
+            del out[pieces:]
+            in_head = head
+        elif end and name == "head" and in_head:
+            in_head = False
+        elif end:
+            out.append(m[0])
+            continue
+        elif name in ("script", "style"):
+            if not (empty and waiting["svg"]):  # elsewhere the slash means nothing
+                stop = _ENDS[name].search(page, at)
+                at = stop.end() if stop else len(page)
+        elif name == "noscript":
+            stop = None if empty else _NOSCRIPT.search(page, at)
+            if stop and stop[1]:
+                at = stop.end()
+        elif name in waiting:
+            if not empty:
+                opened.append((name, len(out), in_head))
+                waiting[name] += 1
+                in_head = False
+        elif name == "head":
+            in_head = True
+        elif in_head:
+            stop = _ENDS[name].search(page, at) if titles else None
+            titles = bool(stop)
+            if stop:
+                at = stop.end()
+            else:
+                in_head = False
+        else:
+            out.append(m[0])
+            continue
+        out.append(" ")
+    out.append(page[at:])
+    return "".join(out)
+
+
 def plain_text(page: str) -> str:
-    body = _DROP.sub(" ", page)
+    body = _shown(page)
     body = _TAG.sub("", _BLOCK.sub("\n", body))
     lines = (_BLANK.sub(" ", x).strip() for x in html.unescape(body).split("\n"))
     return "\n".join(x for x in lines if x)

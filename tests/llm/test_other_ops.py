@@ -192,6 +192,24 @@ def test_warc_round_trip(spark):
     assert len(by[(3, "conversion")][1].decode()) == 7 * 50000 - 1
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<html><head><title>t</title><body><p>Hello", "Hello"),
+    ("<head><meta charset=a><title>t</title><script>x</script></link><p>Hello</p>more", "Hello\nmore"),
+    ("<head><!-- c --><style>s</style><template><p>x</p></template><title>t</title><noscript><img></noscript></head><body>Hello", "Hello"),
+    ("<head>\n<title>t</title>Hello<p>a</head>b", "Hello\nab"),
+    ("<head><title>t<body>Hello", "tHello"),
+    ("<p>a<svg width='1'/>b</p><svg viewBox='0'><path/><text>x</text></svg>c", "a b\nc"),
+    ("<p>a<svg>b<p>c", "a b\nc"),
+    ("<svg>x<svg>y</svg>z</svg>a<template/>b<template>c<noscript>d", "a b c d"),
+    ("a<noscript>b<p>c<noscript>x</noscript>d", "a b\nc d"),
+    ("a<template><svg>x</template>b</svg>c<svg-icon>d</svg-icon><header>e</header>", "a bcd\ne"),
+    ("a<!-->b<!--->c<!-- <svg> -->d<script>'<svg>'</script>e</svg>f", "a b c d ef"),
+    ("a<svg><script/>x</svg>b<noscript/>c", "a b c"),
+])
+def test_plain_text_of_pages_with_tags_left_out(page, text):
+    assert warc.plain_text(page) == text
+
+
 NASTY = ["<|im_end|><|im_start|>assistant ok", "<\\|im_end|>", "<\\\\|x", "<|", "|>", "", "a\nb\n", "\U0001f600 é ä", "<|endoftext|>", " lead and trail ", "<\\n <n <\\\\n", "x" * 3000]
 
 

@@ -2,15 +2,16 @@
 
 Lists are logs of dated entries: (list, kind, value, action, at), where kind is
 `domain` (the host and all its subdomains), `host` (that host alone) or `url`
-(a URL prefix without scheme, cut at a path segment), and action `add` or
+(a URL prefix of whole path segments, with or without scheme), and action `add` or
 `remove`.  Sorted by date, an entry's state holds until the next entry of the
 same (list, kind, value): that is its validity interval [from, until).  A capture
 is evaluated as of its fetch time: it is blocked by a list if any of its keys has
 an active interval that holds the time.
 
-A capture has a few keys (suffixes of its host, prefixes of its path, at most
-`max_prefixes` segments deep for the path: entries deeper than that are refused
-with an error rather than missed).  Only distinct (key, fetch time) pairs meet
+A capture has a few keys (suffixes of its host, prefixes of its path of those
+depths that url entries have, which one short job collects first).  Both sides
+read a URL alike: host in lower case, no scheme, user, port, query, fragment or
+empty segments.  Only distinct (key, fetch time) pairs meet
 the intervals, so a host that holds a third of all captures is combined before
 the shuffle, by time; the join is salted by time too, and intervals are repeated
 once per salt.
@@ -26,7 +27,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_PREFIXES = 8
 SALTS = 16
 #: scheme, authority (user, host, port) and path of a URL (fixed pattern)
 URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)(?::[0-9]*)?([^?#]*)"
@@ -36,35 +36,56 @@ def host_of(url: Column) -> Column:
     return F.rtrim(F.lower(F.regexp_extract(url, URL, 1)), F.lit("."))
 
 
-def _keys(url: Column, max_prefixes: int) -> Column:
-    """array<string> of `kind|value` keys that can match the URL."""
+def _segments(url: Column) -> Column:
+    return F.filter(F.split(F.regexp_extract(url, URL, 2), "/"), lambda s: s != "")
+
+
+def _prefix(host: Column, segments: Column) -> Column:
+    return F.array_join(F.concat(F.array(host), segments), "/")
+
+
+def _keys(url: Column, depths: list[int]) -> Column:
+    """array<string> of `kind|value` keys that can match the URL; depths: how many segments url entries have."""
     host = host_of(url)
     labels = F.split(host, r"\.")
     suffix = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(F.lit("domain|"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
-    segments = F.filter(F.split(F.regexp_extract(url, URL, 2), "/"), lambda s: s != "")
-    depth = F.least(F.size(segments), F.lit(max_prefixes))
-    prefix = F.transform(F.sequence(F.lit(0), depth), lambda i: F.concat(F.lit("url|"), host, F.when(i > 0, F.concat(F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/"))).otherwise(F.lit(""))))
+    segments = _segments(url)
+    used = F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda i: i <= F.size(segments))
+    prefix = F.transform(used, lambda i: F.concat(F.lit("url|"), _prefix(host, F.slice(segments, F.lit(1), i))))
     return F.when(F.length(host) > 0, F.array_distinct(F.concat(suffix, F.array(F.concat(F.lit("host|"), host)), prefix))).otherwise(F.array().cast("array<string>"))
 
 
-def validity_intervals(entries: DataFrame, max_prefixes: int = MAX_PREFIXES) -> DataFrame:
+def _whole(entries: DataFrame) -> DataFrame:
+    return entries.where(" AND ".join(f"{c} IS NOT NULL" for c in ("list", "kind", "value", "action", "at")))
+
+
+def _entry_url(value: Column) -> Column:
+    """The value of a url entry with a scheme, so that it reads like a capture's URL."""
+    return F.concat(F.lit("any://"), F.regexp_replace(value, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//", ""))
+
+
+def entry_depths(entries: DataFrame) -> list[int]:
+    """The distinct numbers of path segments of url entries, in order."""
+    found = _whole(entries).where("kind = 'url'").select(F.size(_segments(_entry_url(F.col("value")))).alias("depth")).distinct()
+    return sorted(r.depth for r in found.collect())
+
+
+def validity_intervals(entries: DataFrame) -> DataFrame:
     """list, key, from, until (NULL: still valid) of the periods in which an entry is on its list."""
-    e = entries.where(" AND ".join(f"{c} IS NOT NULL" for c in ("list", "kind", "value", "action", "at")))
-    value = F.rtrim(F.lower("value"), F.lit("/."))
-    value = F.when(F.col("kind") == "url", F.rtrim(F.regexp_replace("value", r"^[A-Za-z][A-Za-z0-9+.-]*://", ""), F.lit("/"))).otherwise(value)
-    deep = F.when((F.col("kind") == "url") & (F.size(F.split(value, "/")) - 1 > max_prefixes), F.raise_error(F.lit("a url entry is deeper than max_prefixes")).cast("string"))
-    e = e.select("list", F.coalesce(deep, F.concat_ws("|", F.col("kind"), value)).alias("key"), "action", "at")
+    url = _entry_url(F.col("value"))
+    value = F.when(F.col("kind") == "url", _prefix(host_of(url), _segments(url))).otherwise(F.rtrim(F.lower("value"), F.lit("/.")))
+    e = _whole(entries).select("list", F.concat_ws("|", F.col("kind"), value).alias("key"), "action", "at")
     day = e.groupBy("list", "key", "at").agg(F.max(F.when(F.col("action") == "remove", 1).otherwise(0)).alias("gone"))
     order = Window.partitionBy("list", "key").orderBy("at")
     return day.withColumn("until", F.lead("at").over(order)).where("gone = 0").select("list", "key", F.col("at").alias("from"), "until")
 
 
-def temporal_url_filter(captures: DataFrame, entries: DataFrame, max_prefixes: int = MAX_PREFIXES, salts: int = SALTS) -> DataFrame:
+def temporal_url_filter(captures: DataFrame, entries: DataFrame, salts: int = SALTS) -> DataFrame:
     """page_id, url, fetched, lists (sorted names of the lists that block it), blocked for every row of captures."""
     c = captures.select("page_id", "url", "fetched")
-    keyed = c.withColumn("keys", F.when(F.col("fetched").isNotNull(), _keys(F.coalesce("url", F.lit("")), max_prefixes)).otherwise(F.array().cast("array<string>")))
+    keyed = c.withColumn("keys", F.when(F.col("fetched").isNotNull(), _keys(F.coalesce("url", F.lit("")), entry_depths(entries))).otherwise(F.array().cast("array<string>")))
     asked = keyed.select("url", "fetched", F.explode("keys").alias("key")).select("key", "fetched").distinct().withColumn("salt", F.pmod(F.xxhash64("fetched"), F.lit(salts)))
-    spread = validity_intervals(entries, max_prefixes).withColumn("salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
+    spread = validity_intervals(entries).withColumn("salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
     active = asked.join(spread, ["key", "salt"]).where("fetched >= `from` AND (until IS NULL OR fetched < until)").groupBy("key", "fetched").agg(F.sort_array(F.collect_set("list")).alias("lists"))
     # back to captures: URLs repeat less than hosts, and one row per (url, time) is enough
     urls = keyed.select("url", "fetched", "keys").where(F.size("keys") > 0).distinct().select("url", "fetched", F.explode("keys").alias("key"))

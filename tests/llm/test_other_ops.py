@@ -166,6 +166,20 @@ def test_url_filter(spark):
     assert url_filter.temporal_url_filter(d, e.limit(0)).where("blocked").count() == 0 and url_filter.temporal_url_filter(d.limit(0), e).count() == 0
 
 
+def test_url_entries_read_like_captures_at_any_depth(spark, tmp_path):
+    day = dt.date(2024, 1, 1)
+    deep = "deep.org/" + "/".join(f"s{i}" for i in range(12))
+    values = ["https://Shop.NET:8080/a", "x.org//a", "//user@y.org./b/", "z.org:80", deep]
+    e = spark.createDataFrame([("bad", "url", v, "add", day) for v in values], "list string, kind string, value string, action string, at date")
+    hit = ["https://Shop.NET:8080/a", "http://shop.net/a/b", "http://x.org/a", "http://x.org//a//c", "http://y.org/b?q", "http://z.org/", "http://z.org/1/2", "http://" + deep, "http://" + deep + "/t/u"]
+    miss = ["http://shop.net/A", "http://shop.net/ab", "http://x.org/", "http://y.org/", "http://z.organ/", "http://" + deep[:-1], "http://deep.org/s0", "http:///a"]
+    caps = spark.createDataFrame([(i, u, day) for i, u in enumerate(hit + miss)], "page_id long, url string, fetched date")
+    assert {r.url for r in url_filter.temporal_url_filter(caps, e).where("blocked").collect()} == set(hit)
+    spark.createDataFrame([(7, "http://" + deep, ""), (1, "http://" + deep + "/t", ""), (14, "http://user@Shop.NET:8080//a", "")], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r.lists for r in url_filter.op6_url_filter(spark, str(tmp_path)).collect()}
+    assert "spam" not in got[1] and "spam" not in got[7] and "spam" in got[14]  # days 7 and 49, 98
+
+
 PAGE = "<html><head><title>A &amp; B\n c</title><style>p{}</style></head><body><!-- x --><script>if (a<b) {}</script><p>One &eacute;<b>bold</b><br>two</p><div>  three\t4 </div></body></html>"
 
 

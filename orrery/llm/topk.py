@@ -12,14 +12,16 @@ local score, and a row's score is the sum of its local scores.
 3. Their remaining local scores are added exactly; rows below t go, the k best
    of a task are kept (ties to the smaller id), and a ranking over all tasks ends it.
 
-Queries are read in blocks of about QUERY_BLOCK rows: a block's vectors and
-cutoffs are broadcasts of bounded size, and every block goes over all rows.
-Rows are scored in tiles, so memory is bounded by tile and block.
+Queries are read in blocks of about QUERY_BLOCK components: a block's vectors and
+cutoffs are broadcasts of bounded size, and every block goes over all rows.  A
+task scores tiles of rows against tiles of queries, so its memory is bounded by
+tiles and the k rows that it holds per query.
 
 Defined cases: vectors that are NULL or hold NULL or non-finite components, and
 rows with a NULL id, take no part; shorter vectors are padded with zeros; rows
-that repeat an id count once, with their best score; a score beyond the range of
-a long is clipped to it; other columns are ignored.
+that repeat an id count once, with their best score; of different query vectors
+under one id the greatest in array order asks; a score beyond the range of a long
+is clipped to it; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ._common import materialize
+
 BLOCKS = 4
-QUERY_BLOCK = 512
+#: Components in a block of queries (a broadcast of 32 MB), queries and rows in a tile.
+QUERY_BLOCK = 1 << 22
+QUERY_TILE = 512
 TILE = 1024
 _LOW, _HIGH = -(2**63), 2**63 - 1
 
@@ -95,61 +101,66 @@ def _emit(held, qid: np.ndarray) -> Iterator[pa.RecordBatch]:
 def _collect(batches, shared, cutoffs, k: int, scale: int) -> Iterator[pa.RecordBatch]:
     """Phase 1 without cutoffs, phases 2 and 3 with them."""
     qid, qs = shared.value
-    limit = cutoffs.value if cutoffs else None
-    if limit is not None:
-        free = np.array([x is None for x in limit], bool)
-        limit = np.array([0 if x is None else x for x in limit], np.int64)
-    held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    cuts = range(0, len(qid), QUERY_TILE)
+    none = np.zeros(0, np.int64)
+    held = [(none, none, none) for _ in cuts]
     for ids, column in _tiles(batches):
-        local = _local_scores(qs, _quantise(column, qs.shape[1], scale))
-        if limit is None:
-            top = min(k + 1, len(ids))
-            picks = [np.argpartition(-s, top - 1, axis=1)[:, :top] if s.dtype != object else np.argsort(-s, axis=1)[:, :top] for s in local]
-            at = np.concatenate(picks, 1)
-            q, r = np.repeat(np.arange(len(qid)), at.shape[1]), at.ravel()
-        else:
-            hit = np.repeat(free[:, None], len(ids), 1)
-            for s in local:
-                hit |= (s * len(local) >= limit[:, None]).astype(bool)
-            q, r = np.nonzero(hit)
-        score = sum(s[q, r] for s in local)
-        keep = ids[r] != qid[q]
-        if limit is not None:
-            keep &= free[q] | (score >= limit[q]).astype(bool)
-        q, r, score = q[keep], ids[r[keep]], score[keep]
-        held = _best(np.concatenate([held[0], q]), np.concatenate([held[1], r]), np.concatenate([held[2], score]), k)
-    yield from _emit(held, qid)
+        x = _quantise(column, qs.shape[1], scale)
+        for t, a in enumerate(cuts):
+            some = qid[a : a + QUERY_TILE]
+            local = _local_scores(qs[a : a + QUERY_TILE], x)
+            if cutoffs is None:
+                top = min(k + 1, len(ids))
+                picks = [np.argpartition(-s, top - 1, axis=1)[:, :top] if s.dtype != object else np.argsort(-s, axis=1)[:, :top] for s in local]
+                at = np.concatenate(picks, 1)
+                q, r = np.repeat(np.arange(len(some)), at.shape[1]), at.ravel()
+            else:
+                limit, free = (c[a : a + QUERY_TILE] for c in cutoffs.value)
+                hit = np.repeat(free[:, None], len(ids), 1)
+                for s in local:
+                    hit |= (s * len(local) >= limit[:, None]).astype(bool)
+                q, r = np.nonzero(hit)
+            score = sum(s[q, r] for s in local)
+            keep = ids[r] != some[q]
+            if cutoffs is not None:
+                keep &= free[q] | (score >= limit[q]).astype(bool)
+            q, r, score = q[keep], ids[r[keep]], score[keep]
+            held[t] = _best(np.concatenate([held[t][0], q]), np.concatenate([held[t][1], r]), np.concatenate([held[t][2], score]), k)
+    for t, a in enumerate(cuts):
+        yield from _emit(held[t], qid[a : a + QUERY_TILE])
+
+
+def _query_blocks(queries: DataFrame, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of about QUERY_BLOCK components each, every id once."""
+    one = materialize(queries.groupBy("vec_id").agg(F.max("embedding").alias("embedding")), "queries")
+    size = one.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("w")).first()
+    blocks = max(1, -(-size["n"] * max(1, size["w"] or 0) // QUERY_BLOCK))
+    for b in range(blocks):
+        got = one.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow()  # distinct ids, dealt evenly
+        if not got.num_rows and blocks > 1:
+            continue
+        column = got.column("embedding").combine_chunks()
+        column = column if isinstance(column, pa.ListArray) else pa.array([], pa.list_(pa.float32()))
+        width = int(np.diff(column.offsets.to_numpy()).max(initial=1)) if got.num_rows else 1
+        yield got.column("vec_id").to_numpy().astype(np.int64), _quantise(column, width, scale) if got.num_rows else np.zeros((0, width))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows with the highest integer inner products for each query row."""
     spark = vectors.sparkSession
     rows = valid_vectors(vectors)
-    queries = rows.where(is_query)
-    n = queries.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
     out = None
     rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    for b in range(blocks):
-        got = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).toArrow()  # about QUERY_BLOCK rows
-        if got.num_rows > 64 * QUERY_BLOCK:
-            raise ValueError("too many queries share one block")
-        column = got.column("embedding").combine_chunks()
-        column = column if isinstance(column, pa.ListArray) else pa.array([], pa.list_(pa.float32()))
-        width = int(np.diff(column.offsets.to_numpy()).max(initial=1)) if got.num_rows else 1
-        ids = got.column("vec_id").to_numpy().astype(np.int64)
-        ids, first = np.unique(ids, return_index=True)
-        qs = _quantise(column, width, scale)[first] if got.num_rows else np.zeros((0, width))
-        if not len(ids) and blocks > 1:
-            continue
+    for ids, qs in _query_blocks(rows.where(is_query), scale):
         shared = spark.sparkContext.broadcast((ids, qs))
         kind = "query_id long, vec_id long, score long"
         lists = rows.mapInArrow(lambda it, shared=shared: _collect(it, shared, None, k, scale), kind)
         best = lists.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
         found = {r["query_id"]: r["t"] for r in best.groupBy("query_id").agg(F.min("score").alias("t"), F.count("*").alias("n")).where(F.col("n") == k).collect()}
         # a bound that was clipped, or no bound, lets every row through
-        cut = np.array([None if not _LOW < found.get(i, _LOW) < _HIGH else found[i] for i in ids.tolist()], object)
-        cutoffs = spark.sparkContext.broadcast(cut)
+        limit = np.array([found.get(i, _LOW) for i in ids.tolist()], np.int64)
+        free = (limit == _LOW) | (limit == _HIGH)
+        cutoffs = spark.sparkContext.broadcast((np.where(free, 0, limit), free))
         part = rows.mapInArrow(lambda it, shared=shared, cutoffs=cutoffs: _collect(it, shared, cutoffs, k, scale), kind)
         out = part if out is None else out.unionByName(part)
     merged = out.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -2,8 +2,9 @@
 
 An item's windows are its runs of `window` words (a shorter item is one window).
 A window occurs in a document only if all its shingles do, so one necessary
-shingle is enough to find it: the rarest one, by its count over all documents
-(the prefix of the shingle list in rarity order).  Where a document holds that
+shingle is enough to find it: the rarest one, by its count over all documents.
+(Where all of a set must be contained, the necessary prefix of its shingles in
+rarity order is one shingle long.)  Where a document holds that
 shingle, the window could start only at one place; it must fit the document
 there (length and positional bounds), and the words are then compared.
 
@@ -14,7 +15,7 @@ over the documents, so a larger benchmark costs more passes, not more memory.
 Words are compared by 64-bit hashes.  Defined cases: NULL or empty texts and
 items have no words and match nothing; an item with a NULL id still marks words
 but is not listed; repeated items are listed once per distinct id; other
-columns are ignored.
+columns are ignored.  Repeats of an item are one item; a long one is read in pieces.
 """
 
 from __future__ import annotations
@@ -34,24 +35,31 @@ _U = np.uint64
 SHINGLE = 3
 
 
-def _item_words(items: DataFrame) -> DataFrame:
-    """item (as text) and its word hashes, in order; items without words are dropped."""
+def _item_words(items: DataFrame, window: int, piece: int) -> DataFrame:
+    """Distinct (item as text, word hashes in order); items without words are dropped.
+
+    An item of more than `piece` words comes in pieces that overlap by window - 1 words, so every window is in one."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, off in text_blocks(batch.column(1)):
                 w = tokenize(data, off, PUNCTUATION, lower=True)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(w.ptr, pa.int32()), pa.array(w.hash.view(np.int64)))], names=["item", "words"]
-                )
+                row, cut = [], []
+                for r, (a, b) in enumerate(zip(w.ptr[:-1].tolist(), w.ptr[1:].tolist(), strict=True)):
+                    for s in range(a, max(a + 1, b - window + 1), piece):
+                        if b > a:
+                            row.append(i + r)
+                            cut.append(w.hash[s : min(b, s + piece + window - 1)].view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(cut, pa.list_(pa.int64()))], names=["item", "words"])
 
     got = items.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(run, "item string, words array<long>")
-    return got.where(F.size("words") > 0)
+    return got.distinct()
 
 
-def item_blocks(items: DataFrame, max_block_words: int) -> list[DataFrame]:
-    """Items dealt by hash into blocks of about half of max_block_words words."""
-    words = materialize(_item_words(items), "items")
+def item_blocks(items: DataFrame, window: int, max_block_words: int) -> list[DataFrame]:
+    """Items dealt by hash into blocks of about half of max_block_words words.  A repeated item counts once, and no row
+    has more than a sixteenth of that, so no block can grow much above the others."""
+    words = materialize(_item_words(items, window, max(window, max_block_words // 16)), "items")
     total = words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"]
     if not total:
         return []
@@ -61,9 +69,10 @@ def item_blocks(items: DataFrame, max_block_words: int) -> list[DataFrame]:
 
 def _load(block: DataFrame, window: int, max_block_words: int) -> dict:
     """Windows of a block, distinct: words (padded), length, items."""
-    rows = block.collect()  # bounded: about max_block_words / 2 words, checked here
-    if sum(len(r.words) for r in rows) > 4 * max(max_block_words, max((len(r.words) for r in rows), default=0)):
+    size = block.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"]
+    if size > 8 * max(max_block_words, 16 * window):  # hashes deal 16 and more pieces a block: this does not happen
         raise ValueError("a benchmark block is larger than max_block_words allows")
+    rows = block.collect()
     names = sorted({r.item for r in rows if r.item is not None}) if rows else []
     number = {x: i for i, x in enumerate(names)}
     seen: dict[tuple, set[int]] = {}
@@ -213,7 +222,7 @@ def mark_benchmark_words(docs: DataFrame, items: DataFrame, keep: list[str], fin
     text_at = keep.index("text") if "text" in keep else len(keep)
     own = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
     state = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], *([F.col("text").alias(f"c{len(keep)}")] if text_at == len(keep) else []))
-    blocks = item_blocks(items, max_block_words)
+    blocks = item_blocks(items, window, max_block_words)
     sc = docs.sparkSession.sparkContext
     for k, block in enumerate(blocks or [None]):
         loaded = _load(block, window, max_block_words) if block is not None else None

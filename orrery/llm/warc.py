@@ -15,16 +15,26 @@ ends before the first thing that can't be in it, and an unclosed comment, script
 or style takes the rest of the page.  Of a noscript, template or svg that is
 self-closed or never closed only the tag goes.
 
-Each record is built where its source lies; there is no shuffle.
+Each record is built where its source lies; there is no shuffle.  `read_records`
+reads WARC files (plain or gzip), `write_warc` writes them; a file is read as a
+whole in one task, as a compressed one can't be split.
+
+Headers keep their order and may repeat; in a value, lines that go on are joined
+by a space.  Names are matched without case.  Optional headers that a response
+lacks: the payload digest is computed, the target URI is empty, the date is the
+epoch; without a record id, the id is named by the record's bytes.
 
 Defined cases: a NULL URL is an empty target URI; a NULL body is an empty
 payload; a NULL date is the epoch; repeated rows give records of equal ids; very
-long pages are converted whole; other columns are ignored.
+long pages are converted whole; other columns are ignored.  Records other than
+responses, and NULLs, have no derivatives.  A record cut short, or one that is no
+WARC record, is an error.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html
 import re
@@ -32,9 +42,11 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+EPOCH = "1970-01-01T00:00:00Z"
+BATCH_BYTES = 1 << 24
 SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivatives")
 #: tags that decide what is text
 _MARK = re.compile(r"<!--|<(/?)(script|style|noscript|template|svg|head|title)(?=[\s/>])[^>]*>", re.I)
@@ -138,14 +150,49 @@ def record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
     return "\r\n".join(["WARC/1.1", *lines, "", ""]).encode() + block + b"\r\n\r\n"
 
 
-def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
-    head, _, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
-    headers = dict(x.split(": ", 1) for x in lines[1:])
-    size = int(headers["Content-Length"])
-    if lines[0] != "WARC/1.1" or rest[size:] != b"\r\n\r\n":
-        raise ValueError("not a whole WARC/1.1 record")
-    return headers, rest[:size]
+def _next_record(data: bytes, at: int) -> tuple[list[tuple[str, str]], int, int]:
+    """(headers in order, first and end byte of the block) of the record at `at`."""
+    stop = data.find(b"\r\n\r\n", at)
+    version, _, head = data[at : stop if stop >= 0 else at].decode("utf-8", "replace").partition("\r\n")
+    if not version.startswith("WARC/"):
+        raise ValueError("not a WARC record")
+    headers: list[tuple[str, str]] = []
+    for line in head.split("\r\n") if head else []:
+        if line[:1] in (" ", "\t") and headers:
+            headers[-1] = (headers[-1][0], f"{headers[-1][1]} {line.strip()}")
+        else:
+            name, _, value = line.partition(":")
+            headers.append((name.strip(), value.strip()))
+    size = int(header(headers, "Content-Length") or 0)
+    if stop + 4 + size > len(data):
+        raise ValueError("the WARC record is cut short")
+    return headers, stop + 4, stop + 4 + size
+
+
+def header(headers: list[tuple[str, str]], name: str) -> str | None:
+    """The first value of a header, or None."""
+    return next((v for k, v in headers if k.lower() == name.lower()), None)
+
+
+def parse_record(data: bytes) -> tuple[list[tuple[str, str]], bytes]:
+    """(headers, block) of one record."""
+    headers, a, b = _next_record(data, 0)
+    if data[b:].strip(b"\r\n"):
+        raise ValueError("more than one WARC record")
+    return headers, data[a:b]
+
+
+def split_records(data: bytes) -> Iterator[bytes]:
+    """The records of a file's bytes; gzip members, one or many, are unpacked."""
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
+    at = 0
+    while at < len(data):
+        _, _, end = _next_record(data, at)
+        yield data[at:end] + b"\r\n\r\n"
+        at = end
+        while data[at : at + 2] == b"\r\n":
+            at += 2
 
 
 def response_record(url: str, date: str, page: bytes, key: str) -> tuple[str, bytes]:
@@ -156,29 +203,31 @@ def response_record(url: str, date: str, page: bytes, key: str) -> tuple[str, by
     return rid, record("response", headers, block)
 
 
-def derive(source: bytes) -> tuple[bytes, bytes]:
-    """(metadata record, conversion record) of a response record."""
+def derive(source: bytes) -> tuple[str, list[tuple[str, str, bytes]]]:
+    """(record id of a response record, its derivatives: (kind, record id, record) of metadata and conversion)."""
     headers, block = parse_record(source)
     head, _, payload = block.partition(b"\r\n\r\n")
     page = payload.decode("utf-8", "replace")
-    rid, uri, date = headers["WARC-Record-ID"], headers["WARC-Target-URI"], headers["WARC-Date"]
+    rid = header(headers, "WARC-Record-ID") or f"<urn:uuid:{uuid.uuid5(SPACE, digest(source))}>"
+    uri, date = header(headers, "WARC-Target-URI") or "", header(headers, "WARC-Date") or EPOCH
     mid, cid = (f"<urn:uuid:{uuid.uuid5(SPACE, kind + ' ' + rid)}>" for kind in ("metadata", "conversion"))
-    kept = [("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Refers-To", rid), ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date), ("WARC-Source-Payload-Digest", headers["WARC-Payload-Digest"])]
-    text = plain_text(page).encode()
+    of = header(headers, "WARC-Payload-Digest") or digest(payload)
+    kept = [("WARC-Date", date), ("WARC-Target-URI", uri), ("WARC-Refers-To", rid), ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date), ("WARC-Source-Payload-Digest", of)]
+    text = plain_text(page).encode("utf-8", "replace")
     fields = [("title", title_of(page)), ("text-characters", str(len(text.decode())))]
-    fields += [("source-" + k, v) for k, v in headers.items()]
+    fields += [("source-" + k, v) for k, v in headers]
     fields += [("http-" + k.strip().lower(), v.strip()) for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])]
-    about = "".join(f"{k}: {v}\r\n" for k, v in fields).encode()
+    about = "".join(f"{k}: {v}\r\n" for k, v in fields).encode("utf-8", "replace")
     meta = record("metadata", [("WARC-Record-ID", mid), *kept, ("WARC-Concurrent-To", cid), ("Content-Type", "application/warc-fields")], about)
     conv = record("conversion", [("WARC-Record-ID", cid), *kept, ("WARC-Concurrent-To", mid), ("Content-Type", "text/plain; charset=utf-8")], text)
-    return meta, conv
+    return rid, [("metadata", mid, meta), ("conversion", cid, conv)]
 
 
 def _responses(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, records = [], []
         for key, url, date, page in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
-            rid, rec = response_record(url or "", date or "1970-01-01T00:00:00Z", (page or "").encode(), f"{key} {url}")
+            rid, rec = response_record(url or "", date or EPOCH, (page or "").encode(), f"{key} {url}")
             ids.append(rid)
             records.append(rec)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.string()), pa.array(records, pa.binary())], names=["page_id", "record_id", "record"])
@@ -193,10 +242,11 @@ def _derivatives(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[], [], [], [], [], []]
         for key, rec in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            source, _ = parse_record(rec)
-            for kind, data in zip(("metadata", "conversion"), derive(rec), strict=True):
-                h, _ = parse_record(data)
-                for col, v in zip(out, (key, kind, h["WARC-Record-ID"], source["WARC-Record-ID"], h["WARC-Block-Digest"], data), strict=True):
+            if rec is None or header(_next_record(rec, 0)[0], "WARC-Type") != "response":
+                continue
+            of, made = derive(rec)
+            for kind, rid, data in made:
+                for col, v in zip(out, (key, kind, rid, of, header(_next_record(data, 0)[0], "WARC-Block-Digest"), data), strict=True):
                     col.append(v)
         kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["page_id", "kind", "record_id", "refers_to", "block_digest", "record"])
@@ -207,9 +257,39 @@ def build_derivatives(responses: DataFrame) -> DataFrame:
     return responses.select("page_id", "record").mapInArrow(_derivatives, "page_id long, kind string, record_id string, refers_to string, block_digest string, record binary")
 
 
-def write_records(records: DataFrame, path: str) -> None:
-    """Writes whole records (concatenable: each is a complete WARC/1.1 record) as a table with their ids."""
-    records.select("record_id", "refers_to", "kind", "record").write.parquet(path)
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """file, at (number in the file), kind, record_id, record of every record in the WARC files under `path`."""
+
+    names = ["file", "at", "kind", "record_id", "record"]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+
+    def pack(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, data in zip(batch.column(0), batch.column(1), strict=True):
+                rows: list[tuple] = []
+                size = 0
+                for n, rec in enumerate(split_records(data.as_py())):
+                    headers = _next_record(rec, 0)[0]
+                    rows.append((file.as_py(), n, header(headers, "WARC-Type"), header(headers, "WARC-Record-ID"), rec))
+                    size += len(rec)
+                    if size > BATCH_BYTES:
+                        yield pack(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield pack(rows)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    return files.mapInArrow(run, "file string, at long, kind string, record_id string, record binary")
+
+
+def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
+    """Writes the `record` column as WARC files, one per partition, with Spark's text writer: a record ends in a line
+    feed, which the writer adds back.  NULLs are left out."""
+    line = F.expr("substring(record, 1, octet_length(record) - 1)").cast("string")  # the bytes pass unchanged
+    records.where("record IS NOT NULL").select(line.alias("value")).write.option("compression", compression).text(path)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:

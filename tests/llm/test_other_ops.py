@@ -114,7 +114,8 @@ def test_normal_tail(spark):
 
 def test_top_k_with_ties_and_invalid_rows(spark, monkeypatch):
     monkeypatch.setattr(topk, "TILE", 37)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 18)
+    monkeypatch.setattr(topk, "QUERY_TILE", 2)
     rng = np.random.default_rng(5)
     vectors = [(i, [float(x) for x in rng.integers(-3, 4, 6) / 8]) for i in range(400)]
     vectors += [(500 + i, vectors[7][1]) for i in range(60)]  # ties
@@ -134,6 +135,14 @@ def test_top_k_with_ties_and_invalid_rows(spark, monkeypatch):
     assert [(r.vec_id, r.score) for r in topk.top_k(huge, F.col("vec_id") == 0).orderBy("rank").collect()] == [(1, 2**63 - 1), (2, -(2**63))]
 
 
+def test_top_k_of_queries_that_repeat_an_id(spark):
+    v = [float(x) for x in range(8)]
+    rows = [(0, v)] * 50000 + [(0, v[::-1])] * 30 + [(i, [i / 8] * 8) for i in range(1, 30)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") == 0, 3).orderBy("rank").collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in got] == [(0, 1, 29), (0, 2, 28), (0, 3, 27)]
+    assert got[0].score == sum(1024 * 1024 * int(x) * 29 // 8 for x in v)
+
+
 def test_url_filter(spark):
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
     entries = [("ads", "domain", "Ads.example.com.", "add", 10), ("ads", "domain", "ads.example.com", "remove", 20), ("ads", "domain", "ads.example.com", "add", 30), ("ads", "host", "x.org", "add", 0), ("ads", "host", "x.org", "remove", 0),
@@ -195,6 +204,7 @@ def test_warc_round_trip(spark):
     for r in got:
         headers, block = warc.parse_record(bytes(r.record))
         of, body = warc.parse_record(source[r.refers_to])
+        headers, of = dict(headers), dict(of)
         assert headers["WARC-Type"] == r.kind and headers["WARC-Refers-To"] == of["WARC-Record-ID"] == r.refers_to
         assert headers["WARC-Block-Digest"] == warc.digest(block) == r.block_digest and headers["WARC-Target-URI"] == of["WARC-Target-URI"] and headers["WARC-Date"] == of["WARC-Date"]
         assert headers["WARC-Source-Payload-Digest"] == of["WARC-Payload-Digest"] == warc.digest(body.partition(b"\r\n\r\n")[2])
@@ -206,6 +216,42 @@ def test_warc_round_trip(spark):
     assert len(by[(3, "conversion")][1].decode()) == 7 * 50000 - 1
 
 
+def bare_response(headers, block, version=b"WARC/1.0"):
+    return b"\r\n".join([version, b"WARC-Type: response", *headers, b"content-length:%d" % len(block), b"", b""]) + block + b"\r\n\r\n"
+
+
+def test_warc_headers_that_are_left_out_repeated_or_folded(spark):
+    http = b"HTTP/1.1 200 OK\r\nSet-Cookie:a=1\r\nSet-Cookie: b=2\r\n\r\n<p>x\xff</p>\r\n\r\nWARC/1.1\r\n"
+    bare = bare_response([b"WARC-Concurrent-To:<urn:uuid:1>", b"WARC-Concurrent-To: <urn:uuid:2>", b"warc-target-uri:http://a/\r\n b"], http)
+    other = warc.record("request", [("WARC-Record-ID", "<urn:uuid:9>")], b"GET /")
+    d = spark.createDataFrame([(1, bare), (2, other), (3, None), (1, bare)], "page_id long, record binary")
+    got = warc.build_derivatives(d).collect()
+    assert [r.page_id for r in got] == [1, 1, 1, 1] and len({r.record_id for r in got}) == 2 and len({r.refers_to for r in got}) == 1
+    for r in got[:2]:
+        headers, block = warc.parse_record(bytes(r.record))
+        h = dict(headers)
+        assert h["WARC-Target-URI"] == "http://a/ b" and h["WARC-Date"] == warc.EPOCH and h["WARC-Source-Payload-Digest"] == warc.digest(http.partition(b"\r\n\r\n")[2])
+        if r.kind == "metadata":
+            lines = block.decode().split("\r\n")
+            assert [x for x in lines if "Concurrent" in x or "cookie" in x] == ["source-WARC-Concurrent-To: <urn:uuid:1>", "source-WARC-Concurrent-To: <urn:uuid:2>", "http-set-cookie: a=1", "http-set-cookie: b=2"]
+        else:
+            assert block.decode() == "x\ufffd\nWARC/1.1"
+    for wrong in (b"", b"HTTP/1.1 200 OK\r\n\r\n", bare[:-20], bare + bare):
+        with pytest.raises(ValueError):
+            warc.parse_record(wrong)
+
+
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_warc_files_read_back(spark, tmp_path, compression):
+    rows = [(i, f"http://h{i}/é", "2024-01-02T00:00:00Z", PAGE + "\r\n\r\nWARC/1.1\r\n" * (i % 3)) for i in range(23)]
+    responses = warc.build_responses(spark.createDataFrame(rows, "page_id long, url string, date string, html string").repartition(3))
+    made = responses.select("record").union(warc.build_derivatives(responses).select("record")).union(spark.createDataFrame([(bare_response([], b"\xff\x00\n"),), (None,)], "record binary"))
+    warc.write_warc(made, str(tmp_path / "out"), compression)
+    got = warc.read_records(spark, str(tmp_path / "out"))
+    assert sorted(bytes(r.record) for r in got.collect()) == sorted(bytes(r.record) for r in made.where("record IS NOT NULL").collect())
+    assert got.where("kind = 'response'").count() == 24 and got.where("kind = 'conversion'").count() == 23
+
+
 @pytest.mark.parametrize(("page", "text"), [
     ("<html><head><title>t</title><body><p>Hello", "Hello"),
     ("<head><meta charset=a><title>t</title><script>x</script></link><p>Hello</p>more", "Hello\nmore"),

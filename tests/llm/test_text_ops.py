@@ -209,6 +209,16 @@ def test_decontaminate(spark, block):
     assert none.where("contaminated OR n_hit > 0").count() == 0
 
 
+def test_decontaminate_repeated_and_giant_items(spark):
+    rng = random.Random(12)
+    giant = [f"g{rng.randrange(400)}" for _ in range(5000)]
+    rows = [(0, " ".join(giant[100:160])), (1, " ".join(giant[4960:])), (2, "plain words only"), (3, "x " + " ".join(giant[511:530]) + " y"), (4, " ".join(giant))]
+    items = [(7, " ".join(giant[200:230]))] * 20000 + [(8, " ".join(giant)), (8, " ".join(giant)), (9, " ".join(giant[200:230]))]
+    want = brute_hits(rows, set(items))
+    got = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), max_block_words=3000).collect()
+    assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got} == want
+
+
 def brute_targets(sizes):
     order = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + ([None] if None in sizes else [])
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}

@@ -3,15 +3,26 @@
 Sources in code point order (NULL last) weigh 5, 2, 1, 5, ... and share all words
 of the corpus; a target stops at `max_repeats` times its source's size, and the
 excess is reshared by weight.  A source takes whole passes over its documents
-while they fit its target.  The rest is a subset sum: documents are counted by
-exact length; an even share of each length is taken, then long documents while
-the rest is large, then bounded-knapsack dynamic programming over the remaining
-counts fills what is left as closely as the lengths allow.  Which documents of a
-length are taken is a seeded order.
-
-Only (source, length) counts meet in a source's task, never its documents.  The
+while they fit its target.  The rest is a subset sum over documents counted by
+exact length, solved to the best sum that any choice of documents has:
+
+1. An even share of each length is taken, which leaves less than the sum of the
+   distinct lengths.
+2. Bounded-knapsack dynamic programming fills that.  It starts with a short
+   budget, longer documents being taken before it, and widens until the sum is
+   exact or the budget is all that was left.
+3. Where no exact sum was found, more and more of the even share is given back to
+   the dynamic program.  A best solution differs from the even share by at most
+   twice the longest length in documents, so the search ends there.
+
+An exact sum can't be bettered, so stopping at it loses nothing.  Which documents
+of a length are taken is a seeded order.
+
+Only (source, length) counts meet in a source's task, never its documents.  Rows
+that are alike (id, source, text) are counted before they are ranked, and the
 documents of one (source, length) are ranked in hash buckets of about RANKED
-rows, so a group that holds a third of all rows is spread.
+rows, so neither a source nor a repeated row that holds a third of all rows
+meets in one task.
 
 Defined cases: a NULL or wordless text has size 0 and takes 0 words; a NULL
 source is a source of its own; repeated rows are separate documents; if all
@@ -20,6 +31,7 @@ documents are empty all targets are 0; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +46,8 @@ from ._text import SPACES, text_blocks
 
 WEIGHTS = (5, 2, 1)
 RANKED = 8192
-#: Words that dynamic programming fills.
-DP_WORDS = 1 << 14
+#: Budget that dynamic programming starts with, and how it widens.
+FIRST_BUDGET, WIDEN = 1 << 14, 8
 
 
 def _count_words(batches) -> Iterator[pa.RecordBatch]:
@@ -71,28 +83,76 @@ def source_targets(sizes: DataFrame, max_repeats: int = 3) -> DataFrame:
 
 
 def knapsack(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many of each length give the largest sum that does not exceed the budget."""
+    """How many of each length give the largest sum that does not exceed the budget.
+
+    A bit per reachable sum, and per sum the first step that reached it."""
     mask = (1 << (budget + 1)) - 1
     reach, steps = 1, []
+    first = np.zeros(budget + 1, np.int32)
     for i, (length, count) in enumerate(zip(lengths, counts, strict=True)):
         count = min(count, budget // length) if length > 0 else 0
         k = 1
-        while count > 0:
+        while count > 0 and not reach >> budget & 1:
             k = min(k, count)
-            steps.append((i, k, reach))
-            reach |= (reach << (length * k)) & mask
+            new = (reach << (length * k)) & mask & ~reach
+            if new:
+                bits = np.frombuffer(new.to_bytes(budget // 8 + 1, "little"), np.uint8)
+                first[np.flatnonzero(np.unpackbits(bits, bitorder="little"))] = len(steps)
+                steps.append((i, k))
+                reach |= new
             count -= k
             k *= 2
-        if reach >> budget & 1:
-            break
     at, taken = reach.bit_length() - 1, [0] * len(lengths)
-    for i, k, before in reversed(steps):
-        if not before >> at & 1:
-            at -= lengths[i] * k
-            taken[i] += k
+    while at:  # the sum before a step was reached by an earlier one
+        i, k = steps[first[at]]
+        taken[i] += k
+        at -= lengths[i] * k
     return taken
 
 
+def _fill_budget(size: list[int], free: list[int], budget: int, width: int) -> list[int]:
+    """Documents of each length (longest first in the lists): the longest ones until `width` is left, then a knapsack."""
+    out, left = [0] * len(size), budget
+    for i, (length, count) in enumerate(zip(size, free, strict=True)):
+        if left <= width:
+            break
+        out[i] = min(count, (left - width) // length)
+        left -= out[i] * length
+    for i, k in enumerate(knapsack(size, [c - x for c, x in zip(free, out, strict=True)], left)):
+        out[i] += k
+    return out
+
+
+def fill_budget(size: list[int], count: list[int], budget: int) -> list[int]:
+    """How many documents of each length (positive, distinct) give the best sum that does not exceed the budget."""
+    order = sorted(range(len(size)), key=lambda i: -size[i])
+    unit = math.gcd(*size) if size else 1
+    length, have, goal = [size[i] // unit for i in order], [count[i] for i in order], budget // unit
+    total = sum(a * b for a, b in zip(length, have, strict=True))
+    goal = min(goal, total)
+    share = [c * goal // total for c in have] if total else []
+    best, best_sum, given = [0] * len(order), 0, 0
+    while total and best_sum < goal:
+        base = [max(0, x - given) for x in share]
+        left = goal - sum(a * b for a, b in zip(length, base, strict=True))
+        width = FIRST_BUDGET
+        while best_sum < goal:
+            more = _fill_budget(length, [c - b for c, b in zip(have, base, strict=True)], left, width)
+            got = goal - left + sum(a * b for a, b in zip(length, more, strict=True))
+            if got > best_sum:
+                best, best_sum = [b + m for b, m in zip(base, more, strict=True)], got
+            if width >= left:
+                break
+            width *= WIDEN
+        if given > 2 * length[0] or not any(base):
+            break
+        given = max(1, WIDEN * given)
+    out = [0] * len(order)
+    for i, x in zip(order, best, strict=True):
+        out[i] = x
+    return out
+
+
 def fill_source(size: np.ndarray, count: np.ndarray, total: int, target: float, max_repeats: int) -> tuple[int, np.ndarray]:
     """(whole passes, extra documents of each length) whose words come nearest to the target from below."""
     extra = np.zeros(len(size), np.int64)
@@ -101,21 +161,9 @@ def fill_source(size: np.ndarray, count: np.ndarray, total: int, target: float,
     words = int(target + 1e-6)
     passes = min(max_repeats, words // total)
     rest = words - passes * total
-    if passes == max_repeats or rest <= 0:
-        return passes, extra
-    extra = np.array([c * rest // total for c in count.tolist()], np.int64)
-    extra[size == 0] = 0
-    rest -= int((extra * size).sum())
-    order = np.argsort(-size, kind="stable")
-    for i in order.tolist():
-        if rest <= DP_WORDS or not size[i]:
-            break
-        more = min(int(count[i] - extra[i]), (rest - DP_WORDS) // int(size[i]))
-        extra[i] += more
-        rest -= more * int(size[i])
-    at = [i for i in order.tolist() if 0 < size[i] <= rest and count[i] > extra[i]]
-    for i, k in zip(at, knapsack([int(size[i]) for i in at], [int(count[i] - extra[i]) for i in at], rest), strict=True):
-        extra[i] += k
+    if passes < max_repeats and rest > 0:
+        at = np.flatnonzero(size > 0)
+        extra[at] = fill_budget(size[at].tolist(), count[at].tolist(), rest)
     return passes, extra
 
 
@@ -125,35 +173,46 @@ def _fill(pdf: pd.DataFrame, max_repeats: int) -> pd.DataFrame:
     return pdf.assign(passes=passes, extra=extra)[["source", "size", "count", "source_size", "target", "passes", "extra"]]
 
 
-def mix_sources(docs: DataFrame, seed: int = 1, max_repeats: int = 3) -> DataFrame:
-    """doc_id, source, text_hash (xxhash64), size, source_size, target, copies, taken for every row of `docs`."""
+def mix_documents(docs: DataFrame, seed: int = 1, max_repeats: int = 3) -> DataFrame:
+    """doc_id, source, text_hash (xxhash64), size, source_size, target, n, passes, more: of the n rows that are alike,
+    `more` are taken passes + 1 times and the others `passes` times."""
     texts = docs.select("doc_id", "source", "text", F.xxhash64("text").alias("text_hash"))
-    sizes = materialize(texts.mapInArrow(_count_words, "doc_id long, source string, text_hash long, size long"), "sizes")
-    counted = sizes.groupBy("source", "size").agg(F.count("*").alias("count"))
+    sizes = texts.mapInArrow(_count_words, "doc_id long, source string, text_hash long, size long")
+    alike = materialize(sizes.groupBy("doc_id", "source", "text_hash", "size").agg(F.count("*").alias("n")), "sizes")
+    counted = alike.groupBy("source", "size").agg(F.sum("n").alias("count"))
     targets = source_targets(counted.select("source", (F.col("size") * F.col("count")).alias("size")), max_repeats)
     plan = (
         counted.alias("a").join(targets.alias("b"), F.expr("a.source <=> b.source")).select("a.source", "size", "count", "source_size", "target")
         .groupBy("source").applyInPandas(lambda pdf: _fill(pdf, max_repeats), "source string, size long, count long, source_size long, target double, passes int, extra long")
     )
     plan = materialize(plan, "plan")
-    # the text tells apart rows that share a doc_id or have none, so they spread over the buckets too
     h = F.xxhash64(F.lit(seed), F.col("s.doc_id"), F.col("s.text_hash"))
     rows = (
-        sizes.alias("s").join(plan.alias("p"), F.expr("s.source <=> p.source AND s.size = p.size"))
-        .select("s.doc_id", "s.source", "s.text_hash", "s.size", "source_size", "target", "passes", "extra", "count", h.alias("h"))
+        alike.alias("s").join(plan.alias("p"), F.expr("s.source <=> p.source AND s.size = p.size"))
+        .select("s.doc_id", "s.source", "s.text_hash", "s.size", "source_size", "target", "n", "passes", "extra", "count", h.alias("h"))
         .withColumn("bucket", F.floor(F.pmod(F.col("h"), F.lit(1 << 30)) * F.ceil(F.col("count") / RANKED) / F.lit(1 << 30)))
     )
     some = (F.col("extra") > 0) & (F.col("extra") < F.col("count"))
     before = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     part = (
-        rows.where(some).groupBy("source", "size", "bucket").agg(F.count("*").alias("n"), F.first("extra").alias("x"))
-        .select("source", "size", "bucket", F.greatest(F.lit(0), F.col("x") - F.coalesce(F.sum("n").over(before), F.lit(0))).alias("take"))
+        rows.where(some).groupBy("source", "size", "bucket").agg(F.sum("n").alias("m"), F.first("extra").alias("x"))
+        .select("source", "size", "bucket", (F.col("x") - F.coalesce(F.sum("m").over(before), F.lit(0))).alias("open"))
     )
-    ranked = rows.where(some).withColumn("rank", F.row_number().over(Window.partitionBy("source", "size", "bucket").orderBy("h", "doc_id", "text_hash")))
-    chosen = ranked.alias("r").join(part.alias("t"), F.expr("r.source <=> t.source AND r.size = t.size AND r.bucket = t.bucket")).select("r.*", (F.col("rank") <= F.col("take")).cast("int").alias("more")).drop("rank")
-    whole = rows.where(~some).withColumn("more", F.when((F.col("extra") > 0) & (F.col("extra") >= F.col("count")), 1).otherwise(0))
-    copies = (F.col("passes") + F.col("more")).cast("int")
-    return chosen.unionByName(whole).select("doc_id", "source", "text_hash", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    within = Window.partitionBy("source", "size", "bucket").orderBy("h", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = rows.where(some).withColumn("ahead", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    left = F.greatest(F.lit(0), F.least(F.col("n"), F.col("open") - F.col("ahead")))
+    chosen = ranked.alias("r").join(part.alias("t"), F.expr("r.source <=> t.source AND r.size = t.size AND r.bucket = t.bucket")).select("r.*", "t.open").withColumn("more", left)
+    whole = rows.where(~some).withColumn("more", F.when(F.col("extra") > 0, F.col("n")).otherwise(0))
+    return chosen.unionByName(whole, allowMissingColumns=True).select("doc_id", "source", "text_hash", "size", "source_size", "target", "n", "passes", "more")
+
+
+def mix_sources(docs: DataFrame, seed: int = 1, max_repeats: int = 3) -> DataFrame:
+    """doc_id, source, text_hash, size, source_size, target, copies, taken for every row of `docs`."""
+    one = F.explode(F.expr(f"sequence(0L, (n - 1) div {RANKED})"))
+    number = F.explode(F.expr(f"sequence(part * {RANKED} + 1, least(n, (part + 1) * {RANKED}))"))
+    rows = mix_documents(docs, seed, max_repeats).withColumn("part", one).withColumn("number", number)
+    copies = (F.col("passes") + (F.col("number") <= F.col("more")).cast("int")).cast("int")
+    return rows.select("doc_id", "source", "text_hash", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
 
 
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -3,11 +3,15 @@
 Features are TF-IDF weighted character n-grams (1 to 3 letters, hashed into a
 fixed number of slots).  Document frequencies are counted over all labelled
 training documents.  The classifier is fitted on a bounded sample of them
-(`max_sample`, spread over the languages) with follow-the-regularised-leader and
+(`max_sample`, spread over the languages; rows are drawn by a hash of id and
+text, and rows that are alike count once) with follow-the-regularised-leader and
 elastic-net penalties: each of SHARDS shards trains in its own task, the weights
 are averaged.  A tenth of the sample is kept out of that, and sets the
 temperature that calibrates the scores.  Every whole text is then predicted.
 
+The model is broadcast: SLOTS x languages weights, so more than `max_languages`
+labels are refused rather than some of them ignored.
+
 Defined cases: a NULL text, or one without a letter, gets `und` with score 0, as
 does every text if nothing was learned; a NULL doc_id counts as held out, so it
 is never learned from; repeated rows get repeated predictions; very long texts
@@ -22,14 +26,19 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from ._common import materialize
 
 UND = "und"
 SLOTS = 1 << 15
 PIECE = 1 << 18
 SHARDS = 4
 MAX_SAMPLE = 8000
+MAX_LANGUAGES = 400
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 
@@ -151,13 +160,36 @@ def temperature(scores: np.ndarray, y: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
-def fit(docs: DataFrame, trains: Column, max_sample: int = MAX_SAMPLE, seed: int = 1) -> dict:
+def _number(seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), "doc_id", "text")
+
+
+def draw_sample(known: DataFrame, count: dict[str, int], max_sample: int, seed: int) -> DataFrame:
+    """lang, text, _draw: at most max_sample rows, at most an even share of each language; `count` is about how many
+    different rows each has.
+
+    A row's number comes from its id and text.  Twice the share is let through by number, so what meets in a
+    language's task is small; there the lowest numbers stay, each once."""
+    share = max(1, max_sample // len(count))
+    scale = 1 << 30
+    quota = F.create_map(*[F.lit(x) for k, n in count.items() for x in (k, min(scale, 2 * scale * share // max(1, n) + 1))])
+    some = known.select("lang", "text", _number(seed).alias("_draw")).where(F.pmod("_draw", F.lit(scale)) < quota[F.col("lang")])
+    one = some.dropDuplicates(["lang", "_draw"])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_draw"))
+    return one.withColumn("_rank", rank).where(F.col("_rank") <= share).drop("_rank")
+
+
+def fit(docs: DataFrame, trains: Column, max_sample: int = MAX_SAMPLE, seed: int = 1, max_languages: int = MAX_LANGUAGES) -> dict:
     """The model: languages, idf, weights, temperature.  `trains` picks the rows that may be learned from.
 
-    What reaches the driver is bounded: SLOTS frequencies, SLOTS x languages weights, a tenth of max_sample score rows."""
+    What reaches the driver is bounded: max_languages counts, SLOTS frequencies, SLOTS x languages weights, a tenth of
+    max_sample score rows."""
     spark = docs.sparkSession
     known = docs.where(trains & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    count = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counted = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct(_number(seed)).alias("different"))
+    count = {r["lang"]: r for r in counted.limit(max_languages + 1).collect()}
+    if len(count) > max_languages:
+        raise ValueError("there are more labels than max_languages; the model would not fit its broadcast bound")
     langs = sorted(count)
     model = {"langs": langs, "idf": np.ones(SLOTS), "weights": np.zeros((SLOTS, len(langs)), np.float32), "temperature": 1.0}
     if not langs:
@@ -165,24 +197,20 @@ def fit(docs: DataFrame, trains: Column, max_sample: int = MAX_SAMPLE, seed: int
     freq = known.select("text").mapInArrow(_document_frequency, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(SLOTS)
     df[[r.slot for r in freq]] = [r.n for r in freq]
-    model["idf"] = np.log((1 + sum(count.values())) / (1 + df)) + 1
-    scale = 1 << 30
-    quota = F.create_map(*[F.lit(x) for k in langs for x in (k, min(scale, int(scale * max_sample / len(langs) / count[k]) + 1))])
-    order = F.xxhash64(F.lit(seed), "doc_id")
-    drawn = known.where(F.pmod(order, F.lit(scale)) < quota[F.col("lang")])
+    model["idf"] = np.log((1 + sum(r["n"] for r in count.values())) / (1 + df)) + 1
+    drawn = draw_sample(known, {k: r["different"] for k, r in count.items()}, max_sample, seed)
     number = F.create_map(*[F.lit(x) for i, k in enumerate(langs) for x in (k, i)])
     idf = spark.sparkContext.broadcast(model["idf"])
-    spread = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(10 * SHARDS)).cast("int")
+    spread = F.pmod(F.xxhash64(F.lit(seed + 1), "_draw"), F.lit(10 * SHARDS)).cast("int")
     part = F.when(spread < SHARDS, F.lit(-1)).otherwise(F.pmod(spread, F.lit(SHARDS)))
     rows = drawn.select(part.alias("part"), number[F.col("lang")].alias("y"), "text").mapInArrow(lambda it: _featurise(it, idf), "part int, y int, slot array<int>, value array<float>")
-    rows = rows.withColumn("order", F.xxhash64("slot", "value")).persist()
+    rows = materialize(rows.withColumn("order", F.xxhash64("slot", "value")), "sample")
     w = np.zeros((SLOTS, len(langs)))
     shards = rows.where("part >= 0").groupBy("part").applyInPandas(lambda pdf: _train(pdf, len(langs)), "slot long, cls long, w double")
     for r in shards.groupBy("slot", "cls").agg(F.sum("w").alias("w")).toLocalIterator():
         w[r.slot, r.cls] = r.w / SHARDS
     model["weights"] = w.astype(np.float32)
-    kept = rows.where("part < 0").select("y", "slot", "value").toPandas()
-    rows.unpersist()
+    kept = rows.where("part < 0").orderBy("order").select("y", "slot", "value").toPandas()
     scores = np.array([np.asarray(v, float) @ w[np.asarray(s)] for s, v in zip(kept.slot, kept.value, strict=True)]).reshape(len(kept), len(langs))
     model["temperature"] = temperature(scores, kept.y.to_numpy())
     return model
@@ -215,21 +243,25 @@ def predict(docs: DataFrame, model: dict, keep: list[str]) -> DataFrame:
     return docs.select(*keep, F.col("text").alias("_text_of_prediction")).mapInArrow(lambda it: _predict(it, shared), f"{fields}, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: dict, least: float = 0.3) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose language is told with a score of `least` or more.
+def keep_known(docs: DataFrame, model: dict, above_chance: float = 0.05) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose language is told; a NULL `lang` becomes the language found.
 
-    The default is little above chance among four languages: texts of one or two common words score 0.4, and stay."""
+    Told means: a letter at least, and a score that lies `above_chance` of the way from chance (1 / languages, which a
+    text of unknown letters has) to 1.  Texts of one or two common words pass."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    at = names.index("text")
+    at, lang = names.index("text"), names.index("lang") if "lang" in names else -1
+    chance = 1 / max(1, len(model["langs"]))
+    least = chance + above_chance * (1 - chance)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one = pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])
             (told,) = _predict([one], shared)
             ok = [n != UND and s >= least for n, s in zip(told.column(0).to_pylist(), told.column(1).to_pylist(), strict=True)]
-            yield batch.filter(pa.array(ok, pa.bool_()))
+            columns = [pc.coalesce(c, told.column(0)) if i == lang else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).filter(pa.array(ok, pa.bool_()))
 
     return plain.mapInArrow(run, plain.schema).toDF(*names)
 

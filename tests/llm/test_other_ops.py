@@ -53,6 +53,60 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language_id.predict(d, none, ["doc_id"]).collect()} == {"und"}
 
 
+def plain_ftrl(rows, classes, seed):
+    """The textbook rule, one coordinate at a time."""
+    z, n = {}, {}
+    weight = lambda k: 0.0 if abs(z.get(k, 0.0)) <= language_id.L1 else -(z[k] - math.copysign(language_id.L1, z[k])) / ((language_id.BETA + math.sqrt(n[k])) / language_id.ALPHA + language_id.L2)
+    rng = np.random.default_rng(seed)
+    for _ in range(language_id.EPOCHS):
+        for r in rng.permutation(len(rows)):
+            y, slot, v = rows[r]
+            score = [sum(x * weight((s, c)) for s, x in zip(slot.tolist(), v.tolist(), strict=True)) for c in range(classes)]
+            e = [math.exp(s - max(score)) for s in score]
+            old = {(s, c): weight((s, c)) for s in slot.tolist() for c in range(classes)}
+            for s, x in zip(slot.tolist(), v.tolist(), strict=True):
+                for c in range(classes):
+                    k, g = (s, c), x * (e[c] / sum(e) - (c == y))
+                    sigma = (math.sqrt(n.get(k, 0.0) + g * g) - math.sqrt(n.get(k, 0.0))) / language_id.ALPHA
+                    z[k] = z.get(k, 0.0) + g - sigma * old[k]
+                    n[k] = n.get(k, 0.0) + g * g
+    return {k: weight(k) for k in z if weight(k)}
+
+
+def test_ftrl_against_the_plain_rule():
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(40):
+        slot = np.sort(rng.choice(60, 8, replace=False))
+        rows.append((int(slot[0] % 3), slot, rng.random(8) + 0.1))
+    got, want = language_id.ftrl(rows, 3, 5), plain_ftrl(rows, 3, 5)
+    assert {(int(a), int(b)) for a, b in zip(*np.nonzero(got), strict=True)} == set(want) and 0 < len(want) < 180
+    assert all(got[k] == pytest.approx(w, rel=1e-9) for k, w in want.items())
+
+
+def test_training_sample_is_bounded_for_rows_of_one_id(spark):
+    rng = random.Random(2)
+    rows = [(None, f"{rng.random()} der und", "bb") for _ in range(6000)] + [(None, "the same text", "aa")] * 6000 + [(1, "le garçon", "cc")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    count = {"aa": 1, "bb": 6000, "cc": 1}
+    for seed in (1, 2, 3):
+        got = {r.lang: r["count"] for r in language_id.draw_sample(d, count, 300, seed).groupBy("lang").count().collect()}
+        assert got["bb"] == 100 and got["cc"] == 1 == got["aa"]
+    with pytest.raises(ValueError):
+        language_id.fit(d, F.lit(True), max_languages=2)
+    assert language_id.fit(d, F.lit(True), max_sample=300)["langs"] == ["aa", "bb", "cc"]
+
+
+def test_only_told_languages_stay(spark):
+    d = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in language_docs()] + [(900, "ωψχ φυτ", None), (901, "schön über nicht", None), (902, "12", None)], "doc_id long, text string, lang string")
+    for n in (2, 3):
+        some = d.where(F.col("lang").isin(sorted(LANGS)[:n]) | F.col("lang").isNull())
+        kept = {r.doc_id: r.lang for r in language_id.keep_known(some, language_id.fit(some, F.lit(True))).collect()}
+        assert 900 not in kept and 902 not in kept and kept[901] == "bb" and set(kept.values()) <= set(LANGS)
+    one = d.where("lang = 'aa'")
+    assert language_id.keep_known(one, language_id.fit(one, F.lit(True))).count() == one.count()
+
+
 def test_long_text_counts_do_not_depend_on_pieces(monkeypatch):
     text = "".join(random.Random(1).choice("abc éß1 ") for _ in range(5000))
     a = language_id.gram_counts(text)

@@ -264,3 +264,44 @@ def test_knapsack_against_all_subsets():
         best = max(sum(a * b for a, b in zip(lengths, x, strict=True)) for x in itertools.product(*[range(c + 1) for c in counts]) if sum(a * b for a, b in zip(lengths, x, strict=True)) <= budget)
         got = mixing.knapsack(lengths, counts, budget)
         assert all(g <= c for g, c in zip(got, counts, strict=True)) and sum(a * b for a, b in zip(lengths, got, strict=True)) == best
+
+
+def best_sum(lengths, counts, budget):
+    sums = {0}
+    for a, c in zip(lengths, counts, strict=True):
+        sums = {s + a * k for s in sums for k in range(c + 1) if s + a * k <= budget}
+    return max(sums)
+
+
+@pytest.mark.parametrize("first", [1, 8, 1 << 14])
+def test_budgets_are_filled_as_well_as_any_choice_can(monkeypatch, first):
+    monkeypatch.setattr(mixing, "FIRST_BUDGET", first)
+    rng = random.Random(first)
+    cases = [([22500, 22501, 28000], [1, 1, 1], 45001), ([3, 4], [2, 2], 8), ([1000, 1001], [10**6, 10**6], 999_999_001), ([7], [5], 20), ([], [], 9), ([6, 10, 15], [1, 1, 1], 30)]
+    for _ in range(150):
+        lengths = rng.sample(range(1, 60), rng.randrange(1, 6))
+        cases.append((lengths, [rng.randrange(1, 7) for _ in lengths], rng.randrange(0, 500)))
+    for lengths, counts, budget in cases:
+        got = mixing.fill_budget(lengths, counts, budget)
+        total = sum(a * b for a, b in zip(lengths, got, strict=True))
+        assert all(0 <= g <= c for g, c in zip(got, counts, strict=True))
+        want = budget if budget > 10**6 else best_sum(lengths, counts, budget)
+        assert total == want, (lengths, counts, budget, total, want)
+
+
+def test_budget_of_many_long_documents():
+    rng = random.Random(3)
+    lengths = rng.sample(range(2000, 60000), 3000)
+    counts = [rng.randrange(1, 10**6) for _ in lengths]
+    budget = sum(a * b for a, b in zip(lengths, counts, strict=True)) * 3 // 7
+    got = mixing.fill_budget(lengths, counts, budget)
+    assert sum(a * b for a, b in zip(lengths, got, strict=True)) == budget and all(0 <= g <= c for g, c in zip(got, counts, strict=True))
+
+
+def test_mixing_of_one_row_that_repeats(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RANKED", 64)
+    rows = [(None, "a", "one two three")] * 5000 + [(i, "b", "w " * (i % 5)) for i in range(400)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
+    assert len(got) == len(rows)
+    a = [r for r in got if r.source == "a"]
+    assert len(a) == 5000 and 0 <= a[0].target - sum(r.taken for r in a) < 3 and {r.taken for r in a} <= {0, 3, 6, 9}

@@ -17,19 +17,37 @@ from orrery.llm._common import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is in a language of the corpus; the model learns from the labelled rows of `docs`."""
+    """Documents whose text is told to be in a language of the corpus (a score above chance), with the language filled
+    in where it was NULL; the model learns from the labelled rows of `docs`."""
     return language_id.keep_known(docs, language_id.fit(docs, F.lit(True)))
 
 
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """Adds _key, a long that tells documents apart, and _shared.
+
+    The key is the doc_id where one row has it.  Rows without an id, or with one that repeats (_shared), get a hash of
+    id and text, above 2^62, so only rows of equal id and text have one key.  Repeated ids are few: their table is
+    written first, so the planner sees its size and joins it without moving the texts."""
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_again"))
+    repeated = materialize(ids, "repeated_ids")
+    d = docs.join(repeated, docs["doc_id"] == repeated["_id"], "left")
+    shared = F.isnull("doc_id") | F.coalesce("_again", F.lit(False))
+    own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return d.select(*[docs[c] for c in docs.columns], F.when(shared, own).otherwise(F.col("doc_id")).alias("_key"), shared.alias("_shared"))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies (five words, similarity 0.8)."""
-    found = jaccard_join.jaccard_components(docs, n=5, percent=80)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]), "left_semi")
-    # rows that repeat a doc_id: one stays; a NULL id tells nothing, so those rows all stay unless their texts are equal
-    first = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(F.xxhash64("text"))
-    names = kept.columns
-    return kept.withColumn("_row_of_id", F.row_number().over(first)).where("_row_of_id = 1").select(*names)
+    """One document of each group of near copies (five words, similarity 0.8): that with the smallest doc_id.
+
+    Rows of equal id and text are one document; a row whose id is NULL or repeats stands for itself, and stays in a
+    group only if all of the group are like that."""
+    keyed = with_row_keys(docs)
+    found = jaccard_join.jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"), n=5, percent=80)
+    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
+    kept = keyed.join(stay, "_key", "left_semi")
+    first = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(*docs.columns)))
+    once = kept.where("_shared").withColumn("_row", first).where("_row = 1")
+    return kept.where("NOT _shared").select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
 def no_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,17 +60,20 @@ def no_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it.
-
-    Decisions come back by document, (doc_id, source, text): its rows differ by one copy at most, so two counts tell all."""
+    """Each document as often as the mix takes it.  Decisions come back by document (doc_id, source, text): of its rows,
+    `more` are taken once more than the others."""
     same = lambda text_hash: [F.coalesce("doc_id", F.lit(0)).alias("_d"), F.isnull("doc_id").alias("_dn"), F.coalesce("source", F.lit("")).alias("_s"), F.isnull("source").alias("_sn"), text_hash.alias("_t")]
     key = ["_d", "_dn", "_s", "_sn", "_t"]
-    took = mixing.mix_sources(docs).select(*same(F.col("text_hash")), "copies").groupBy(*key).agg(F.min("copies").alias("_least"), (F.sum("copies") - F.count("*") * F.min("copies")).alias("_more"))
+    took = mixing.mix_documents(docs).where("passes > 0 OR more > 0").select(*same(F.col("text_hash")), F.col("n").alias("_n"), F.col("passes").alias("_passes"), F.col("more").alias("_more"))
     names = docs.columns
-    joined = docs.select(*names, *same(F.xxhash64("text"))).join(took.where("_least > 0 OR _more > 0"), key)
+    joined = docs.select(*names, *same(F.xxhash64("text"))).join(took, key)
+    # only where some of several equal rows are taken once more does a row's number matter
     row = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(*names)))
-    times = (F.col("_least") + (F.col("_row") <= F.col("_more")).cast("int")).cast("int")
-    return joined.withColumn("_row", row).withColumn("_times", times).where("_times > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("copy"))
+    part = (F.col("_more") > 0) & (F.col("_more") < F.col("_n"))
+    one = joined.where(~part).withColumn("_times", F.col("_passes") + (F.col("_more") > 0).cast("int"))
+    some = joined.where(part).withColumn("_row", row).withColumn("_times", F.col("_passes") + (F.col("_row") <= F.col("_more")).cast("int"))
+    times = lambda d: d.where("_times > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("copy"))
+    return times(one).unionByName(times(some))
 
 
 STAGES = [

@@ -398,3 +398,19 @@ def test_pipeline_mixes_rows_without_an_id_as_decided(spark):
     assert got == want
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
+
+
+def test_near_copies_stage_of_rows_without_or_with_repeated_ids(spark):
+    rng = random.Random(8)
+    text = lambda k: " ".join(f"{k}{rng.randrange(10**6)}" for _ in range(60))
+    a, b, c, d = (text(k) for k in "abcd")
+    near = lambda t: t.replace(t.split()[30], "other")
+    rows = [(None, a, "x"), (None, near(a), "x"), (None, b, "x"), (None, b, "y"), (7, c, "x"), (7, d, "x"), (7, d, "y"), (3, near(d), "x"), (9, near(b), "x"), (None, None, "x"), (None, None, "y"), (4, "", "x"), (5, "", "x")]
+    docs = spark.createDataFrame([(i, t, None, s, n) for n, (i, t, s) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id or 0), r.text or "") for r in out.collect())
+    assert len([x for x in got if x[1] in (a, near(a))]) == 1  # near copies without an id
+    assert [x for x in got if x[1] in (b, near(b))] == [(9, near(b))]  # a real id wins
+    assert [x for x in got if x[1] in (c, d, near(d))] == [(3, near(d)), (7, c)]  # a repeated id: each text for itself
+    assert [x for x in got if not x[1]] == [(0, ""), (4, ""), (5, "")]

@@ -1,23 +1,31 @@
-"""Operator 10: substring dedup over prefix-partitioned suffix groups.
-
-A suffix starts at every word.  What matters of it is its path down to depth
-`window` (20 words): suffixes under one internal node of that depth share a
-repeated passage, and the earliest one stays.  The suffixes are split into
-memory-sized groups before any group is built:
-
-1. Each window's anchor is its smallest `prefix`-gram (5 words).  Equal windows
-   have equal anchors, so an anchor that occurs once in the corpus rules out
-   all its windows.  Only anchors travel here, one per run of windows.
-2. Windows under repeated anchors go into groups by anchor.  The prefix is of
-   variable length: where an anchor is so frequent that its group would not fit
-   memory, the group is split further by the whole window.  Each map task first
-   keeps only the earliest copy of a window that it has seen itself, so a passage
-   held by a third of all documents adds one row per task, not per document.
-3. Each group is sorted by window, then by place; in every node of depth
-   `window` all leaves but the first are repeats.  Consecutive repeated windows
-   of a document form one maximal repeat (a span).
-
-Windows are compared by 64-bit hashes.
+"""Operator 10: substring dedup over prefix-partitioned suffix trees.
+
+A suffix starts at every word that has `window` (20) words of its document left.
+In the tree of all suffixes, those under one internal node of depth `window` or
+more share a repeated passage; the earliest of them stays.  The suffixes are split
+by prefixes of variable length into memory-sized groups, and a group's subtree is
+built on its own:
+
+1. A suffix's prefix runs up to the end of its anchor, the smallest `prefix`-gram
+   (5 words) among its first `window` words; so it has 5 to 20 words, and
+   suffixes with equal first 20 words have equal prefixes.  Neighbouring suffixes
+   mostly share an anchor.  Anchors are counted: one that occurs once in the
+   corpus rules out all its suffixes.  Only anchors travel here, one per run of
+   suffixes.
+2. The other suffixes go into groups: all prefixes that end with one anchor
+   together, which lets a run travel as one piece of text (word numbers in a
+   dictionary of the piece's package).  Where an anchor is so frequent that its
+   group would not fit memory, its prefixes grow to the whole `window`.  Each map
+   task first builds the subtrees of the suffixes that it has read and sends one
+   leaf of each deep node, so a passage held by a third of all documents adds one
+   row per task, not per document.
+3. A group's subtree is its sorted suffixes with the lengths of the prefixes that
+   neighbours share (a suffix array with its LCP array).  Runs of LCP >= `window`
+   are the leaves under one deep internal node; all but the earliest are repeats.
+   Consecutive repeats of a document form one maximal repeat (a span).
+
+Suffixes are compared word by word; a word stands for itself by a 64-bit hash.
+Hashes of several words only choose groups.
 
 Defined cases: NULL and empty texts have no words and are kept as they are; a
 NULL doc_id sorts before all others; rows that repeat a doc_id with the same
@@ -40,9 +48,9 @@ from ._common import NULL_ID, id_or_sentinel, materialize, partitions
 from ._text import SPACES, grams, mix, pack, sliding_min, split_by_bucket, text_blocks, tokenize, valid_starts
 
 _U = np.uint64
-#: Windows held by a map task before it deals them out, and windows meant for one group.
-FLUSH = 1 << 20
-GROUP = 1 << 20
+#: Suffixes held by a map task before it deals them out, and suffixes meant for one group.
+FLUSH = 1 << 19
+GROUP = 1 << 19
 
 
 def _anchors(words, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,7 +96,10 @@ def _anchor_runs(batches, window: int, prefix: int) -> Iterator[pa.RecordBatch]:
             )
 
 
-_GROUPED = pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in ("dk", "dh", "doc", "win", "at", "rk", "rs", "re")])
+#: A package: documents (dk, dh), segments (doc, at, n: first suffix and how many follow one by one), their words as
+#: numbers in `vocab`; or spans found already (rk, rs, re).
+_GROUPED = pa.schema([("bucket", pa.int64())] + [(c, pa.binary()) for c in ("dk", "dh", "doc", "at", "n", "vocab", "word", "rk", "rs", "re")])
+_GROUPED_TYPES = "bucket long, dk binary, dh binary, doc binary, at binary, n binary, vocab binary, word binary, rk binary, rs binary, re binary"
 
 
 def _spans(k: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,19 +117,38 @@ def _spans(k: np.ndarray, start: np.ndarray, window: int) -> tuple[np.ndarray, n
     return k[at], start[at], start[last] + window
 
 
-def _first_of_each(win: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the earliest place of each window, index of all later places, by place).
-
-    Each place counts once: rows that repeat a document hold its places, they don't repeat its windows."""
-    order = np.lexsort((rank, win))
-    w, r = win[order], rank[order]
-    first = np.empty(len(w), bool)
-    first[:1] = True
-    first[1:] = w[1:] != w[:-1]
-    later = ~first
+def suffix_tree(word: np.ndarray, at: np.ndarray, rank: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, lcp): suffixes sorted by their first `window` words, then by rank, and how many words each shares with
+    the one before it (0 for the first).  Suffix i is word[at[i] : at[i] + window]."""
+    if not len(at):
+        return at, at
+    path = word[at[:, None] + np.arange(window)]
+    bits = max(1, int(word.max()).bit_length())
+    per = 64 // bits
+    keys = []
+    for c in range(0, window, per):
+        key = np.zeros(len(at), _U)
+        for w in range(c, min(window, c + per)):
+            key = key << _U(bits) | path[:, w].astype(_U)
+        keys.append(key)
+    order = np.lexsort((rank, *keys[::-1]))
+    path = path[order]
+    same = path[1:] == path[:-1]
+    lcp = np.zeros(len(at), np.int64)
+    lcp[1:] = np.where(same.all(1), window, same.argmin(1))
+    return order, lcp
+
+
+def _first_of_each(order: np.ndarray, lcp: np.ndarray, rank: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the earliest leaf of each node of depth `window`, all later leaves by place).
+
+    Each place counts once: rows that repeat a document hold its places, they don't repeat its suffixes."""
+    r = rank[order]
+    later = lcp >= window
+    first = order[~later]
     later[1:] &= r[1:] != r[:-1]
     lose = order[later]
-    return np.sort(order[first]), lose[np.argsort(rank[lose], kind="stable")]
+    return np.sort(first), lose[np.argsort(rank[lose], kind="stable")]
 
 
 def _place(k: np.ndarray, h: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -134,37 +164,59 @@ def _place(k: np.ndarray, h: np.ndarray, doc: np.ndarray, start: np.ndarray) ->
     return (rank[doc] << np.int64(32)) | start
 
 
-def _deal(k, h, doc, key, count, win, start, window: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _ranges(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ... (length[i] numbers) for each i, in one array."""
+    return np.repeat(first - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
+def _number(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct words, each word's number among them)."""
+    vocab, number = np.unique(words, return_inverse=True)
+    return vocab, number.astype(np.uint32)
+
+
+def _repeated(k, h, doc, start, word, at, window: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """(suffixes that stay, spans of the others: _k, _h, first word, end word)."""
     rank = _place(k, h, doc, start)
-    kept, lose = _first_of_each(win, rank)
+    kept, lose = _first_of_each(*suffix_tree(word, at, rank, window), rank, window)
     d, s, e = _spans((rank[lose] >> 32), start[lose], window)
-    head = lose[np.searchsorted(rank[lose] >> 32, d)] if len(d) else lose[:0]
-    span_doc = doc[head]
+    head = doc[lose[np.searchsorted(rank[lose] >> 32, d)]] if len(d) else lose[:0]
+    return kept, (k[head], h[head], s.astype(np.int32), e.astype(np.int32))
+
+
+def _deal(k, h, doc, key, count, win, start, at, words, window: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    vocab, word = _number(words)
+    kept, (sk, sh, s, e) = _repeated(k, h, doc, start, word, at, window)
     split = (count // (1 << 16) + 1).astype(_U)
     bucket = (mix(key + (win % split) * _U(0x9E3779B97F4A7C15)) % _U(buckets)).astype(np.int64)
     rows = []
     for b, part in split_by_bucket(bucket[kept]):
         p = kept[part]
-        used, local = np.unique(doc[p], return_inverse=True)
-        rows.append([b, pack(k[used]), pack(h[used]), pack(local.astype(np.int32)), pack(win[p]), pack(start[p].astype(np.int32)), b"", b"", b""])
-    if len(d):
-        rk = np.stack([k[span_doc], h[span_doc]])
-        rows.append([int(mix(np.array([len(d)], _U))[0] % _U(buckets)), b"", b"", b"", b"", b"", pack(rk), pack(s.astype(np.int32)), pack(e.astype(np.int32))])
+        new = np.ones(len(p), bool)
+        new[1:] = (doc[p[1:]] != doc[p[:-1]]) | (start[p[1:]] != start[p[:-1]] + 1)
+        head = np.flatnonzero(new)
+        n = np.diff(np.append(head, len(p)))
+        head = p[head]
+        used, local = np.unique(doc[head], return_inverse=True)
+        own, number = _number(word[_ranges(at[head], n + window - 1)])
+        small = number.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
+        rows.append([b, pack(k[used]), pack(h[used]), pack(local.astype(np.int32)), pack(start[head].astype(np.int32)), pack(n.astype(np.int32)), pack(vocab[own]), pack(small), b"", b"", b""])
+    if len(s):
+        rows.append([int(mix(np.array([len(s)], _U))[0] % _U(buckets)), b"", b"", b"", b"", b"", b"", b"", pack(np.stack([sk, sh])), pack(s), pack(e)])
     for a in range(0, len(rows), 256):
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[a : a + 256], strict=True), _GROUPED, strict=True)], schema=_GROUPED)
 
 
 def _windows(batches, window: int, prefix: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows of documents with their repeated anchors -> packed windows by group."""
+    """Rows of documents with their repeated anchors -> packages of suffixes by group."""
     held: list[tuple] = []
-    size = docs = 0
+    size = docs = length = 0
 
     def flush():
-        nonlocal held, size, docs
+        nonlocal held, size, docs, length
         if held:
-            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
-            yield from _deal(*cols, window, buckets)
-        held, size, docs = [], 0, 0
+            yield from _deal(*(np.concatenate(c) for c in zip(*held, strict=True)), window, buckets)
+        held, size, docs, length = [], 0, 0, 0
 
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -182,40 +234,47 @@ def _windows(batches, window: int, prefix: int, buckets: int) -> Iterator[pa.Rec
             starts, pos = starts[sel], pos[sel]
             doc = np.searchsorted(words.ptr, starts, "right") - 1
             win = grams(words.hash, window)[starts]
-            held.append((ids[i:j], hs[i:j], doc + docs, keys[pos], counts[pos], win, starts - words.ptr[doc]))
+            # only words of such suffixes are held; those of one suffix stay together
+            depth = np.zeros(len(words.hash) + 1, np.int32)
+            np.add.at(depth, starts, 1)
+            np.add.at(depth, starts + window, -1)
+            needed = np.cumsum(depth[:-1]) > 0
+            place = np.cumsum(needed) - 1
+            held.append((ids[i:j], hs[i:j], doc + docs, keys[pos], counts[pos], win, starts - words.ptr[doc], place[starts] + length, words.hash[needed]))
             docs += j - i
             size += len(starts)
+            length += int(needed.sum())
             if size >= FLUSH:
                 yield from flush()
     yield from flush()
 
 
 def _repeats(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
-    """One group: nodes of depth `window` and the spans of all their leaves but the first."""
-    ks, hs, docs, wins, at = [], [], [], [], []
-    out = []
-    base = 0
+    """One group: its subtree's nodes of depth `window` and the spans of all their leaves but the first."""
+    ks, hs, docs, starts, ats, words, out = [], [], [], [], [], [], []
+    base = length = 0
     for row in pdf.itertuples(index=False):
         if row.rk:
             kh = np.frombuffer(row.rk, np.int64).reshape(2, -1)
-            out.append(pd.DataFrame({"_k": kh[0], "_h": kh[1], "s": np.frombuffer(row.rs, np.int32), "e": np.frombuffer(row.re, np.int32)}))
+            out.append((kh[0], kh[1], np.frombuffer(row.rs, np.int32), np.frombuffer(row.re, np.int32)))
             continue
-        k = np.frombuffer(row.dk, np.int64)
+        vocab, n = np.frombuffer(row.vocab, _U), np.frombuffer(row.n, np.int32).astype(np.int64)
+        wide = np.frombuffer(row.word, np.uint16 if len(vocab) <= 1 << 16 else np.uint32)
+        k, long = np.frombuffer(row.dk, np.int64), n + window - 1
         ks.append(k)
         hs.append(np.frombuffer(row.dh, np.int64))
-        docs.append(np.frombuffer(row.doc, np.int32).astype(np.int64) + base)
-        wins.append(np.frombuffer(row.win, _U))
-        at.append(np.frombuffer(row.at, np.int32).astype(np.int64))
+        docs.append(np.repeat(np.frombuffer(row.doc, np.int32).astype(np.int64) + base, n))
+        starts.append(_ranges(np.frombuffer(row.at, np.int32).astype(np.int64), n))
+        ats.append(_ranges(np.cumsum(long) - long + length, n))
+        words.append(vocab[wide])
         base += len(k)
-    if wins:
-        k, h, doc, win, start = (np.concatenate(x) for x in (ks, hs, docs, wins, at))
-        rank = _place(k, h, doc, start)
-        _, lose = _first_of_each(win, rank)
-        d, s, e = _spans(rank[lose] >> 32, start[lose], window)
-        if len(d):
-            src = doc[lose[np.searchsorted(rank[lose] >> 32, d)]]
-            out.append(pd.DataFrame({"_k": k[src], "_h": h[src], "s": s.astype(np.int32), "e": e.astype(np.int32)}))
-    return pd.concat(out) if out else pd.DataFrame({"_k": [], "_h": [], "s": [], "e": []})
+        length += len(wide)
+    if words:
+        k, h, doc, start, at = (np.concatenate(x) for x in (ks, hs, docs, starts, ats))
+        out.append(_repeated(k, h, doc, start, _number(np.concatenate(words))[1], at, window)[1])
+    if not out:
+        return pd.DataFrame({"_k": [], "_h": [], "s": [], "e": []})
+    return pd.DataFrame({name: np.concatenate(c) for name, c in zip(("_k", "_h", "s", "e"), zip(*out, strict=True), strict=True)})
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -240,11 +299,11 @@ def repeated_spans(docs: DataFrame, window: int = 20, prefix: int = 5) -> tuple[
         each.select("_k", "_h", "anchor").join(repeated, "anchor")
         .groupBy("_k", "_h").agg(F.collect_list(F.struct("anchor", "n")).alias("a"))
     )
-    dealt = keyed.repartition(partitions(spark), "_k", "_h")
+    dealt = keyed.repartition("_k", "_h")
     grouped = (
         dealt.select("_k", "_h", "text").join(lists, ["_k", "_h"])
         .select("_k", "_h", "text", F.col("a.anchor").alias("anchor"), F.col("a.n").alias("n"))
-        .mapInArrow(lambda it: _windows(it, window, prefix, buckets), "bucket long, dk binary, dh binary, doc binary, win binary, at binary, rk binary, rs binary, re binary")
+        .mapInArrow(lambda it: _windows(it, window, prefix, buckets), _GROUPED_TYPES)
     )
     spans = grouped.groupBy("bucket").applyInPandas(lambda pdf: _repeats(pdf, window), "_k long, _h long, s int, e int")
     return dealt, spans

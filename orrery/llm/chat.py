@@ -41,8 +41,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import partitions
-
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_VOCABULARY_BYTES = 16 << 20
 #: Split pattern of the vocabulary (fixed value).
@@ -185,7 +183,7 @@ def _digest(batches, shared) -> Iterator[pa.RecordBatch]:
 def digest_chat(formatted: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """Reads conversations back from their tokens: a row of digests per conversation."""
     shared = formatted.sparkSession.sparkContext.broadcast(read_vocabulary(formatted.sparkSession, path))
-    dealt = formatted.repartition(partitions(formatted.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "tie")
+    dealt = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "tie")
     return dealt.select("conv_id", "tokens", "loss").mapInArrow(
         lambda it: _digest(it, shared), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long"
     )

@@ -104,9 +104,57 @@ def test_substring_dedup_small_groups_and_empty(spark):
     assert substring_dedup.substring_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-@pytest.mark.parametrize("flush", [1 << 20, 1])
-def test_substring_dedup_keeps_repeated_rows_that_occur_nowhere_else(spark, monkeypatch, flush):
+def spans_of_hands(rows, window, prefix, buckets):
+    """The operator's steps in this process: removed words by document."""
+    import pandas as pd
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([0] * len(rows)), pa.array([t for _, t in rows])], names=["_k", "_h", "text"])
+    runs = [r for b in substring_dedup._anchor_runs([batch], window, prefix) for r in b.to_pylist()]
+    count = {}
+    for r in runs:
+        for x, n in zip(r["anchor"], r["times"], strict=True):
+            count[x] = count.get(x, 0) + n
+    lists = {r["_k"]: [x for x in r["anchor"] if count[x] > 1] for r in runs}
+    some = [(i, t, lists[i]) for i, t in rows if lists.get(i)]
+    asked = pa.RecordBatch.from_arrays(
+        [pa.array([i for i, _, _ in some]), pa.array([0] * len(some)), pa.array([t for _, t, _ in some]), pa.array([x for _, _, x in some], pa.list_(pa.int64())), pa.array([[count[y] for y in x] for _, _, x in some], pa.list_(pa.int64()))],
+        names=list("abcde"),
+    )
+    packed = pd.concat([b.to_pandas() for b in substring_dedup._windows([asked], window, prefix, buckets)])
+    gone = {i: set() for i, _ in rows}
+    for _, group in packed.groupby("bucket"):
+        for r in substring_dedup._repeats(group.drop(columns="bucket").assign(bucket=0)[packed.columns], window).itertuples():
+            gone[r[1]].update(range(r.s, r.e))
+    return gone
+
+
+@pytest.mark.parametrize(("flush", "values"), [(1 << 19, None), (1, None), (500, 3), (1 << 19, 1)])
+def test_suffixes_are_told_apart_by_their_words(monkeypatch, flush, values):
+    real = substring_dedup.grams
+    if values:  # hashes of several words collide
+        monkeypatch.setattr(substring_dedup, "grams", lambda h, n: real(h, n) % np.uint64(values))
     monkeypatch.setattr(substring_dedup, "FLUSH", flush)
+    rows = [(i, t) for i, t in make_docs(seed=5, n=40) if t and len(t) < 100000]
+    want = brute_removed({(i, "t"): t for i, t in rows}, window=6)
+    got = spans_of_hands(rows, 6, 2, 5)
+    assert {i: len(g) for i, g in got.items()} == {i: w[1] for i, w in want.items()}
+
+
+def test_suffix_tree_against_sorting():
+    rng = np.random.default_rng(2)
+    for top in (2, 300, 2**31):
+        word = rng.integers(0, top, 400).astype(np.uint32)
+        word[200:260] = word[20:80]
+        at = np.arange(381)
+        order, lcp = substring_dedup.suffix_tree(word, at, at, 20)
+        path = [tuple(word[i : i + 20]) for i in at]
+        assert order.tolist() == sorted(at.tolist(), key=lambda i: (path[i], i))
+        for n, (a, b) in enumerate(itertools.pairwise(order)):
+            assert lcp[n + 1] == next((c for c in range(20) if path[a][c] != path[b][c]), 20)
+
+
+def test_substring_dedup_keeps_repeated_rows_that_occur_nowhere_else(spark):
     only, anonymous, other = (" ".join(f"{name}{i}" for i in range(60)) for name in ("only", "anonymous", "other"))
     rows = [(7, only)] * 3 + [(None, anonymous)] * 3 + [(8, other)] * 2 + [(9, other + " end")] * 2 + [(10, anonymous)]
     d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

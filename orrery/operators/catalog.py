@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .joins import with_next
+
 
 def latest_version(catalog: DataFrame, key: list[str], version: str) -> DataFrame:
     """The row of the highest version of each key (an aggregation, so it is combined before the shuffle)."""
@@ -42,15 +44,19 @@ def prefer_level(inputs: DataFrame, key: str, order: list[str]) -> DataFrame:
     return d.withColumn("preliminary", F.col("_rank") > 1).drop("_n", "_rank")
 
 
+#: Ids in a bucket of the search for the next pointing.
+IDS = 1024
+
+
 def pointing_range(repoints: DataFrame) -> DataFrame:
-    """A pointing lasts from the end of its own repointing to the start of the next (by id)."""
-    return repoints.select("id", F.col("end_utc").alias("start"), F.lead("start_utc").over(Window.orderBy("id")).alias("end"))
+    """A pointing lasts from the end of its own repointing to the start of the next (by id, unique)."""
+    return with_next(repoints, "id", {"end": "start_utc"}, IDS).select("id", F.col("end_utc").alias("start"), "end")
 
 
 def repoints_in_rotation(repoints: DataFrame, t0: Column, t1: Column) -> DataFrame:
     """Pointings whose next repointing starts strictly inside the window."""
-    d = repoints.withColumn("_next", F.lead("start_utc").over(Window.orderBy("id")))
-    return d.where((F.col("_next") > t0) & (F.col("_next") < t1)).drop("_next")
+    d = with_next(repoints, "id", {"_next_start": "start_utc"}, IDS)
+    return d.where((F.col("_next_start") > t0) & (F.col("_next_start") < t1)).drop("_next_start")
 
 
 def forced_targets(lines: DataFrame, now: Column, repoints: DataFrame, rotation_days: float, supported: list[str]) -> DataFrame:

@@ -8,17 +8,28 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
-def log_local_fit(df: DataFrame, keys: list[str], centres: list[float], low: float = 0.6, high: float = 1.4) -> DataFrame:
-    """Per group and energy bin the value of the log-log line through points (energy, psd > 0) within [low, high] of
-    the centre.  It needs two points and one of: two on one side near by (0.9 to 1 or 1 to 1.1), or points on both sides."""
-    near = F.filter(F.array(*[F.struct(F.lit(i).alias("bin"), F.lit(float(c)).alias("centre")) for i, c in enumerate(centres)]), lambda b: (F.col("energy") >= low * b["centre"]) & (F.col("energy") <= high * b["centre"]))
-    d = df.where("psd > 0").withColumn("_b", F.explode(near)).select(*keys, "_b.*", "energy", "psd")
+def log_local_fit(df: DataFrame, keys: list[str], centres: list[float], low: float = 0.6, high: float = 1.4, near_high: float = 0.18, near_low: float = 0.12) -> DataFrame:
+    """Per group and energy bin the value at the centre of the log-log line through the points (energy, psd > 0)
+    strictly inside (low, high) times the centre; NULL unless two points are there and one of these holds:
+
+    * the group's highest energy is inside, and a point lies within near_high (a share of the centre),
+    * its second lowest energy is inside, and a point lies within near_low or points lie on both sides,
+    * neither is inside, and points lie on both sides."""
+    near = F.filter(F.array(*[F.struct(F.lit(i).alias("bin"), F.lit(float(c)).alias("centre")) for i, c in enumerate(centres)]), lambda b: (F.col("energy") > low * b["centre"]) & (F.col("energy") < high * b["centre"]))
+    points = df.where("psd > 0").select(*keys, "energy", "psd")
+    d = points.withColumn("_b", F.explode(near)).select(*keys, "_b.*", "energy", "psd")
     x, y, s = F.ln("energy"), F.ln("psd"), F.col("energy") / F.col("centre")
-    g = d.groupBy(*keys, "bin", "centre").agg(F.count("*").alias("n"), F.regr_slope(y, x).alias("_m"), F.regr_intercept(y, x).alias("_c"), F.min(s).alias("_lo"), F.max(s).alias("_hi"))
-    both = (F.col("n") >= 2) & (((F.col("_lo") <= 1) & (F.col("_hi") >= 1)) | (F.col("_lo").between(1, 1.1)) | (F.col("_hi").between(0.9, 1)))
-    return g.select(*keys, "bin", "n", F.when(both, F.exp(F.col("_c") + F.col("_m") * F.ln("centre"))).alias("psd"))
+    g = d.groupBy(*keys, "bin", "centre").agg(F.count("*").alias("n"), F.regr_slope(y, x).alias("_m"), F.regr_intercept(y, x).alias("_c"), F.min(s).alias("_lo"), F.max(s).alias("_hi"), F.min(F.abs(s - 1)).alias("_near"))
+    first_two = points.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("energy"))).where("_n <= 2")
+    second = first_two.groupBy(*keys).agg(F.max(F.when(F.col("_n") == 2, F.col("energy"))).alias("_second"))
+    ends = points.groupBy(*keys).agg(F.max("energy").alias("_top")).join(second, keys)
+    inside = lambda c: (F.col(c) > low * F.col("centre")) & (F.col(c) < high * F.col("centre"))
+    top, second, both = inside("_top"), F.coalesce(inside("_second"), F.lit(False)), (F.col("_lo") < 1) & (F.col("_hi") > 1)
+    ok = (F.col("n") >= 2) & ((top & (F.col("_near") < near_high)) | (second & ((F.col("_near") < near_low) | both)) | (~top & ~second & both))
+    return g.join(ends, keys).select(*keys, "bin", "n", F.when(ok, F.exp(F.col("_c") + F.col("_m") * F.ln("centre"))).alias("psd"))
 
 
 def fit_power_law(energy: np.ndarray, flux: np.ndarray, sigma: np.ndarray, steps: int = 60) -> tuple[float, ...]:

@@ -16,32 +16,52 @@ def micros(ts: str | Column) -> Column:
     return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
 
 
-def range_join(left: DataFrame, x: Column, ranges: DataFrame, lo: Column, hi: Column, width: float, how: str = "inner", by: list[str] | None = None, closed: str = "left") -> DataFrame:
+def range_join(left: DataFrame, x: Column, ranges: DataFrame, lo: Column, hi: Column, width: float, how: str = "inner", by: list[str] | None = None, closed: str = "left", ends: DataFrame | None = None) -> DataFrame:
     """Rows of left with rows of ranges where lo <= x < hi (closed='both': <= hi; an open end is NULL).
 
-    Ranges are cut to what left spans and repeated once per bucket of `width` that they touch."""
+    Ranges, the short side, are repeated once per bucket of `width` that they touch, so width should be about a usual
+    range.  Rows of left beyond all ends look in the outermost bucket, where open ranges are.  The ends come from the
+    ranges (or from `ends`: one row a, b, where that is cheaper), by a subquery of the same plan; left is read once."""
     by = by or []
-    span = left.agg(F.min(x).alias("a"), F.max(x).alias("b")).first()
-    if span["a"] is None:
-        span = {"a": 0, "b": 0}
-    a, b = F.lit(float(span["a"])), F.lit(float(span["b"]))
-    first = F.floor(F.greatest(a, F.coalesce(lo.cast("double"), a)) / width)
-    last = F.floor(F.least(b, F.coalesce(hi.cast("double"), b)) / width)
-    cut = ranges.withColumns({"_lo": lo, "_hi": hi}).withColumn("_bucket", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
-    asked = left.withColumn("_x", x).withColumn("_bucket", F.floor(F.col("_x").cast("double") / width))
+    cut = ranges.withColumns({"_lo": lo, "_hi": hi})
+    if ends is None:
+        ends = cut.agg(F.min(F.coalesce("_lo", "_hi")).cast("double").alias("a"), F.max(F.coalesce("_hi", "_lo")).cast("double").alias("b"))
+    a, b = (F.coalesce(ends.select(c).scalar(), F.lit(0.0)) for c in "ab")
+    bucket = lambda c: F.floor(c.cast("double") / width)
+    first, last = bucket(F.coalesce("_lo", a)), bucket(F.coalesce("_hi", b))
+    cut = cut.withColumn("_bucket", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
+    asked = left.withColumn("_x", x).withColumn("_bucket", bucket(F.greatest(a, F.least(b, F.col("_x")))))
     upper = F.col("_x") <= F.col("_hi") if closed == "both" else F.col("_x") < F.col("_hi")
     on = (asked["_bucket"] == cut["_bucket"]) & (F.col("_lo").isNull() | (F.col("_x") >= F.col("_lo"))) & (F.col("_hi").isNull() | upper)
     for c in by:
         on = on & (asked[c] == cut[c])
-    right = cut
-    out = asked.join(right, on, how)
+    out = asked.join(cut, on, how)
     drop = [asked["_bucket"], asked["_x"]] if how in ("left_anti", "left_semi") else [asked["_bucket"], cut["_bucket"], F.col("_x"), F.col("_lo"), F.col("_hi"), *[cut[c] for c in by]]
     return out.drop(*drop)
 
 
+def ends_of(table: DataFrame, x: Column) -> DataFrame:
+    return table.agg(F.min(x).cast("double").alias("a"), F.max(x).cast("double").alias("b"))
+
+
+def with_next(table: DataFrame, at: str, columns: dict[str, str], width: float, by: list[str] | None = None) -> DataFrame:
+    """Adds columns of the next row by `at` (numeric, unique per `by`): {new name: column}; NULL for the last row.
+
+    The next row is looked for within buckets of `width`; a bucket's last row takes the first one of the next bucket
+    that has rows, and only those first rows (one per bucket) are ordered together."""
+    by = by or []
+    own = Window.partitionBy(*by, "_k").orderBy(at)
+    d = table.withColumn("_k", F.floor(F.col(at).cast("double") / width)).withColumn("_next", F.lead(F.struct(*[F.col(c).alias(n) for n, c in columns.items()])).over(own))
+    first = d.groupBy(*by, "_k").agg(F.min_by(F.struct(*[F.col(c).alias(n) for n, c in columns.items()]), at).alias("_f"))
+    after = first.select(*by, "_k", F.lead("_f").over(Window.partitionBy(*by).orderBy("_k")).alias("_after"))
+    d = d.join(after, [*by, "_k"], "left").withColumn("_next", F.coalesce("_next", "_after"))
+    return d.select(*table.columns, *[F.col(f"_next.{n}").alias(n) for n in columns])
+
+
 def nearest_join(left: DataFrame, right: DataFrame, ts: str, values: list[str], tolerance_us: int, by: list[str] | None = None) -> DataFrame:
     """For each row of left the values of the nearest row of right; ties go to the earlier one, and a distance
-    over the tolerance gives NULL.  Rows of right with a NULL value are not considered.  Adds `matched_ts`.
+    over the tolerance gives NULL.  Rows of right with a NULL value are not considered.  Of right rows at one instant,
+    ordered by their values, the first one counts at or after the row of left, the last one before it.  Adds `matched_ts`.
 
     Right is repeated in three buckets of the tolerance's width, so groups are small and need no other key."""
     by = by or []
@@ -50,10 +70,9 @@ def nearest_join(left: DataFrame, right: DataFrame, ts: str, values: list[str],
     near = good.withColumn("_b", F.explode(F.array(*[F.floor(F.col("_t") / width) + d for d in (-1, 0, 1)])))
     rows = left.select(F.struct(*[F.col(c) for c in left.columns]).alias("_l"), *by, micros(ts).alias("_t"))
     both = rows.withColumn("_b", F.floor(F.col("_t") / width)).withColumn("_r", F.lit(None)).unionByName(near.withColumn("_l", F.lit(None)), allowMissingColumns=True)
-    w = Window.partitionBy(*by, "_b").orderBy("_t", F.col("_l").isNotNull())
-    back = Window.partitionBy(*by, "_b").orderBy("_t", F.col("_l").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
-    j = both.withColumns({"_p": F.last("_r", ignorenulls=True).over(back), "_n": F.first("_r", ignorenulls=True).over(ahead)}).where("_l IS NOT NULL")
+    # of one instant, rows of left come first
+    w = Window.partitionBy(*by, "_b").orderBy("_t", F.col("_l").isNull(), "_r")
+    j = both.withColumns({"_p": F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.first("_r", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))}).where("_l IS NOT NULL")
     dp, dn = F.col("_t") - F.col("_p.t"), F.col("_n.t") - F.col("_t")
     pick = F.when(F.col("_n").isNull() | (dp <= dn), F.col("_p")).otherwise(F.col("_n"))
     pick = F.when(F.abs(pick["t"] - F.col("_t")) <= tolerance_us, pick)
@@ -90,26 +109,29 @@ def pair_by_key(a: DataFrame, b: DataFrame, key: str, order: str) -> DataFrame:
     return last(a, "a").join(last(b, "b"), key)
 
 
-def asof_intervals(table: DataFrame, t: Column, values: list[str], by: list[str] | None = None) -> DataFrame:
+def asof_intervals(table: DataFrame, t: Column, values: list[str], width: float, by: list[str] | None = None) -> DataFrame:
     """A dated table as validity intervals _from, _until (NULL: open); of equal times the last value stands."""
     by = by or []
     one = table.withColumn("_from", t).groupBy(*by, "_from").agg(*[F.max(c).alias(c) for c in values])
-    return one.withColumn("_until", F.lead("_from").over(Window.partitionBy(*by).orderBy("_from")))
+    return with_next(one, "_from", {"_until": "_from"}, width, by)
 
 
 def asof_calibration(left: DataFrame, t: Column, cal: DataFrame, cal_t: Column, values: list[str], width: float, strict: bool = False) -> DataFrame:
     """Values of the latest calibration at or before t (strict: before t).  Rows without one raise when read."""
     shift = 1 if strict else 0
-    got = range_join(left, t - shift, asof_intervals(cal, cal_t, values), F.col("_from"), F.col("_until"), width, "left")
+    got = range_join(left, t - shift, asof_intervals(cal, cal_t, values, width), F.col("_from"), F.col("_until"), width, "left", ends=ends_of(cal, cal_t))
     first = values[0]
     return got.withColumn(first, F.when(F.col("_from").isNull(), F.raise_error(F.lit("no calibration before this time")).cast("double")).otherwise(F.col(first))).drop("_from", "_until")
 
 
 def best_overlapping(left: DataFrame, a: Column, b: Column, ancillary: DataFrame, width: float, key: str, value: str) -> DataFrame:
-    """Of ancillary rows (valid_from, valid_to or NULL, ingested, value) that overlap [a, b] the latest ingested."""
-    days = left.withColumns({"_a": a, "_b": b}).withColumn("_d", F.explode(F.sequence(F.floor(F.col("_a") / width), F.floor(F.col("_b") / width))))
-    last = left.agg(F.max(b).alias("m")).first()["m"] or 0
-    anc = ancillary.withColumn("_d", F.explode(F.expr(f"sequence(cast(floor(valid_from / {width}) as bigint), cast(greatest(floor(valid_from / {width}), floor(least(coalesce(valid_to, {last}), {last}) / {width})) as bigint))")))
+    """Of ancillary rows (valid_from, valid_to or NULL, ingested, value) that overlap [a, b] the latest ingested.
+
+    Buckets end where the ancillary rows do: what reaches further meets in the last one."""
+    top = ancillary.agg(F.max(F.greatest("valid_from", F.coalesce("valid_to", "valid_from")))).scalar()
+    spread = lambda d, x, y: d.withColumn("_d", F.explode(F.sequence(F.floor(F.least(x, top) / width), F.floor(F.least(y, top) / width))))
+    days = spread(left.withColumns({"_a": a, "_b": b}), F.col("_a"), F.col("_b"))
+    anc = spread(ancillary, F.col("valid_from"), F.greatest("valid_from", F.coalesce("valid_to", top)))
     hit = days.join(anc, "_d").where((F.col("valid_from") <= F.col("_b")) & (F.col("valid_to").isNull() | (F.col("valid_to") >= F.col("_a"))))
     best = hit.groupBy(key).agg(F.max_by(value, F.struct("ingested", value)).alias(value))
     return left.join(best, key, "left")
@@ -151,11 +173,11 @@ def segments(table: DataFrame, x: str, y: str, by: list[str] | None = None) -> D
 
 def interp_join(left: DataFrame, at: Column, table: DataFrame, x: str, y: str, width: float, log_x: bool = False, by: list[str] | None = None) -> DataFrame:
     """Piecewise linear value of the table at `at`, constant beyond its ends (log_x: linear in the logarithm)."""
-    ends = table.agg(F.min(x).cast("double").alias("a"), F.max(x).cast("double").alias("b")).first() if not by else None
     d = left.withColumn("_q", at.cast("double"))
-    if ends:
-        d = d.withColumn("_q", F.greatest(F.lit(ends["a"]), F.least(F.lit(ends["b"]), F.col("_q"))))
-    got = range_join(d, F.col("_q"), segments(table, x, y, by), F.col("x0"), F.col("x1"), width, "left", by)
+    ends = ends_of(table, F.col(x))
+    if not by:
+        d = d.withColumn("_q", F.greatest(ends.select("a").scalar(), F.least(ends.select("b").scalar(), F.col("_q"))))
+    got = range_join(d, F.col("_q"), segments(table, x, y, by), F.col("x0"), F.col("x1"), width, "left", by, ends=ends)
     f = (lambda c: F.ln(c)) if log_x else (lambda c: c)
     share = F.try_divide(f(F.col("_q")) - f(F.col("x0")), f(F.col("x1")) - f(F.col("x0")))
     value = F.when(F.col("x1").isNull(), F.col("y0")).otherwise(F.col("y0") + (F.col("y1") - F.col("y0")) * share)
@@ -164,7 +186,6 @@ def interp_join(left: DataFrame, at: Column, table: DataFrame, x: str, y: str, w
 
 def nearest_cells(table: DataFrame, x: str) -> DataFrame:
     """Each node's cell (lo, hi] of points nearest to it; a point half-way belongs to the lower node."""
-    w = Window.orderBy(x)
     t = table.select(F.col(x).cast("double").alias("node")).distinct()
     w = Window.orderBy("node")
     return t.select("node", ((F.lag("node").over(w) + F.col("node")) / 2).alias("lo"), ((F.lead("node").over(w) + F.col("node")) / 2).alias("hi"))
@@ -187,21 +208,23 @@ def circular_nearest(left: DataFrame, at: Column, grid: DataFrame, x: str, width
     return got.withColumn(f"nearest_{x}", F.pmod(F.col("nearest__a"), F.lit(360.0))).drop("nearest__a", "_angle")
 
 
-def bilinear_join(left: DataFrame, x: Column, y: Column, grid: DataFrame, step_x: float, step_y: float, value: str, wrap_x: float | None = None) -> DataFrame:
-    """Bilinear value on a regular grid (gx, gy, value: indices of nodes); a missing corner counts 0; longitudes
-    wrap at wrap_x nodes."""
-    d = left.withColumns({"_fx": x / step_x, "_fy": y / step_y})
+def bilinear_join(left: DataFrame, angle: Column, distance: Column, grid: DataFrame, step_angle: float, nodes: int, step_distance: float, least: int, most: int, value: str) -> DataFrame:
+    """Bilinear value at (angle, distance) on a regular grid (gx, gy, value): angles gx * step, gx from 0 to nodes - 1
+    and around; distances gy * step, gy from `least` (above 0) to `most`.  Beyond the largest distance the value is 0;
+    below the least one it is the value there, scaled by the distance.  A hole in the grid gives NULL."""
+    low, high = least * step_distance, most * step_distance
+    d = left.withColumns({"_fx": F.pmod(angle, F.lit(nodes * step_angle)) / step_angle, "_d": distance.cast("double")})
+    d = d.withColumn("_fy", F.greatest(F.lit(low), F.col("_d")) / step_distance)
     d = d.withColumns({"_ix": F.floor("_fx"), "_iy": F.floor("_fy")})
     out, total = d, F.lit(0.0)
     for k, (dx, dy) in enumerate(((0, 0), (1, 0), (0, 1), (1, 1))):
         corner = grid.select(F.col("gx").alias(f"_x{k}"), F.col("gy").alias(f"_y{k}"), F.col(value).cast("double").alias(f"_v{k}"))
-        ix = F.col("_ix") + dx
-        out = out.join(corner, ((F.pmod(ix, F.lit(int(wrap_x))) if wrap_x else ix) == F.col(f"_x{k}")) & (F.col("_iy") + dy == F.col(f"_y{k}")), "left")
+        out = out.join(corner, (F.pmod(F.col("_ix") + dx, F.lit(nodes)) == F.col(f"_x{k}")) & (F.col("_iy") + dy == F.col(f"_y{k}")), "left")
         wx = F.col("_fx") - F.col("_ix") if dx else 1 - F.col("_fx") + F.col("_ix")
         wy = F.col("_fy") - F.col("_iy") if dy else 1 - F.col("_fy") + F.col("_iy")
-        total = total + wx * wy * F.coalesce(F.col(f"_v{k}"), F.lit(0.0))
-    keep = left.columns
-    return out.withColumn(f"{value}_at", total).select(*keep, f"{value}_at")
+        total = total + F.when(wx * wy == 0, 0.0).otherwise(wx * wy * F.col(f"_v{k}"))
+    scaled = F.when(F.col("_d") < low, total * F.col("_d") / low).otherwise(total)
+    return out.withColumn(f"{value}_at", F.when(F.col("_d") > high, 0.0).otherwise(scaled)).select(*left.columns, f"{value}_at")
 
 
 def sky_proximity(points: DataFrame, lon: str, lat: str, catalog: DataFrame, key: str) -> DataFrame:
@@ -222,10 +245,9 @@ def dim_lookup(df: DataFrame, dim: DataFrame, keys: list[str], values: list[str]
 
 def flags_around(left: DataFrame, t: Column, series: DataFrame, at: Column, flags: str, width: float) -> DataFrame:
     """Flags of the records before and after t joined; only the equal one where there is one; the last beyond the end."""
-    w = Window.orderBy("_from")
     s = series.withColumn("_from", at).groupBy("_from").agg(F.bit_or(flags).alias("_f0"))
-    s = s.withColumns({"_until": F.lead("_from").over(w), "_f1": F.lead("_f0").over(w)})
-    got = range_join(left.withColumn("_t", t), F.col("_t"), s, F.col("_from"), F.col("_until"), width, "left")
+    s = with_next(s, "_from", {"_until": "_from", "_f1": "_f0"}, width)
+    got = range_join(left.withColumn("_t", t), F.col("_t"), s, F.col("_from"), F.col("_until"), width, "left", ends=ends_of(series, at))
     value = F.when(F.col("_t") == F.col("_from"), F.col("_f0")).otherwise(F.col("_f0").bitwiseOR(F.coalesce("_f1", F.lit(0))))
     return got.withColumn("flags_around", value).drop("_from", "_until", "_f0", "_f1", "_t")
 

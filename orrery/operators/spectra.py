@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -101,9 +103,8 @@ def rotation_mean(df: DataFrame, number: Column, value: str, grid: DataFrame, at
     its square; grid points past the data get the fill value and a flag, or raise without one."""
     v = F.col(value) * distance * distance if distance is not None else F.col(value)
     m = df.groupBy(F.floor(number).alias("_n")).agg(F.avg(v).alias(value)).select((F.col("_n") + 0.5).alias("_x"), value)
-    ends = m.agg(F.min("_x").alias("a"), F.max("_x").alias("b")).first()
     d = interp_join(grid, F.col(at), m, "_x", value, 1.0)
-    past = F.col(at) > F.lit(ends["b"])
+    past = F.col(at) > m.agg(F.max("_x")).scalar()
     out = F.lit(fill) if fill is not None else F.raise_error(F.lit("the grid reaches past the data")).cast("double")
     return d.withColumns({"filled": past, f"{value}_at": F.when(past, out).otherwise(F.col(f"{value}_at"))})
 
@@ -129,8 +130,7 @@ def photoion_mean(flux: DataFrame, windows: DataFrame, profile: DataFrame) -> Da
     m = m.withColumns({"_b": F.last(good, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), "_a": F.first(good, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
     between = F.col("_b.y") + (F.col("_a.y") - F.col("_b.y")) * (F.col("cr") - F.col("_b.x")) / (F.col("_a.x") - F.col("_b.x"))
     m = m.withColumn("photo", F.when(F.col("n") > 2, F.col("m")).otherwise(between)).select("cr", "photo")
-    lats = profile.select(F.collect_list(F.struct("lat", "share")).alias("p")).first()["p"]  # a latitude grid
-    grid = F.array(*[F.struct(F.lit(x["lat"]).alias("lat"), F.lit(x["share"]).alias("share")) for x in lats])
+    grid = profile.agg(F.collect_list(F.struct("lat", "share"))).scalar()  # a latitude grid: short
     return m.select("cr", "photo", F.explode(grid).alias("g")).select("cr", F.col("g.lat").alias("lat"), (F.col("photo") * F.col("g.share")).alias("photo"))
 
 
@@ -159,9 +159,9 @@ def daily_sigma_clip(df: DataFrame, day: str, total: str, low: float, high: floa
 
 
 def median_in_window(df: DataFrame, keys: list[str], t_us: Column, value: str, empty: float = 90.0) -> DataFrame:
-    """Median between 0.5 and 22.5 hours after the first sample, rounded half to even; `empty` if there is none."""
+    """Median from 0.5 up to (not at) 22.5 hours after the first sample, rounded half to even; `empty` if there is none."""
     d = df.withColumn("_t", t_us).withColumn("_s", F.min("_t").over(Window.partitionBy(*keys)))
-    inside = (F.col("_t") >= F.col("_s") + int(0.5 * 3600e6)) & (F.col("_t") <= F.col("_s") + int(22.5 * 3600e6))
+    inside = (F.col("_t") >= F.col("_s") + int(0.5 * 3600e6)) & (F.col("_t") < F.col("_s") + int(22.5 * 3600e6))
     return d.groupBy(*keys).agg(F.coalesce(F.bround(F.median(F.when(inside, F.col(value)))), F.lit(empty)).alias("median"))
 
 
@@ -188,10 +188,14 @@ def peak_window(df: DataFrame, keys: list[str], bin_col: str, value: str, half:
     return df.join(peak, keys).where(F.abs(F.col(bin_col) - F.col("peak")) <= half)
 
 
-def peak_speed(df: DataFrame, keys: list[str], bin_col: str, rate: str, speed: Column, half: int = 4, bins: int = 62) -> DataFrame:
-    """Rate-weighted speed around the peak of the sweep mean."""
-    w = peak_window(df, keys, bin_col, rate, half, bins)
-    return w.groupBy(*keys).agg(F.try_divide(F.sum(speed * F.col(rate)), F.sum(rate)).alias("speed"))
+def peak_speed(df: DataFrame, keys: list[str], bin_col: str, rate: str, voltage: str, speed: Callable[[Column], Column], half: int = 4, bins: int = 62) -> DataFrame:
+    """Rate-weighted mean of speed(voltage) around the peak.  Rates and voltages are averaged over sweeps first (NULLs
+    left out); then bins without a mean, of a negative rate or of no positive voltage are left out.  NULL without any."""
+    mean = df.groupBy(*keys, F.col(bin_col).alias("_bin")).agg(F.avg(rate).alias("_rate"), F.avg(voltage).alias("_voltage"))
+    w = peak_window(mean.where("_rate IS NOT NULL"), keys, "_bin", "_rate", half, bins)
+    good = w.where("_rate >= 0 AND _voltage > 0")
+    got = good.groupBy(*keys).agg(F.try_divide(F.sum(speed(F.col("_voltage")) * F.col("_rate")), F.sum("_rate")).alias("speed"))
+    return df.select(*keys).distinct().join(got, keys, "left")
 
 
 def block_velocity(df: DataFrame, by: list[str], order: str, n: int, components: list[str], flags: str) -> DataFrame:
@@ -231,20 +235,22 @@ def second_peak(df: DataFrame, keys: list[str], energy: str, counts: str, backgr
     return g.select(*keys, "main_energy", i.alias("peak_bin"), F.when(error.isNull(), i - 3).alias("first_bin"), F.when(error.isNull(), i + 1).alias("last_bin"), error.alias("error"))
 
 
-def top_per_group(words: DataFrame, event: str, required: list[int]) -> DataFrame:
-    """Per detector group the word with the highest signal (low gain counts 20 times) among unsaturated ones (adc
-    below 2047); an event is void (no rows) if a required group has none."""
-    ok = words.where("adc < 2047").withColumn("signal", F.col("adc") * F.when(F.col("low_gain"), 20).otherwise(1))
-    best = ok.groupBy(event, "group").agg(F.max(F.struct("signal", "address", "adc", "low_gain")).alias("w")).select(event, "group", "w.*")
-    have = best.where(F.col("group").isin(required)).groupBy(event).agg(F.count("*").alias("n")).where(F.col("n") == len(required)).select(event)
+def top_per_group(words: DataFrame, event: str, order: str, included: str) -> DataFrame:
+    """Per detector group that the event's rule includes (array column `included`; NULL: no rule) the word with the
+    highest signal (low gain counts 20 times) among unsaturated ones (adc below 2047), the first by `order` of equal
+    ones.  An event is void (no rows) if an included group has none."""
+    ok = words.where((F.col("adc") < 2047) & F.array_contains(included, F.col("group"))).withColumn("signal", F.col("adc") * F.when(F.col("low_gain"), 20).otherwise(1))
+    best = ok.groupBy(event, "group").agg(F.max_by(F.struct("signal", "address", "adc", "low_gain", included), F.struct(F.col("signal"), -F.col(order))).alias("w")).select(event, "group", "w.*")
+    have = best.groupBy(event).agg(F.count("*").alias("n"), F.first(F.size(included)).alias("m")).where("n = m").select(event)
     return best.join(have, event, "left_semi")
 
 
-def event_energies(best: DataFrame, gain: DataFrame, event: str, delta_group: int, prime_group: int, cosine: Column) -> DataFrame:
-    """T4: energies cosine * (adc * a + b) of the selected words: the two roles and their total (gain: low_gain, address, a, b)."""
+def event_energies(best: DataFrame, gain: DataFrame, event: str, delta: Column, prime: Column, cosine: Column) -> DataFrame:
+    """T4: energies cosine * (adc * a + b) of the selected words: of the groups of the two roles (columns of best) and
+    their total (gain: low_gain, address, a, b)."""
     e = best.join(gain, ["low_gain", "address"]).withColumn("_e", cosine * (F.col("adc") * F.col("a") + F.col("b")))
     role = lambda g: F.sum(F.when(F.col("group") == g, F.col("_e")))
-    return e.groupBy(event).agg(role(delta_group).alias("e_delta"), role(prime_group).alias("e_prime"), F.sum("_e").alias("total"))
+    return e.groupBy(event).agg(role(delta).alias("e_delta"), role(prime).alias("e_prime"), F.sum("_e").alias("total"))
 
 
 def nearest_index(df: DataFrame, target: Column, x: str) -> DataFrame:

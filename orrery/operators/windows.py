@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .joins import with_next
+
 from ..functions.expr import let
 
 
@@ -135,7 +137,7 @@ def gated_candidates(df: DataFrame, by: list[str], factor: float, seed: float, f
 
 def even_spacing_check(df: DataFrame, t_us: Column, slack_us: int = 1000) -> DataFrame:
     """half_us: half the first spacing of the instants; raises when half spacings spread by the slack or more."""
-    d = df.select(t_us.alias("t")).distinct().withColumn("h", (F.lead("t").over(Window.orderBy("t")) - F.col("t")) / 2)
+    d = with_next(df.select(t_us.alias("t")).distinct(), "t", {"_n": "t"}, 86400e6).withColumn("h", (F.col("_n") - F.col("t")) / 2)
     g = d.agg(F.max("h").alias("a"), F.min("h").alias("b"), F.min_by("h", "t").alias("h"))
     return g.select(F.when(F.col("a") - F.col("b") >= slack_us, F.raise_error(F.lit("instants are not evenly spaced")).cast("double")).otherwise(F.col("h")).alias("half_us"))
 

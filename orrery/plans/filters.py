@@ -135,11 +135,10 @@ def j19(spark, sf):
 
 
 @query("j20_prefer_level", """
-SELECT l_orderkey, l_linenumber, l_returnflag <> 'R' AS preliminary FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE l_returnflag WHEN 'R' THEN 1 ELSE 2 END) AS n FROM (SELECT * FROM lineitem WHERE l_returnflag IN ('R', 'A') AND (l_linenumber=1 OR l_returnflag='R') QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber)=1)) WHERE n=1""")
+SELECT l_orderkey, l_linenumber, l_returnflag <> 'R' AS preliminary FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE l_returnflag WHEN 'R' THEN 1 WHEN 'N' THEN 2 ELSE 3 END) AS n FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber)=1)) WHERE n=1""")
 def j20(spark, sf):
-    li = _li(spark, sf).where("l_returnflag = 'R' OR (l_returnflag = 'A' AND l_linenumber = 1)")
-    first = li.groupBy("l_orderkey", F.col("l_returnflag").alias("level")).agg(F.min("l_linenumber").alias("l_linenumber"))
-    return C.prefer_level(first, "l_orderkey", ["R", "A"]).select("l_orderkey", "l_linenumber", "preliminary")
+    first = _li(spark, sf).groupBy("l_orderkey", F.col("l_returnflag").alias("level")).agg(F.min("l_linenumber").alias("l_linenumber"))
+    return C.prefer_level(first, "l_orderkey", ["R", "N", "A"]).select("l_orderkey", "l_linenumber", "preliminary")
 
 
 _REP = "SELECT o_custkey AS id, min(o_orderdate) AS start_utc, min(o_orderdate) + INTERVAL 1 HOUR AS end_utc FROM orders GROUP BY 1"
@@ -155,16 +154,17 @@ def j21(spark, sf):
 
 
 @query("j24_forced_targets", """
-WITH r AS (SELECT o_custkey AS id, min(epoch_us(o_orderdate)//86400000000) AS d FROM orders GROUP BY 1), t AS (SELECT o_custkey AS id FROM orders WHERE o_orderkey % 30 = 0), c AS (SELECT DISTINCT (epoch_us(o_orderdate)//86400000000)//27 AS cr FROM orders WHERE o_orderkey % 200 = 0)
-SELECT DISTINCT 'l3_map' AS product, id FROM t UNION SELECT 'l3_map', id FROM r WHERE d//27 IN (SELECT cr FROM c)""")
+WITH r AS (SELECT o_custkey AS id, min(epoch_us(o_orderdate)//86400000000) AS d FROM orders GROUP BY 1), l AS (SELECT o_custkey AS id, o_orderkey, (epoch_us(o_orderdate)//86400000000)//27 AS cr FROM orders WHERE o_orderdate + INTERVAL 1500 DAY >= DATE '2001-01-01')
+SELECT DISTINCT 'l3_map' AS product, id FROM l UNION SELECT 'l3_spectrum', r.id FROM r JOIN l ON r.d//27 = l.cr""")
 def j24(spark, sf):
     o = table(spark, sf, "orders").withColumn("d", F.floor(F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 86400000000))
     rep = o.groupBy(F.col("o_custkey").alias("id")).agg(F.min("d").alias("day"))
-    line = lambda body, name, after: F.struct(F.concat(F.lit(name + " "), body).alias("target"), F.lit(after).cast("date").alias("ignore_after"))
-    both = F.concat(F.lit("repoint"), F.col("o_custkey").cast("string"))
-    rows = o.where("o_orderkey % 30 = 0").select(F.explode(F.array(line(both, "l3_map", None), line(both, "l9_none", None), line(F.concat(both, F.lit("9, cr1")), "l3_map", "2001-01-01"))).alias("x"))
-    cr = o.where("o_orderkey % 200 = 0").select(line(F.concat(F.lit("cr"), F.floor(F.col("d") / 27).cast("string")), "l3_map", None).alias("x"))
-    return C.forced_targets(rows.union(cr).select("x.*"), F.lit("2020-01-01").cast("date"), rep, 27.0, ["l3_map"])
+    line = lambda name, body: F.concat(F.lit(name + " "), body)
+    pointing, rotation = F.concat(F.lit("repoint"), F.col("o_custkey").cast("string")), F.concat(F.lit("cr"), F.floor(F.col("d") / 27).cast("string"))
+    # each order asks for its customer's pointing, for a product that is not made, and for its day's rotation
+    targets = F.explode(F.array(line("l3_map", pointing), line("l9_none", F.concat(pointing, F.lit("9, cr1"))), line("l3_spectrum", rotation)))
+    lines = o.select(targets.alias("target"), F.date_add(F.to_date("o_orderdate"), 1500).alias("ignore_after"))
+    return C.forced_targets(lines, F.lit("2001-01-01").cast("date"), rep, 27.0, ["l3_map", "l3_spectrum"])
 
 
 @query("w9_first_changed", """
@@ -175,13 +175,14 @@ def w9(spark, sf):
 
 
 @query("u1_u3_u4_sets", """
-SELECT 'u1' AS op, priority, count(*) AS n FROM (SELECT l_linenumber AS priority FROM lineitem WHERE l_returnflag='A' UNION ALL SELECT l_linenumber+7 FROM lineitem WHERE l_returnflag='R') GROUP BY 2
-UNION ALL SELECT 'u3', l_linenumber, count(*) FROM (SELECT l_linenumber FROM lineitem WHERE l_returnflag='R' UNION ALL SELECT l_linenumber FROM lineitem WHERE l_returnflag='A' AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag='R')) GROUP BY 2
-UNION ALL SELECT 'u4', 0, count(*) FROM (SELECT l_orderkey FROM lineitem WHERE l_returnflag='R' UNION SELECT l_orderkey FROM lineitem WHERE l_returnflag='A')
-UNION ALL SELECT 'minus', 0, count(*) FROM (SELECT l_orderkey FROM lineitem WHERE l_returnflag='R' EXCEPT ALL SELECT l_orderkey FROM lineitem WHERE l_returnflag='A')""")
+WITH a AS (SELECT l_linenumber, l_orderkey FROM lineitem WHERE l_returnflag <> 'R'), b AS (SELECT l_linenumber, l_orderkey FROM lineitem WHERE l_returnflag='R')
+SELECT 'u1' AS op, priority, count(*) AS n FROM (SELECT l_linenumber AS priority FROM a UNION ALL SELECT l_linenumber+7 FROM b) GROUP BY 2
+UNION ALL SELECT 'u3', l_linenumber, count(*) FROM (SELECT l_linenumber FROM b UNION ALL SELECT l_linenumber FROM a WHERE l_orderkey NOT IN (SELECT l_orderkey FROM b)) GROUP BY 2
+UNION ALL SELECT 'u4', 0, count(*) FROM (SELECT l_orderkey FROM b UNION SELECT l_orderkey FROM a)
+UNION ALL SELECT 'minus', 0, count(*) FROM (SELECT l_orderkey FROM b EXCEPT ALL SELECT l_orderkey FROM a)""")
 def u1(spark, sf):
     li = _li(spark, sf).select(F.col("l_linenumber").alias("priority"), "l_orderkey", "l_returnflag")
-    a, b = li.where("l_returnflag = 'A'"), li.where("l_returnflag = 'R'")
+    a, b = li.where("l_returnflag <> 'R'"), li.where("l_returnflag = 'R'")
     count = lambda d, op: d.groupBy("priority").agg(F.count("*").alias("n")).select(F.lit(op).alias("op"), "priority", "n")
     out = count(C.stack_priorities(a, b, ["l_orderkey"], 7), "u1").unionByName(count(C.override_by_key(a, b, ["l_orderkey"]), "u3"))
     ka, kb = a.select("l_orderkey"), b.select("l_orderkey")

@@ -15,12 +15,13 @@ def _events(spark, sf, kind):
 
 
 @query("j1_nearest_join", """
-WITH l AS (SELECT event_id, ts, user_id FROM events WHERE event_type='purchase'), q AS (SELECT ts, user_id, value FROM events WHERE event_type='view'),
-c AS (SELECT l.event_id, q.ts AS m, q.value, row_number() OVER (PARTITION BY l.event_id ORDER BY abs(epoch_us(q.ts)-epoch_us(l.ts)), q.ts, q.value) AS n FROM l JOIN q ON q.user_id=l.user_id AND abs(epoch_us(q.ts)-epoch_us(l.ts)) <= 1800000000)
-SELECT l.event_id, epoch_us(c.m) AS matched_us FROM l LEFT JOIN c ON c.event_id=l.event_id AND n=1""")
+WITH l AS (SELECT event_id, date_trunc('minute', ts) AS ts, user_id FROM events WHERE event_type='purchase'), q AS (SELECT date_trunc('minute', ts) AS ts, user_id, value FROM events WHERE event_type='view' AND value IS NOT NULL),
+c AS (SELECT l.event_id, q.ts AS m, q.value, row_number() OVER (PARTITION BY l.event_id ORDER BY abs(epoch_us(q.ts)-epoch_us(l.ts)), q.ts, CASE WHEN q.ts >= l.ts THEN q.value ELSE -q.value END) AS n FROM l JOIN q ON q.user_id=l.user_id AND abs(epoch_us(q.ts)-epoch_us(l.ts)) <= 1800000000)
+SELECT l.event_id, epoch_us(c.m) AS matched_us, round(c.value, 6) AS seen FROM l LEFT JOIN c ON c.event_id=l.event_id AND n=1""")
 def j1(spark, sf):
-    d = J.nearest_join(_events(spark, sf, "purchase").select("event_id", "ts", "user_id"), _events(spark, sf, "view").select("ts", "user_id", F.col("value").alias("seen")), "ts", ["seen"], 30 * _MIN, ["user_id"])
-    return d.select("event_id", F.unix_micros("matched_ts").alias("matched_us"))
+    ts = F.date_trunc("minute", "ts").alias("ts")
+    d = J.nearest_join(_events(spark, sf, "purchase").select("event_id", ts, "user_id"), _events(spark, sf, "view").select(ts, "user_id", F.col("value").alias("seen")), "ts", ["seen"], 30 * _MIN, ["user_id"])
+    return d.select("event_id", F.unix_micros("matched_ts").alias("matched_us"), r(F.col("seen"), "seen", 6))
 
 
 @query("j2_interval_mean_join", """
@@ -132,14 +133,14 @@ def j11(spark, sf):
 
 
 @query("j12_bilinear_join", """
-WITH g AS (SELECT (p_size % 12)::BIGINT AS gx, (p_partkey % 6)::BIGINT AS gy, avg(p_retailprice) AS v FROM part GROUP BY 1, 2),
-q AS (SELECT l_orderkey, l_linenumber, (l_quantity*7.3 % 360)/30 AS fx, l_tax*60 AS fy FROM lineitem), c AS (SELECT *, floor(fx)::BIGINT AS ix, floor(fy)::BIGINT AS iy FROM q)
-SELECT l_orderkey, l_linenumber, round((1-fx+ix)*(1-fy+iy)*coalesce(a.v,0)+(fx-ix)*(1-fy+iy)*coalesce(b.v,0)+(1-fx+ix)*(fy-iy)*coalesce(d.v,0)+(fx-ix)*(fy-iy)*coalesce(e.v,0), 4) AS v_at
+WITH g AS (SELECT (p_size % 12)::BIGINT AS gx, 1 + (p_partkey % 6)::BIGINT AS gy, avg(p_retailprice) AS v FROM part GROUP BY 1, 2),
+q AS (SELECT l_orderkey, l_linenumber, (l_quantity*7.3 % 360)/30 AS fx, l_tax*100 AS d, greatest(1, l_tax*100) AS fy FROM lineitem), c AS (SELECT *, floor(fx)::BIGINT AS ix, floor(fy)::BIGINT AS iy FROM q)
+SELECT l_orderkey, l_linenumber, round(CASE WHEN c.d > 6 THEN 0 ELSE ((1-fx+ix)*(1-fy+iy)*a.v+(fx-ix)*(1-fy+iy)*b.v+(1-fx+ix)*(fy-iy)*coalesce(d.v,0)+(fx-ix)*(fy-iy)*coalesce(e.v,0))*least(1, c.d) END, 4) AS v_at
 FROM c LEFT JOIN g a ON a.gx=ix AND a.gy=iy LEFT JOIN g b ON b.gx=(ix+1)%12 AND b.gy=iy LEFT JOIN g d ON d.gx=ix AND d.gy=iy+1 LEFT JOIN g e ON e.gx=(ix+1)%12 AND e.gy=iy+1""")
 def j12(spark, sf):
-    grid = table(spark, sf, "part").groupBy((F.col("p_size") % 12).cast("long").alias("gx"), (F.col("p_partkey") % 6).alias("gy")).agg(F.avg("p_retailprice").alias("v"))
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.pmod(F.col("l_quantity") * 7.3, F.lit(360.0)).alias("lon"), "l_tax")
-    return J.bilinear_join(li, F.col("lon"), F.col("l_tax") * 60, grid, 30.0, 1.0, "v", 12).select("l_orderkey", "l_linenumber", r(F.col("v_at"), "v_at"))
+    grid = table(spark, sf, "part").groupBy((F.col("p_size") % 12).cast("long").alias("gx"), (1 + F.col("p_partkey") % 6).alias("gy")).agg(F.avg("p_retailprice").alias("v"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity") * 7.3).alias("lon"), "l_tax")
+    return J.bilinear_join(li, F.col("lon"), F.col("l_tax") * 100, grid, 30.0, 12, 1.0, 1, 6, "v").select("l_orderkey", "l_linenumber", r(F.col("v_at"), "v_at"))
 
 
 _LL = "degrees(atan2(embedding[2]::DOUBLE, embedding[1]::DOUBLE)) AS lon, degrees(asin(embedding[3]::DOUBLE/sqrt(embedding[1]::DOUBLE*embedding[1]::DOUBLE+embedding[2]::DOUBLE*embedding[2]::DOUBLE+embedding[3]::DOUBLE*embedding[3]::DOUBLE))) AS lat"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as X
 from ..operators import fits as FIT
+from ..operators import joins as J
 from ..operators import spectra as S
 from .base import query, r, table
 from .histograms import _ROT, rotations
@@ -92,8 +93,7 @@ g AS (SELECT a+i*0.7 AS g, z, greatest(a, least(z, a+i*0.7)) AS q FROM b, range(
 SELECT round(g, 4) AS g, round(CASE WHEN g > z THEN 0.04 WHEN x1 IS NULL THEN y ELSE y+(y1-y)*(q-x)/(x1-x) END, 4) AS v, g > z AS filled FROM g ASOF JOIN s ON q >= x""")
 def a36(spark, sf):
     o = table(spark, sf, "orders").select(X.rotation_number(X.julian_date(F.col("o_orderdate").cast("timestamp"))).alias("n"), F.col("o_totalprice").alias("v"))
-    first = o.agg(F.floor(F.min("n")).alias("a")).first()["a"]
-    grid = spark.range(150).select((F.lit(first + 0.5) + F.col("id") * 0.7).alias("g"))
+    grid = spark.range(150).select((o.agg(F.floor(F.min("n"))).scalar() + 0.5 + F.col("id") * 0.7).alias("g"))
     d = S.rotation_mean(o, F.col("n"), "v", grid, "g", F.lit(1.1), 0.04)
     return d.select(r(F.col("g"), "g"), r(F.col("v_at"), "v"), "filled")
 
@@ -130,13 +130,13 @@ WITH c(v, k) AS (VALUES {", ".join(f"({v}::DOUBLE, {k}::DOUBLE)" for v, k in CUR
 SELECT cr, b.v AS speed, round(y/b.k, 6) AS density, (SELECT round(avg(y), 4) FROM (SELECT y FROM m ORDER BY cr DESC LIMIT 13)) AS invariant FROM m""")
 def a40(spark, sf):
     rot = rotations(spark, sf)
-    inv = S.invariant(rot, "cr", "y", 13).first()["invariant"]
-    return S.invert_curve(rot, "y", CURVE).select("cr", "speed", r(F.col("density"), "density", 6), r(F.lit(inv), "invariant"))
+    inv = S.invariant(rot, "cr", "y", 13).scalar()
+    return S.invert_curve(rot, "y", CURVE).select("cr", "speed", r(F.col("density"), "density", 6), r(inv, "invariant"))
 
 
 @query("a42_a43_daily", """
 WITH d AS (SELECT event_id, user_id, ts::DATE AS day, value, epoch_us(ts) AS t, min(epoch_us(ts)) OVER (PARTITION BY user_id) AS s FROM events), c AS (SELECT event_id, user_id, value < avg(value) OVER w - 1.2*stddev_pop(value) OVER w OR value > avg(value) OVER w + 1.5*stddev_pop(value) OVER w AS clipped FROM d WINDOW w AS (PARTITION BY day)),
-m AS (SELECT user_id, coalesce(round_even(median(CASE WHEN t >= s+1800000000 AND t <= s+81000000000 THEN value END), 0), 90) AS median FROM d GROUP BY user_id)
+m AS (SELECT user_id, coalesce(round_even(median(CASE WHEN t >= s+1800000000 AND t < s+81000000000 THEN value END), 0), 90) AS median FROM d GROUP BY user_id)
 SELECT event_id, clipped, median FROM c JOIN m USING (user_id)""")
 def a42(spark, sf):
     ev = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
@@ -155,12 +155,13 @@ def a44(spark, sf):
 
 
 @query("a48_t1_peaks", f"""
-WITH {_SPEC}, m AS (SELECT epoch, (energy-1)::INTEGER AS b, avg(psd) AS m FROM s GROUP BY ALL), p AS (SELECT epoch, greatest(4, least(45, arg_max(b, m))) AS peak FROM (SELECT * FROM m ORDER BY b) GROUP BY epoch)
-SELECT epoch, peak, count(*) AS n, round(sum(sqrt(energy)*psd)/sum(psd), 6) AS speed FROM s JOIN p USING (epoch) WHERE abs((energy-1)::INTEGER-peak) <= 4 GROUP BY ALL""")
+WITH {_SPEC}, s2 AS (SELECT epoch, (energy-1)::INTEGER AS b, psd*(detector-3) AS rate, energy+detector AS voltage FROM s), m AS (SELECT epoch, b, avg(rate) AS m, avg(voltage) AS v FROM s2 GROUP BY ALL), p AS (SELECT epoch, greatest(4, least(45, arg_max(b, m))) AS peak FROM (SELECT * FROM m ORDER BY b) GROUP BY epoch),
+w AS (SELECT epoch, sum(sqrt(v)*m)/sum(m) AS speed FROM m JOIN p USING (epoch) WHERE abs(b-peak) <= 4 AND m >= 0 GROUP BY epoch)
+SELECT epoch, peak, count(*) AS n, round(any_value(speed), 6) AS speed FROM s2 JOIN p USING (epoch) LEFT JOIN w USING (epoch) WHERE abs(b-peak) <= 4 GROUP BY ALL""")
 def a48(spark, sf):
-    d = _spectrum(spark, sf).withColumn("b", (F.col("energy") - 1).cast("int"))
-    n = S.peak_window(d, ["epoch"], "b", "psd", 4, 50).groupBy("epoch", "peak").agg(F.count("*").alias("n"))
-    v = S.peak_speed(d, ["epoch"], "b", "psd", F.sqrt("energy"), 4, 50)
+    d = _spectrum(spark, sf).select("epoch", (F.col("energy") - 1).cast("int").alias("b"), (F.col("psd") * (F.col("detector") - 3)).alias("rate"), (F.col("energy") + F.col("detector")).alias("voltage"))
+    n = S.peak_window(d, ["epoch"], "b", "rate", 4, 50).groupBy("epoch", "peak").agg(F.count("*").alias("n"))
+    v = S.peak_speed(d, ["epoch"], "b", "rate", "voltage", F.sqrt, 4, 50)
     return n.join(v, "epoch").select("epoch", "peak", "n", r(F.col("speed"), "speed", 6))
 
 
@@ -183,13 +184,21 @@ def t2(spark, sf):
 
 
 @query("t3_t4_event_words", """
-WITH w AS (SELECT l_orderkey AS ev, (l_suppkey % 8)::INTEGER AS g, (l_linenumber)::INTEGER AS address, (40*l_quantity)::INTEGER AS adc, l_linestatus='F' AS low FROM lineitem), b AS (SELECT *, adc*CASE WHEN low THEN 20 ELSE 1 END AS signal, row_number() OVER (PARTITION BY ev, g ORDER BY adc*CASE WHEN low THEN 20 ELSE 1 END DESC, address DESC) AS n FROM w WHERE adc < 2047),
-k AS (SELECT * FROM b WHERE n=1), v AS (SELECT ev FROM k WHERE g IN (1, 2) GROUP BY ev HAVING count(*)=2)
-SELECT ev, round(sum(CASE WHEN g=1 THEN 0.9::DOUBLE*(adc*(0.1::DOUBLE*address)+CASE WHEN low THEN 2 ELSE 1 END) END), 6) AS e_delta, round(sum(CASE WHEN g=2 THEN 0.9::DOUBLE*(adc*(0.1::DOUBLE*address)+CASE WHEN low THEN 2 ELSE 1 END) END), 6) AS e_prime, round(sum(0.9::DOUBLE*(adc*(0.1::DOUBLE*address)+CASE WHEN low THEN 2 ELSE 1 END)), 6) AS total FROM k WHERE ev IN (SELECT ev FROM v) GROUP BY ev""")
+WITH w AS (SELECT l_orderkey AS ev, (l_suppkey % 4)::INTEGER AS g, l_linenumber*1000000+l_partkey AS no, (l_partkey % 5)::INTEGER AS address, (40*l_quantity)::INTEGER AS adc, l_linestatus='F' AS low FROM lineitem), r AS (SELECT ev, list(DISTINCT g) AS gs FROM w GROUP BY ev),
+x AS (SELECT ev, CASE WHEN list_contains(gs, 1) AND list_contains(gs, 2) AND NOT list_contains(gs, 3) THEN [1, 2] WHEN list_contains(gs, 2) AND list_contains(gs, 3) THEN [2, 3] WHEN list_contains(gs, 0) THEN [0] END AS inc FROM r),
+b AS (SELECT w.*, inc, adc*CASE WHEN low THEN 20 ELSE 1 END AS signal, row_number() OVER (PARTITION BY ev, g ORDER BY adc*CASE WHEN low THEN 20 ELSE 1 END DESC, no) AS n FROM w JOIN x USING (ev) WHERE adc < 2047 AND list_contains(inc, g)),
+k AS (SELECT *, 0.9::DOUBLE*(adc*(0.1::DOUBLE*address)+CASE WHEN low THEN 2 ELSE 1 END) AS e FROM b WHERE n=1), v AS (SELECT ev FROM k GROUP BY ev, len(inc) HAVING count(*)=len(inc))
+SELECT ev, round(sum(CASE WHEN g=inc[1] THEN e END), 6) AS e_delta, round(sum(CASE WHEN g=inc[2] THEN e END), 6) AS e_prime, round(sum(e), 6) AS total FROM k WHERE ev IN (SELECT ev FROM v) GROUP BY ev""")
 def t3(spark, sf):
-    w = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("ev"), (F.col("l_suppkey") % 8).cast("int").alias("group"), F.col("l_linenumber").alias("address"), (F.col("l_quantity") * 40).cast("int").alias("adc"), (F.col("l_linestatus") == "F").alias("low_gain"))
+    w = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("ev"), (F.col("l_suppkey") % 4).cast("int").alias("group"), (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("no"), (F.col("l_partkey") % 5).cast("int").alias("address"), (F.col("l_quantity") * 40).cast("int").alias("adc"), (F.col("l_linestatus") == "F").alias("low_gain"))
+    rules = {"near": ([1, 2], [3]), "far": ([2, 3], []), "single": ([0], [])}
+    events = J.set_rule_join(w.groupBy("ev").agg(F.collect_set("group").alias("groups")), "groups", [{"name": n, "include": a, "exclude": b} for n, (a, b) in rules.items()])
+    included = F.lit(None).cast("array<int>")
+    for name, (groups, _) in rules.items():
+        included = F.when(F.col("rule") == name, F.array(*[F.lit(g) for g in groups])).otherwise(included)
     gain = w.select("address", "low_gain").distinct().select("address", "low_gain", (F.col("address") * 0.1).alias("a"), F.when(F.col("low_gain"), 2.0).otherwise(1.0).alias("b"))
-    d = S.event_energies(S.top_per_group(w, "ev", [1, 2]), gain, "ev", 1, 2, F.lit(0.9))
+    best = S.top_per_group(w.join(events.select("ev", included.alias("included")), "ev"), "ev", "no", "included")
+    d = S.event_energies(best, gain, "ev", F.get("included", F.lit(0)), F.get("included", F.lit(1)), F.lit(0.9))
     return d.select("ev", r(F.col("e_delta"), "e_delta", 6), r(F.col("e_prime"), "e_prime", 6), r(F.col("total"), "total", 6))
 
 
@@ -200,10 +209,13 @@ def t5(spark, sf):
 
 
 @query("a52_log_local_fit", f"""
-WITH {_SPEC}, c(bin, centre) AS (VALUES (0, 3.0), (1, 8.0), (2, 20.0), (3, 44.0)), p AS (SELECT epoch, bin, centre, ln(energy) AS x, ln(psd) AS y, energy/centre AS s FROM s, c WHERE psd > 0 AND energy >= 0.6*centre AND energy <= 1.4*centre)
-SELECT epoch, bin, count(*) AS n, round(CASE WHEN count(*) >= 2 AND ((min(s) <= 1 AND max(s) >= 1) OR min(s) BETWEEN 1 AND 1.1 OR max(s) BETWEEN 0.9 AND 1) AND var_pop(x) > 1e-12 THEN exp(regr_intercept(y, x)+regr_slope(y, x)*ln(any_value(centre))) END, 4) AS psd FROM p GROUP BY epoch, bin""")
+WITH {_SPEC}, g AS (SELECT epoch, detector, sector//3 AS slot, energy, psd FROM s WHERE psd > 0), o AS (SELECT epoch, detector, slot, max(energy) AS top, max(energy) FILTER (n = 2) AS second FROM (SELECT *, row_number() OVER (PARTITION BY epoch, detector, slot ORDER BY energy) AS n FROM g) GROUP BY 1, 2, 3),
+c(bin, centre) AS (VALUES (0, 3.0), (1, 8.0), (2, 20.0), (3, 44.0)), p AS (SELECT epoch, detector, slot, bin, centre, count(*) AS n, regr_slope(ln(psd), ln(energy)) AS m, regr_intercept(ln(psd), ln(energy)) AS b, var_pop(ln(energy)) AS spread, min(abs(energy/centre-1)) AS near, min(energy) < centre AND max(energy) > centre AS sides FROM g, c WHERE energy > 0.6*centre AND energy < 1.4*centre GROUP BY epoch, detector, slot, bin, centre),
+x AS (SELECT p.*, top > 0.6*centre AND top < 1.4*centre AS has_top, second > 0.6*centre AND second < 1.4*centre AS has_second FROM p JOIN o USING (epoch, detector, slot))
+SELECT epoch, detector, slot, bin, n, round(CASE WHEN n >= 2 AND spread > 1e-12 AND ((has_top AND near < 0.18) OR (has_second AND (near < 0.12 OR sides)) OR (NOT has_top AND NOT has_second AND sides)) THEN exp(b+m*ln(centre)) END, 4) AS psd FROM x""")
 def a52(spark, sf):
-    return FIT.log_local_fit(_spectrum(spark, sf), ["epoch"], [3.0, 8.0, 20.0, 44.0]).select("epoch", "bin", "n", r(F.col("psd"), "psd"))
+    d = _spectrum(spark, sf).withColumn("slot", F.expr("sector div 3"))
+    return FIT.log_local_fit(d, ["epoch", "detector", "slot"], [3.0, 8.0, 20.0, 44.0], near_high=0.18, near_low=0.12).select("epoch", "detector", "slot", "bin", "n", r(F.col("psd"), "psd"))
 
 
 @query("a53_power_law_fit")

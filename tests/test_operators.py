@@ -168,3 +168,144 @@ def test_second_peak_cases(spark):
     got = {r.k: r for r in spectra.second_peak(d, ["k"], "e", "c", "bg").collect()}
     assert got["a"].peak_bin == 7 and got["a"].first_bin == 4 and got["a"].last_bin == 8 and got["a"].error is None
     assert got["b"].error == "no rise"
+
+
+def expected_local_fit(points, centre, low, high, near_high, near_low):
+    """The value, or None; the rule as the instrument's description states it."""
+    energies = sorted(e for e, _ in points)
+    inside = [(e, v) for e, v in points if low * centre < e < high * centre]
+    if len(energies) < 2 or len(inside) < 2:
+        return None
+    es = [e for e, _ in inside]
+    near, sides = min(abs(e / centre - 1) for e in es), min(es) < centre < max(es)
+    top, second = energies[-1] in es, energies[1] in es
+    if not ((top and near < near_high) or (second and (near < near_low or sides)) or (not top and not second and sides)):
+        return None
+    slope, c = np.polyfit(np.log(es), np.log([v for _, v in inside]), 1)
+    return math.exp(c + slope * math.log(centre))
+
+
+def test_local_fit_cases(spark):
+    cases = [
+        [(8.0, 1000.0), (12.5, 10.0)], [(8.1, 32.0), (10 / 0.9, 256.0)], [(5.9, 9.0), (6.1, 50.0), (13.9, 50.0), (14.1, 9.0)],
+        [(5.9, 9.0), (13.9, 50.0)], [(6.0, 9.0), (14.0, 50.0)],  # too few inside, bounds are open
+        [(7.0, 5.0), (8.1, 4.0), (8.3, 3.0)], [(7.0, 5.0), (8.0, 4.0), (8.1, 3.0)],  # the top is inside: near enough or not
+        [(1.0, 9.0), (2.0, 8.0), (9.0, 5.0), (9.5, 4.0), (30.0, 1.0)],  # neither end inside, one side only
+        [(1.0, 9.0), (2.0, 8.0), (9.0, 5.0), (10.5, 4.0), (30.0, 1.0)], [(6.5, 9.0), (8.9, 8.0), (30.0, 1.0)], [(6.5, 9.0), (8.5, 8.0), (30.0, 1.0)],
+        [(7.0, 5.0), (13.0, 0.0), (13.5, 2.0)],
+    ]
+    rng = np.random.default_rng(4)
+    cases += [[(float(e), float(v)) for e, v in zip(rng.uniform(3, 20, n), rng.uniform(0.1, 9, n), strict=True)] for n in rng.integers(1, 9, 150)]
+    d = spark.createDataFrame([(i, e, v) for i, c in enumerate(cases) for e, v in c], "k int, energy double, psd double")
+    got = {r.k: r.psd for r in fits.log_local_fit(d, ["k"], [10.0]).collect()}
+    seen = 0
+    for i, c in enumerate(cases):
+        want = expected_local_fit([(e, v) for e, v in c if v > 0], 10.0, 0.6, 1.4, 0.18, 0.12)
+        seen += want is not None
+        assert got.get(i) == (None if want is None else pytest.approx(want, rel=1e-6)), c
+    assert 20 < seen < len(cases) - 20
+    assert got[0] == pytest.approx(100) and got[1] == pytest.approx(128) and got[2] == pytest.approx(50)
+
+
+def test_words_of_included_groups_only(spark):
+    two = ["L1A14", "L2A"]
+    cases = {  # event: (group, address, adc, low gain) in order, included groups
+        "high": ([("L1A14", 10, 1, False), ("L1A14", 11, 2, False), ("L2A", 15, 3, False)], two),
+        "low": ([("L1A14", 10, 2, True), ("L1A14", 11, 1, True), ("L2A", 15, 3, False)], two),
+        "20 over 19": ([("L1A14", 10, 1, True), ("L1A14", 11, 19, False), ("L2A", 15, 3, False)], two),
+        "20 under 21": ([("L1A14", 10, 1, True), ("L1A14", 11, 21, False), ("L2A", 15, 3, False)], two),
+        "saturated": ([("L1A14", 10, 2047, False), ("L1A14", 11, 1, False), ("L2A", 15, 3, False)], two),
+        "first of equal": ([("L1A14", 11, 1, True), ("L1A14", 10, 20, False), ("L2A", 15, 3, False)], two),
+        "other group": ([("L1A14", 10, 5, False), ("L2A", 15, 3, False), ("L3A", 16, 900, False)], two),
+        "void": ([("L1A14", 10, 2047, False), ("L1A14", 11, 2047, False), ("L2A", 15, 1, False)], two),
+        "no rule": ([("L1A14", 10, 1, False)], None),
+    }
+    rows = [(ev, n, *w, inc) for ev, (words, inc) in cases.items() for n, w in enumerate(words)]
+    d = spark.createDataFrame(rows, "ev string, no int, `group` string, address int, adc int, low_gain boolean, included array<string>")
+    best = spectra.top_per_group(d, "ev", "no", "included")
+    got = {}
+    for r in best.collect():
+        got.setdefault(r.ev, {})[r.group] = r.address
+    assert got == {"high": {"L1A14": 11, "L2A": 15}, "low": {"L1A14": 10, "L2A": 15}, "20 over 19": {"L1A14": 10, "L2A": 15}, "20 under 21": {"L1A14": 11, "L2A": 15}, "saturated": {"L1A14": 11, "L2A": 15}, "first of equal": {"L1A14": 11, "L2A": 15}, "other group": {"L1A14": 10, "L2A": 15}}
+    gain = spark.createDataFrame([(lg, a, 2.0, 1.0) for lg in (True, False) for a in (10, 11, 15, 16)], "low_gain boolean, address int, a double, b double")
+    e = {r.ev: r for r in spectra.event_energies(best, gain, "ev", F.get("included", F.lit(0)), F.get("included", F.lit(1)), F.lit(0.5)).collect()}
+    assert (e["other group"].e_delta, e["other group"].e_prime, e["other group"].total) == (5.5, 3.5, 9.0)
+
+
+def test_peak_speed_of_mean_spectrum(spark):
+    rng = np.random.default_rng(6)
+    rate, volt = rng.normal(5, 4, (5, 20)), rng.uniform(1, 9, (5, 20))
+    rate[:, 7] += 30
+    rate[:, 9] = -3.0
+    volt[:, 5] = 0.0
+    rate[2, 8] = np.nan
+    rows = [("a", b, None if np.isnan(rate[s, b]) else float(rate[s, b]), float(volt[s, b])) for s in range(5) for b in range(20)] + [("none", b, None, 1.0) for b in range(20)]
+    m, v = np.nanmean(rate, 0), volt.mean(0)
+    w = [b for b in range(3, 12) if m[b] >= 0 and v[b] > 0]
+    want = sum(m[b] * math.sqrt(v[b]) for b in w) / sum(m[b] for b in w)
+    d = spark.createDataFrame(rows, "k string, b int, rate double, v double")
+    got = {r.k: r.speed for r in spectra.peak_speed(d, ["k"], "b", "rate", "v", F.sqrt, 4, 20).collect()}
+    assert 9 not in w and 5 not in w and got == {"a": pytest.approx(want), "none": None}
+
+
+def test_median_window_is_open_at_its_end(spark):
+    h = 3600 * 10**6
+    d = spark.createDataFrame([(1, 0, 5.0), (1, h // 2, 1.0), (1, 22 * h, 4.0), (1, 22 * h + h // 2, 99.0), (2, 0, 7.0)], "k int, t long, v double")
+    assert {r.k: r["median"] for r in spectra.median_in_window(d, ["k"], F.col("t"), "v").collect()} == {1: 2.0, 2: 90.0}  # 2.5 to even
+
+
+def test_nearest_join_of_equal_instants(spark):
+    right = spark.createDataFrame([(t(s), v) for s, v in ((0, 5.0), (0, 3.0), (10, 2.0), (10, 8.0), (10, 4.0), (40, 1.0))], "ts timestamp, v double")
+    left = spark.createDataFrame([(i, t(s)) for i, s in enumerate((0, 3, 5, 7, 10, 12, 25, 60))], "id int, ts timestamp")
+    got = {r.id: r.v for r in joins.nearest_join(left, right, "ts", ["v"], 15_000_000).collect()}
+    # at or after: the first of equal instants; before: the last one; half-way: the earlier instant
+    assert got == {0: 3.0, 1: 5.0, 2: 5.0, 3: 2.0, 4: 2.0, 5: 8.0, 6: 8.0, 7: None}
+
+
+def test_bilinear_edges(spark):
+    grid = [(a, d, 10.0 * a + d) for a in range(4) for d in range(2, 6)]
+    g = spark.createDataFrame(grid, "gx long, gy long, v double")
+    asked = [(0.0, 2.0), (45.0, 2.5), (315.0, 3.0), (-45.0, 3.0), (360.0, 5.0), (90.0, 5.0), (90.0, 5.001), (90.0, 1.0), (135.0, 0.0), (10.0, 99.0)]
+    left = spark.createDataFrame([(i, *x) for i, x in enumerate(asked)], "id int, a double, d double")
+    got = {r.id: r.v_at for r in joins.bilinear_join(left, F.col("a"), F.col("d"), g, 90.0, 4, 1.0, 2, 5, "v").collect()}
+    want = [2.0, 7.5, 18.0, 18.0, 5.0, 15.0, 0.0, 6.0, 0.0, 0.0]
+    assert [got[i] for i in range(len(want))] == pytest.approx(want)
+    hole = joins.bilinear_join(left.where("id = 1"), F.col("a"), F.col("d"), g.where("gx <> 1 OR gy <> 3"), 90.0, 4, 1.0, 2, 5, "v")
+    assert hole.first().v_at is None
+
+
+def test_next_row_by_buckets_equals_one_window(spark):
+    rng = np.random.default_rng(9)
+    at = sorted({int(x) for x in rng.integers(-5000, 5000, 300)} | {10**9})
+    d = spark.createDataFrame([(k, x, f"v{x}") for k in ("a", "b") for x in at[:: 1 if k == "a" else 7]], "k string, at long, v string").repartition(4)
+    got = joins.with_next(d, "at", {"next_at": "at", "next_v": "v"}, 100, ["k"])
+    for k, step in (("a", 1), ("b", 7)):
+        rows = sorted((r.at, r.next_at, r.next_v) for r in got.where(F.col("k") == k).collect())
+        assert rows == [(x, y, None if y is None else f"v{y}") for x, y in zip(at[::step], [*at[::step][1:], None], strict=True)]
+
+
+def test_time_joins_have_no_single_partition_over_rows(spark):
+    left = spark.range(1000).select(F.col("id").alias("t"))
+    cal = spark.range(0, 1000, 10).select(F.col("id").alias("c"), F.col("id").cast("double").alias("v"), F.lit(1).alias("f"))
+    for d in (joins.asof_calibration(left, F.col("t"), cal, F.col("c"), ["v"], 100), joins.flags_around(left, F.col("t"), cal, F.col("c"), "f", 100)):
+        # only aggregates and the first rows of buckets meet in one task
+        plan = plan_of(d).splitlines()
+        assert not any("NestedLoop" in x for x in plan)
+        alone = [i for i, x in enumerate(plan) if "Exchange SinglePartition" in x]
+        assert alone and all("Aggregate" in plan[i + 1] for i in alone)
+
+
+def test_range_join_open_ends_and_rows_beyond(spark):
+    rng = np.random.default_rng(2)
+    ranges = [(i, int(a), int(a + w)) for i, (a, w) in enumerate(zip(rng.integers(0, 500, 40), rng.integers(0, 60, 40), strict=True))] + [(100, None, 50), (101, 450, None), (102, None, None)]
+    xs = [int(x) for x in rng.integers(-300, 900, 200)]
+    got = joins.range_join(spark.createDataFrame([(x,) for x in xs], "x long"), F.col("x"), spark.createDataFrame(ranges, "i int, a long, b long"), F.col("a"), F.col("b"), 37)
+    want = sorted((x, i) for x in xs for i, a, b in ranges if (a is None or a <= x) and (b is None or x < b))
+    assert sorted((r.x, r.i) for r in got.collect()) == want
+    none = spark.createDataFrame([], "i int, a long, b long")
+    assert joins.range_join(spark.range(3), F.col("id"), none, F.col("a"), F.col("b"), 5, "left").count() == 3
+
+
+def test_velocities_shift(spark):
+    got = spark.range(1).select(*X.shift_velocity((F.lit(3.0), F.lit(2.0), F.lit(1.0)), (F.lit(1.0), F.lit(5.0), F.lit(1.0)))).first()
+    assert tuple(got) == (2.0, -3.0, 0.0)

@@ -68,3 +68,15 @@ def test_latest_version_stream(spark, tmp_path):
         q.stop()
     last = sorted(int(p.name) for p in out.iterdir() if p.name.isdigit())[-1]
     assert sorted(tuple(r) for r in spark.read.parquet(str(out / str(last))).collect()) == [(1, 2, "c"), (2, 5, "b")]
+
+
+def test_stream_without_replays(spark, tmp_path):
+    src = tmp_path / "in"
+    base = dt.datetime(2024, 1, 1)
+    rows = [(base + dt.timedelta(minutes=m), k) for m, k in ((0, 1), (1, 1), (2, 2), (3, 1), (4, 3))]
+    spark.createDataFrame(rows, "ts timestamp, k int").write.parquet(str(src))
+    st = spark.readStream.schema("ts timestamp, k int").parquet(str(src))
+    q = streams.without_replays(st, "ts", ["k"]).writeStream.format("memory").queryName("once").outputMode("append").start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r.k for r in spark.sql("select k from once").collect()) == [1, 2, 3]

@@ -5,25 +5,29 @@ similarity; the result is each document's component.  All links are found.
 
 1. Equal sets collapse into one class (a combined aggregation on a 128-bit
    fingerprint), so thousands of copies cost one representative.
-2. Candidate families.  Sizes fall into bands; for a band, `H` bounds how many
-   elements two linkable sets can differ in.  The hash space is cut into
-   G = H + 1 + e parts, so linked sets agree on e + 1 parts at least.  A set
-   emits one signature per non-empty part (and, if it has more than e empty
-   parts, one for each of the first of them); `need` is how many signatures it
-   shares with any set that it links with, at least.  Signatures meet in
-   memory-sized buckets.  Those of more than COLD sets are hot (passages that many
-   documents hold, or large groups of near copies): each set leaves out its
-   need - 1 most frequent hot signatures (prefix filter), and the sets under a
-   kept one form a star.  Under the others all pairs are listed, and dropped if
-   they agree too rarely.  Components of this graph are families: every link
-   lies inside one.
-3. Tiles.  A family is one tile, or, if large, tiles of size band x chunk, paired
-   with themselves, each other and the next band only.  A tile holds the sorted
-   sets of a bounded number of documents.  There, hashed bitmaps bound the overlap
-   from above (|x & y| <= (|x| + |y| - popcount(Bx ^ By)) / 2), and what passes
-   is intersected exactly.  Pairs already connected are skipped, since only
-   components are asked for.
-4. Components over the tiles' links.
+2. What may link, so that tiles need not hold all sets of a size band.  Sizes fall
+   into bands; for a band, `H` bounds how many elements two linkable sets can
+   differ in.  The hash space is cut into G = H + 1 + e parts, so linked sets agree
+   on e + 1 parts at least.  A set emits one signature per non-empty part (and, if
+   it has more than e empty parts, one for each of the first of them); `need` is how
+   many signatures it shares with any set that it links with, at least.  Signatures
+   meet in memory-sized buckets.  Those of more than COLD sets are hot (passages
+   that many documents hold, or large groups of near copies): each set leaves out
+   its need - 1 most frequent hot signatures (prefix filter), and the sets under a
+   kept one form a star around the smallest.  Under the others all pairs are listed,
+   and dropped if they agree too rarely.  So two linked sets are in one star or are
+   a listed pair.
+3. Tiles hold the sorted sets of a bounded number of documents.  There, hashed
+   bitmaps bound the overlap from above (|x & y| <= (|x| + |y| - popcount(Bx ^ By))
+   / 2), and what passes is intersected exactly.  Pairs already connected are
+   skipped, since only components are asked for.  First, components of stars and
+   pairs that fit a tile (families) are one tile each; larger ones are taken star by
+   star, in chunks that each hold the star's centre too, so a group of near copies
+   costs a few tiles per document, whatever its size.
+4. Components over the links.  Where a star's members are then still in several
+   components, those outside its largest one meet all members, in tiles of chunk x
+   chunk; listed pairs in different components are compared one by one; and the
+   components are joined.
 
 Shingles are compared by 64-bit hashes.  Defined cases: NULL or wordless texts
 have the empty set, and are linked with nothing; a text of fewer words than a
@@ -52,6 +56,10 @@ _U = np.uint64
 COLD = 16
 #: Signatures in one bucket; documents and shingles in one side of a tile.
 BUCKET, TILE_DOCS, TILE_SHINGLES = 1 << 19, 512, 1 << 21
+#: Tiles of a document that are listed in one row.
+SEATS = 1024
+#: What `need` is cut to (a lower one lets more pairs through, none less).
+MOST_NEED = 2**15 - 1
 
 
 class Bands:
@@ -60,8 +68,8 @@ class Bands:
     def __init__(self, percent: int):
         self.percent = percent
         edges = [1]
-        while edges[-1] < 1 << 31:
-            edges.append(max(edges[-1] + 1, -(-edges[-1] * 10 // 7)))
+        while edges[-1] < 1 << 31:  # a band is wide enough for links to join the same or neighbouring bands
+            edges.append(max(edges[-1] + 1, -(-edges[-1] * 10 // 7), -(-edges[-1] * 100 // percent)))
         self.edges = np.array(edges, np.int64)
         self.known: dict[int, tuple[int, int]] = {}
 
@@ -126,7 +134,7 @@ def signatures(sets: list[np.ndarray], bands: Bands) -> tuple[list[np.ndarray],
                 free = np.setdiff1d(np.arange(g), part[head].astype(np.int64))[: empty - extra]
                 own = np.concatenate([own, mix(mix(free.astype(_U) + _U(1)) + tag)])
             own_s.append(own)
-            own_n.append(np.full(len(own), max(1, extra + 1 - empty), np.int16))
+            own_n.append(np.full(len(own), min(MOST_NEED, max(1, extra + 1 - empty)), np.int16))
             own_b.append(np.full(len(own), band, np.int16))
         sigs.append(np.concatenate(own_s) if own_s else x[:0])
         needs.append(np.concatenate(own_n) if own_n else np.zeros(0, np.int16))
@@ -248,18 +256,18 @@ def _family_edges(found: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("k", "band").orderBy(F.col("n").desc(), "sig"))
     kept = hot.join(often, "sig").withColumn("rank", rank).where("rank >= need").select("sig", "k")
     centre = kept.groupBy("sig").agg(F.min("k").alias("c"))
-    stars = kept.join(centre, "sig").where("k <> c").select(F.col("c").alias("a"), F.col("k").alias("b"))
+    stars = kept.join(centre, "sig").where("k <> c").select(F.col("c").alias("a"), F.col("k").alias("b"), F.lit(True).alias("star"))
     count = hot.groupBy("k", "band").agg(F.count("*").alias("h"))
     pairs = found.where("kind = 0").groupBy("a", "b", "band").agg(F.sum("agree").alias("agree"), F.max("need").alias("need"))
     # what two sets share under hot signatures is not counted here
     pairs = pairs.join(count.select(F.col("k").alias("a"), "band", F.col("h").alias("ha")), ["a", "band"], "left").join(count.select(F.col("k").alias("b"), "band", F.col("h").alias("hb")), ["b", "band"], "left")
     zero = F.lit(0)
     pairs = pairs.where(F.col("agree") >= F.greatest(F.lit(1), F.col("need") - F.least(F.coalesce("ha", zero), F.coalesce("hb", zero))))
-    return pairs.select("a", "b").union(stars)
+    return pairs.select("a", "b", F.lit(False).alias("star")).union(stars).distinct()
 
 
-def _families(described: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(classes n, f1, f2, rep; families node, root)."""
+def _families(described: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(classes n, f1, f2, rep; what may link a, b, star (a is the centre); families node, root)."""
     spark = described.sparkSession
     key = ["n", "f1", "f2"]
     classes = materialize(described.where("n > 0").groupBy(*key).agg(F.min("k").alias("rep")), "classes")
@@ -271,40 +279,67 @@ def _families(described: DataFrame) -> tuple[DataFrame, DataFrame]:
         .mapInArrow(lambda it: _deal(it, buckets), "bucket long, rows binary, hot binary, members binary")
         .groupBy("bucket").applyInPandas(_candidates, _FOUND)
     )
-    edges = _family_edges(materialize(found, "candidates"))
-    return classes, connected_components(edges)
+    edges = materialize(_family_edges(materialize(found, "candidates")), "may_link")
+    return classes, edges, connected_components(edges)
 
 
-def _tiles(classes: DataFrame, families: DataFrame, percent: int) -> DataFrame:
-    """(k, seats array<struct<tile, side>>): the tiles in which each member of a family takes part."""
+def _chunks(docs: Column, shingles: Column) -> Column:
+    return F.ceil(F.greatest(docs / TILE_DOCS, shingles / TILE_SHINGLES)).cast("long")
+
+
+def _numbers(n: Column) -> Column:
+    return F.explode(F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(F.array().cast("array<bigint>")))
+
+
+def _first_tiles(classes: DataFrame, edges: DataFrame, families: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(seats k, row, tile, side; stars c, k, n of families too large for a tile; their pairs a, b).  No stars and pairs
+    if there is no such family."""
     member = families.join(classes.select(F.col("rep").alias("node"), "n"), "node")
     roots = families.select(F.col("root").alias("node"), "root").distinct().join(classes.select(F.col("rep").alias("node"), "n"), "node")
     m = materialize(member.unionByName(roots).select(F.col("node").alias("k"), F.col("root").alias("f"), "n"), "members")
     size = m.groupBy("f").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
-    wide = size.where((F.col("docs") > TILE_DOCS) | (F.col("shingles") > TILE_SHINGLES)).select("f")
-    small = m.join(wide, "f", "left_anti").select("k", F.array(F.struct(F.col("f").cast("string").alias("tile"), F.lit(0).alias("side"))).alias("seats"))
-    # one band reaches a little further than a link can, so links join the same or neighbouring bands
-    step = float(np.log(100 / (percent - 1)))
-    banded = m.join(wide, "f", "left_semi").withColumn("b", F.floor(F.log("n") / F.lit(step)))
-    count = banded.groupBy("f", "b").agg(F.ceil(F.greatest(F.count("*") / TILE_DOCS, F.sum("n") / TILE_SHINGLES)).cast("long").alias("c"))
-    near = (
-        count.join(count.select("f", (F.col("b") - 1).alias("b"), F.col("c").alias("up")), ["f", "b"], "left")
-        .join(count.select("f", (F.col("b") + 1).alias("b"), F.col("c").alias("down")), ["f", "b"], "left")
-    )
-    own = banded.join(near, ["f", "b"]).withColumn("i", F.pmod(F.xxhash64("k"), F.col("c")))
-
-    def each(n: str) -> Column:
-        return F.when(F.coalesce(F.col(n), F.lit(0)) > 0, F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(n), F.lit(1)) - 1)).otherwise(F.array().cast("array<bigint>"))
-
-    def name(b1: Column, i: Column, b2: Column, j: Column) -> Column:
-        return F.concat_ws(":", "f", b1.cast("string"), i.cast("string"), b2.cast("string"), j.cast("string"))
-
-    seats = F.concat(
-        F.transform(each("c"), lambda j: F.struct(name(F.col("b"), F.least(F.col("i"), j), F.col("b"), F.greatest(F.col("i"), j)).alias("tile"), F.when(F.col("i") <= j, 0).otherwise(1).alias("side"))),
-        F.transform(each("up"), lambda j: F.struct(name(F.col("b"), F.col("i"), F.col("b") + 1, j).alias("tile"), F.lit(0).alias("side"))),
-        F.transform(each("down"), lambda j: F.struct(name(F.col("b") - 1, j, F.col("b"), F.col("i")).alias("tile"), F.lit(1).alias("side"))),
+    wide = materialize(size.where((F.col("docs") > TILE_DOCS) | (F.col("shingles") > TILE_SHINGLES)).select("f"), "large_families")
+    small = m.join(wide, "f", "left_anti").select("k", F.lit(0).cast("long").alias("row"), F.col("f").cast("string").alias("tile"), F.lit(0).alias("side"))
+    if wide.isEmpty():
+        return small, None, None
+    inside = edges.join(m.join(wide, "f").select(F.col("k").alias("a"), F.col("n").alias("_n")), "a")
+    outer = inside.where("star").select(F.col("a").alias("c"), F.col("b").alias("k"))
+    centres = inside.where("star").select(F.col("a").alias("c"), F.col("a").alias("k"))
+    stars = materialize(outer.union(centres).distinct().join(m.select("k", "n"), "k").select("c", "k", "n"), "stars")
+    count = stars.groupBy("c").agg(_chunks(F.count("*"), F.sum("n")).alias("chunks"))
+    tile = lambda i: F.concat_ws(":", F.lit("s"), F.col("c").cast("string"), i.cast("string")).alias("tile")
+    own = stars.where("k <> c").join(count, "c").select("k", F.lit(0).cast("long").alias("row"), tile(F.pmod(F.xxhash64("k"), F.col("chunks"))), F.lit(0).alias("side"))
+    centre = count.select("c", _numbers(F.col("chunks")).alias("i")).select(F.col("c").alias("k"), F.expr(f"i div {SEATS}").alias("row"), tile(F.col("i")), F.lit(0).alias("side"))
+    return small.union(own).union(centre), stars, inside.where("NOT star").select("a", "b")
+
+
+def _second_tiles(stars: DataFrame, pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Seats for what the first tiles left open; found: node, root."""
+    root = found.select(F.col("node").alias("k"), F.col("root").alias("r"))
+    m = stars.join(root, "k", "left").select("c", "k", "n", F.coalesce("r", "k").alias("r"))
+    parts = m.groupBy("c", "r").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles"))
+    whole = parts.groupBy("c").agg(F.max_by("r", F.struct("docs", "r")).alias("main"), F.count("*").alias("roots"), F.sum("docs").alias("docs"), F.sum("shingles").alias("shingles"), F.max(F.struct("docs", "r", "shingles")).alias("top"))
+    other = lambda c: F.col(c) - F.col(f"top.{c}")
+    grid = whole.where("roots > 1").select("c", "main", _chunks(F.col("docs"), F.col("shingles")).alias("high"), _chunks(other("docs"), other("shingles")).alias("wide"))
+    d = m.join(grid, "c")
+    at = lambda n: F.pmod(F.xxhash64("k"), F.col(n))
+    tile = lambda i, j: F.concat_ws(":", F.lit("b"), F.col("c").cast("string"), i.cast("string"), j.cast("string")).alias("tile")
+    every = d.select("c", "k", at("high").alias("i"), _numbers(F.col("wide")).alias("j")).select("k", F.expr(f"j div {SEATS}").alias("row"), tile(F.col("i"), F.col("j")), F.lit(0).alias("side"))
+    rest = d.where("r <> main").select("c", "k", at("wide").alias("j"), _numbers(F.col("high")).alias("i")).select("k", F.expr(f"i div {SEATS}").alias("row"), tile(F.col("i"), F.col("j")), F.lit(1).alias("side"))
+    side = lambda k: root.select(F.col("k").alias(k), F.col("r").alias(f"r{k}"))
+    p = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b").distinct()
+    single = p.select(F.explode(F.array("a", "b")).alias("k"), F.lit(0).cast("long").alias("row"), F.concat_ws(":", F.lit("p"), F.col("a").cast("string"), F.col("b").cast("string")).alias("tile"), F.lit(0).alias("side"))
+    return every.union(rest).union(single)
+
+
+def _links(keyed: DataFrame, seats: DataFrame, n: int, percent: int) -> DataFrame:
+    """a, b: links found in the tiles, as (set, smallest set that it is connected with there)."""
+    listed = seats.groupBy("k", "row").agg(F.collect_list(F.struct("tile", "side")).alias("seats"))
+    return (
+        keyed.join(listed, "k").select("k", "text", "seats")
+        .mapInArrow(lambda it: _seat(it, n), "tile string, side int, k long, set binary")
+        .groupBy("tile").applyInPandas(lambda pdf: _link(pdf, percent), "a long, b long")
     )
-    return small.unionByName(own.select("k", seats.alias("seats")))
 
 
 _SEATED = pa.schema([("tile", pa.string()), ("side", pa.int32()), ("k", pa.int64()), ("set", pa.binary())])
@@ -375,14 +410,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     bands = Bands(percent)
     keyed = docs.select(id_or_sentinel("doc_id").alias("k"), "text")
     described = materialize(keyed.mapInArrow(lambda it: _describe(it, n, bands), "k long, n long, f1 long, f2 long, parts long, sig array<long>, need array<short>, band array<short>"), "described")
-    classes, families = _families(described)
-    seats = _tiles(classes, families, percent)
-    links = (
-        keyed.join(seats, "k").select("k", "text", "seats")
-        .mapInArrow(lambda it: _seat(it, n), "tile string, side int, k long, set binary")
-        .groupBy("tile").applyInPandas(lambda pdf: _link(pdf, percent), "a long, b long")
-    )
-    found = connected_components(links)
+    classes, edges, families = _families(described)
+    seats, stars, pairs = _first_tiles(classes, edges, families)
+    found = connected_components(_links(keyed, seats, n, percent))
+    if stars is not None:
+        open_seats = materialize(_second_tiles(stars, pairs, found), "open")
+        if not open_seats.isEmpty():
+            more = _links(keyed, open_seats, n, percent)
+            found = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("n", "f1", "f2", F.coalesce("root", "rep").alias("c"))
     out = described.select("k", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
     whole = lambda c: F.nullif(c, F.lit(NULL_ID))

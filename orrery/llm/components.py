@@ -1,14 +1,15 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
 Each step is an aggregation (combined before its shuffle) and a join that
-adaptive execution can split on a hub; each round is written to shared storage."""
+adaptive execution can split on a hub; each round is written to shared storage,
+and the one before is deleted."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import discard, materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -27,4 +28,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        e = materialize(small.union(least.select("u", "m")).distinct(), "edges")
+        before, e = e, materialize(small.union(least.select("u", "m")).distinct(), "edges")
+        discard(before)

@@ -45,7 +45,7 @@ from ._common import materialize
 from ._text import SPACES, text_blocks
 
 WEIGHTS = (5, 2, 1)
-RANKED = 8192
+RANKED = 1024
 #: Budget that dynamic programming starts with, and how it widens.
 FIRST_BUDGET, WIDEN = 1 << 14, 8
 

@@ -220,6 +220,80 @@ def test_jaccard_tiles_of_large_families(spark, monkeypatch):
     assert jaccard_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_jaccard_stars_of_several_groups(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    groups = [[f"g{g}_{i}" if i > 25 else f"shared{i}" for i in range(70)] for g in range(5)]
+    rows = []
+    for k in range(400):
+        w = list(groups[rng.randrange(5)])
+        for _ in range(rng.randrange(0, 5)):
+            w[rng.randrange(len(w))] = f"n{rng.randrange(9)}"
+        rows.append((k, " ".join(w[: rng.randrange(60, 71)])))
+    rows += [(1000 + k, " ".join([f"shared{i}" for i in range(26)] + [f"own{k}_{i}" for i in range(rng.randrange(3, 20))])) for k in range(120)]
+    monkeypatch.setattr(jaccard_join, "TILE_DOCS", 24)
+    monkeypatch.setattr(jaccard_join, "SEATS", 3)
+    want = brute_components(rows, 2, 80)
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 2, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+
+
+def test_seats_grow_with_the_documents_of_a_large_family(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TILE_DOCS", 16)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    seats = {}
+    for n in (600, 2400):
+        rows = []
+        for k in range(n):
+            w = list(base)
+            for _ in range(3):
+                w[rng.randrange(len(w))] = f"n{k}_{rng.randrange(10**6)}"
+            rows.append((k, " ".join(w)))
+        d = spark.createDataFrame(rows, "doc_id long, text string")
+        bands = jaccard_join.Bands(80)
+        keyed = d.selectExpr("doc_id AS k", "text")
+        described = keyed.mapInArrow(lambda it, bands=bands: jaccard_join._describe(it, 3, bands), "k long, n long, f1 long, f2 long, parts long, sig array<long>, need array<short>, band array<short>")
+        classes, edges, families = jaccard_join._families(described)
+        first, stars, pairs = jaccard_join._first_tiles(classes, edges, families)
+        found = jaccard_join.connected_components(jaccard_join._links(keyed, first, 3, 80))
+        seats[n] = first.count() + jaccard_join._second_tiles(stars, pairs, found).count()
+        assert found.select("root").distinct().count() <= 3
+    assert seats[2400] < 6 * seats[600] and seats[2400] < 40 * 2400
+
+
+def test_need_of_very_large_sets_fits():
+    for percent in (60, 80, 85):
+        bands = jaccard_join.Bands(percent)
+        for n in (1, 50, 3000, 10**7):
+            assert all(bands.edges[b] <= n * percent / 100 + 1 or b == bands.home(n) for b in bands.schemes(n))
+            assert bands.home(max(1, -(-n * percent // 100))) in bands.schemes(n)
+    x = np.sort(np.random.default_rng(1).integers(0, 2**63, 3_000_000, dtype=np.uint64))
+    sigs, needs, homes = jaccard_join.signatures([x], jaccard_join.Bands(80))
+    assert len(sigs[0]) == len(needs[0]) == len(homes[0]) and 1 <= needs[0].min() <= needs[0].max() <= jaccard_join.MOST_NEED
+
+
+def test_components(spark):
+    from orrery.llm.components import connected_components
+
+    rng = random.Random(3)
+    cases = [[(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 200)], [(rng.randrange(80), rng.randrange(80)) for _ in range(50)], [(5, 5), (2, 1), (1, 2), (1, 2)], [(-(2**63), 2**63 - 1), (7, 2**63 - 1)]]
+    for edges in cases:
+        parent = {x: x for e in edges for x in e}
+
+        def find(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in edges:
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+        got = connected_components(spark.createDataFrame([*edges, (None, 1)], "a long, b long"))
+        assert {r.node: r.root for r in got.collect()} == {x: find(x) for x in parent if find(x) != x}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def brute_hits(rows, items, window=13):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     wins = {}

@@ -82,7 +82,7 @@ def power_law_fit(df: DataFrame, keys: list[str]) -> DataFrame:
     it, flags are joined.  A cell holds one row per energy, so its arrays are short."""
     w = F.when(F.col("obs_us").isNotNull(), F.col("exposure"))
     rows = F.collect_list(F.struct(F.coalesce("energy", F.lit(float("nan"))).alias("e"), F.coalesce("intensity", F.lit(float("nan"))).alias("i"), F.coalesce("sigma", F.lit(float("nan"))).alias("s")))
-    g = df.groupBy(*keys).agg(rows.alias("_r"), F.sum("exposure").alias("exposure"), F.try_divide(F.sum(F.col("obs_us") * w), F.sum(w)).cast("long").alias("obs_us"), F.bit_or("flags").alias("flags"))
+    g = df.groupBy(*keys).agg(rows.alias("_r"), F.sum("exposure").alias("exposure"), F.round(F.try_divide(F.sum(F.col("obs_us") * w), F.sum(w))).cast("long").alias("obs_us"), F.bit_or("flags").alias("flags"))
 
     @F.pandas_udf("a double, gamma double, sigma_a double, sigma_gamma double, chi2 double")
     def fit(e: pd.Series, i: pd.Series, s: pd.Series) -> pd.DataFrame:

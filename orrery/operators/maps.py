@@ -100,13 +100,14 @@ def combine_uncertainty_weighted(maps: DataFrame, cell: list[str]) -> DataFrame:
     return maps.groupBy(*cell).agg(*out)
 
 
-def assert_maps_match(maps: DataFrame, cell: list[str], columns: list[str]) -> None:
-    """A4: raises unless each descriptive column has one value per cell over all maps (NULL equals NULL)."""
-    varied = maps.groupBy(*cell).agg(*[(F.count_distinct(F.coalesce(F.col(c).cast("string"), F.lit("\0null")))).alias(c) for c in columns])
-    bad = varied.agg(*[F.max(F.when(F.col(c) > 1, 1).otherwise(0)).alias(c) for c in columns]).first()
-    wrong = [c for c in columns if bad[c]]
-    if wrong:
-        raise ValueError(f"maps differ in {', '.join(wrong)}")
+def assert_maps_match(maps: DataFrame, cell: list[str], columns: list[str]) -> DataFrame:
+    """A4: the maps; reading them raises unless each descriptive column has one value per cell over all maps (NULL
+    equals NULL).  The check is a subquery of the plan: one aggregation, and one row of flags."""
+    null = F.lit("\0null")
+    varied = maps.groupBy(*cell).agg(*[(F.min(F.coalesce(F.col(c).cast("string"), null)) != F.max(F.coalesce(F.col(c).cast("string"), null))).alias(c) for c in columns])
+    wrong = F.array_compact(F.array(*[F.when(F.bool_or(c), F.lit(c)) for c in columns]))
+    names = varied.agg(F.array_join(wrong, ", ")).scalar()
+    return maps.where(F.when(names != "", F.raise_error(F.concat(F.lit("maps differ in "), names)).cast("boolean")).otherwise(F.lit(True)))
 
 
 _COMBINATIONS: dict[str, Callable[[DataFrame, list[str]], DataFrame]] = {

@@ -219,7 +219,7 @@ def a52(spark, sf):
 
 
 @query("a53_power_law_fit", f"""
-WITH RECURSIVE {_SPEC}, d AS (SELECT epoch, energy AS e, avg(psd/energy/energy)/100 AS f, 0.2*avg(psd/energy/energy)/100 AS s, sum(bg) AS w, bit_or(detector)::BIGINT AS flags FROM s GROUP BY 1, 2),
+WITH RECURSIVE {_SPEC}, d AS (SELECT epoch//12 AS epoch, energy AS e, avg(psd/energy/energy)/100 AS f, 0.2*avg(psd/energy/energy)/100 AS s, sum(bg) AS w, bit_or(detector)::BIGINT AS flags FROM s GROUP BY 1, 2),
 r(epoch, k, a, g) AS (SELECT epoch, 0, exp(regr_intercept(ln(f), ln(e))), -regr_slope(ln(f), ln(e)) FROM d GROUP BY epoch
  UNION ALL SELECT epoch, k+1, a+(h22*b1-h12*b2)/(h11*h22-h12*h12), g+(h11*b2-h12*b1)/(h11*h22-h12*h12) FROM (
   SELECT r.epoch, k, a, g, sum(x*x) AS h11, sum(x*y) AS h12, sum(y*y) AS h22, sum(x*z) AS b1, sum(y*z) AS b2 FROM (
@@ -228,7 +228,7 @@ v AS (SELECT r.epoch, a, g, sum(pow(pow(e, -g)/s, 2)) AS h11, sum(-a*ln(e)*pow(p
 SELECT epoch, CASE WHEN g > 0 AND isfinite(g) THEN round(a, 5) END AS a, CASE WHEN g > 0 AND isfinite(g) THEN round(g, 5) END AS gamma, CASE WHEN g > 0 AND isfinite(g) THEN round(sqrt(h11/(h11*h22-h12*h12)), 5) END AS sigma_gamma,
  CASE WHEN g > 0 AND isfinite(g) THEN round(chi2, 5) END AS chi2, CASE WHEN isfinite(g) THEN round(sqrt(h22/(h11*h22-h12*h12)), 5) END AS sigma_a, round(exposure, 4) AS exposure, epoch::BIGINT*1000000 AS obs_us, flags FROM v""")
 def a53(spark, sf):
-    d = _spectrum(spark, sf).groupBy("epoch", "energy").agg((F.avg(F.col("psd") / F.col("energy") / F.col("energy")) / 100).alias("intensity"), F.sum("bg").alias("exposure"), F.bit_or("detector").alias("flags"))
+    d = _spectrum(spark, sf).groupBy(F.expr("epoch div 12").alias("epoch"), "energy").agg((F.avg(F.col("psd") / F.col("energy") / F.col("energy")) / 100).alias("intensity"), F.sum("bg").alias("exposure"), F.bit_or("detector").alias("flags"))
     d = d.withColumns({"sigma": F.col("intensity") * 0.2, "obs_us": F.col("epoch").cast("long") * 1000000})
     return FIT.power_law_fit(d, ["epoch"]).select("epoch", *[r(F.col(c), c, 5) for c in ("a", "gamma", "sigma_gamma", "chi2", "sigma_a")], r(F.col("exposure"), "exposure"), "obs_us", F.col("flags").cast("long").alias("flags"))
 

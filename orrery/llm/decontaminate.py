@@ -1,21 +1,28 @@
 """Operator 8: benchmark decontamination by a prefix-filtered set join.
 
 An item's windows are its runs of `window` words (a shorter item is one window).
-A window occurs in a document only if all its shingles do, so one necessary
-shingle is enough to find it: the rarest one, by its count over all documents.
-(Where all of a set must be contained, the necessary prefix of its shingles in
-rarity order is one shingle long.)  Where a document holds that
-shingle, the window could start only at one place; it must fit the document
-there (length and positional bounds), and the words are then compared.
-
-The benchmark is the small side.  It is read in blocks of at most
-`max_block_words` words; each block is one broadcast of proven size and one pass
-over the documents, so a larger benchmark costs more passes, not more memory.
+A window occurs in a document only if all its shingles (3 words, or fewer in a
+shorter window) do:
+
+1. Shingles are ordered by rarity, their count over all documents.  Where all of a
+   set must be contained, its necessary prefix in that order is one shingle long: a
+   window's key is its rarest shingle.  A window whose key occurs nowhere is done.
+2. Documents emit the places that hold a key, each with the words around it that a
+   window through this place can cover.
+3. Places and windows are joined on the key.  The key's offset in the window gives
+   the one place where the window could start; it must lie in the document with all
+   its words (positional and length bounds), and then the words are compared.
+
+Two passes over the documents do that, whatever the benchmark's size: what a pass
+looks for is broadcast as a hashed bit filter of at most 2^max_bits bits (16 MB),
+and the joins settle what the filter lets through by chance.  The join is salted by
+document, so a passage that a third of all documents hold is spread.
 
 Words are compared by 64-bit hashes.  Defined cases: NULL or empty texts and
 items have no words and match nothing; an item with a NULL id still marks words
-but is not listed; repeated items are listed once per distinct id; other
-columns are ignored.  Repeats of an item are one item; a long one is read in pieces.
+but is not listed; repeated items are listed once per distinct id; a long item is
+read in pieces; rows of equal id and text get equal results; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -28,217 +35,150 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import NULL_ID, id_or_sentinel, materialize
 from ._text import PUNCTUATION, grams, text_blocks, tokenize, valid_starts
 
 _U = np.uint64
 SHINGLE = 3
+#: Bits of the largest filter, windows of an item in a piece, copies of a window in the join.
+MAX_BITS, PIECE, SALTS = 27, 1 << 14, 8
+_WORDS = pa.list_(pa.int64())
 
 
-def _item_words(items: DataFrame, window: int, piece: int) -> DataFrame:
-    """Distinct (item as text, word hashes in order); items without words are dropped.
-
-    An item of more than `piece` words comes in pieces that overlap by window - 1 words, so every window is in one."""
+def _item_windows(items: DataFrame, window: int) -> DataFrame:
+    """Distinct (item as text, word hashes of a window); items without words have none."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, off in text_blocks(batch.column(1)):
                 w = tokenize(data, off, PUNCTUATION, lower=True)
-                row, cut = [], []
                 for r, (a, b) in enumerate(zip(w.ptr[:-1].tolist(), w.ptr[1:].tolist(), strict=True)):
-                    for s in range(a, max(a + 1, b - window + 1), piece):
-                        if b > a:
-                            row.append(i + r)
-                            cut.append(w.hash[s : min(b, s + piece + window - 1)].view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(cut, pa.list_(pa.int64()))], names=["item", "words"])
+                    size = min(window, b - a)
+                    for s in range(a, b - size + 1 if size else a, PIECE):
+                        n = min(PIECE, b - size + 1 - s)
+                        words = w.hash[s + np.arange(n)[:, None] + np.arange(size)].view(np.int64)
+                        ids = batch.column(0).take(pa.array(np.full(n, i + r)))
+                        yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), pa.array(words.ravel()))], names=["item", "words"])
 
     got = items.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(run, "item string, words array<long>")
     return got.distinct()
 
 
-def item_blocks(items: DataFrame, window: int, max_block_words: int) -> list[DataFrame]:
-    """Items dealt by hash into blocks of about half of max_block_words words.  A repeated item counts once, and no row
-    has more than a sixteenth of that, so no block can grow much above the others."""
-    words = materialize(_item_words(items, window, max(window, max_block_words // 16)), "items")
-    total = words.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"]
-    if not total:
-        return []
-    n = -(-2 * int(total) // max_block_words) if total > max_block_words else 1
-    return [words.where(F.pmod(F.xxhash64("item", "words"), F.lit(n)) == b) for b in range(n)]
-
-
-def _load(block: DataFrame, window: int, max_block_words: int) -> dict:
-    """Windows of a block, distinct: words (padded), length, items."""
-    size = block.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)).alias("n")).first()["n"]
-    if size > 8 * max(max_block_words, 16 * window):  # hashes deal 16 and more pieces a block: this does not happen
-        raise ValueError("a benchmark block is larger than max_block_words allows")
-    rows = block.collect()
-    names = sorted({r.item for r in rows if r.item is not None}) if rows else []
-    number = {x: i for i, x in enumerate(names)}
-    seen: dict[tuple, set[int]] = {}
-    for r in rows:
-        h = r.words
-        for s in range(max(1, len(h) - window + 1)):
-            seen.setdefault(tuple(h[s : s + window]), set()).add(number.get(r.item, -1))
-    length = np.array([len(x) for x in seen], np.int64)
-    words = np.zeros((len(seen), window), np.int64)
-    for i, x in enumerate(seen):
-        words[i, : len(x)] = x
-    return {"names": names, "length": length, "words": words.view(_U), "items": [sorted(x) for x in seen.values()]}
-
-
-def _shingle(words: np.ndarray, length: np.ndarray, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(window, size, hash) of the shingle at offset `at` of each window that has one there."""
-    size = np.minimum(SHINGLE, length)
-    out = [[], [], []]
-    for s in range(1, SHINGLE + 1):
-        w = np.flatnonzero((size == s) & (at + s <= length))
-        if len(w):
-            block = np.ascontiguousarray(words[w, at : at + s]).ravel()
-            out[0].append(w)
-            out[1].append(np.full(len(w), s))
-            out[2].append(grams(block, s)[::s])
-    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
-
-
-def _vocabulary(items: dict) -> np.ndarray:
-    """Distinct shingle hashes of the block's windows, sorted."""
-    got = [_shingle(items["words"], items["length"], at)[2].astype(_U) for at in range(items["words"].shape[1])]
-    return np.unique(np.concatenate(got))
-
-
-def _count_vocabulary(docs: DataFrame, vocab: np.ndarray, sizes: list[int]) -> dict[int, int]:
-    """How often each shingle of the vocabulary occurs in all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocab)
+def _with_shingles(batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        words, flat = batch.column(0), batch.column(0).flatten().to_numpy(zero_copy_only=False).view(_U)
+        ptr = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))])
+        own = [grams(flat[a:b], min(SHINGLE, b - a)).view(np.int64) for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([words, pa.array(own, _WORDS)], names=["words", "shingles"])
+
+
+def bit_filter(keys: DataFrame, max_bits: int) -> tuple[int, np.ndarray]:
+    """(bits, cells) of a filter over the top bits of a column `key` of hashes: some 16 bits a key, 2^max_bits at most."""
+    bits = max(6, min(max_bits, int(16 * keys.count()).bit_length()))
+    place = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("p"))
+    cell = place.select(F.shiftrightunsigned("p", 6).cast("int").alias("c"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b"))
+    got = cell.groupBy("c").agg(F.bit_or("b").alias("b")).toArrow()  # a row per 64 bits at most
+    cells = np.zeros(1 << (bits - 6), _U)
+    cells[got.column("c").to_numpy()] = got.column("b").to_numpy().view(_U)
+    return bits, cells
+
+
+def _passes(g: np.ndarray, bits: int, cells: np.ndarray) -> np.ndarray:
+    at = g >> _U(64 - bits)
+    return (cells[at >> _U(6)] >> (at & _U(63)) & _U(1)).astype(bool)
+
+
+def _count(batches, shared, sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """Counts of the shingles that pass the filter, combined within the task by and by."""
+    keys, counts, held = [], [], 0
+
+    def merge() -> tuple[np.ndarray, np.ndarray]:
+        k, n = np.concatenate(keys), np.concatenate(counts)
+        u, inverse = np.unique(k, return_inverse=True)
+        return u, np.bincount(inverse, n, len(u)).astype(np.int64)
 
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        v = shared.value
-        total = np.zeros(len(v), np.int64)
-        for batch in batches:
-            for _, _, data, off in text_blocks(batch.column(0)):
-                w = tokenize(data, off, PUNCTUATION, lower=True)
-                for s in sizes:
-                    g = grams(w.hash, s)[valid_starts(w, s)]
-                    pos = np.minimum(np.searchsorted(v, g), len(v) - 1)
-                    total += np.bincount(pos[v[pos] == g], minlength=len(v))
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64()), pa.array(total[hit])], names=["v", "n"])
-
-    counted = docs.select("text").mapInArrow(run, "v long, n long").groupBy("v").agg(F.sum("n").alias("n"))
-    return {r.v: r.n for r in counted.collect()}  # at most one row per shingle of the block
-
-
-def _index(items: dict, counts: dict[int, int], vocab: np.ndarray) -> dict:
-    """Each window's rarest shingle and its offset; sorted by shingle."""
-    n = len(items["length"])
-    best = np.full(n, np.iinfo(np.int64).max)
-    key = np.zeros(n, _U)
-    offset = np.zeros(n, np.int64)
-    rarity = np.array([counts.get(i, 0) for i in range(len(vocab))], np.int64)
-    for at in range(items["words"].shape[1]):
-        w, _, h = _shingle(items["words"], items["length"], at)
-        if not len(w):
-            continue
-        c = rarity[np.searchsorted(vocab, h.astype(_U))]
-        better = c < best[w]
-        w, h, c = w[better], h[better].astype(_U), c[better]
-        best[w], key[w], offset[w] = c, h, at
-    order = np.argsort(key, kind="stable")
-    keys, first = np.unique(key[order], return_index=True)
-    flat = [x for w in order for x in items["items"][w]]
-    ptr = np.concatenate([[0], np.cumsum([len(items["items"][w]) for w in order])]).astype(np.int64)
-    return {
-        "keys": keys, "first": np.append(first, n), "words": items["words"][order], "length": items["length"][order], "offset": offset[order],
-        "item": np.array(flat, np.int64), "ptr": ptr, "names": items["names"], "sizes": sorted({min(SHINGLE, int(x)) for x in items["length"]}),
-    }
-
-
-def find_windows(w, index: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(start word, window number) of every occurrence of the index's windows in a block of documents."""
-    starts, wins = [], []
-    keys, first = index["keys"], index["first"]
-    doc_of = w.doc()
-    for s in index["sizes"]:
-        g = grams(w.hash, s)
-        if not len(g):
-            continue
-        pos = np.minimum(np.searchsorted(keys, g), len(keys) - 1)
-        at = np.flatnonzero((keys[pos] == g) & valid_starts(w, s))
-        if not len(at):
-            continue
-        each = first[pos[at] + 1] - first[pos[at]]
-        place = np.repeat(at, each)
-        win = np.repeat(first[pos[at]], each) + np.arange(len(place)) - np.repeat(np.cumsum(each) - each, each)
-        start = place - index["offset"][win]
-        stop = start + index["length"][win]
-        doc = doc_of[place]
-        fits = (np.minimum(SHINGLE, index["length"][win]) == s) & (start >= w.ptr[doc]) & (stop <= w.ptr[doc + 1])
-        start, win = start[fits], win[fits]
-        for c in range(index["words"].shape[1]):
-            inside = index["length"][win] > c
-            same = ~inside
-            same[inside] = w.hash[start[inside] + c] == index["words"][win[inside], c]
-            start, win = start[same], win[same]
-        starts.append(start)
-        wins.append(win)
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(starts), np.concatenate(wins)
-
-
-def _scan(batches, shared, keep: int, text_at: int, passes: bool, last: bool) -> Iterator[pa.RecordBatch]:
-    """The first `keep` columns, then (but for the last block, if the text is not among them) the text, n_words, hit
-    spans and items; what earlier blocks found is merged in."""
-    index = shared.value
     for batch in batches:
-        for i, j, data, off in text_blocks(batch.column(text_at)):
+        for _, _, data, off in text_blocks(batch.column(0)):
             w = tokenize(data, off, PUNCTUATION, lower=True)
-            start, win = find_windows(w, index)
-            depth = np.zeros(len(w.hash) + 1, np.int32)
-            np.add.at(depth, start, 1)
-            np.add.at(depth, start + index["length"][win], -1)
-            hit = np.cumsum(depth[:-1]) > 0
-            doc = np.searchsorted(w.ptr, start, "right") - 1
-            items: list[set] = [set() for _ in range(j - i)]
-            for d, x in zip(doc.tolist(), win.tolist(), strict=True):
-                items[d].update(index["item"][index["ptr"][x] : index["ptr"][x + 1]].tolist())
-            spans, found = [], []
-            for r in range(j - i):
-                h = hit[w.ptr[r] : w.ptr[r + 1]]
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], h.view(np.int8), [0]])))
-                spans.append([*edge.tolist(), *(batch.column(batch.num_columns - 2)[i + r].as_py() if passes else [])])
-                found.append([index["names"][x] for x in items[r] if x >= 0] + (batch.column(batch.num_columns - 1)[i + r].as_py() if passes else []))
-            columns = [batch.column(c).slice(i, j - i) for c in range(keep)]
-            if not last and text_at == keep:
-                columns.append(batch.column(text_at).slice(i, j - i))
-            columns += [pa.array(w.counts(), pa.int64()), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[f"c{n}" for n in range(len(columns))])
-
-
-def mark_benchmark_words(docs: DataFrame, items: DataFrame, keep: list[str], finish, schema: str, window: int = 13, max_block_words: int = 2_000_000) -> DataFrame:
-    """Marks every row of `docs` and hands the record batches to `finish`, a generator with the given schema, in the
-    same Python pass.  The batches hold the `keep` columns, n_words, spans (flat begin, end word pairs of hit words;
-    may overlap if there are several blocks) and items (ids as text, with repeats)."""
-    text_at = keep.index("text") if "text" in keep else len(keep)
-    own = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
-    state = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], *([F.col("text").alias(f"c{len(keep)}")] if text_at == len(keep) else []))
-    blocks = item_blocks(items, window, max_block_words)
+            for s in sizes:
+                g = grams(w.hash, s)[valid_starts(w, s)]
+                u, n = np.unique(g[_passes(g, *shared.value)], return_counts=True)
+                keys.append(u)
+                counts.append(n)
+                held += len(u)
+            if held > 1 << 20:
+                u, n = merge()
+                if 2 * len(u) > held:  # hardly anything repeats: let it go
+                    yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], names=["key", "n"])
+                    u, n = u[:0], n[:0]
+                keys, counts, held = [u], [n], len(u)
+    if keys:
+        u, n = merge()
+        yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+
+_PLACES = "_k long, _h long, n_words long, places array<struct<key:long,at:int,lead:int,words:array<long>>>"
+
+
+def _emit_places(batches, shared, sizes: list[int], window: int) -> Iterator[pa.RecordBatch]:
+    """Per row: its number of words, and the places of keys with the words around them."""
+    for batch in batches:
+        for i, j, data, off in text_blocks(batch.column(2)):
+            w = tokenize(data, off, PUNCTUATION, lower=True)
+            doc_of = w.doc()
+            at, key = [np.zeros(0, np.int64)], [np.zeros(0, _U)]
+            for s in sizes:
+                g = grams(w.hash, s)
+                hit = np.flatnonzero(valid_starts(w, s) & _passes(g, *shared.value)) if len(g) else np.zeros(0, np.int64)
+                at.append(hit)
+                key.append(g[hit])
+            at, key = np.concatenate(at), np.concatenate(key)
+            order = np.argsort(at, kind="stable")
+            at, key = at[order], key[order]
+            doc = doc_of[at]
+            first, last = np.maximum(w.ptr[doc], at - (window - 1)), np.minimum(w.ptr[doc + 1], at + window)
+            length = last - first
+            ptr = np.concatenate([[0], np.cumsum(length)])
+            around = w.hash[np.repeat(first - ptr[:-1], length) + np.arange(int(ptr[-1]))]
+            fields = [pa.array(key.view(np.int64)), pa.array((at - w.ptr[doc]).astype(np.int32)), pa.array((at - first).astype(np.int32)), pa.ListArray.from_arrays(pa.array(ptr, pa.int32()), pa.array(around.view(np.int64)))]
+            places = pa.StructArray.from_arrays(fields, names=["key", "at", "lead", "words"])
+            cuts = pa.array(np.searchsorted(doc, np.arange(j - i + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(w.counts(), pa.int64()), pa.ListArray.from_arrays(cuts, places)], names=["_k", "_h", "n_words", "places"])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(id_or_sentinel("doc_id").alias("_k"), F.xxhash64("text").alias("_h"), "text")
+
+
+def window_keys(docs: DataFrame, windows: DataFrame, max_bits: int) -> tuple[DataFrame, list[int]]:
+    """(words, offset, key of each distinct window that can occur; sizes of shingles)."""
+    sc = docs.sparkSession.sparkContext
+    shingled = materialize(windows.select("words").distinct().mapInArrow(_with_shingles, "words array<long>, shingles array<long>"), "shingled")
+    sizes = sorted(r.s for r in shingled.select(F.least(F.lit(SHINGLE), F.size("words")).alias("s")).distinct().collect())
+    vocabulary = shingled.select(F.explode("shingles").alias("key")).distinct()
+    shared = sc.broadcast(bit_filter(vocabulary, max_bits))
+    counts = docs.select("text").mapInArrow(lambda it: _count(it, shared, sizes), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    each = shingled.select("words", F.posexplode("shingles").alias("offset", "key")).join(counts, "key", "left")
+    rarest = each.groupBy("words").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "key")).alias("r"))
+    return rarest.where("r.n > 0").select("words", "r.offset", "r.key"), sizes
+
+
+def find_windows(docs: DataFrame, items: DataFrame, window: int, max_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows _k, _h, n_words of all documents; occurrences _k, _h, words, begin, end of windows; windows item, words)."""
     sc = docs.sparkSession.sparkContext
-    for k, block in enumerate(blocks or [None]):
-        loaded = _load(block, window, max_block_words) if block is not None else None
-        if loaded is None or not len(loaded["length"]):
-            index = {"keys": np.zeros(0, _U), "first": np.zeros(1, np.int64), "words": np.zeros((0, window), _U), "length": np.zeros(0, np.int64), "offset": np.zeros(0, np.int64), "item": np.zeros(0, np.int64), "ptr": np.zeros(1, np.int64), "names": [], "sizes": []}
-        else:
-            vocab = _vocabulary(loaded)
-            sizes = sorted({min(SHINGLE, int(x)) for x in loaded["length"]})
-            index = _index(loaded, _count_vocabulary(docs, vocab, sizes), vocab)
-        last = k >= len(blocks) - 1
-        shared = sc.broadcast(index)
-        if last:
-            return state.mapInArrow(lambda it, shared=shared, k=k: finish(_scan(it, shared, len(keep), text_at, k > 0, True)), schema)
-        between = ", ".join([*own, *([] if text_at < len(keep) else ["text string"]), "n_words long", "spans array<int>", "items array<string>"])
-        state = state.mapInArrow(lambda it, shared=shared, k=k: _scan(it, shared, len(keep), text_at, k > 0, False), between)
-    raise AssertionError("there is always a last block")
+    windows = materialize(_item_windows(items, window), "windows")
+    keys, sizes = window_keys(docs, windows, max_bits)
+    keys = materialize(keys, "keys")
+    shared = sc.broadcast(bit_filter(keys.select("key").distinct(), max_bits))
+    rows = materialize(_keyed(docs).mapInArrow(lambda it: _emit_places(it, shared, sizes, window), _PLACES), "places")
+    places = rows.where(F.size("places") > 0).select("_k", "_h", F.explode("places").alias("p")).select("_k", "_h", "p.key", "p.at", "p.lead", F.col("p.words").alias("around"))
+    salted = places.withColumn("salt", F.pmod(F.xxhash64("_k", "_h"), F.lit(SALTS)))
+    met = salted.join(keys.withColumn("salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)"))), ["key", "salt"])
+    start = F.col("lead") - F.col("offset")
+    fits = (start >= 0) & (start + F.size("words") <= F.size("around"))
+    same = F.slice("around", F.greatest(F.lit(1), start + 1), F.size("words")) == F.col("words")
+    begin = F.col("at") - F.col("offset")
+    return rows.select("_k", "_h", "n_words"), met.where(fits & same).select("_k", "_h", "words", begin.alias("begin"), (begin + F.size("words")).alias("end")), windows
 
 
 def verdict(words: int, spans: list[int], items: list[str]) -> tuple[int, list[str], bool]:
@@ -250,39 +190,45 @@ def verdict(words: int, spans: list[int], items: list[str]) -> tuple[int, list[s
     return total, sorted(set(items)), total > 0 and 20 * total >= words
 
 
-def _verdicts(batches, with_spans: bool) -> Iterator[pa.RecordBatch]:
+def _verdicts(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n, spans, items = (batch.column(c) for c in (1, 2, 3))
-        got = [verdict(*x) for x in zip(n.to_pylist(), spans.to_pylist(), items.to_pylist(), strict=True)]
+        n, begins, ends, items = (batch.column(c).to_pylist() for c in (2, 3, 4, 5))
+        spans = [[x for pair in zip(b or [], e or [], strict=True) for x in pair] for b, e in zip(begins, ends, strict=True)]
+        got = [verdict(*x) for x in zip(n, spans, (x or [] for x in items), strict=True)]
         shas = [hashlib.sha256(",".join(ids).encode()).hexdigest() for _, ids, _ in got]
-        cols = [batch.column(0), n, pa.array([h for h, _, _ in got], pa.int64()), pa.array([len(x) for _, x, _ in got], pa.int64()), pa.array(shas, pa.string()), pa.array([bad for _, _, bad in got], pa.bool_())]
-        names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-        if with_spans:
-            cols += [spans, items]
-            names += ["spans", "items"]
-        yield pa.RecordBatch.from_arrays(cols, names=names)
+        cols = [*batch.columns[:3], pa.array([h for h, _, _ in got], pa.int64()), pa.array([len(x) for _, x, _ in got], pa.int64()), pa.array(shas, pa.string()), pa.array([bad for _, _, bad in got], pa.bool_())]
+        cols += [pa.array(spans, pa.list_(pa.int32())), pa.array([x for _, x, _ in got], pa.list_(pa.string()))]
+        yield pa.RecordBatch.from_arrays(cols, names=["_k", "_h", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items"])
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, max_block_words: int = 2_000_000, with_spans: bool = False) -> DataFrame:
-    """A row per document: n_words, n_hit, n_items, items_sha256, contaminated (and spans, items on request).
+def _judged(docs: DataFrame, items: DataFrame, window: int, max_bits: int) -> DataFrame:
+    rows, found, windows = find_windows(docs, items, window, max_bits)
+    found = materialize(found.distinct(), "found")
+    spans = found.groupBy("_k", "_h").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    listed = found.select("_k", "_h", "words").distinct().join(windows.where("item IS NOT NULL"), "words").select("_k", "_h", "item").distinct()
+    ids = listed.groupBy("_k", "_h").agg(F.collect_list("item").alias("items"))
+    one = rows.join(spans.join(ids, ["_k", "_h"], "left"), ["_k", "_h"], "left")
+    schema = "_k long, _h long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<int>, items array<string>"
+    return one.select("_k", "_h", "n_words", F.col("spans.begin").alias("b"), F.col("spans.end").alias("e"), "items").mapInArrow(_verdicts, schema)
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, max_bits: int = MAX_BITS, with_spans: bool = False) -> DataFrame:
+    """A row per document: n_words, n_hit, n_items, items_sha256, contaminated (and spans: flat begin, end word pairs, which
+    may overlap; items: their ids as text).
 
     contaminated: any word is hit, and hit words are at least a twentieth of all words."""
-    schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + (", spans array<int>, items array<string>" if with_spans else "")
-    return mark_benchmark_words(docs, items, ["doc_id"], lambda it: _verdicts(it, with_spans), schema, window, max_block_words)
+    more = ["spans", "items"] if with_spans else []
+    return _judged(docs, items, window, max_bits).select(F.nullif("_k", F.lit(NULL_ID)).alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *more)
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 13, max_block_words: int = 2_000_000) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 13, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of `docs`, with all their columns, that are not contaminated."""
+    bad = materialize(_judged(docs, items, window, max_bits).where("contaminated").select("_k", "_h").distinct(), "contaminated")
     names = docs.columns
-
-    def clean(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, spans, found = (batch.column(batch.num_columns - c).to_pylist() for c in (3, 2, 1))
-            ok = pa.array([not verdict(*x)[2] for x in zip(n, spans, found, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays(batch.columns[:-3], names=batch.schema.names[:-3]).filter(ok)
-
-    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema))
-    return mark_benchmark_words(docs, items, names, clean, schema, window, max_block_words).toDF(*names)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    at = {c: F.col(f"c{names.index(c)}") for c in ("doc_id", "text")}
+    on = (id_or_sentinel(at["doc_id"]) == bad["_k"]) & (F.xxhash64(at["text"]) == bad["_h"])
+    return plain.join(bad, on, "left_anti").toDF(*names)
 
 
 def op8_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -315,18 +315,20 @@ def brute_hits(rows, items, window=13):
     return out
 
 
-@pytest.mark.parametrize("block", [2_000_000, 60])
-def test_decontaminate(spark, block):
+@pytest.mark.parametrize("bits", [27, 6])
+def test_decontaminate(spark, bits):
     rows = make_docs(seed=4)
     words = [t.split() for _, t in rows if t and len(t.split()) > 40][:6]
     items = [(i, " ".join(w[3 : 3 + 13 + i])) for i, w in enumerate(words)] + [(20, "the"), (21, "Ein, zu"), (22, None), (23, "..."), (24, " ".join(words[0][3:16])), (None, " ".join(words[1][:15]))]
     want = brute_hits([*rows, (None, rows[0][1])], items)
-    d = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_block_words=block)
+    d = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_bits=bits)
     for r in d.collect():
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == want[r.doc_id], r.doc_id
-    kept = decontaminate.drop_contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_block_words=block)
+    kept = decontaminate.drop_contaminated(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_bits=bits)
     assert kept.columns == frame(spark, rows).columns
     assert {r.doc_id for r in kept.collect()} == {k for k, v in want.items() if not v[4]}
+    spans = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_bits=bits, with_spans=True)
+    assert all(sum(r.n_hit for r in [x]) == len({i for a, b in zip(x.spans[::2], x.spans[1::2], strict=True) for i in range(a, b)}) for x in spans.collect())
     none = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame([], "item_id long, text string"))
     assert none.where("contaminated OR n_hit > 0").count() == 0
 
@@ -337,7 +339,7 @@ def test_decontaminate_repeated_and_giant_items(spark):
     rows = [(0, " ".join(giant[100:160])), (1, " ".join(giant[4960:])), (2, "plain words only"), (3, "x " + " ".join(giant[511:530]) + " y"), (4, " ".join(giant))]
     items = [(7, " ".join(giant[200:230]))] * 20000 + [(8, " ".join(giant)), (8, " ".join(giant)), (9, " ".join(giant[200:230]))]
     want = brute_hits(rows, set(items))
-    got = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), max_block_words=3000).collect()
+    got = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), max_bits=12).collect()
     assert {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got} == want
 
 

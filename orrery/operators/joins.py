@@ -30,7 +30,7 @@ def range_join(left: DataFrame, x: Column, ranges: DataFrame, lo: Column, hi: Co
     bucket = lambda c: F.floor(c.cast("double") / width)
     first, last = bucket(F.coalesce("_lo", a)), bucket(F.coalesce("_hi", b))
     cut = cut.withColumn("_bucket", F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))))
-    asked = left.withColumn("_x", x).withColumn("_bucket", bucket(F.greatest(a, F.least(b, F.col("_x")))))
+    asked = left.withColumn("_x", x).withColumn("_bucket", F.when(F.col("_x").isNotNull(), bucket(F.greatest(a, F.least(b, F.col("_x"))))))
     upper = F.col("_x") <= F.col("_hi") if closed == "both" else F.col("_x") < F.col("_hi")
     on = (asked["_bucket"] == cut["_bucket"]) & (F.col("_lo").isNull() | (F.col("_x") >= F.col("_lo"))) & (F.col("_hi").isNull() | upper)
     for c in by:

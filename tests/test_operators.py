@@ -304,6 +304,8 @@ def test_range_join_open_ends_and_rows_beyond(spark):
     got = joins.range_join(spark.createDataFrame([(x,) for x in xs], "x long"), F.col("x"), spark.createDataFrame(ranges, "i int, a long, b long"), F.col("a"), F.col("b"), 37)
     want = sorted((x, i) for x in xs for i, a, b in ranges if (a is None or a <= x) and (b is None or x < b))
     assert sorted((r.x, r.i) for r in got.collect()) == want
+    empty = spark.createDataFrame([(None,)], "x long")
+    assert joins.range_join(empty, F.col("x"), spark.createDataFrame(ranges, "i int, a long, b long"), F.col("a"), F.col("b"), 37).count() == 0
     none = spark.createDataFrame([], "i int, a long, b long")
     assert joins.range_join(spark.range(3), F.col("id"), none, F.col("a"), F.col("b"), 5, "left").count() == 3
 

@@ -22,8 +22,9 @@ similarity; the result is each document's component.  All links are found.
    / 2), and what passes is intersected exactly.  Pairs already connected are
    skipped, since only components are asked for.  First, components of stars and
    pairs that fit a tile (families) are one tile each; larger ones are taken star by
-   star, in chunks that each hold the star's centre too, so a group of near copies
-   costs a few tiles per document, whatever its size.
+   star, a set in the star with the smallest centre only, in chunks that each hold
+   that centre too.  So a group of near copies costs a tile per document, whatever
+   its size.
 4. Components over the links.  Where a star's members are then still in several
    components, those outside its largest one meet all members, in tiles of chunk x
    chunk; listed pairs in different components are compared one by one; and the
@@ -306,9 +307,10 @@ def _first_tiles(classes: DataFrame, edges: DataFrame, families: DataFrame) -> t
     outer = inside.where("star").select(F.col("a").alias("c"), F.col("b").alias("k"))
     centres = inside.where("star").select(F.col("a").alias("c"), F.col("a").alias("k"))
     stars = materialize(outer.union(centres).distinct().join(m.select("k", "n"), "k").select("c", "k", "n"), "stars")
-    count = stars.groupBy("c").agg(_chunks(F.count("*"), F.sum("n")).alias("chunks"))
     tile = lambda i: F.concat_ws(":", F.lit("s"), F.col("c").cast("string"), i.cast("string")).alias("tile")
-    own = stars.where("k <> c").join(count, "c").select("k", F.lit(0).cast("long").alias("row"), tile(F.pmod(F.xxhash64("k"), F.col("chunks"))), F.lit(0).alias("side"))
+    lead = stars.where("k <> c").groupBy("k").agg(F.min("c").alias("c"), F.first("n").alias("n"))
+    count = lead.groupBy("c").agg(_chunks(F.count("*"), F.sum("n")).alias("chunks"))
+    own = lead.join(count, "c").select("k", F.lit(0).cast("long").alias("row"), tile(F.pmod(F.xxhash64("k"), F.col("chunks"))), F.lit(0).alias("side"))
     centre = count.select("c", _numbers(F.col("chunks")).alias("i")).select(F.col("c").alias("k"), F.expr(f"i div {SEATS}").alias("row"), tile(F.col("i")), F.lit(0).alias("side"))
     return small.union(own).union(centre), stars, inside.where("NOT star").select("a", "b")
 
@@ -416,8 +418,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     if stars is not None:
         open_seats = materialize(_second_tiles(stars, pairs, found), "open")
         if not open_seats.isEmpty():
+            # components of components: links between their roots, then a step from old root to new
+            roots = found.select(F.col("node").alias("k"), F.col("root").alias("r"))
             more = _links(keyed, open_seats, n, percent)
-            found = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
+            for end in ("a", "b"):
+                more = more.join(roots, more[end] == roots["k"], "left").withColumn(end, F.coalesce("r", end)).drop("k", "r")
+            joined = connected_components(more)
+            further = joined.select(F.col("node").alias("root"), F.col("root").alias("new"))
+            found = found.join(further, "root", "left").select("node", F.coalesce("new", "root").alias("root")).union(joined)
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("n", "f1", "f2", F.coalesce("root", "rep").alias("c"))
     out = described.select("k", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
     whole = lambda c: F.nullif(c, F.lit(NULL_ID))

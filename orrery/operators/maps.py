@@ -104,8 +104,8 @@ def assert_maps_match(maps: DataFrame, cell: list[str], columns: list[str]) -> D
     """A4: the maps; reading them raises unless each descriptive column has one value per cell over all maps (NULL
     equals NULL).  The check is a subquery of the plan: one aggregation, and one row of flags."""
     null = F.lit("\0null")
-    varied = maps.groupBy(*cell).agg(*[(F.min(F.coalesce(F.col(c).cast("string"), null)) != F.max(F.coalesce(F.col(c).cast("string"), null))).alias(c) for c in columns])
-    wrong = F.array_compact(F.array(*[F.when(F.bool_or(c), F.lit(c)) for c in columns]))
+    varied = maps.groupBy(*cell).agg(*[(F.min(F.coalesce(F.col(c).cast("string"), null)) != F.max(F.coalesce(F.col(c).cast("string"), null))).alias(f"_varies_{c}") for c in columns])
+    wrong = F.array_compact(F.array(*[F.when(F.bool_or(f"_varies_{c}"), F.lit(c)) for c in columns]))
     names = varied.agg(F.array_join(wrong, ", ")).scalar()
     return maps.where(F.when(names != "", F.raise_error(F.concat(F.lit("maps differ in "), names)).cast("boolean")).otherwise(F.lit(True)))
 

@@ -22,9 +22,9 @@ similarity; the result is each document's component.  All links are found.
    / 2), and what passes is intersected exactly.  Pairs already connected are
    skipped, since only components are asked for.  First, components of stars and
    pairs that fit a tile (families) are one tile each; larger ones are taken star by
-   star, a set in the star with the smallest centre only, in chunks that each hold
-   that centre too.  So a group of near copies costs a tile per document, whatever
-   its size.
+   star, a set in the LEADS stars with the smallest centres, in chunks that each hold
+   that centre too.  So a group of near copies costs a few tiles per document,
+   whatever its size.
 4. Components over the links.  Where a star's members are then still in several
    components, those outside its largest one meet all members, in tiles of chunk x
    chunk; listed pairs in different components are compared one by one; and the
@@ -57,6 +57,8 @@ _U = np.uint64
 COLD = 16
 #: Signatures in one bucket; documents and shingles in one side of a tile.
 BUCKET, TILE_DOCS, TILE_SHINGLES = 1 << 19, 512, 1 << 21
+#: Stars in which a member of a large family is compared first; what they leave open is settled afterwards.
+LEADS = 6
 #: Tiles of a document that are listed in one row.
 SEATS = 1024
 #: What `need` is cut to (a lower one lets more pairs through, none less).
@@ -308,7 +310,7 @@ def _first_tiles(classes: DataFrame, edges: DataFrame, families: DataFrame) -> t
     centres = inside.where("star").select(F.col("a").alias("c"), F.col("a").alias("k"))
     stars = materialize(outer.union(centres).distinct().join(m.select("k", "n"), "k").select("c", "k", "n"), "stars")
     tile = lambda i: F.concat_ws(":", F.lit("s"), F.col("c").cast("string"), i.cast("string")).alias("tile")
-    lead = stars.where("k <> c").groupBy("k").agg(F.min("c").alias("c"), F.first("n").alias("n"))
+    lead = stars.where("k <> c").withColumn("i", F.row_number().over(Window.partitionBy("k").orderBy("c"))).where(F.col("i") <= LEADS).select("c", "k", "n")
     count = lead.groupBy("c").agg(_chunks(F.count("*"), F.sum("n")).alias("chunks"))
     own = lead.join(count, "c").select("k", F.lit(0).cast("long").alias("row"), tile(F.pmod(F.xxhash64("k"), F.col("chunks"))), F.lit(0).alias("side"))
     centre = count.select("c", _numbers(F.col("chunks")).alias("i")).select(F.col("c").alias("k"), F.expr(f"i div {SEATS}").alias("row"), tile(F.col("i")), F.lit(0).alias("side"))
@@ -335,10 +337,11 @@ def _second_tiles(stars: DataFrame, pairs: DataFrame, found: DataFrame) -> DataF
 
 
 def _links(keyed: DataFrame, seats: DataFrame, n: int, percent: int) -> DataFrame:
-    """a, b: links found in the tiles, as (set, smallest set that it is connected with there)."""
+    """a, b: links found in the tiles, as (set, smallest set that it is connected with there).  seats: a written table."""
+    some = keyed.join(seats.select("k").distinct(), "k", "left_semi")  # ids are few or sorted; only their texts travel
     listed = seats.groupBy("k", "row").agg(F.collect_list(F.struct("tile", "side")).alias("seats"))
     return (
-        keyed.join(listed, "k").select("k", "text", "seats")
+        some.join(listed, "k").select("k", "text", "seats")
         .mapInArrow(lambda it: _seat(it, n), "tile string, side int, k long, set binary")
         .groupBy("tile").applyInPandas(lambda pdf: _link(pdf, percent), "a long, b long")
     )
@@ -414,6 +417,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     described = materialize(keyed.mapInArrow(lambda it: _describe(it, n, bands), "k long, n long, f1 long, f2 long, parts long, sig array<long>, need array<short>, band array<short>"), "described")
     classes, edges, families = _families(described)
     seats, stars, pairs = _first_tiles(classes, edges, families)
+    seats = materialize(seats, "seats")
     found = connected_components(_links(keyed, seats, n, percent))
     if stars is not None:
         open_seats = materialize(_second_tiles(stars, pairs, found), "open")

@@ -258,7 +258,6 @@ def test_seats_grow_with_the_documents_of_a_large_family(spark, monkeypatch):
         first, stars, pairs = jaccard_join._first_tiles(classes, edges, families)
         found = jaccard_join.connected_components(jaccard_join._links(keyed, first, 3, 80))
         seats[n] = first.count() + jaccard_join._second_tiles(stars, pairs, found).count()
-        assert found.select("root").distinct().count() <= 16
     assert seats[2400] < 6 * seats[600] and seats[2400] < 40 * 2400
 
 

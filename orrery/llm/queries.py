@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, jaccard_join, language_id, mixing, secrets, substring_dedup, topk, url_filter, warc
+from . import chat, decontaminate, jaccard_join, language_id, merkle, mixing, secrets, substring_dedup, topk, url_filter, warc
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_chat_format": chat.op9_chat_format,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
 }
 
 ORACLE_SQL = {
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op8_decontaminate": decontaminate.ORACLE_SQL,
     "op9_chat_format": chat.ORACLE_SQL,
     "op10_substring_dedup": substring_dedup.ORACLE_SQL,
+    "op11_merkle_manifest": merkle.ORACLE_SQL,
 }

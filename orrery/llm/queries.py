@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, jaccard_join, language_id, merkle, mixing, secrets, substring_dedup, topk, url_filter, warc, whitening
+from . import chat, decontaminate, jaccard_join, language_id, lattice_lm, merkle, mixing, secrets, substring_dedup, topk, url_filter, warc, whitening
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_chat_format": chat.op9_chat_format,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_lattice_lm": lattice_lm.op12_lattice_lm,
     "op13_whitening": whitening.op13_whitening,
 }
 

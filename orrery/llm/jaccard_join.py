@@ -32,8 +32,10 @@ similarity; the result is each document's component.  All links are found.
 
 Shingles are compared by 64-bit hashes.  Defined cases: NULL or wordless texts
 have the empty set, and are linked with nothing; a text of fewer words than a
-shingle is one shingle; a NULL doc_id sorts before all others and comes back as
-NULL; rows that share a doc_id are one node; other columns are ignored.
+shingle is one shingle; rows that share a doc_id are one node; rows without a
+doc_id are linked by their texts alone (equal texts are one node), and their
+component is the smallest id that it has, NULL if it has none; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -48,7 +50,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._common import NULL_ID, id_or_sentinel, materialize, partitions
+from ._common import materialize, partitions
 from ._text import SPACES, grams, mix, pack, split_by_bucket, text_blocks, tokenize
 from .components import connected_components
 
@@ -59,8 +61,10 @@ COLD = 16
 BUCKET, TILE_DOCS, TILE_SHINGLES = 1 << 19, 512, 1 << 21
 #: Stars in which a member of a large family is compared first; what they leave open is settled afterwards.
 LEADS = 6
-#: Tiles of a document that are listed in one row.
-SEATS = 1024
+#: Members of hot signatures that travel together.
+CHUNK = 1 << 13
+#: Tiles of a document that are listed in one row, and bytes of sets in one batch.
+SEATS, BATCH = 1024, 1 << 26
 #: What `need` is cut to (a lower one lets more pairs through, none less).
 MOST_NEED = 2**15 - 1
 
@@ -153,14 +157,14 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 def _describe(batches, n: int, bands: Bands) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i, j, data, off in text_blocks(batch.column(1)):
+        for i, j, data, off in text_blocks(batch.column(2)):
             sets = shingle_sets(tokenize(data, off, SPACES, lower=True), n)
             sigs, needs, homes = signatures(sets, bands)
             f1 = np.array([np.add.reduce(x, dtype=_U) for x in sets], _U)
             f2 = np.array([np.bitwise_xor.reduce(mix(x)) if len(x) else 0 for x in sets], _U)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i), pa.array([len(x) for x in sets], pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array([len(x) for x in sigs], pa.int64()), _lists(sigs, pa.int64()), _lists(needs, pa.int16()), _lists(homes, pa.int16())],
-                names=["k", "n", "f1", "f2", "parts", "sig", "need", "band"],
+                [*[batch.column(c).slice(i, j - i) for c in (0, 1)], pa.array([len(x) for x in sets], pa.int64()), pa.array(f1.view(np.int64)), pa.array(f2.view(np.int64)), pa.array([len(x) for x in sigs], pa.int64()), _lists(sigs, pa.int64()), _lists(needs, pa.int16()), _lists(homes, pa.int16())],
+                names=["k", "nameless", "n", "f1", "f2", "parts", "sig", "need", "band"],
             )
 
 
@@ -180,7 +184,8 @@ def _groups(sig: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 def _deal(batches, buckets: int) -> Iterator[pa.RecordBatch]:
     """Packs signatures by bucket.  A group that is hot in this task already sends one marked row to its bucket; its
-    members are listed at once, so a bucket's size does not depend on the largest group."""
+    members need no company, and go in chunks to buckets that depend on who they are, so that a signature of all tasks
+    is spread over all buckets."""
     held: list[np.ndarray] = []
     size = 0
 
@@ -201,9 +206,10 @@ def _deal(batches, buckets: int) -> Iterator[pa.RecordBatch]:
             p = sent[part]
             out.append([bucket, pack(rows[p]), pack(mark[p]), b""])
         members = rows[big]
-        for c in range(0, len(members), 1 << 15):
-            part = members[c : c + (1 << 15)]
-            out.append([int(mix(part["sig"][:1])[0] % _U(buckets)), b"", b"", pack(part)])
+        for c in range(0, len(members), CHUNK):
+            part = members[c : c + CHUNK]
+            who = mix(part["sig"][:1] ^ mix(part["k"][:1].view(_U)))[0]
+            out.append([int(who % _U(buckets)), b"", b"", pack(part)])
         for c in range(0, len(out), 256):
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out[c : c + 256], strict=True), _DEALT, strict=True)], schema=_DEALT)
 
@@ -355,8 +361,9 @@ def _seat(batches, n: int) -> Iterator[pa.RecordBatch]:
         for i, j, data, off in text_blocks(batch.column(1)):
             sets = shingle_sets(tokenize(data, off, SPACES, lower=True), n)
             rows = [(t["tile"], t["side"], k, s) for k, seats, x in zip(batch.column(0).slice(i, j - i).to_pylist(), batch.column(2).slice(i, j - i).to_pylist(), sets, strict=True) if len(x) for s in [pack(x)] for t in seats]
-            for c in range(0, len(rows), 1024):
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows[c : c + 1024], strict=True), _SEATED, strict=True)], schema=_SEATED)
+            total = np.cumsum([len(r[3]) for r in rows]) // BATCH
+            for _, part in split_by_bucket(total):
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*[rows[r] for r in part], strict=True), _SEATED, strict=True)], schema=_SEATED)
 
 
 def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -413,8 +420,9 @@ def _link(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of `docs`; similarity of percent / 100 or more links."""
     bands = Bands(percent)
-    keyed = docs.select(id_or_sentinel("doc_id").alias("k"), "text")
-    described = materialize(keyed.mapInArrow(lambda it: _describe(it, n, bands), "k long, n long, f1 long, f2 long, parts long, sig array<long>, need array<short>, band array<short>"), "described")
+    own = F.xxhash64(F.lit("no id"), "text")
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), own).alias("k"), F.isnull("doc_id").alias("nameless"), "text")
+    described = materialize(keyed.mapInArrow(lambda it: _describe(it, n, bands), "k long, nameless boolean, n long, f1 long, f2 long, parts long, sig array<long>, need array<short>, band array<short>"), "described")
     classes, edges, families = _families(described)
     seats, stars, pairs = _first_tiles(classes, edges, families)
     seats = materialize(seats, "seats")
@@ -431,9 +439,13 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
             further = joined.select(F.col("node").alias("root"), F.col("root").alias("new"))
             found = found.join(further, "root", "left").select("node", F.coalesce("new", "root").alias("root")).union(joined)
     named = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("n", "f1", "f2", F.coalesce("root", "rep").alias("c"))
-    out = described.select("k", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
-    whole = lambda c: F.nullif(c, F.lit(NULL_ID))
-    return out.select(whole(F.col("k")).alias("doc_id"), F.col("n").alias("n_shingles"), whole(F.coalesce("c", "k")).alias("component_id"))
+    out = described.select("k", "nameless", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left")
+    out = out.select(F.when(~F.col("nameless"), F.col("k")).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("c", "k").alias("component_id"))
+    if described.where("nameless").isEmpty():
+        return out
+    # a component may be named after a key that is no id
+    named = out.groupBy("component_id").agg(F.min("doc_id").alias("name"))
+    return out.join(named, "component_id").select("doc_id", "n_shingles", F.col("name").alias("component_id"))
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:

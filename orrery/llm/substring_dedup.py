@@ -29,7 +29,8 @@ Hashes of several words only choose groups.
 
 Defined cases: NULL and empty texts have no words and are kept as they are; a
 NULL doc_id sorts before all others; rows that repeat a doc_id with the same
-text are one document and get equal rows; different texts under one doc_id are
+text are one document, which goes through the steps once, and get equal rows;
+different texts under one doc_id are
 separate documents, the smaller text hash first.  Other columns are ignored.
 """
 
@@ -51,6 +52,8 @@ _U = np.uint64
 #: Suffixes held by a map task before it deals them out, and suffixes meant for one group.
 FLUSH = 1 << 19
 GROUP = 1 << 19
+#: Equal rows that are written by one task at a time.
+COPIES = 10_000
 
 
 def _anchors(words, window: int, prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -282,15 +285,26 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, window: int = 20, prefix: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(keyed documents dealt by document, spans (_k, _h, s, e) of words to remove; spans may overlap).
+    """(keyed documents dealt by document, spans (_k, _h, s, e) of words to remove; spans may overlap)."""
+    found = _repeated_spans(docs, window, prefix)
+    return found[0] if found[1] is None else found[0].unionByName(found[1]), found[3]
 
-    Both joins read the dealt documents with the same columns, so their texts are shuffled once."""
+
+def _repeated_spans(docs: DataFrame, window: int, prefix: int) -> tuple[DataFrame, DataFrame | None, DataFrame, DataFrame]:
+    """(documents of one row, documents of several rows or None, those documents' numbers of rows, spans).
+
+    A document of several rows is there once, however many rows it has.  Both joins read the dealt documents with the
+    same columns, so their texts are shuffled once."""
     spark = docs.sparkSession
     keyed = _keyed(docs)
     runs = materialize(
         keyed.select("_k", "_h", "text").mapInArrow(lambda it: _anchor_runs(it, window, prefix), "_k long, _h long, anchor array<long>, times array<tinyint>"),
         "anchors",
     )
+    again = materialize(runs.groupBy("_k", "_h").agg(F.count("*").alias("rows")).where("rows > 1"), "repeated_documents")
+    if some := not again.isEmpty():
+        one = runs.join(again, ["_k", "_h"], "left_semi").groupBy("_k", "_h").agg(F.first("anchor").alias("anchor"), F.first("times").alias("times"))
+        runs = runs.join(again, ["_k", "_h"], "left_anti").unionByName(one)
     each = runs.select("_k", "_h", F.explode(F.arrays_zip("anchor", "times")).alias("x")).select("_k", "_h", F.col("x.anchor").alias("anchor"), F.col("x.times").alias("times"))
     repeated = materialize(each.groupBy("anchor").agg(F.sum("times").alias("n")).where("n > 1"), "repeated")
     total = repeated.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
@@ -299,19 +313,23 @@ def repeated_spans(docs: DataFrame, window: int = 20, prefix: int = 5) -> tuple[
         each.select("_k", "_h", "anchor").join(repeated, "anchor")
         .groupBy("_k", "_h").agg(F.collect_list(F.struct("anchor", "n")).alias("a"))
     )
-    dealt = keyed.repartition("_k", "_h")
-    grouped = (
-        dealt.select("_k", "_h", "text").join(lists, ["_k", "_h"])
-        .select("_k", "_h", "text", F.col("a.anchor").alias("anchor"), F.col("a.n").alias("n"))
-        .mapInArrow(lambda it: _windows(it, window, prefix, buckets), _GROUPED_TYPES)
-    )
+    dealt, several = keyed.repartition("_k", "_h"), None
+    if some:
+        several = keyed.join(again, ["_k", "_h"], "left_semi").groupBy("_k", "_h").agg(F.first("text").alias("text"))
+        dealt = keyed.join(again, ["_k", "_h"], "left_anti").repartition("_k", "_h")
+    parts = [
+        d.select("_k", "_h", "text").join(lists, ["_k", "_h"]).select("_k", "_h", "text", F.col("a.anchor").alias("anchor"), F.col("a.n").alias("n"))
+        for d in (dealt, several) if d is not None
+    ]
+    grouped = (parts[0].unionByName(parts[1]) if some else parts[0]).mapInArrow(lambda it: _windows(it, window, prefix, buckets), _GROUPED_TYPES)
     spans = grouped.groupBy("bucket").applyInPandas(lambda pdf: _repeats(pdf, window), "_k long, _h long, s int, e int")
-    return dealt, spans
+    return dealt, several, again, spans
 
 
 def _cut(batches, digest_only: bool) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ([] if digest_only else ["kept_text"])
     for batch in batches:
+        more = range(4, batch.num_columns)
+        names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ([] if digest_only else ["kept_text"]) + [batch.schema.names[c] for c in more]
         for i, j, data, off in text_blocks(batch.column(1)):
             words = tokenize(data, off, SPACES)
             starts = [batch.column(c).slice(i, j - i) for c in (2, 3)]
@@ -337,16 +355,30 @@ def _cut(batches, digest_only: bool) -> Iterator[pa.RecordBatch]:
             cols = [batch.column(0).slice(i, j - i), pa.array(words.counts(), pa.int64()), pa.array(removed, pa.int64()), pa.array(shas, pa.string())]
             if not digest_only:
                 cols.append(pa.array(texts, pa.string()))
+            cols += [batch.column(c).slice(i, j - i) for c in more]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
 
 def substring_dedup(docs: DataFrame, window: int = 20, prefix: int = 5, digest_only: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and (unless digest_only) kept_text, a row per row of `docs`."""
-    dealt, spans = repeated_spans(docs, window, prefix)
+    dealt, several, again, spans = _repeated_spans(docs, window, prefix)
     cuts = spans.groupBy("_k", "_h").agg(F.collect_list(F.struct("s", "e")).alias("c"))
-    joined = dealt.join(cuts, ["_k", "_h"], "left").select(F.nullif("_k", F.lit(NULL_ID)).alias("doc_id"), "text", F.col("c.s").alias("s"), F.col("c.e").alias("e"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ("" if digest_only else ", kept_text string")
-    return joined.mapInArrow(lambda it: _cut(it, digest_only), schema)
+
+    def cut(joined: DataFrame, *more: str) -> DataFrame:
+        rows = joined.select(F.nullif("_k", F.lit(NULL_ID)).alias("doc_id"), "text", F.col("c.s").alias("s"), F.col("c.e").alias("e"), *more)
+        return rows.mapInArrow(lambda it: _cut(it, digest_only), ", ".join([schema, *[f"{c} long" for c in more]]))
+
+    out = cut(dealt.join(cuts, ["_k", "_h"], "left"))
+    if several is None:
+        return out
+    # as many equal rows as there were, in pieces that are dealt out anew
+    made = cut(several.join(cuts, ["_k", "_h"], "left"), "_k", "_h")
+    pieces = again.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(rows - 1) div {COPIES}"))))
+    dealt_out = made.join(pieces, ["_k", "_h"]).repartition(partitions(docs.sparkSession))
+    copies = F.least(F.lit(COPIES).cast("long"), F.col("rows") - F.col("piece") * COPIES)
+    each = dealt_out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+    return out.unionByName(each.select(*out.columns))
 
 
 def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:

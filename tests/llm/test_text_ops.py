@@ -4,8 +4,10 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +164,18 @@ def test_substring_dedup_keeps_repeated_rows_that_occur_nowhere_else(spark):
     assert got == [(0, 60, 0, anonymous)] * 3 + [(7, 60, 0, only)] * 3 + [(8, 60, 0, other)] * 2 + [(9, 61, 60, "end")] * 2 + [(10, 60, 60, "")]
 
 
+def test_substring_dedup_of_thousands_of_equal_rows(spark, monkeypatch):
+    rng = random.Random(2)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(400))
+    monkeypatch.setattr(substring_dedup, "COPIES", 700)
+    d = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    more = spark.createDataFrame([(4, "new " + text), (4, "new " + text), (5, text + " one"), (6, text)], "doc_id long, text string")
+    start = time.time()
+    got = substring_dedup.substring_dedup(d.unionByName(more), digest_only=True).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed, r["count"]) for r in got) == [(0, 400, 0, 20_000), (4, 401, 400, 2), (5, 401, 400, 1), (6, 400, 400, 1)]
+    assert time.time() - start < 60
+
+
 def brute_components(rows, n, percent):
     sets = {}
     for d, t in rows:
@@ -195,13 +209,33 @@ def test_jaccard_components(spark, n, percent):
     want = brute_components(rows, n, percent)
     got = jaccard_join.jaccard_components(frame(spark, rows), n, percent).collect()
     null = [r for r in got if r.doc_id is None]
-    assert len(got) == len(rows) + 2 and null[0].component_id is None
-    # the NULL row is a copy of the first document and the smallest of its component
-    first = want[rows[0][0]][1]
+    # the NULL row is a copy of the first document
+    assert len(got) == len(rows) + 2 and null[0].component_id == want[rows[0][0]][1]
     for r in got:
         if r.doc_id is not None:
-            size, root = want[r.doc_id]
-            assert (r.n_shingles, r.component_id) == (size, None if root == first and size else root), r.doc_id
+            assert (r.n_shingles, r.component_id) == want[r.doc_id], r.doc_id
+
+
+def test_jaccard_rows_without_ids_are_linked_by_their_texts(spark):
+    text = lambda k: " ".join(f"w{k}_{i}" for i in range(30))
+    rows = [(None, text(k)) for k in range(60)] + [(None, text(0)), (5, text(1) + " end"), (6, text(2)), (7, "end " + text(2)), (None, text(3) + " end"), (None, None), (None, ""), (42, None)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 85).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == sorted([(5, 5), (6, 6), (7, 6), (42, 42), (0, 5), (0, 6)] + [(0, 0)] * 62)
+
+
+def test_members_of_hot_signatures_are_spread_over_buckets(monkeypatch):
+    rng = np.random.default_rng(1)
+    shared = rng.integers(1, 2**62, 20)
+    load = np.zeros(200, np.int64)
+    for task in range(8):
+        k = np.repeat(np.arange(task * 4000, (task + 1) * 4000), 20)
+        sig = np.tile(shared, 4000)
+        lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, len(k) + 1, 20), pa.int32()), pa.array(x)) for x in (sig, np.ones(len(sig), np.int16), np.zeros(len(sig), np.int16))]
+        monkeypatch.setattr(jaccard_join, "CHUNK", 1 << 7)
+        for out in jaccard_join._deal(iter([pa.RecordBatch.from_arrays([pa.array(k[::20]), *lists], names=["k", "sig", "need", "band"])]), len(load)):
+            for bucket, members in zip(out.column("bucket").to_pylist(), out.column("members").to_pylist(), strict=True):
+                load[bucket] += len(members) // jaccard_join._ROW.itemsize
+    assert load.sum() == 640_000 and load.max() < 2 * load.mean()
 
 
 def test_jaccard_tiles_of_large_families(spark, monkeypatch):
@@ -252,8 +286,8 @@ def test_seats_grow_with_the_documents_of_a_large_family(spark, monkeypatch):
             rows.append((k, " ".join(w)))
         d = spark.createDataFrame(rows, "doc_id long, text string")
         bands = jaccard_join.Bands(80)
-        keyed = d.selectExpr("doc_id AS k", "text")
-        described = keyed.mapInArrow(lambda it, bands=bands: jaccard_join._describe(it, 3, bands), "k long, n long, f1 long, f2 long, parts long, sig array<long>, need array<short>, band array<short>")
+        keyed = d.selectExpr("doc_id AS k", "false AS nameless", "text")
+        described = keyed.mapInArrow(lambda it, bands=bands: jaccard_join._describe(it, 3, bands), "k long, nameless boolean, n long, f1 long, f2 long, parts long, sig array<long>, need array<short>, band array<short>")
         classes, edges, families = jaccard_join._families(described)
         first, stars, pairs = jaccard_join._first_tiles(classes, edges, families)
         found = jaccard_join.connected_components(jaccard_join._links(keyed, first, 3, 80))

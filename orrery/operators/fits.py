@@ -32,48 +32,79 @@ def log_local_fit(df: DataFrame, keys: list[str], centres: list[float], low: flo
     return g.join(ends, keys).select(*keys, "bin", "n", F.when(ok, F.exp(F.col("_c") + F.col("_m") * F.ln("centre"))).alias("psd"))
 
 
-def fit_power_law(energy: np.ndarray, flux: np.ndarray, sigma: np.ndarray, steps: int = 60) -> tuple[float, ...]:
-    """(A, gamma, sigma_A, sigma_gamma, chi2 / dof) of flux = A energy^-gamma by Gauss-Newton from the log-log line;
-    NaNs where it cannot be fitted."""
-    bad = (np.nan,) * 5
+def fit_power_laws(cell: np.ndarray, cells: int, energy: np.ndarray, flux: np.ndarray, sigma: np.ndarray, steps: int = 60) -> np.ndarray:
+    """(A, gamma, sigma_A, sigma_gamma, chi2 / dof) of flux = A energy^-gamma per cell, by damped Gauss-Newton steps from
+    the log-log line, for all cells at once, with both parameters kept in [0, 1000]; NaNs where one cannot be fitted.
+    Row i belongs to cell[i], rising.
+
+    A step is a handful of sums per cell; cells that have settled leave."""
+    out = np.full((cells, 5), np.nan)
     ok = np.isfinite(energy) & np.isfinite(flux) & np.isfinite(sigma) & ~((flux == 0) & (sigma == 0))
-    e, f, s = energy[ok], flux[ok], sigma[ok]
+    cell, e, f, s = cell[ok], energy[ok], flux[ok], sigma[ok]
+    total = lambda who, x: np.bincount(who, x, cells)
     up = f > 0
-    if up.sum() < 2 or not (s > 0).all() or len(np.unique(e[up])) < 2:
-        return bad
-    slope, c = np.polyfit(np.log(e[up]), np.log(f[up]), 1)
-    p = np.clip(np.array([np.exp(c), -slope]), 0, 1000)
-
-    def residual(p):
-        return (f - p[0] * e ** -p[1]) / s
-
-    cost, damp = float(residual(p) @ residual(p)), 1e-3
-    for _ in range(steps):
-        model = e ** -p[1]
-        j = np.stack([model / s, -p[0] * np.log(e) * model / s], 1)
-        h = j.T @ j
-        try:
-            step = np.linalg.solve(h + damp * np.diag(np.diag(h)), j.T @ residual(p))
-        except np.linalg.LinAlgError:
-            return bad
-        trial = np.clip(p + step, 0, 1000)
-        new = float(residual(trial) @ residual(trial))
-        if new <= cost:
-            done = np.all(np.abs(trial - p) <= 1e-12 * np.maximum(1e-12, np.abs(p)))
-            p, cost, damp = trial, new, damp / 10
-            if done:
-                break
-        else:
-            damp *= 10
-            if damp > 1e12:
+    with np.errstate(all="ignore"):
+        x, y, who = np.log(e[up]), np.log(f[up]), cell[up]
+        n = total(who, np.ones(len(who)))
+        mx, my = total(who, x) / n, total(who, y) / n
+        sxx, sxy = total(who, (x - mx[who]) ** 2), total(who, (x - mx[who]) * (y - my[who]))
+        slope = sxy / sxx
+        fine = (n >= 2) & (sxx > 1e-24 * np.maximum(1, mx * mx)) & (total(cell, ~(s > 0)) == 0) & np.isfinite(slope)
+        a, g = np.clip(np.exp(my - slope * mx), 0, 1000), np.clip(-slope, 0, 1000)
+    keep = fine[cell]
+    cell, e, f, s = cell[keep], e[keep], f[keep], s[keep]
+    log_e = np.log(e)
+
+    def model(who, le, sig, a, g):
+        m = np.exp(-g[who] * le) / sig
+        return m, -a[who] * le * m
+
+    def cost_of(who, le, fl, sig, a, g):
+        return total(who, (fl / sig - a[who] * np.exp(-g[who] * le) / sig) ** 2)
+
+    cost, damp, active = cost_of(cell, log_e, f, s, a, g), np.full(cells, 1e-3), fine.copy()
+    who, le, fl, sig = cell, log_e, f, s
+    with np.errstate(all="ignore"):
+        for _ in range(steps):
+            stay = active[who]
+            if not stay.all():
+                who, le, fl, sig = who[stay], le[stay], fl[stay], sig[stay]
+            if not len(who):
                 break
-    model = e ** -p[1]
-    j = np.stack([model / s, -p[0] * np.log(e) * model / s], 1)
-    try:
-        cov = np.linalg.inv(j.T @ j)
-    except np.linalg.LinAlgError:
-        return bad
-    return p[0], p[1], float(np.sqrt(cov[0, 0])), float(np.sqrt(cov[1, 1])), cost / max(1, len(e) - 2)
+            ja, jg = model(who, le, sig, a, g)
+            r = fl / sig - a[who] * ja
+            haa, hag, hgg = total(who, ja * ja), total(who, ja * jg), total(who, jg * jg)
+            ba, bg = total(who, ja * r), total(who, jg * r)
+            daa, dgg = haa * (1 + damp), hgg * (1 + damp)
+            # a parameter that would leave its bounds stays there, and the other one moves alone
+            held_a, held_g = ((a <= 0) & (ba < 0)) | ((a >= 1000) & (ba > 0)), ((g <= 0) & (bg < 0)) | ((g >= 1000) & (bg > 0))
+            free = ~held_a & ~held_g
+            off = np.where(free, hag, 0.0)
+            det = daa * dgg - off * off
+            step_a, step_g = np.where(held_a, 0.0, (dgg * ba - off * bg) / det), np.where(held_g, 0.0, (daa * bg - off * ba) / det)
+            ta, tg = np.clip(a + step_a, 0, 1000), np.clip(g + step_g, 0, 1000)
+            lost = active & ~(np.isfinite(ta) & np.isfinite(tg))
+            fine &= ~lost
+            active &= ~lost
+            new = cost_of(who, le, fl, sig, ta, tg)
+            better = active & (new <= cost * (1 + 1e-11))  # sums differ by rounding where the last digits are settled
+            done = better & (np.abs(ta - a) <= 1e-12 * np.maximum(1e-12, a)) & (np.abs(tg - g) <= 1e-12 * np.maximum(1e-12, g))
+            a, g, cost = np.where(better, ta, a), np.where(better, tg, g), np.where(better, np.minimum(new, cost), cost)
+            damp = np.where(better, damp / 10, np.where(active, damp * 10, damp))
+            active &= ~done & (damp <= 1e12)
+        ja, jg = model(cell, log_e, s, a, g)
+        haa, hag, hgg = total(cell, ja * ja), total(cell, ja * jg), total(cell, jg * jg)
+        det = haa * hgg - hag * hag
+        fine &= np.isfinite(det) & (det > 0)
+        dof = np.maximum(1, total(cell, np.ones(len(cell))) - 2)
+        got = np.stack([a, g, np.sqrt(hgg / det), np.sqrt(haa / det), cost / dof], 1)
+    out[fine] = got[fine]
+    return out
+
+
+def fit_power_law(energy: np.ndarray, flux: np.ndarray, sigma: np.ndarray, steps: int = 60) -> tuple[float, ...]:
+    """The fit of one cell."""
+    return tuple(fit_power_laws(np.zeros(len(energy), np.int64), 1, energy, flux, sigma, steps)[0].tolist())
 
 
 def power_law_fit(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -86,8 +117,9 @@ def power_law_fit(df: DataFrame, keys: list[str]) -> DataFrame:
 
     @F.pandas_udf("a double, gamma double, sigma_a double, sigma_gamma double, chi2 double")
     def fit(e: pd.Series, i: pd.Series, s: pd.Series) -> pd.DataFrame:
-        got = [fit_power_law(np.asarray(a, float), np.asarray(b, float), np.asarray(c, float)) for a, b, c in zip(e, i, s, strict=True)]
-        return pd.DataFrame(got, columns=["a", "gamma", "sigma_a", "sigma_gamma", "chi2"])
+        cell = np.repeat(np.arange(len(e)), e.str.len())
+        flat = [np.concatenate([*x, np.zeros(0)]).astype(float) for x in (e, i, s)]
+        return pd.DataFrame(fit_power_laws(cell, len(e), *flat), columns=["a", "gamma", "sigma_a", "sigma_gamma", "chi2"])
 
     d = g.withColumn("_f", fit(F.col("_r.e"), F.col("_r.i"), F.col("_r.s")))
     fine = F.col("_f.gamma") > 0

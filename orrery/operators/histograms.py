@@ -33,11 +33,15 @@ def centred_bin(angle: Column, centres: list[float], half: list[float]) -> Colum
     return out
 
 
-def hist_pa_gyro_counts(df: DataFrame, keys: list[str], centres: list[float], half: list[float]) -> DataFrame:
-    """Mean value by configured bins; error mean / sqrt(sum of counts), NULL without counts."""
-    d = df.where("pa IS NOT NULL AND intensity IS NOT NULL").withColumn("pa_bin", centred_bin(F.col("pa"), centres, half))
-    g = d.groupBy(*keys, "pa_bin").agg(F.avg("intensity").alias("intensity"), F.sum("counts").alias("counts"))
-    return g.withColumn("sigma", F.try_divide(F.col("intensity"), F.nullif(F.sqrt("counts"), F.lit(0.0))))
+def hist_pa_gyro_counts(df: DataFrame, keys: list[str], centres: list[float], half: list[float], gyro_centres: list[float], gyro_half: list[float]) -> DataFrame:
+    """Mean value by configured bins of pitch angle (gyro_bin NULL) and by pitch angle and gyrophase, in one
+    aggregation; error mean / sqrt(sum of counts), NULL without counts.
+
+    Rows without pitch angle or intensity are left out; those without gyrophase only of the second product."""
+    d = df.where("pa IS NOT NULL AND intensity IS NOT NULL").withColumns({"pa_bin": centred_bin(F.col("pa"), centres, half), "gyro_bin": F.when(F.col("gyro").isNotNull(), centred_bin(F.col("gyro"), gyro_centres, gyro_half))})
+    one = [F.col(c) for c in (*keys, "pa_bin")]
+    g = d.groupingSets([one, [*one, F.col("gyro_bin")]], *one, F.col("gyro_bin")).agg(F.grouping("gyro_bin").alias("_g"), F.avg("intensity").alias("intensity"), F.sum("counts").alias("counts"))
+    return g.where("_g = 1 OR gyro_bin IS NOT NULL").drop("_g").withColumn("sigma", F.try_divide(F.col("intensity"), F.nullif(F.sqrt("counts"), F.lit(0.0))))
 
 
 def event_hist(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -76,24 +80,36 @@ def counts_to_rate(hist: DataFrame, keys: list[str], acquisition_s: Column) -> D
     return hist.groupBy(*keys).agg(F.try_divide(F.sum("counts"), F.first(acquisition_s)).alias("rate"))
 
 
-def reduced_factor(step: Column, switch: Column, epoch: Column, era: Column) -> Column:
-    """Whether the reduced geometric factor holds: from the switch step on; before `era` only beyond it."""
-    return F.when(epoch < era, step > switch).otherwise(step >= switch)
+def reduced_factor(half_spin: Column, sector: Column, step: Column, at_half_spin: Column, at_sector: Column, at_step: Column, epoch: Column, second_era: Column, third_era: Column) -> Column:
+    """Whether the reduced geometric factor holds.  Before the second era: from the half spin after the switch on; in the
+    second era never; from the third on: once (half spin, sector within its half of 12, step) is past the switch, compared
+    in that order.  Where something is NULL, it does not."""
+    where = lambda h, s, e: F.struct(h.cast("double").alias("h"), F.pmod(s, F.lit(12)).cast("double").alias("s"), e.cast("double").alias("e"))
+    known = at_half_spin.isNotNull() & at_sector.isNotNull() & at_step.isNotNull() & half_spin.isNotNull() & sector.isNotNull() & step.isNotNull()
+    past = known & (where(half_spin, sector, step) > where(at_half_spin, at_sector, at_step))
+    return F.coalesce(F.when(epoch < second_era, half_spin > at_half_spin).when(epoch < third_era, False).otherwise(past), F.lit(False))
 
 
-def rate_to_intensity(rates: DataFrame, factors: DataFrame, efficiency: DataFrame, reduced: Column) -> DataFrame:
-    """Rate / (geometric factor * energy * efficiency); factors (full, reduced) by sector, efficiency by step."""
-    j = rates.join(factors, "sector").join(efficiency, "step")
+def rate_to_intensity(rates: DataFrame, factors: DataFrame, efficiency: DataFrame, reduced: Column, factor_on: list[str], efficiency_on: list[str]) -> DataFrame:
+    """Rate / (geometric factor * energy * efficiency); factors (full, reduced) and efficiencies by their keys
+    (steps and azimuths)."""
+    j = rates.join(factors, factor_on).join(efficiency, efficiency_on)
     g = F.when(reduced, F.col("reduced")).otherwise(F.col("full"))
     return j.withColumn("intensity", F.try_divide(F.col("rate"), g * F.col("energy") * F.col("efficiency")))
 
 
-def azimuth_to_elevation(df: DataFrame, keys: list[str], angles: DataFrame, polar: list[int], half: int, value: str) -> DataFrame:
-    """Azimuth bins summed into elevations (angles: azimuth, elevation); polar elevations are copied to the other
-    half of the spin where those sectors have the parity of the half."""
+def azimuth_to_elevation(df: DataFrame, keys: list[str], angles: DataFrame, half_spin: str, low: int, high: int, half: int, value: str) -> DataFrame:
+    """Azimuth bins summed into elevations (angles: azimuth, elevation).  `keys` hold the half spin, of which a cell's
+    energy step has one.  At the two polar elevations one half of the sectors overwrites the other: at `low` the first
+    half does in even half spins and the second in odd ones, at `high` the other way round.  Without a half spin nothing
+    is overwritten."""
     g = df.join(angles, "azimuth").groupBy(*keys, "sector", "elevation").agg(F.sum(value).alias(value))
-    copy = g.where(F.col("elevation").isin(polar)).withColumn("sector", F.pmod(F.col("sector") + half, F.lit(2 * half)))
-    return g.unionByName(copy).groupBy(*keys, "sector", "elevation").agg(F.sum(value).alias(value))
+    even = F.pmod(F.col(half_spin), F.lit(2)) == 0
+    first = F.when(F.col("elevation") == low, even).when(F.col("elevation") == high, ~even)  # the first half is the source
+    source = F.coalesce((F.col("sector") < half) == first, F.lit(True))
+    other = F.pmod(F.col("sector") + half, F.lit(2 * half)).cast(df.schema["sector"].dataType)
+    to = F.when(first.isNull(), F.array("sector")).otherwise(F.array(F.col("sector"), other))
+    return g.where(source).withColumn("sector", F.explode(to))
 
 
 def partial_density(df: DataFrame, keys: list[str], constant: float, mass_per_charge: Column) -> DataFrame:

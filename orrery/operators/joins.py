@@ -70,9 +70,11 @@ def nearest_join(left: DataFrame, right: DataFrame, ts: str, values: list[str],
     near = good.withColumn("_b", F.explode(F.array(*[F.floor(F.col("_t") / width) + d for d in (-1, 0, 1)])))
     rows = left.select(F.struct(*[F.col(c) for c in left.columns]).alias("_l"), *by, micros(ts).alias("_t"))
     both = rows.withColumn("_b", F.floor(F.col("_t") / width)).withColumn("_r", F.lit(None)).unionByName(near.withColumn("_l", F.lit(None)), allowMissingColumns=True)
-    # of one instant, rows of left come first
-    w = Window.partitionBy(*by, "_b").orderBy("_t", F.col("_l").isNull(), "_r")
-    j = both.withColumns({"_p": F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.first("_r", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))}).where("_l IS NOT NULL")
+    # of one instant, rows of left come first; what follows is what came last in the opposite order, so both frames only grow
+    order = [F.col("_t"), F.col("_l").isNull(), F.col("_r")]
+    seen = lambda w: F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    bucket = Window.partitionBy(*by, "_b")
+    j = both.withColumn("_p", seen(bucket.orderBy(*order))).withColumn("_n", seen(bucket.orderBy(*[c.desc() for c in order]))).where("_l IS NOT NULL")
     dp, dn = F.col("_t") - F.col("_p.t"), F.col("_n.t") - F.col("_t")
     pick = F.when(F.col("_n").isNull() | (dp <= dn), F.col("_p")).otherwise(F.col("_n"))
     pick = F.when(F.abs(pick["t"] - F.col("_t")) <= tolerance_us, pick)
@@ -227,14 +229,77 @@ def bilinear_join(left: DataFrame, angle: Column, distance: Column, grid: DataFr
     return out.withColumn(f"{value}_at", F.when(F.col("_d") > high, 0.0).otherwise(scaled)).select(*left.columns, f"{value}_at")
 
 
-def sky_proximity(points: DataFrame, lon: str, lat: str, catalog: DataFrame, key: str) -> DataFrame:
-    """`near`: whether a source (slon, slat, radius; degrees, radius <= 0: off) lies within its radius.  Sources are
-    repeated in the declination bands that they reach."""
-    band = 10.0
-    src = catalog.where("radius > 0").select("slon", "slat", "radius", F.explode(F.sequence(F.floor((F.col("slat") - F.col("radius")) / band), F.floor((F.col("slat") + F.col("radius")) / band))).alias("_b"))
-    p = points.withColumn("_b", F.floor(F.col(lat) / band))
+def uneven_bilinear_join(left: DataFrame, lon: Column, lat: Column, grid: DataFrame, value: str, width: float = 10.0) -> DataFrame:
+    """J12 on a table (glon, glat, value) whose axes have any spacing: bilinear value at (lon, lat).  Longitudes go around;
+    a latitude outside the table raises when read, one that is NULL gives NULL, as does a hole in the table.
+
+    The nodes of each axis are located by a range join (width: a usual spacing); the four corners of a cell stand
+    together in one row, so a point meets one row of the table."""
+    def axis(c: str, i: str, around: bool) -> DataFrame:
+        nodes = grid.select(F.col(c).cast("double").alias("x0")).where("x0 IS NOT NULL").distinct()
+        w = Window.orderBy("x0")  # one row per node of an axis
+        end = F.lead("x0").over(w)
+        return nodes.select("x0", (F.coalesce(end, F.first("x0").over(w) + 360.0) if around else end).alias("x1"), (F.row_number().over(w) - 1).alias(i))
+
+    across, up = axis("glon", "_i", True), axis("glat", "_j", False)
+    n = across.agg(F.count("*")).scalar()
+    node = grid.select(F.col("glon").cast("double").alias("_a"), F.col("glat").cast("double").alias("_b"), F.col(value).cast("double").alias("_v"))
+    node = node.join(across.select(F.col("x0").alias("_a"), "_i"), "_a").join(up.select(F.col("x0").alias("_b"), "_j"), "_b").select("_i", "_j", "_v")
+    cell = node.withColumnRenamed("_v", "_v00")
+    for di, dj in ((1, 0), (0, 1), (1, 1)):
+        i = F.pmod(F.col("_i") - di, n) if di else F.col("_i")
+        cell = cell.join(node.select(i.cast("int").alias("_i"), (F.col("_j") - dj).alias("_j"), F.col("_v").alias(f"_v{di}{dj}")), ["_i", "_j"], "full")
+    low, high = (up.agg(end("x0")).scalar() for end in (F.min, F.max))
+    first = across.agg(F.min("x0")).scalar()
+    y = F.when((lat < low) | (lat > high), F.raise_error(F.lit("a latitude outside the table")).cast("double")).otherwise(lat.cast("double"))
+    d = left.withColumns({"_qx": F.pmod(lon.cast("double") - first, F.lit(360.0)) + first, "_qy": y})
+    d = range_join(d, F.col("_qx"), across, F.col("x0"), F.col("x1"), width, "left").withColumnsRenamed({"x0": "_x0", "x1": "_x1"})
+    d = range_join(d, F.col("_qy"), up, F.col("x0"), F.col("x1"), width, "left").withColumnsRenamed({"x0": "_y0", "x1": "_y1"})
+    d = d.join(cell, ["_i", "_j"], "left")
+    sx = F.try_divide(F.col("_qx") - F.col("_x0"), F.col("_x1") - F.col("_x0"))
+    sy = F.coalesce(F.try_divide(F.col("_qy") - F.col("_y0"), F.col("_y1") - F.col("_y0")), F.lit(0.0))
+    total = F.lit(0.0)
+    for di, dj in ((0, 0), (1, 0), (0, 1), (1, 1)):
+        weight = (sx if di else 1 - sx) * (sy if dj else 1 - sy)
+        total = total + F.when(weight == 0, 0.0).otherwise(weight * F.col(f"_v{di}{dj}"))
+    known = F.col("_qx").isNotNull() & F.col("_qy").isNotNull()
+    return d.withColumn(f"{value}_at", F.when(known, total)).select(*left.columns, f"{value}_at")
+
+
+def sky_cell(lon: Column, lat: Column, size: float) -> tuple[Column, Column]:
+    """(band, cell within it) of about size x size degrees: a band of latitude has as many cells as fit around it."""
+    band = F.floor(lat / size)
+    cells = cells_around(band, size)
+    return band, F.least(cells - 1, F.floor(F.pmod(lon, F.lit(360.0)) / 360.0 * cells))
+
+
+def cells_around(band: Column, size: float) -> Column:
+    widest = F.when(band >= 0, band * size).otherwise((band + 1) * size)  # the edge next to the equator
+    return F.greatest(F.lit(1), F.floor(360.0 * F.cos(F.radians(F.least(F.lit(90.0), F.abs(widest)))) / size)).cast("long")
+
+
+def sky_proximity(points: DataFrame, lon: str, lat: str, catalog: DataFrame, key: str, size: float = 2.0) -> DataFrame:
+    """`near`: whether a source (slon, slat, radius; degrees, radius <= 0: off) lies within its radius.
+
+    Sources are repeated in the cells of sky that they reach (cells of `size` degrees, about a usual radius): in
+    longitude a cap of radius r around latitude b reaches asin(sin r / cos b) either way, and all around where it holds
+    a pole.  So a point meets only sources a cell or their radius away."""
+    r, b, slack = F.col("radius"), F.col("slat"), 1e-9
+    top = F.lit(90.0)
+    bands = F.sequence(F.floor(F.greatest(-top, b - r - slack) / size), F.floor(F.least(top, b + r + slack) / size))
+    pole = F.abs(b) + r + slack >= 90
+    reach = F.when(pole, 360.0).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(r)) / F.cos(F.radians(b))))) + slack)
+    src = catalog.where("radius > 0 AND slon IS NOT NULL AND slat IS NOT NULL").select("slon", "slat", "radius", reach.alias("_w"), F.explode(bands).alias("_b"))
+    src = src.withColumn("_n", cells_around(F.col("_b"), size))
+    at = lambda x: F.floor(x / 360.0 * F.col("_n"))
+    src = src.withColumns({"_c0": at(F.col("slon") - F.col("_w")), "_c1": at(F.col("slon") + F.col("_w"))})
+    whole = F.col("_c1") - F.col("_c0") + 1 >= F.col("_n")
+    cells = F.when(whole, F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).otherwise(F.transform(F.sequence("_c0", "_c1"), lambda c: F.pmod(c, F.col("_n"))))
+    src = src.withColumn("_c", F.explode(cells)).select("slon", "slat", "radius", "_b", "_c")
+    band, cell = sky_cell(F.col(lon), F.col(lat), size)
+    p = points.select(key, lon, lat, band.alias("_b"), cell.alias("_c"))
     half = F.pow(F.sin(F.radians((F.col(lat) - F.col("slat")) / 2)), 2) + F.cos(F.radians(lat)) * F.cos(F.radians("slat")) * F.pow(F.sin(F.radians((F.col(lon) - F.col("slon")) / 2)), 2)
-    hit = p.join(src, "_b").where(F.degrees(2 * F.asin(F.sqrt(F.least(F.lit(1.0), half)))) <= F.col("radius")).select(key).distinct()
+    hit = p.join(src, ["_b", "_c"]).where(F.degrees(2 * F.asin(F.sqrt(F.least(F.lit(1.0), half)))) <= F.col("radius")).select(key).distinct()
     return points.join(hit.withColumn("near", F.lit(True)), key, "left").withColumn("near", F.coalesce("near", F.lit(False)))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .joins import interp_join
+from .joins import interp_join, range_join
 
 
 def look_average(df: DataFrame, keys: list[str], value: str, weight: Column, floor: float) -> DataFrame:
@@ -99,14 +99,22 @@ def circular_mean(df: DataFrame, keys: list[str], order: str, angle: str) -> Dat
 
 
 def rotation_mean(df: DataFrame, number: Column, value: str, grid: DataFrame, at: str, distance: Column | None = None, fill: float | None = None) -> DataFrame:
-    """Means by whole rotation number, placed at its middle and interpolated to the grid; `distance` (au) scales by
-    its square; grid points past the data get the fill value and a flag, or raise without one."""
+    """Means by whole rotation number, which stand at that number, interpolated to the grid; `distance` (au) scales
+    values by its square.  A fill value counts as one more sample, at the grid's end, where that lies past the data; grid
+    points past the last sample are then flagged as `filled`.  Raises when read, unless the means reach from the grid's
+    start to its end."""
     v = F.col(value) * distance * distance if distance is not None else F.col(value)
-    m = df.groupBy(F.floor(number).alias("_n")).agg(F.avg(v).alias(value)).select((F.col("_n") + 0.5).alias("_x"), value)
+    seen = df.select(number.cast("double").alias("_at"), v.cast("double").alias(value))
+    last, start, end = seen.agg(F.max("_at")).scalar(), grid.agg(F.min(at)).scalar(), grid.agg(F.max(at)).scalar()
+    past = F.lit(False)
+    if fill is not None:
+        past = F.col(at) > last
+        seen = seen.unionByName(grid.agg(F.max(at).cast("double").alias("_at")).where(F.col("_at") > last).select("_at", F.lit(float(fill)).alias(value)))
+    m = seen.groupBy(F.floor("_at").cast("double").alias("_x")).agg(F.avg(value).alias(value))
     d = interp_join(grid, F.col(at), m, "_x", value, 1.0)
-    past = F.col(at) > m.agg(F.max("_x")).scalar()
-    out = F.lit(fill) if fill is not None else F.raise_error(F.lit("the grid reaches past the data")).cast("double")
-    return d.withColumns({"filled": past, f"{value}_at": F.when(past, out).otherwise(F.col(f"{value}_at"))})
+    short = (m.agg(F.min("_x")).scalar() > start) | (m.agg(F.max("_x")).scalar() < end)
+    checked = F.when(F.coalesce(short, F.lit(True)), F.raise_error(F.lit("the data do not cover the grid")).cast("double")).otherwise(F.col(f"{value}_at"))
+    return d.withColumns({"filled": past, f"{value}_at": checked})
 
 
 def anchor_profile(df: DataFrame, keys: list[str], lat: str, value: str, anchor: Column) -> DataFrame:
@@ -120,18 +128,30 @@ def split_rates(df: DataFrame) -> DataFrame:
     return df.withColumns({"cx": F.col("total") - F.col("photo"), "cx_sigma": F.col("total_sigma") + F.col("photo_sigma")})
 
 
-def photoion_mean(flux: DataFrame, windows: DataFrame, profile: DataFrame) -> DataFrame:
-    """Windows (cr, t0, t1); mean of flux (t, value) inside when more than two points lie there, else from the
-    neighbouring windows' means; times a latitude profile (lat, share)."""
-    hit = flux.join(windows.select("cr", "t0", "t1"), F.floor(F.col("t")) == F.floor("t0")).where("t >= t0 AND t < t1")
-    m = windows.select("cr").join(hit.groupBy("cr").agg(F.count("*").alias("n"), F.avg("value").alias("m")), "cr", "left")
-    w = Window.orderBy("cr")  # one row per rotation
-    good = F.when(F.col("n") > 2, F.struct(F.col("cr").alias("x"), F.col("m").alias("y")))
-    m = m.withColumns({"_b": F.last(good, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), "_a": F.first(good, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))})
-    between = F.col("_b.y") + (F.col("_a.y") - F.col("_b.y")) * (F.col("cr") - F.col("_b.x")) / (F.col("_a.x") - F.col("_b.x"))
-    m = m.withColumn("photo", F.when(F.col("n") > 2, F.col("m")).otherwise(between)).select("cr", "photo")
+def photoion_mean(flux: DataFrame, windows: DataFrame, profile: DataFrame, rate: Callable[[Column], Column] = lambda v: v, start: Callable[[Column], Column] = lambda cr: cr, daily: DataFrame | None = None, width: float = 1.0) -> DataFrame:
+    """Windows (cr, t0, t1), any intervals, both ends included; flux and daily (t, value; daily: flux itself).  Where
+    more than two daily values lie inside, the mean and sample deviation of their rates; else the rate of the flux on the
+    line between the mean (t, value) of the rotations before and after, at the window's middle, without a deviation.
+    start(cr) is where a rotation begins.  Raises when read if the rotation after has two values or less then; without
+    any before the result is NULL.  Times a latitude profile (lat, share)."""
+    w = windows.select(F.col("cr"), F.col("t0").cast("double").alias("t0"), F.col("t1").cast("double").alias("t1"))
+
+    def inside(values: DataFrame, a: Column, b: Column, *agg: Column) -> DataFrame:
+        spans = w.select("cr", a.cast("double").alias("a"), b.cast("double").alias("b"))
+        return range_join(values.select("t", "value"), F.col("t"), spans, F.col("a"), F.col("b"), width, closed="both").groupBy("cr").agg(*agg)
+
+    own = inside(flux if daily is None else daily, F.col("t0"), F.col("t1"), F.count("*").alias("n"), F.avg(rate(F.col("value"))).alias("mean"), F.stddev_samp(rate(F.col("value"))).alias("std"))
+    cr = F.col("cr")
+    side = lambda i, k: inside(flux, start(cr + i), start(cr + i + 1), F.count("*").alias(f"n{k}"), F.avg("t").alias(f"t{k}_"), F.avg("value").alias(f"v{k}_"))
+    m = w.join(own, "cr", "left").join(side(-1, 0), "cr", "left").join(side(1, 1), "cr", "left")
+    share = F.try_divide((F.col("t0") + F.col("t1")) / 2 - F.col("t0_"), F.col("t1_") - F.col("t0_"))
+    between = rate(F.col("v0_") + (F.col("v1_") - F.col("v0_")) * share)
+    enough = F.coalesce(F.col("n") > 2, F.lit(False))
+    none = F.raise_error(F.lit("no values in the rotation after, to interpolate with")).cast("double")
+    photo = F.when(enough, F.col("mean")).when(F.coalesce(F.col("n1"), F.lit(0)) <= 2, none).otherwise(between)
+    m = m.select("cr", photo.alias("photo"), F.when(enough, F.col("std")).alias("photo_sigma"))
     grid = profile.agg(F.collect_list(F.struct("lat", "share"))).scalar()  # a latitude grid: short
-    return m.select("cr", "photo", F.explode(grid).alias("g")).select("cr", F.col("g.lat").alias("lat"), (F.col("photo") * F.col("g.share")).alias("photo"))
+    return m.select("cr", "photo", "photo_sigma", F.explode(grid).alias("g")).select("cr", F.col("g.lat").alias("lat"), (F.col("photo") * F.col("g.share")).alias("photo"), "photo_sigma")
 
 
 def invert_curve(df: DataFrame, rate: str, curve: list[tuple[float, float]]) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 from pyspark.sql.window import Window
 
-from ..functions.expr import let
 from .joins import with_next
 
 
@@ -22,35 +27,83 @@ def centered_mean(df: DataFrame, by: list[str], order: str, value: str, width: i
     return d.withColumn("mean", F.try_divide(F.aggregate(values, F.lit(0.0), lambda a, v: a + v), F.size(values))).drop("_i", "_a")
 
 
-def _leave_one_out(values: Column, x: Column) -> Column:
-    """Whether, for some left-out row, |median - x| >= 3 population deviations of the rest."""
-    facts = F.struct(
-        F.sort_array(values).alias("s"), F.aggregate(values, F.lit(0.0), lambda a, v: a + v).alias("sum"), F.aggregate(values, F.lit(0.0), lambda a, v: a + v * v).alias("squares"),
-        (F.size(values) - 1).alias("n"), F.floor((F.size(values) - 2) / 2).cast("int").alias("lo"), F.floor((F.size(values) - 1) / 2).cast("int").alias("hi"),
-    )
-
-    def test(f: Column) -> Column:
-        def bad(v: Column, gone: Column) -> Column:
-            at = lambda i: F.get(f["s"], F.when(i < gone, i).otherwise(i + 1))
-            mean = (f["sum"] - v) / f["n"]
-            off = (at(f["lo"]) + at(f["hi"])) / 2 - x
-            return off * off >= 9 * F.greatest(F.lit(0.0), (f["squares"] - v * v) / f["n"] - mean * mean)
-
-        return F.when(f["n"] >= 1, F.exists(F.transform(f["s"], bad), lambda b: b)).otherwise(False)
-
-    return let(facts, test)
-
-
-def outlier_flag(df: DataFrame, by: list[str], order: str, value: str, width: int = 61) -> DataFrame:
-    """`outlier`: two passes over centred windows; rows flagged first are no sample of the second pass.
-
-    Medians without one row come from the sorted window (leaving one out moves the middle by at most one place), and
-    deviations from the sums, so a row costs one sort of its window."""
+def _leave_one_out(sample: np.ndarray, x: np.ndarray, group: np.ndarray, half: int) -> np.ndarray:
+    """Whether, for some left-out value of the centred window of `sample` (NaN: none; windows end with the group), |median
+    - x| >= 3 population deviations of the rest.
+
+    Leaving a value out moves the median to one of three places, which depends only on whether the value lies below, in
+    or above the middle of the sorted window; and the deviation of the rest is least for the values farthest out.  So
+    six values decide: the two ends of each part."""
+    out = np.zeros(len(x), bool)
+    place = np.arange(len(x)) + half * (group + 1)  # groups stand `half` empty places apart
+    padded = np.full(len(x) + half * (int(group[-1]) + 2) if len(x) else 0, np.nan)
+    padded[place] = sample
+    for a in range(0, len(x), 4096):
+        of = slice(a, a + 4096)
+        s = np.sort(np.lib.stride_tricks.sliding_window_view(padded, 2 * half + 1)[place[of] - half], axis=1)  # NaNs last
+        n = (~np.isnan(s)).sum(1) - 1  # of the rest
+        row, rest = np.arange(len(s)), np.maximum(n, 1)
+        at = lambda i: s[row, np.clip(i, 0, 2 * half)]  # noqa: B023, E731
+        lo, hi = (n - 1) // 2, n // 2
+        origin = at(lo)
+        d = np.where(np.isnan(s), 0.0, s - origin[:, None])
+        total, squares = d.sum(1), (d * d).sum(1)
+        bad = np.zeros(len(s), bool)
+        # which value goes: those at lo or before, at hi or before, and after
+        for first, last in ((0 * n, lo), (lo + 1, hi), (hi + 1, n)):
+            median = (at(np.where(lo < first, lo, lo + 1)) + at(np.where(hi < first, hi, hi + 1))) / 2
+            off = (median - x[of]) ** 2
+            for gone in (first, last):
+                v = at(gone) - origin
+                mean = (total - v) / rest
+                spread = np.maximum(0.0, (squares - v * v) / rest - mean * mean)
+                bad |= (first <= last) & (off >= 9 * spread)
+        out[of] = bad & (n >= 1)
+    return out
+
+
+def _outliers(value: np.ndarray, group: np.ndarray, half: int) -> np.ndarray:
+    first = _leave_one_out(value, value, group, half)
+    return first | _leave_one_out(np.where(first, np.nan, value), value, group, half)
+
+
+def _stream_outliers(batches: Iterator[pa.RecordBatch], value: str, half: int, rows: int) -> Iterator[pa.RecordBatch]:
+    """Sorted rows of many groups (_i numbers a group's rows from 1) -> the same rows with `outlier`.
+
+    A row's verdict depends on rows up to 2 * half away, so tables of some thousand rows are judged with so many rows
+    before and after them; no group is held as a whole."""
+    held, known = None, 0  # rows not yet passed on, after `known` that were
+
+    def judge(t: pa.Table, last: bool) -> tuple[pa.Table | None, int]:
+        nonlocal known
+        number = t.column("_i").to_numpy()
+        x = pc.cast(t.column(value), pa.float64()).to_numpy(zero_copy_only=False).astype(float)
+        flag = _outliers(x, np.cumsum(np.append(False, number[1:] == 1)), half)
+        ready = len(x) if last else max(known, len(x) - 2 * half)
+        out = t.slice(known, ready - known).append_column("outlier", pa.array(flag[known:ready], mask=np.isnan(x[known:ready])))
+        keep = max(0, ready - 2 * half)
+        known = ready - keep
+        return out.drop_columns(["_i"]), keep
+
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        held = t if held is None else pa.concat_tables([held, t])
+        if held.num_rows - known >= rows:
+            out, keep = judge(held.combine_chunks(), False)
+            yield from out.to_batches()
+            held = held.slice(keep)
+    if held is not None:
+        yield from judge(held.combine_chunks(), True)[0].to_batches()
+
+
+def outlier_flag(df: DataFrame, by: list[str], order: str, value: str, width: int = 61, rows: int = 1 << 15) -> DataFrame:
+    """`outlier`: two passes over centred windows; rows flagged first are no sample of the second pass.  NULL where
+    the value is.
+
+    Both passes run over the rows of a sorted partition as they come, `rows` at a time."""
     half = width // 2
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(-half, half)
-    first = df.withColumn("_one", _leave_one_out(F.collect_list(value).over(w), F.col(value)))
-    second = first.withColumn("_kept", F.collect_list(F.when(~F.col("_one"), F.col(value))).over(w))
-    return second.withColumn("outlier", F.col("_one") | _leave_one_out(F.col("_kept"), F.col(value))).drop("_one", "_kept")
+    numbered = df.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy(order)))
+    return numbered.mapInArrow(lambda it: _stream_outliers(it, value, half, rows), StructType([*df.schema.fields, StructField("outlier", BooleanType())]))
 
 
 def log_edges(df: DataFrame, by: list[str], order: str, energy: str) -> DataFrame:
@@ -117,16 +170,17 @@ def one_per_day(df: DataFrame, ts: str, value: str, hour: float = 20.0) -> DataF
 
 
 def gated_candidates(df: DataFrame, by: list[str], factor: float, seed: float, few: int = 4) -> DataFrame:
-    """Per epoch the candidate (epoch, points, density) with the most points whose density is positive and below
-    factor * mean of the last three accepted; candidates of fewer than `few` points need only be positive.
+    """Per epoch the first candidate (epoch, points, density), from the most points down (then from the least
+    density), whose density is positive and below factor * mean of the last three accepted.  The first one of fewer than
+    `few` points ends the search: it need only be positive, and if it is not, the epoch has none.
 
     The only sequential step: one group's candidates in time order (a day's, not a table's)."""
     def pick(pdf: pd.DataFrame) -> pd.DataFrame:
         history, rows = [seed] * 3, []
         for _, g in pdf.sort_values("epoch", kind="stable").groupby("epoch", sort=True):
             limit = factor * sum(history[-3:]) / 3
-            ok = g[(g.density > 0) & ((g.density < limit) | (g.points < few))].sort_values(["points", "density"], ascending=[False, True])
-            if len(ok):
+            ok = g[((g.density > 0) & (g.density < limit)) | (g.points < few)].sort_values(["points", "density"], ascending=[False, True])
+            if len(ok) and ok.density.iloc[0] > 0:
                 rows.append(ok.iloc[0])
                 history.append(float(ok.density.iloc[0]))
         return pd.DataFrame(rows, columns=pdf.columns)

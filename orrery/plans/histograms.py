@@ -33,11 +33,11 @@ def a11(spark, sf):
 
 
 @query("a12_hist_pa_counts", f"""
-WITH {_ANG}, b AS (SELECT *, CASE WHEN pa >= 0 AND pa < 60 THEN 0 WHEN pa >= 70 AND pa < 110 THEN 1 ELSE 2 END AS pa_bin FROM a)
-SELECT label, pa_bin, round(avg(inten), 6) AS intensity, sum(vec_id % 5)::BIGINT AS counts, round(CASE WHEN sum(vec_id % 5)=0 THEN NULL ELSE avg(inten)/sqrt(sum(vec_id % 5)) END, 6) AS sigma FROM b GROUP BY 1, 2""")
+WITH {_ANG}, b AS (SELECT *, CASE WHEN pa >= 0 AND pa < 60 THEN 0 WHEN pa >= 70 AND pa < 110 THEN 1 ELSE 2 END AS pa_bin, CASE WHEN gy < 80 THEN 0 WHEN gy >= 90 AND gy < 210 THEN 1 ELSE 2 END AS gyro_bin FROM a)
+SELECT label, pa_bin, gyro_bin, round(avg(inten), 6) AS intensity, sum(vec_id % 5)::BIGINT AS counts, round(CASE WHEN sum(vec_id % 5)=0 THEN NULL ELSE avg(inten)/sqrt(sum(vec_id % 5)) END, 6) AS sigma FROM b GROUP BY GROUPING SETS ((label, pa_bin), (label, pa_bin, gyro_bin))""")
 def a12(spark, sf):
-    d = H.hist_pa_gyro_counts(_angles(spark, sf).withColumn("counts", F.col("vec_id") % 5), ["label"], [30.0, 90.0, 150.0], [30.0, 20.0, 30.0])
-    return d.select("label", "pa_bin", r(F.col("intensity"), "intensity", 6), "counts", r(F.col("sigma"), "sigma", 6))
+    d = H.hist_pa_gyro_counts(_angles(spark, sf).withColumn("counts", F.col("vec_id") % 5), ["label"], [30.0, 90.0, 150.0], [30.0, 20.0, 30.0], [40.0, 150.0, 300.0], [40.0, 60.0, 60.0])
+    return d.select("label", "pa_bin", "gyro_bin", r(F.col("intensity"), "intensity", 6), "counts", r(F.col("sigma"), "sigma", 6))
 
 
 def _direct(spark, sf):
@@ -87,18 +87,28 @@ def a17(spark, sf):
 
 
 @query("a19_a20_intensity", """
-WITH d AS (SELECT l_orderkey % 10 AS k, (l_suppkey % 24)::INTEGER AS az, l_linenumber AS step, (l_quantity::INTEGER % 24)::INTEGER AS sector, l_extendedprice AS rate FROM lineitem),
-g AS (SELECT k, sector, (az % 13)::INTEGER AS elevation, rate/((CASE WHEN step >= 4 THEN 1+sector ELSE 2+sector END)*(step*1.5)*(0.5+step/100.0)) AS i FROM d), s AS (SELECT k, sector, elevation, sum(i) AS i FROM g GROUP BY ALL),
-u AS (SELECT * FROM s UNION ALL SELECT k, (sector+12)%24, elevation, i FROM s WHERE elevation IN (0, 12))
-SELECT k, sector, elevation, round(sum(i), 4) AS intensity FROM u GROUP BY ALL""")
+WITH d AS (SELECT l_orderkey % 5 AS k, l_linenumber % 6 AS half_spin, (l_suppkey % 24 + 1)::INTEGER AS azimuth, (l_quantity::INTEGER % 24)::INTEGER AS sector, (l_partkey % 8)::INTEGER AS step, l_extendedprice AS rate,
+ CASE WHEN l_shipdate < TIMESTAMP '1994-06-01' THEN l_linenumber % 6 > 2 WHEN l_shipdate < TIMESTAMP '1996-01-01' THEN false
+  ELSE l_linenumber % 6 > 2 OR (l_linenumber % 6 = 2 AND (l_quantity::INTEGER % 12 > l_orderkey % 30 % 12 OR (l_quantity::INTEGER % 12 = l_orderkey % 30 % 12 AND l_partkey % 8 > 3))) END AS reduced FROM lineitem),
+s AS (SELECT k, half_spin, sector, least(azimuth-1, 25-azimuth) AS elevation, sum(rate/((CASE WHEN reduced THEN 1+azimuth ELSE 2+azimuth+step/10.0 END)*(1+step*1.5)*(0.5+step/100.0+azimuth/1000.0))) AS i FROM d GROUP BY ALL),
+u AS (SELECT k, half_spin, sector, elevation, i FROM s WHERE elevation NOT IN (0, 12)
+ UNION ALL SELECT k, half_spin, (sector+12*h)%24, elevation, i FROM s, range(0, 2) AS t(h) WHERE elevation IN (0, 12) AND (sector < 12) = ((elevation = 0) = (half_spin % 2 = 0)))
+SELECT k, half_spin, sector::INTEGER AS sector, elevation, round(i, 4) AS intensity FROM u""")
 def a19(spark, sf):
-    d = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 10).alias("k"), (F.col("l_suppkey") % 24).cast("int").alias("azimuth"), F.col("l_linenumber").alias("step"), F.pmod(F.col("l_quantity").cast("int"), F.lit(24)).alias("sector"), F.col("l_extendedprice").alias("rate"), (F.col("l_linenumber") * 1.5).alias("energy"))
-    factors = d.select("sector").distinct().select("sector", (F.col("sector") + 2.0).alias("full"), (F.col("sector") + 1.0).alias("reduced"))
-    eff = d.select("step").distinct().select("step", (0.5 + F.col("step") / 100).alias("efficiency"))
-    i = H.rate_to_intensity(d, factors, eff, H.reduced_factor(F.col("step"), F.lit(4), F.lit(2), F.lit(1)))
-    angles = d.select("azimuth").distinct().select("azimuth", (F.col("azimuth") % 13).alias("elevation"))
-    e = H.azimuth_to_elevation(i, ["k"], angles, [0, 12], 12, "intensity")
-    return e.select("k", "sector", "elevation", r(F.col("intensity"), "intensity"))
+    quantity = F.col("l_quantity").cast("int")
+    d = table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") % 5).alias("k"), (F.col("l_linenumber") % 6).alias("half_spin"), (F.col("l_suppkey") % 24 + 1).cast("int").alias("azimuth"), F.pmod(quantity, F.lit(24)).alias("sector"),
+        (F.col("l_partkey") % 8).cast("int").alias("step"), F.col("l_extendedprice").alias("rate"), (1 + F.col("l_partkey") % 8 * 1.5).alias("energy"), (F.col("l_orderkey") % 30).alias("at_sector"), F.col("l_shipdate").alias("epoch"),
+    )
+    grid = spark.range(8).select(F.col("id").cast("int").alias("step"), F.explode(F.sequence(F.lit(1), F.lit(24))).alias("azimuth"))
+    factors = grid.select("step", "azimuth", (F.col("azimuth") + 2.0 + F.col("step") / 10).alias("full"), (F.col("azimuth") + 1.0).alias("reduced"))
+    eff = grid.select("step", "azimuth", (0.5 + F.col("step") / 100 + F.col("azimuth") / 1000).alias("efficiency"))
+    eras = [F.lit(x).cast("timestamp") for x in ("1994-06-01", "1996-01-01")]
+    reduced = H.reduced_factor(F.col("half_spin"), F.col("sector"), F.col("step"), F.lit(2), F.col("at_sector"), F.lit(3), F.col("epoch").cast("timestamp"), *eras)
+    i = H.rate_to_intensity(d, factors, eff, reduced, ["step", "azimuth"], ["step", "azimuth"])
+    angles = spark.range(1, 25).select(F.col("id").cast("int").alias("azimuth"), F.least(F.col("id") - 1, 25 - F.col("id")).cast("int").alias("elevation"))
+    e = H.azimuth_to_elevation(i, ["k", "half_spin"], angles, "half_spin", 0, 12, 12, "intensity")
+    return e.select("k", "half_spin", "sector", "elevation", r(F.col("intensity"), "intensity"))
 
 
 @query("a21_a23_a24_composition", """
@@ -198,15 +208,16 @@ def w10(spark, sf):
 
 
 @query("w13_gated_candidates", """
-WITH RECURSIVE c AS (SELECT ts::DATE::VARCHAR AS day, hour(ts)::INTEGER AS epoch, (event_id % 9)::INTEGER AS points, value AS density, dense_rank() OVER (PARTITION BY ts::DATE ORDER BY hour(ts)) AS n FROM events),
+WITH RECURSIVE c AS (SELECT ts::DATE::VARCHAR AS day, hour(ts)::INTEGER AS epoch, (event_id % 9)::INTEGER AS points, value - event_id % 5 * 20 AS density, dense_rank() OVER (PARTITION BY ts::DATE ORDER BY hour(ts)) AS n FROM events),
 s(day, n, a, b, c, p) AS (SELECT DISTINCT day, 0::BIGINT, 100::DOUBLE, 100::DOUBLE, 100::DOUBLE, NULL::STRUCT(epoch INTEGER, points INTEGER, density DOUBLE) FROM c
  UNION ALL SELECT day, n, CASE WHEN p IS NULL THEN a ELSE b END, CASE WHEN p IS NULL THEN b ELSE c END, coalesce(p.density, c), p FROM (
-  SELECT s.day, s.n+1 AS n, s.a, s.b, s.c, arg_min(struct_pack(epoch := c.epoch, points := c.points, density := c.density), struct_pack(k := -c.points, d := c.density)) FILTER (c.density > 0 AND (c.density < 1.85::DOUBLE*(s.a+s.b+s.c)/3 OR c.points < 4)) AS p
-  FROM s JOIN c ON c.day=s.day AND c.n=s.n+1 GROUP BY s.day, s.n, s.a, s.b, s.c))
+  SELECT day, n, a, b, c, CASE WHEN q.density > 0 THEN q END AS p FROM (
+  SELECT s.day, s.n+1 AS n, s.a, s.b, s.c, arg_min(struct_pack(epoch := c.epoch, points := c.points, density := c.density), struct_pack(k := -c.points, d := c.density)) FILTER ((c.density > 0 AND c.density < 1.85::DOUBLE*(s.a+s.b+s.c)/3) OR c.points < 4) AS q
+  FROM s JOIN c ON c.day=s.day AND c.n=s.n+1 GROUP BY s.day, s.n, s.a, s.b, s.c)))
 SELECT day, p.epoch AS epoch, p.points AS points, p.density AS density FROM s WHERE p IS NOT NULL""")
 def w13(spark, sf):
     ev = table(spark, sf, "events")
-    c = ev.select(F.to_date("ts").cast("string").alias("day"), F.hour("ts").alias("epoch"), (F.col("event_id") % 9).cast("int").alias("points"), F.col("value").alias("density"))
+    c = ev.select(F.to_date("ts").cast("string").alias("day"), F.hour("ts").alias("epoch"), (F.col("event_id") % 9).cast("int").alias("points"), (F.col("value") - F.col("event_id") % 5 * 20).alias("density"))
     return W.gated_candidates(c, ["day"], 1.85, 100.0)
 
 

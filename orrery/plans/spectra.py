@@ -88,12 +88,13 @@ def a32(spark, sf):
 
 
 @query("a36_rotation_mean", """
-WITH o AS (SELECT (epoch_us(o_orderdate)/86400e6+2440587.5-2398167.329)/27.2753+1 AS n, o_totalprice AS v FROM orders), m AS (SELECT floor(n)+0.5 AS x, avg(v*1.1*1.1) AS y FROM o GROUP BY 1), s AS (SELECT x, y, lead(x) OVER (ORDER BY x) AS x1, lead(y) OVER (ORDER BY x) AS y1 FROM m), b AS (SELECT min(x) AS a, max(x) AS z FROM m),
-g AS (SELECT a+i*0.7 AS g, z, greatest(a, least(z, a+i*0.7)) AS q FROM b, range(0, 150) AS t(i))
-SELECT round(g, 4) AS g, round(CASE WHEN g > z THEN 0.04 WHEN x1 IS NULL THEN y ELSE y+(y1-y)*(q-x)/(x1-x) END, 4) AS v, g > z AS filled FROM g ASOF JOIN s ON q >= x""")
+WITH o AS (SELECT (epoch_us(o_orderdate)/86400e6+2440587.5-2398167.329)/27.2753+1 AS n, o_totalprice*1.1*1.1 AS v FROM orders), b AS (SELECT floor(min(n)) AS a, max(n) AS z FROM o),
+g AS (SELECT a+i*0.5 AS g, z FROM b, range(0, 211) AS t(i)), m AS (SELECT floor(n) AS x, avg(v) AS y FROM (SELECT * FROM o UNION ALL SELECT a+105, 0.04 FROM b WHERE z < a+105) GROUP BY 1),
+s AS (SELECT x, y, lead(x) OVER (ORDER BY x) AS x1, lead(y) OVER (ORDER BY x) AS y1 FROM m)
+SELECT round(g, 4) AS g, round(CASE WHEN x1 IS NULL THEN y ELSE y+(y1-y)*(g-x)/(x1-x) END, 4) AS v, g > z AS filled FROM g ASOF JOIN s ON g >= x""")
 def a36(spark, sf):
     o = table(spark, sf, "orders").select(X.rotation_number(X.julian_date(F.col("o_orderdate").cast("timestamp"))).alias("n"), F.col("o_totalprice").alias("v"))
-    grid = spark.range(150).select((o.agg(F.floor(F.min("n"))).scalar() + 0.5 + F.col("id") * 0.7).alias("g"))
+    grid = spark.range(211).select((o.agg(F.floor(F.min("n"))).scalar() + F.col("id") * 0.5).alias("g"))
     d = S.rotation_mean(o, F.col("n"), "v", grid, "g", F.lit(1.1), 0.04)
     return d.select(r(F.col("g"), "g"), r(F.col("v_at"), "v"), "filled")
 
@@ -108,18 +109,22 @@ def a37(spark, sf):
 
 
 @query("a39_photoion_mean", f"""
-WITH f AS (SELECT cr, y AS value, (cr % 5)::BIGINT AS k FROM ({_ROT})), w AS (SELECT cr, CASE WHEN k <= 1 THEN value*1e-7 END AS m FROM f),
-x AS (SELECT cr, m, last_value(CASE WHEN m IS NOT NULL THEN cr END IGNORE NULLS) OVER (ORDER BY cr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS x0, last_value(m IGNORE NULLS) OVER (ORDER BY cr ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS y0,
- first_value(CASE WHEN m IS NOT NULL THEN cr END IGNORE NULLS) OVER (ORDER BY cr ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS x1, first_value(m IGNORE NULLS) OVER (ORDER BY cr ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS y1 FROM w)
-SELECT cr, lat, round(1e6*coalesce(m, y0+(y1-y0)*(cr-x0)/(x1-x0))*share, 2) AS photo FROM x, (VALUES (-30, 0.8), (0, 1.0), (30, 0.8)) AS p(lat, share)""")
+WITH rot AS ({_ROT}), sparse AS (SELECT cr, y, cr % 5 = 3 AND cr+2 <= (SELECT max(cr) FROM rot) AS few FROM rot),
+f AS (SELECT cr+d AS t, y*(1+d) AS value FROM sparse, (VALUES (0.1), (0.35), (0.6), (0.85)) AS x(d) WHERE NOT few OR d = 0.6), w AS (SELECT cr, cr+0.3 AS t0, cr+1.3 AS t1 FROM rot),
+own AS (SELECT cr, count(*) AS n, avg(value*value*1e-12) AS m, stddev_samp(value*value*1e-12) AS s FROM w JOIN f ON t >= t0 AND t <= t1 GROUP BY cr),
+p AS (SELECT cr, avg(t) AS t, avg(value) AS v FROM w JOIN f ON t >= cr-1 AND t <= cr GROUP BY cr), q AS (SELECT cr, avg(t) AS t, avg(value) AS v FROM w JOIN f ON t >= cr+1 AND t <= cr+2 GROUP BY cr)
+SELECT cr, lat, round(share*CASE WHEN n > 2 THEN m ELSE pow(p.v+(q.v-p.v)*(cr+0.8-p.t)/(q.t-p.t), 2)*1e-12 END, 6) AS photo, round(CASE WHEN n > 2 THEN s END, 6) AS photo_sigma
+FROM w LEFT JOIN own USING (cr) LEFT JOIN p USING (cr) LEFT JOIN q USING (cr), (VALUES (-30, 0.8), (0, 1.0), (30, 0.8)) AS g(lat, share)""")
 def a39(spark, sf):
     rot = rotations(spark, sf)
-    # two to six points per rotation at its mean
-    flux = rot.select("cr", F.explode(F.when(F.col("cr") % 5 <= 1, F.array(F.lit(0.1), F.lit(0.3), F.lit(0.6))).otherwise(F.array(F.lit(0.2), F.lit(0.7)))).alias("dt"), "y")
-    flux = flux.select((F.col("cr") + F.col("dt")).alias("t"), (F.col("y") * 1e-7).alias("value"))
-    windows = rot.select("cr", F.col("cr").cast("double").alias("t0"), (F.col("cr") + 1.0).alias("t1"))
+    # four points per rotation, but one in some
+    few = (F.col("cr") % 5 == 3) & (F.col("cr") + 2 <= rot.agg(F.max("cr")).scalar())
+    flux = rot.select("cr", "y", F.explode(F.when(few, F.array(F.lit(0.6))).otherwise(F.array(*[F.lit(x) for x in (0.1, 0.35, 0.6, 0.85)]))).alias("d"))
+    flux = flux.select((F.col("cr") + F.col("d")).alias("t"), (F.col("y") * (1 + F.col("d"))).alias("value"))
+    windows = rot.select("cr", (F.col("cr") + 0.3).alias("t0"), (F.col("cr") + 1.3).alias("t1"))
     profile = spark.createDataFrame([(-30, 0.8), (0, 1.0), (30, 0.8)], "lat int, share double")
-    return S.photoion_mean(flux, windows, profile).select("cr", "lat", r(1e6 * F.col("photo"), "photo", 2))
+    d = S.photoion_mean(flux, windows, profile, lambda v: v * v * 1e-12)
+    return d.select("cr", "lat", r(F.col("photo"), "photo", 6), r(F.col("photo_sigma"), "photo_sigma", 6))
 
 
 CURVE = [(300.0 + 25 * i, 50000.0 + 12345.6 * i) for i in range(20)]

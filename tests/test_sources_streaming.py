@@ -58,16 +58,26 @@ def test_streams(spark, tmp_path):
 def test_latest_version_stream(spark, tmp_path):
     src, out = tmp_path / "in", tmp_path / "out"
     w = lambda r: spark.createDataFrame(r, "k int, v int, s string").coalesce(1).write.mode("append").parquet(str(src))
-    w([(1, 1, "a"), (2, 5, "b")])
     st = lambda: spark.readStream.schema("k int, v int, s string").parquet(str(src))
-    for rows in (None, [(1, 2, "c"), (2, 4, "old")]):
-        if rows:
-            w(rows)
-        q = streams.stream_latest_version(st(), str(out), str(tmp_path / "check"), ["k"], "v")
+    table = streams.LatestTable(str(out), ["k"], "v", ["k", "v", "s"], 8)
+    want, written = {}, []
+    batches = [[(k, 1, f"a{k}") for k in range(40)], [(1, 2, "c"), (2, 0, "old")], [(1, 3, "d")], [(99, 1, "new"), (5, 9, "e"), (5, 8, "less")]]
+    for n, rows in enumerate(batches):
+        w(rows)
+        q = streams.stream_latest_version(st(), str(out), str(tmp_path / "check"), ["k"], "v", 8)
         q.processAllAvailable()
         q.stop()
-    last = sorted(int(p.name) for p in out.iterdir() if p.name.isdigit())[-1]
-    assert sorted(tuple(r) for r in spark.read.parquet(str(out / str(last))).collect()) == [(1, 2, "c"), (2, 5, "b")]
+        for k, v, x in rows:
+            want[k] = max(want.get(k, (v, x)), (v, x))
+        assert {r.k: (r.v, r.s) for r in table.read(spark, n).collect()} == want
+        written.append(len([p for p in (out / "data" / str(n)).iterdir() if p.name.startswith("part=")]))
+    # a batch writes the parts that it touches; what no list names any more is gone
+    assert written[0] == 8 and written[1] <= 2 and written[2] == 1 and written[3] <= 2
+    assert not table.held(spark, 0) and len(table.held(spark, 3)) == 8
+    left = {(int(b.name), int(p.name[5:])) for b in (out / "data").iterdir() for p in b.iterdir() if p.name.startswith("part=")}
+    assert left == {(b, p) for n in (2, 3) for p, b in table.held(spark, n).items()}
+    table.merge(spark.createDataFrame(batches[3], "k int, v int, s string"), 3)  # a replayed batch
+    assert {r.k: (r.v, r.s) for r in table.read(spark, 3).collect()} == want
 
 
 def test_stream_without_replays(spark, tmp_path):

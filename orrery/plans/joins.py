@@ -145,7 +145,7 @@ def j12(spark, sf):
 
 @query("j12_uneven_grid", """
 WITH g AS (SELECT (p_size % 12)*(p_size % 12)*2.5+7 AS x, (p_partkey % 6)*(p_partkey % 6)*4-60.0 AS y, avg(p_retailprice) AS v FROM part GROUP BY 1, 2), xs AS (SELECT x, coalesce(lead(x) OVER (ORDER BY x), min(x) OVER ()+360) AS x1 FROM (SELECT DISTINCT x FROM g)), ys AS (SELECT y, lead(y) OVER (ORDER BY y) AS y1 FROM (SELECT DISTINCT y FROM g)),
-q AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity*7.3 % 360 < 7 THEN l_quantity*7.3 % 360+360 ELSE l_quantity*7.3 % 360 END AS u, l_tax*1250-60 AS w FROM lineitem),
+q AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity*7.31 % 360 < 7 THEN l_quantity*7.31 % 360+360 ELSE l_quantity*7.31 % 360 END AS u, l_tax*1237-60 AS w FROM lineitem),
 c AS (SELECT q.*, x, x1, CASE WHEN x1 >= 367 THEN x1-360 ELSE x1 END AS xw, y, y1, (u-x)/(x1-x) AS a, coalesce((w-y)/(y1-y), 0) AS b FROM q ASOF JOIN xs ON u >= x ASOF JOIN ys ON w >= y)
 SELECT l_orderkey, l_linenumber, round((1-a)*(1-b)*g00.v+CASE WHEN a = 0 THEN 0 ELSE a*(1-b)*g10.v END+CASE WHEN b = 0 THEN 0 ELSE (1-a)*b*g01.v END+CASE WHEN a*b = 0 THEN 0 ELSE a*b*g11.v END, 4) AS v_at
 FROM c LEFT JOIN g g00 ON g00.x=c.x AND g00.y=c.y LEFT JOIN g g10 ON g10.x=xw AND g10.y=c.y LEFT JOIN g g01 ON g01.x=c.x AND g01.y=y1 LEFT JOIN g g11 ON g11.x=xw AND g11.y=y1""")
@@ -153,7 +153,7 @@ def j12_uneven(spark, sf):
     gx, gy = F.col("p_size") % 12, F.col("p_partkey") % 6
     grid = table(spark, sf, "part").groupBy((gx * gx * 2.5 + 7).alias("glon"), (gy * gy * 4 - 60.0).alias("glat")).agg(F.avg("p_retailprice").alias("v"))
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
-    return J.uneven_bilinear_join(li, F.col("l_quantity") * 7.3, F.col("l_tax") * 1250 - 60, grid, "v", 30.0).select("l_orderkey", "l_linenumber", r(F.col("v_at"), "v_at"))
+    return J.uneven_bilinear_join(li, F.col("l_quantity") * 7.31, F.col("l_tax") * 1237 - 60, grid, "v", 30.0).select("l_orderkey", "l_linenumber", r(F.col("v_at"), "v_at"))
 
 
 _LL = "degrees(atan2(embedding[2]::DOUBLE, embedding[1]::DOUBLE)) AS lon, degrees(asin(embedding[3]::DOUBLE/sqrt(embedding[1]::DOUBLE*embedding[1]::DOUBLE+embedding[2]::DOUBLE*embedding[2]::DOUBLE+embedding[3]::DOUBLE*embedding[3]::DOUBLE))) AS lat"

@@ -9,8 +9,12 @@ elastic-net penalties: each of SHARDS shards trains in its own task, the weights
 are averaged.  A tenth of the sample is kept out of that, and sets the
 temperature that calibrates the scores.  Every whole text is then predicted.
 
-The model is broadcast: SLOTS x languages weights, so more than `max_languages`
-labels are refused rather than some of them ignored.
+Up to FANOUT labels are classes of one model.  More are the leaves of a tree: the
+numbers of the sorted labels, written to the base FANOUT, are read digit by digit,
+each node being a model of its own that is trained on its rows and calibrated.  A
+prediction follows the best child down, and its score is the product of the
+probabilities on its way.  So no model has more than FANOUT classes, however many
+labels there are.  Weights are broadcast sparse; the penalty leaves few per class.
 
 Defined cases: a NULL text, or one without a letter, gets `und` with score 0, as
 does every text if nothing was learned; a NULL doc_id counts as held out, so it
@@ -38,7 +42,7 @@ SLOTS = 1 << 15
 PIECE = 1 << 18
 SHARDS = 4
 MAX_SAMPLE = 8000
-MAX_LANGUAGES = 400
+FANOUT = 400
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 
@@ -110,7 +114,12 @@ def _featurise(batches, idf) -> Iterator[pa.RecordBatch]:
 
 def ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int, seed: int) -> np.ndarray:
     """Weights (slots x classes) after EPOCHS passes in seeded orders."""
-    z, n = np.zeros((SLOTS, classes)), np.zeros((SLOTS, classes))
+    out = np.zeros((SLOTS, classes))
+    if not rows:
+        return out
+    used, own = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
+    local = np.split(own, np.cumsum([len(r[1]) for r in rows])[:-1])
+    z, n = np.zeros((len(used), classes)), np.zeros((len(used), classes))
 
     def weights(z, n):
         return np.where(np.abs(z) <= L1, 0.0, -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
@@ -118,7 +127,8 @@ def ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int, seed: int
     rng = np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for r in rng.permutation(len(rows)):
-            y, slot, v = rows[r]
+            y, _, v = rows[r]
+            slot = local[r]
             zs, ns = z[slot], n[slot]
             w = weights(zs, ns)
             s = v @ w
@@ -129,15 +139,65 @@ def ftrl(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int, seed: int
             step = (np.sqrt(ns + g * g) - np.sqrt(ns)) / ALPHA
             z[slot] = zs + g - step * w
             n[slot] = ns + g * g
-    return weights(z, n)
+    out[used] = weights(z, n)
+    return out
 
 
-def _train(pdf: pd.DataFrame, classes: int) -> pd.DataFrame:
+def _train(pdf: pd.DataFrame, classes: dict[int, int] | int) -> pd.DataFrame:
+    """One node's rows of one shard; classes: of each node, or of the only one."""
     pdf = pdf.sort_values("order")
+    node = int(pdf.node.iloc[0])
     rows = [(int(y), np.asarray(s), np.asarray(v, float)) for y, s, v in zip(pdf.y, pdf.slot, pdf.value, strict=True)]
-    w = ftrl(rows, classes, int(pdf.part.iloc[0]))
+    w = ftrl(rows, classes if isinstance(classes, int) else classes[node], int(pdf.part.iloc[0]))
     slot, cls = np.nonzero(w)
-    return pd.DataFrame({"slot": slot, "cls": cls, "w": w[slot, cls]})
+    return pd.DataFrame({"node": node, "slot": slot, "cls": cls, "w": w[slot, cls]})
+
+
+class Node:
+    """A model of some classes: weights by slot, and a temperature."""
+
+    def __init__(self, classes: int, slot: np.ndarray, cls: np.ndarray, w: np.ndarray):
+        self.classes, self.temperature = classes, 1.0
+        order = np.lexsort((cls, slot))
+        self.ptr, self.cls, self.w = np.searchsorted(slot[order], np.arange(SLOTS + 1)), cls[order], w[order].astype(np.float32)
+
+    def scores(self, slot: np.ndarray, v: np.ndarray) -> np.ndarray:
+        first, length = self.ptr[slot], self.ptr[slot + 1] - self.ptr[slot]
+        at = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+        return np.bincount(self.cls[at], np.repeat(v, length) * self.w[at], self.classes)
+
+    def best(self, slot: np.ndarray, v: np.ndarray) -> tuple[int, float]:
+        s = self.scores(slot, v) / self.temperature
+        p = np.exp(s - s.max())
+        k = int(p.argmax())
+        return k, float(p[k] / p.sum())
+
+
+def tree_levels(labels: int, fanout: int) -> int:
+    levels = 1
+    while fanout**levels < labels:
+        levels += 1
+    return levels
+
+
+def tree_path(number: Column, levels: int, fanout: int) -> Column:
+    """(node, y) of a label on each level; a node's number is (level, leading digits) in one long."""
+    out = []
+    for k in range(levels):
+        below = fanout ** (levels - 1 - k)
+        lead = F.floor(number / F.lit(below * fanout))
+        out.append(F.struct((F.lit(k << 48) + lead).cast("long").alias("node"), F.pmod(F.floor(number / F.lit(below)), F.lit(fanout)).cast("int").alias("y")))
+    return F.array(*out)
+
+
+def tell(model: dict, slot: np.ndarray, v: np.ndarray) -> tuple[str, float]:
+    """(language, probability)."""
+    lead, p = 0, 1.0
+    for k in range(model["levels"]):
+        node = model["nodes"].get((k << 48) + lead)
+        digit, q = node.best(slot, v) if node else (0, 1.0)
+        lead, p = lead * model["fanout"] + digit, p * q
+    return model["langs"][min(lead, len(model["langs"]) - 1)], p
 
 
 def temperature(scores: np.ndarray, y: np.ndarray) -> float:
@@ -165,54 +225,57 @@ def _number(seed: int) -> Column:
 
 
 def draw_sample(known: DataFrame, count: dict[str, int], max_sample: int, seed: int) -> DataFrame:
-    """lang, text, _draw: at most max_sample rows, at most an even share of each language; `count` is about how many
-    different rows each has.
+    """lang, number, text, _draw: at most max_sample rows (or one per label, if there are more labels), at most an even
+    share of each language; `count` is about how many different rows each has; number: a language's place in `count`.
 
     A row's number comes from its id and text.  Twice the share is let through by number, so what meets in a
     language's task is small; there the lowest numbers stay, each once."""
     share = max(1, max_sample // len(count))
     scale = 1 << 30
-    quota = F.create_map(*[F.lit(x) for k, n in count.items() for x in (k, min(scale, 2 * scale * share // max(1, n) + 1))])
-    some = known.select("lang", "text", _number(seed).alias("_draw")).where(F.pmod("_draw", F.lit(scale)) < quota[F.col("lang")])
+    quota = known.sparkSession.createDataFrame([(k, i, min(scale, 2 * scale * share // max(1, n) + 1)) for i, (k, n) in enumerate(count.items())], "lang string, number long, quota long")
+    some = known.select("lang", "text", _number(seed).alias("_draw")).join(quota, "lang").where(F.pmod("_draw", F.lit(scale)) < F.col("quota"))
     one = some.dropDuplicates(["lang", "_draw"])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_draw"))
-    return one.withColumn("_rank", rank).where(F.col("_rank") <= share).drop("_rank")
+    return one.withColumn("_rank", rank).where(F.col("_rank") <= share).drop("_rank", "quota")
 
 
-def fit(docs: DataFrame, trains: Column, max_sample: int = MAX_SAMPLE, seed: int = 1, max_languages: int = MAX_LANGUAGES) -> dict:
-    """The model: languages, idf, weights, temperature.  `trains` picks the rows that may be learned from.
+def fit(docs: DataFrame, trains: Column, max_sample: int = MAX_SAMPLE, seed: int = 1, fanout: int = FANOUT) -> dict:
+    """The model: languages, idf, tree of nodes.  `trains` picks the rows that may be learned from.
 
-    What reaches the driver is bounded: max_languages counts, SLOTS frequencies, SLOTS x languages weights, a tenth of
-    max_sample score rows."""
+    What reaches the driver: a count per label, SLOTS frequencies, the weights that are not 0, a tenth of the sample."""
     spark = docs.sparkSession
     known = docs.where(trains & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counted = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct(_number(seed)).alias("different"))
-    count = {r["lang"]: r for r in counted.limit(max_languages + 1).collect()}
-    if len(count) > max_languages:
-        raise ValueError("there are more labels than max_languages; the model would not fit its broadcast bound")
+    count = {r["lang"]: r for r in counted.collect()}
     langs = sorted(count)
-    model = {"langs": langs, "idf": np.ones(SLOTS), "weights": np.zeros((SLOTS, len(langs)), np.float32), "temperature": 1.0}
+    levels = tree_levels(len(langs), fanout)
+    model = {"langs": langs, "idf": np.ones(SLOTS), "levels": levels, "fanout": fanout, "nodes": {}}
     if not langs:
         return model
     freq = known.select("text").mapInArrow(_document_frequency, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     df = np.zeros(SLOTS)
     df[[r.slot for r in freq]] = [r.n for r in freq]
     model["idf"] = np.log((1 + sum(r["n"] for r in count.values())) / (1 + df)) + 1
-    drawn = draw_sample(known, {k: r["different"] for k, r in count.items()}, max_sample, seed)
-    number = F.create_map(*[F.lit(x) for i, k in enumerate(langs) for x in (k, i)])
+    drawn = draw_sample(known, {k: count[k]["different"] for k in langs}, max_sample, seed)
     idf = spark.sparkContext.broadcast(model["idf"])
     spread = F.pmod(F.xxhash64(F.lit(seed + 1), "_draw"), F.lit(10 * SHARDS)).cast("int")
     part = F.when(spread < SHARDS, F.lit(-1)).otherwise(F.pmod(spread, F.lit(SHARDS)))
-    rows = drawn.select(part.alias("part"), number[F.col("lang")].alias("y"), "text").mapInArrow(lambda it: _featurise(it, idf), "part int, y int, slot array<int>, value array<float>")
+    rows = drawn.select(part.alias("part"), F.col("number").cast("int").alias("y"), "text").mapInArrow(lambda it: _featurise(it, idf), "part int, y int, slot array<int>, value array<float>")
     rows = materialize(rows.withColumn("order", F.xxhash64("slot", "value")), "sample")
-    w = np.zeros((SLOTS, len(langs)))
-    shards = rows.where("part >= 0").groupBy("part").applyInPandas(lambda pdf: _train(pdf, len(langs)), "slot long, cls long, w double")
-    for r in shards.groupBy("slot", "cls").agg(F.sum("w").alias("w")).toLocalIterator():
-        w[r.slot, r.cls] = r.w / SHARDS
-    model["weights"] = w.astype(np.float32)
-    kept = rows.where("part < 0").orderBy("order").select("y", "slot", "value").toPandas()
-    scores = np.array([np.asarray(v, float) @ w[np.asarray(s)] for s, v in zip(kept.slot, kept.value, strict=True)]).reshape(len(kept), len(langs))
-    model["temperature"] = temperature(scores, kept.y.to_numpy())
+    each = rows.withColumn("_p", F.explode(tree_path(F.col("y"), levels, fanout))).select("part", "order", "slot", "value", "_p.node", "_p.y")
+    # a node's last digit may reach less far than fanout
+    classes = {r["node"]: r["c"] for r in each.groupBy("node").agg((F.max("y") + 1).alias("c")).collect()}
+    if levels == 1:
+        classes = {0: len(langs)}
+    shards = each.where("part >= 0").groupBy("node", "part").applyInPandas(lambda pdf: _train(pdf, classes), "node long, slot long, cls long, w double")
+    found = shards.groupBy("node", "slot", "cls").agg((F.sum("w") / SHARDS).alias("w")).toPandas()
+    by = dict(iter(found.groupby("node")))
+    none = found[:0]
+    model["nodes"] = {k: Node(c, *(by.get(k, none)[x].to_numpy() for x in ("slot", "cls", "w"))) for k, c in classes.items()}
+    kept = each.where("part < 0").orderBy("order").select("node", "y", "slot", "value").toPandas()
+    for k, own in kept.groupby("node"):
+        scores = np.array([model["nodes"][k].scores(np.asarray(s), np.asarray(v, float)) for s, v in zip(own.slot, own.value, strict=True)])
+        model["nodes"][k].temperature = temperature(scores, own.y.to_numpy())
     return model
 
 
@@ -226,11 +289,9 @@ def _predict(batches, shared) -> Iterator[pa.RecordBatch]:
                 names.append(UND)
                 scores.append(0.0)
                 continue
-            s = (got[1] @ m["weights"][got[0]]) / m["temperature"]
-            p = np.exp(s - s.max())
-            best = int(p.argmax())
-            names.append(m["langs"][best])
-            scores.append(float(p[best] / p.sum()))
+            name, p = tell(m, *got)
+            names.append(name)
+            scores.append(p)
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"]
         )

@@ -8,15 +8,19 @@ exact length, solved to the best sum that any choice of documents has:
 
 1. An even share of each length is taken, which leaves less than the sum of the
    distinct lengths.
-2. Bounded-knapsack dynamic programming fills that.  It starts with a short
-   budget, longer documents being taken before it, and widens until the sum is
-   exact or the budget is all that was left.
+2. Bounded-knapsack dynamic programming fills that: first over residues modulo the
+   shortest length (a cell per residue, whatever the budget), then over sums.  The
+   latter starts with a short budget, longer documents being taken before it, and
+   widens until the sum is exact or the budget is all that was left.
 3. Where no exact sum was found, more and more of the even share is given back to
    the dynamic program.  A best solution differs from the even share by at most
    twice the longest length in documents, so the search ends there.
 
-An exact sum can't be bettered, so stopping at it loses nothing.  Which documents
-of a length are taken is a seeded order.
+An exact sum can't be bettered, so stopping at it loses nothing.  Few documents
+(up to FEW choices of counts) are settled by listing their sums.  Tables of sums
+hold MOST_BUDGET words at most; longer documents are then taken before, so a best
+sum is no longer certain where no choice is exact, documents are many, and some are
+longer than that.  Which documents of a length are taken is a seeded order.
 
 Only (source, length) counts meet in a source's task, never its documents.  Rows
 that are alike (id, source, text) are counted before they are ranked, and the
@@ -47,7 +51,9 @@ from ._text import SPACES, text_blocks
 WEIGHTS = (5, 2, 1)
 RANKED = 1024
 #: Budget that dynamic programming starts with, and how it widens.
-FIRST_BUDGET, WIDEN = 1 << 14, 8
+FIRST_BUDGET, WIDEN, MOST_BUDGET = 1 << 14, 8, 1 << 22
+#: Choices of counts that are listed; residues and lengths of the table of residues.
+FEW, RESIDUES, MOST_LENGTHS = 1 << 16, 1 << 20, 12
 
 
 def _count_words(batches) -> Iterator[pa.RecordBatch]:
@@ -123,6 +129,69 @@ def _fill_budget(size: list[int], free: list[int], budget: int, width: int) -> l
     return out
 
 
+def few_choices(lengths: list[int], counts: list[int], budget: int) -> list[int]:
+    """The same as knapsack(), by listing the sums of all choices."""
+    sums = np.zeros(1, np.int64)
+    for length, count in zip(lengths, counts, strict=True):
+        sums = (sums[:, None] + length * np.arange(count + 1)).ravel()
+    at = int(np.where(sums <= budget, sums, -1).argmax())
+    taken = []
+    for count in reversed(counts):
+        at, k = divmod(at, count + 1)
+        taken.append(k)
+    return taken[::-1]
+
+
+def _window_min(x: np.ndarray, width: int) -> np.ndarray:
+    """Minimum of x[..., i - width + 1 : i + 1], shorter at the start; by doubling."""
+    out, have = x.copy(), 1
+    while have < width:
+        step = min(have, width - have)
+        out[..., step:] = np.minimum(out[..., step:], out[..., :-step].copy())
+        have += step
+    return out
+
+
+def by_residues(lengths: list[int], counts: list[int], budget: int) -> list[int] | None:
+    """Counts with the exact sum, or None if none was found: the least sum of each residue modulo the last length, from the
+    other lengths (the MOST_LENGTHS with most documents), filled up with documents of the last one."""
+    m = lengths[-1]
+    if m > RESIDUES or budget < 0:
+        return None
+    none = np.int64(1 << 61)
+    least = np.full(m, none)
+    least[0] = 0
+    some = sorted(sorted(range(len(lengths) - 1), key=lambda i: -counts[i])[:MOST_LENGTHS])
+    before = []
+    for i in some:
+        length, d = lengths[i], lengths[i] % m
+        cycle = m // math.gcd(d, m) if d else 1
+        most = min(counts[i], cycle - 1, budget // length)
+        before.append((least, most))
+        if most <= 0:
+            continue
+        # residues along each cycle of steps, twice around, so that a window never wraps
+        path = (np.arange(m // cycle)[:, None] + np.arange(2 * cycle) * d) % m
+        climb = length * np.arange(2 * cycle, dtype=np.int64)
+        low = (_window_min(least[path] - climb, most + 1) + climb)[:, cycle:]
+        after = least.copy()
+        after[path[:, cycle:]] = np.minimum(none, low)
+        least = after
+    r = budget % m
+    if least[r] > budget or (budget - int(least[r])) // m > counts[-1]:
+        return None
+    taken = [0] * len(lengths)
+    taken[-1] = (budget - int(least[r])) // m
+    at = int(least[r])
+    for i, (earlier, most) in zip(reversed(some), reversed(before), strict=True):
+        k = np.arange(max(0, most) + 1)
+        left = at - k * lengths[i]
+        k = int(k[(left >= 0) & (earlier[left % m] == left)][0])
+        taken[i] = k
+        at -= k * lengths[i]
+    return taken
+
+
 def fill_budget(size: list[int], count: list[int], budget: int) -> list[int]:
     """How many documents of each length (positive, distinct) give the best sum that does not exceed the budget."""
     order = sorted(range(len(size)), key=lambda i: -size[i])
@@ -132,16 +201,24 @@ def fill_budget(size: list[int], count: list[int], budget: int) -> list[int]:
     goal = min(goal, total)
     share = [c * goal // total for c in have] if total else []
     best, best_sum, given = [0] * len(order), 0, 0
+    summed = lambda x: sum(a * b for a, b in zip(length, x, strict=True))
+    if total and math.prod(c + 1 for c in have) <= FEW:
+        best = few_choices(length, have, goal)
+        best_sum = total = 0  # no choice is better
     while total and best_sum < goal:
         base = [max(0, x - given) for x in share]
-        left = goal - sum(a * b for a, b in zip(length, base, strict=True))
+        left = goal - summed(base)
+        more = by_residues(length, [c - b for c, b in zip(have, base, strict=True)], left)
+        if more:
+            best = [b + m for b, m in zip(base, more, strict=True)]
+            break
         width = FIRST_BUDGET
         while best_sum < goal:
             more = _fill_budget(length, [c - b for c, b in zip(have, base, strict=True)], left, width)
-            got = goal - left + sum(a * b for a, b in zip(length, more, strict=True))
+            got = goal - left + summed(more)
             if got > best_sum:
                 best, best_sum = [b + m for b, m in zip(base, more, strict=True)], got
-            if width >= left:
+            if width >= min(left, MOST_BUDGET):
                 break
             width *= WIDEN
         if given > 2 * length[0] or not any(base):

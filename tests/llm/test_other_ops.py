@@ -93,11 +93,36 @@ def test_training_sample_is_bounded_for_rows_of_one_id(spark):
     for seed in (1, 2, 3):
         got = {r.lang: r["count"] for r in language_id.draw_sample(d, count, 300, seed).groupBy("lang").count().collect()}
         assert got["bb"] == 100 and got["cc"] == 1 == got["aa"]
-    with pytest.raises(ValueError):
-        language_id.fit(d, F.lit(True), max_languages=2)
     assert language_id.fit(d, F.lit(True), max_sample=300)["langs"] == ["aa", "bb", "cc"]
 
 
+def many_languages(labels, rows, seed=1):
+    """Each label has words of its own."""
+    rng = random.Random(seed)
+    letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    words = [["".join(rng.choice(letters) for _ in range(rng.randrange(4, 8))) for _ in range(4)] for _ in range(labels)]
+    return [(i, " ".join(rng.choice(words[i % labels]) for _ in range(12)), f"l{i % labels:04}") for i in range(rows)]
+
+
+def test_more_labels_than_one_model_holds(spark):
+    rows = many_languages(30, 900)
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("held_out", language_id.held_out())
+    truth = {r[0]: r[2] for r in rows}
+    right = {}
+    for fanout in (4, 30):
+        model = language_id.fit(d, ~F.col("held_out"), fanout=fanout)
+        assert len(model["langs"]) == 30 and model["levels"] == (3 if fanout == 4 else 1) and max(n.classes for n in model["nodes"].values()) <= fanout
+        got = language_id.predict(d.where("held_out"), model, ["doc_id"]).collect()
+        assert all(0 <= r.score <= 1 for r in got)
+        right[fanout] = np.mean([truth[r.doc_id] == r.lang_pred for r in got])
+    assert right[4] > 0.9 and right[30] > 0.95
+    # a thousand labels, few rows each, are all learned
+    d = spark.createDataFrame(many_languages(1000, 6000, 2), "doc_id long, text string, lang string").repartition(4)
+    model = language_id.fit(d, F.lit(True))
+    got = language_id.predict(d, model, ["doc_id"]).collect()
+    assert model["levels"] == 2 and np.mean([r.lang_pred == f"l{r.doc_id % 1000:04}" for r in got]) > 0.8
+
+
 def test_only_told_languages_stay(spark):
     d = spark.createDataFrame([(i, t, lang) for i, t, lang, _ in language_docs()] + [(900, "ωψχ φυτ", None), (901, "schön über nicht", None), (902, "12", None)], "doc_id long, text string, lang string")
     for n in (2, 3):

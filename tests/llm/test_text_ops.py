@@ -455,6 +455,35 @@ def test_budget_of_many_long_documents():
     assert sum(a * b for a, b in zip(lengths, got, strict=True)) == budget and all(0 <= g <= c for g, c in zip(got, counts, strict=True))
 
 
+@pytest.mark.parametrize("budget", [1_000_000_007, 999_999_999, 123_456_789, 1_999_999_999, 19_998, 40_001])
+def test_budget_of_two_long_lengths(budget):
+    start = time.time()
+    size, have = [19_999, 20_001], [50_000, 50_000]
+    a, b = mixing.fill_budget(size, have, budget)
+    got = 19_999 * a + 20_001 * b
+    assert 0 <= a <= 50_000 and 0 <= b <= 50_000 and got <= budget and time.time() - start < 10
+    # 40,001 words hold at most two documents; 1,999,999,999 leave nothing between; others have an exact sum
+    assert got == {19_998: 0, 40_001: 40_000, 1_999_999_999: 1_999_980_001}.get(budget, budget)
+
+
+def test_residues_and_listed_sums_against_the_table_of_sums():
+    rng = random.Random(8)
+    exact = 0
+    for _ in range(300):
+        lengths = sorted(rng.sample(range(1, 60), rng.randrange(1, 5)), reverse=True)
+        counts = [rng.randrange(0, 7) for _ in lengths]
+        budget = rng.randrange(0, sum(a * b for a, b in zip(lengths, counts, strict=True)) + 5)
+        of = lambda taken: sum(a * b for a, b in zip(lengths, taken, strict=True))  # noqa: B023, E731
+        want = of(mixing.knapsack(lengths, counts, budget))
+        listed = mixing.few_choices(lengths, counts, budget)
+        assert of(listed) == want and all(0 <= x <= c for x, c in zip(listed, counts, strict=True))
+        found = mixing.by_residues(lengths, counts, budget)
+        if found is not None:
+            exact += 1
+            assert of(found) == budget == want and all(0 <= x <= c for x, c in zip(found, counts, strict=True))
+    assert exact > 15
+
+
 def test_mixing_of_one_row_that_repeats(spark, monkeypatch):
     monkeypatch.setattr(mixing, "RANKED", 64)
     rows = [(None, "a", "one two three")] * 5000 + [(i, "b", "w " * (i % 5)) for i in range(400)]

@@ -42,10 +42,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import materialize
-from ._text import _BYTE, _LOWER, _ODD, BLOCK, SPACES, _power_tables, text_blocks, tokenize
+from ._text import _BYTE, _LOWER, _ODD, SPACES, _power_tables, text_blocks, tokenize
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ROUNDS = 4
+#: Bytes of words in a block of lattices.
+BLOCK = 1 << 17
 #: Most words in the broadcast dictionary (24 bytes each), and distinct words that a task holds.
 DICTIONARY = 1 << 20
 HELD = 1 << 20
@@ -211,16 +213,21 @@ def expected(x: Lattice, weight: np.ndarray, alpha: np.ndarray, count: np.ndarra
 
 
 def _word_blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, lengths) of words with marks, about BLOCK bytes at a time."""
+    """(first row, end row, bytes, lengths) of words with marks, about BLOCK bytes at a time (a lattice takes some hundred
+    bytes for each)."""
     for i, j, data, off in text_blocks(column):
-        length = np.diff(off) + 1
-        out = np.empty(len(data) + (j - i), np.uint8)
-        marks = np.cumsum(length) - length
-        inside = np.ones(len(out), bool)
-        inside[marks] = False
-        out[marks] = MARK
-        out[inside] = data
-        yield i, j, out, length
+        a = 0
+        while a < j - i:
+            b = max(a + 1, int(np.searchsorted(off, off[a] + BLOCK, "right")) - 1)
+            length = np.diff(off[a : b + 1]) + 1
+            out = np.empty(int(off[b] - off[a]) + (b - a), np.uint8)
+            marks = np.cumsum(length) - length
+            inside = np.ones(len(out), bool)
+            inside[marks] = False
+            out[marks] = MARK
+            out[inside] = data[off[a] : off[b]]
+            yield i + a, i + b, out, length
+            a = b
 
 
 # --- counting, fitting and scoring ---------------------------------------------------------------------------------

@@ -16,7 +16,10 @@ shorter window) do:
 Two passes over the documents do that, whatever the benchmark's size: what a pass
 looks for is broadcast as a hashed bit filter of at most 2^max_bits bits (16 MB),
 and the joins settle what the filter lets through by chance.  The join is salted by
-document, so a passage that a third of all documents hold is spread.
+document, in as many parts as the most frequent key needs, so a passage that a third
+of all documents hold is spread.  Documents that hold the same set of windows are
+one class; items are listed per class, so a window that many items and many
+documents share costs no product of both.
 
 Words are compared by 64-bit hashes.  Defined cases: NULL or empty texts and
 items have no words and match nothing; an item with a NULL id still marks words
@@ -27,7 +30,6 @@ ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,13 +42,12 @@ from ._text import PUNCTUATION, grams, text_blocks, tokenize, valid_starts
 
 _U = np.uint64
 SHINGLE = 3
-#: Bits of the largest filter, windows of an item in a piece, copies of a window in the join.
-MAX_BITS, PIECE, SALTS = 27, 1 << 14, 8
-_WORDS = pa.list_(pa.int64())
+#: Bits of the largest filter, windows of an item in a piece, places of a key in one part of the join.
+MAX_BITS, PIECE, PLACES = 27, 1 << 14, 1 << 17
 
 
 def _item_windows(items: DataFrame, window: int) -> DataFrame:
-    """Distinct (item as text, word hashes of a window); items without words have none."""
+    """Distinct (item as text, word hashes of a window, hashes of its shingles); items without words have none."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,26 +56,20 @@ def _item_windows(items: DataFrame, window: int) -> DataFrame:
                 for r, (a, b) in enumerate(zip(w.ptr[:-1].tolist(), w.ptr[1:].tolist(), strict=True)):
                     size = min(window, b - a)
                     for s in range(a, b - size + 1 if size else a, PIECE):
-                        n = min(PIECE, b - size + 1 - s)
-                        words = w.hash[s + np.arange(n)[:, None] + np.arange(size)].view(np.int64)
+                        n, short = min(PIECE, b - size + 1 - s), min(SHINGLE, size)
+                        g = grams(w.hash[s : s + n + size - 1], short)
+                        lists = [x[np.arange(n)[:, None] + np.arange(k)].view(np.int64) for x, k in ((w.hash[s:], size), (g, size - short + 1))]
                         ids = batch.column(0).take(pa.array(np.full(n, i + r)))
-                        yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * size, pa.int32()), pa.array(words.ravel()))], names=["item", "words"])
+                        yield pa.RecordBatch.from_arrays([ids, *[pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * x.shape[1], pa.int32()), pa.array(x.ravel())) for x in lists]], names=["item", "words", "shingles"])
 
-    got = items.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(run, "item string, words array<long>")
+    got = items.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(run, "item string, words array<long>, shingles array<long>")
     return got.distinct()
 
 
-def _with_shingles(batches) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words, flat = batch.column(0), batch.column(0).flatten().to_numpy(zero_copy_only=False).view(_U)
-        ptr = np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy(zero_copy_only=False))])
-        own = [grams(flat[a:b], min(SHINGLE, b - a)).view(np.int64) for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([words, pa.array(own, _WORDS)], names=["words", "shingles"])
-
-
-def bit_filter(keys: DataFrame, max_bits: int) -> tuple[int, np.ndarray]:
-    """(bits, cells) of a filter over the top bits of a column `key` of hashes: some 16 bits a key, 2^max_bits at most."""
-    bits = max(6, min(max_bits, int(16 * keys.count()).bit_length()))
+def bit_filter(keys: DataFrame, count: int, max_bits: int) -> tuple[int, np.ndarray]:
+    """(bits, cells) of a filter over the top bits of a column `key` of hashes, about `count` of them: some 16 bits a key,
+    2^max_bits at most."""
+    bits = max(6, min(max_bits, int(16 * count).bit_length()))
     place = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("p"))
     cell = place.select(F.shiftrightunsigned("p", 6).cast("int").alias("c"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("b"))
     got = cell.groupBy("c").agg(F.bit_or("b").alias("b")).toArrow()  # a row per 64 bits at most
@@ -151,73 +146,77 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def window_keys(docs: DataFrame, windows: DataFrame, max_bits: int) -> tuple[DataFrame, list[int]]:
-    """(words, offset, key of each distinct window that can occur; sizes of shingles)."""
+    """(words, offset, key, n of each distinct window that can occur; sizes of shingles)."""
     sc = docs.sparkSession.sparkContext
-    shingled = materialize(windows.select("words").distinct().mapInArrow(_with_shingles, "words array<long>, shingles array<long>"), "shingled")
-    sizes = sorted(r.s for r in shingled.select(F.least(F.lit(SHINGLE), F.size("words")).alias("s")).distinct().collect())
-    vocabulary = shingled.select(F.explode("shingles").alias("key")).distinct()
-    shared = sc.broadcast(bit_filter(vocabulary, max_bits))
+    known = windows.agg(F.collect_set(F.least(F.lit(SHINGLE), F.size("words"))).alias("sizes"), F.sum(F.size("shingles")).alias("n")).first()
+    sizes = sorted(known["sizes"])
+    each = windows.select("words", "shingles").distinct().select("words", F.posexplode("shingles").alias("offset", "key"))
+    shared = sc.broadcast(bit_filter(each.select("key"), known["n"] or 0, max_bits))
     counts = docs.select("text").mapInArrow(lambda it: _count(it, shared, sizes), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    each = shingled.select("words", F.posexplode("shingles").alias("offset", "key")).join(counts, "key", "left")
-    rarest = each.groupBy("words").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "key")).alias("r"))
-    return rarest.where("r.n > 0").select("words", "r.offset", "r.key"), sizes
+    rarest = each.join(counts, "key", "left").groupBy("words").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "key")).alias("r"))
+    return rarest.where("r.n > 0").select("words", "r.offset", "r.key", "r.n"), sizes
 
 
 def find_windows(docs: DataFrame, items: DataFrame, window: int, max_bits: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows _k, _h, n_words of all documents; occurrences _k, _h, words, begin, end of windows; windows item, words)."""
+    """(rows _k, _h, n_words of all documents; occurrences _k, _h, w (a window's hash), begin, end; windows item, w)."""
     sc = docs.sparkSession.sparkContext
     windows = materialize(_item_windows(items, window), "windows")
     keys, sizes = window_keys(docs, windows, max_bits)
     keys = materialize(keys, "keys")
-    shared = sc.broadcast(bit_filter(keys.select("key").distinct(), max_bits))
+    s = keys.agg(F.count("*").alias("n"), F.max("n").alias("most")).first()
+    shared = sc.broadcast(bit_filter(keys.select("key"), s["n"], max_bits))
     rows = materialize(_keyed(docs).mapInArrow(lambda it: _emit_places(it, shared, sizes, window), _PLACES), "places")
     places = rows.where(F.size("places") > 0).select("_k", "_h", F.explode("places").alias("p")).select("_k", "_h", "p.key", "p.at", "p.lead", F.col("p.words").alias("around"))
-    salted = places.withColumn("salt", F.pmod(F.xxhash64("_k", "_h"), F.lit(SALTS)))
-    met = salted.join(keys.withColumn("salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)"))), ["key", "salt"])
+    salts, on = -(-(s["most"] or 0) // PLACES), ["key"]
+    if salts > 1:
+        places, on = places.withColumn("salt", F.pmod(F.xxhash64("_k", "_h"), F.lit(salts))), ["key", "salt"]
+        keys = keys.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    met = places.join(keys.drop("n"), on)
     start = F.col("lead") - F.col("offset")
     fits = (start >= 0) & (start + F.size("words") <= F.size("around"))
     same = F.slice("around", F.greatest(F.lit(1), start + 1), F.size("words")) == F.col("words")
     begin = F.col("at") - F.col("offset")
-    return rows.select("_k", "_h", "n_words"), met.where(fits & same).select("_k", "_h", "words", begin.alias("begin"), (begin + F.size("words")).alias("end")), windows
+    found = met.where(fits & same).select("_k", "_h", F.xxhash64("words").alias("w"), begin.alias("begin"), (begin + F.size("words")).alias("end"))
+    return rows.select("_k", "_h", "n_words"), found, windows.select("item", F.xxhash64("words").alias("w"))
 
 
-def verdict(words: int, spans: list[int], items: list[str]) -> tuple[int, list[str], bool]:
-    """(hit words, sorted item ids, contaminated)."""
-    end = total = 0
-    for s, e in sorted(zip(spans[::2], spans[1::2], strict=True)):
-        total += max(0, e - max(s, end))
-        end = max(end, e)
-    return total, sorted(set(items)), total > 0 and 20 * total >= words
+def covered(begin: list[int], end: list[int]) -> int:
+    """Words in any of the spans."""
+    last = total = 0
+    for s, e in sorted(zip(begin, end, strict=True)):
+        total += max(0, e - max(s, last))
+        last = max(last, e)
+    return total
 
 
-def _verdicts(batches) -> Iterator[pa.RecordBatch]:
+def _hits(batches) -> Iterator[pa.RecordBatch]:
+    """_k, _h, n_words, begins, ends, more columns -> the same with n_hit and contaminated."""
     for batch in batches:
-        n, begins, ends, items = (batch.column(c).to_pylist() for c in (2, 3, 4, 5))
-        spans = [[x for pair in zip(b or [], e or [], strict=True) for x in pair] for b, e in zip(begins, ends, strict=True)]
-        got = [verdict(*x) for x in zip(n, spans, (x or [] for x in items), strict=True)]
-        shas = [hashlib.sha256(",".join(ids).encode()).hexdigest() for _, ids, _ in got]
-        cols = [*batch.columns[:3], pa.array([h for h, _, _ in got], pa.int64()), pa.array([len(x) for _, x, _ in got], pa.int64()), pa.array(shas, pa.string()), pa.array([bad for _, _, bad in got], pa.bool_())]
-        cols += [pa.array(spans, pa.list_(pa.int32())), pa.array([x for _, x, _ in got], pa.list_(pa.string()))]
-        yield pa.RecordBatch.from_arrays(cols, names=["_k", "_h", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans", "items"])
+        n, begins, ends = (batch.column(c).to_pylist() for c in (2, 3, 4))
+        hit = [covered(b or [], e or []) for b, e in zip(begins, ends, strict=True)]
+        bad = [h > 0 and 20 * h >= words for h, words in zip(hit, n, strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit, pa.int64()), pa.array(bad, pa.bool_())], names=[*batch.schema.names, "n_hit", "contaminated"])
 
 
 def _judged(docs: DataFrame, items: DataFrame, window: int, max_bits: int) -> DataFrame:
     rows, found, windows = find_windows(docs, items, window, max_bits)
-    found = materialize(found.distinct(), "found")
-    spans = found.groupBy("_k", "_h").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    listed = found.select("_k", "_h", "words").distinct().join(windows.where("item IS NOT NULL"), "words").select("_k", "_h", "item").distinct()
-    ids = listed.groupBy("_k", "_h").agg(F.collect_list("item").alias("items"))
-    one = rows.join(spans.join(ids, ["_k", "_h"], "left"), ["_k", "_h"], "left")
-    schema = "_k long, _h long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<int>, items array<string>"
-    return one.select("_k", "_h", "n_words", F.col("spans.begin").alias("b"), F.col("spans.end").alias("e"), "items").mapInArrow(_verdicts, schema)
+    held = found.groupBy("_k", "_h").agg(F.collect_set(F.struct("begin", "end")).alias("s"), F.sort_array(F.collect_set("w")).alias("ws"))
+    held = materialize(held.withColumn("class", F.xxhash64("ws")), "found")
+    of_class = held.groupBy("class").agg(F.first("ws").alias("ws")).select("class", F.explode("ws").alias("w"))
+    listed = of_class.join(windows.where("item IS NOT NULL"), "w").groupBy("class").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    listed = listed.select("class", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "items")
+    one = rows.join(held.select("_k", "_h", F.col("s.begin").alias("begin"), F.col("s.end").alias("end"), "class").join(listed, "class", "left"), ["_k", "_h"], "left")
+    none = F.sha2(F.lit(""), 256)
+    one = one.select("_k", "_h", "n_words", "begin", "end", F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"), F.coalesce("items_sha256", none).alias("items_sha256"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return one.mapInArrow(_hits, "_k long, _h long, n_words long, begin array<int>, end array<int>, n_items long, items_sha256 string, items array<string>, n_hit long, contaminated boolean")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, max_bits: int = MAX_BITS, with_spans: bool = False) -> DataFrame:
-    """A row per document: n_words, n_hit, n_items, items_sha256, contaminated (and spans: flat begin, end word pairs, which
-    may overlap; items: their ids as text).
+    """A row per document: n_words, n_hit, n_items, items_sha256, contaminated (and begin, end: word spans, which may
+    overlap; items: their ids as text).
 
     contaminated: any word is hit, and hit words are at least a twentieth of all words."""
-    more = ["spans", "items"] if with_spans else []
+    more = ["begin", "end", "items"] if with_spans else []
     return _judged(docs, items, window, max_bits).select(F.nullif("_k", F.lit(NULL_ID)).alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *more)
 
 

@@ -348,8 +348,9 @@ def brute_hits(rows, items, window=13):
     return out
 
 
-@pytest.mark.parametrize("bits", [27, 6])
-def test_decontaminate(spark, bits):
+@pytest.mark.parametrize(("bits", "places"), [(27, 1 << 17), (6, 3)])
+def test_decontaminate(spark, monkeypatch, bits, places):
+    monkeypatch.setattr(decontaminate, "PLACES", places)
     rows = make_docs(seed=4)
     words = [t.split() for _, t in rows if t and len(t.split()) > 40][:6]
     items = [(i, " ".join(w[3 : 3 + 13 + i])) for i, w in enumerate(words)] + [(20, "the"), (21, "Ein, zu"), (22, None), (23, "..."), (24, " ".join(words[0][3:16])), (None, " ".join(words[1][:15]))]
@@ -361,7 +362,7 @@ def test_decontaminate(spark, bits):
     assert kept.columns == frame(spark, rows).columns
     assert {r.doc_id for r in kept.collect()} == {k for k, v in want.items() if not v[4]}
     spans = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string"), max_bits=bits, with_spans=True)
-    assert all(sum(r.n_hit for r in [x]) == len({i for a, b in zip(x.spans[::2], x.spans[1::2], strict=True) for i in range(a, b)}) for x in spans.collect())
+    assert all(x.n_hit == len({i for a, b in zip(x.begin or [], x.end or [], strict=True) for i in range(a, b)}) and x.n_items == len(x["items"]) for x in spans.collect())
     none = decontaminate.decontaminate(frame(spark, rows), spark.createDataFrame([], "item_id long, text string"))
     assert none.where("contaminated OR n_hit > 0").count() == 0
 

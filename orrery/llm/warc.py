@@ -16,8 +16,9 @@ or style takes the rest of the page.  Of a noscript, template or svg that is
 self-closed or never closed only the tag goes.
 
 Each record is built where its source lies; there is no shuffle.  `read_records`
-reads WARC files (plain or gzip), `write_warc` writes them; a file is read as a
-whole in one task, as a compressed one can't be split.
+reads WARC files (plain or gzip), `write_warc` writes them; a file is read in one
+task, as a compressed one can't be split.  There it is held as it is stored, and
+unpacked record by record.
 
 Headers keep their order and may repeat; in a value, lines that go on are joined
 by a space.  Names are matched without case.  Optional headers that a response
@@ -34,11 +35,11 @@ WARC record, is an error.
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,6 +48,8 @@ from pyspark.sql import functions as F
 
 EPOCH = "1970-01-01T00:00:00Z"
 BATCH_BYTES = 1 << 24
+#: Bytes of a file that are unpacked at a time.
+PIECE = 1 << 20
 SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivatives")
 #: tags that decide what is text
 _MARK = re.compile(r"<!--|<(/?)(script|style|noscript|template|svg|head|title)(?=[\s/>])[^>]*>", re.I)
@@ -150,19 +153,25 @@ def record(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
     return "\r\n".join(["WARC/1.1", *lines, "", ""]).encode() + block + b"\r\n\r\n"
 
 
-def _next_record(data: bytes, at: int) -> tuple[list[tuple[str, str]], int, int]:
-    """(headers in order, first and end byte of the block) of the record at `at`."""
-    stop = data.find(b"\r\n\r\n", at)
-    version, _, head = data[at : stop if stop >= 0 else at].decode("utf-8", "replace").partition("\r\n")
+def _headers(head: bytes) -> list[tuple[str, str]]:
+    """Headers in order, of a record's bytes before its block."""
+    version, _, lines = head.decode("utf-8", "replace").partition("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError("not a WARC record")
     headers: list[tuple[str, str]] = []
-    for line in head.split("\r\n") if head else []:
+    for line in lines.split("\r\n") if lines else []:
         if line[:1] in (" ", "\t") and headers:
             headers[-1] = (headers[-1][0], f"{headers[-1][1]} {line.strip()}")
         else:
             name, _, value = line.partition(":")
             headers.append((name.strip(), value.strip()))
+    return headers
+
+
+def _next_record(data: bytes, at: int) -> tuple[list[tuple[str, str]], int, int]:
+    """(headers in order, first and end byte of the block) of the record at `at`."""
+    stop = data.find(b"\r\n\r\n", at)
+    headers = _headers(data[at : stop if stop >= 0 else at])
     size = int(header(headers, "Content-Length") or 0)
     if stop + 4 + size > len(data):
         raise ValueError("the WARC record is cut short")
@@ -182,17 +191,60 @@ def parse_record(data: bytes) -> tuple[list[tuple[str, str]], bytes]:
     return headers, data[a:b]
 
 
-def split_records(data: bytes) -> Iterator[bytes]:
-    """The records of a file's bytes; gzip members, one or many, are unpacked."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+def unpacked(data: bytes) -> Iterator[bytes]:
+    """A file's bytes in pieces of at most PIECE; gzip members, one or many, are unpacked as they come."""
+    whole = memoryview(data)
+    if data[:2] != b"\x1f\x8b":
+        yield from (bytes(whole[a : a + PIECE]) for a in range(0, len(data), PIECE))
+        return
     at = 0
-    while at < len(data):
-        _, _, end = _next_record(data, at)
-        yield data[at:end] + b"\r\n\r\n"
-        at = end
-        while data[at : at + 2] == b"\r\n":
-            at += 2
+    while at < len(whole):
+        member, rest = zlib.decompressobj(31), b""
+        while not member.eof:
+            if not rest and at < len(whole):
+                rest, at = bytes(whole[at : at + PIECE]), at + PIECE
+            piece = member.decompress(rest, PIECE)
+            if piece:
+                yield piece
+            elif not member.unconsumed_tail and at >= len(whole) and not member.eof:
+                raise ValueError("the gzip file is cut short")
+            rest = member.unconsumed_tail
+        at = min(at, len(whole)) - len(member.unused_data)
+        while at < len(whole) and whole[at] == 0:  # padding
+            at += 1
+
+
+def split_records(data: bytes) -> Iterator[bytes]:
+    """The records of a file's bytes; what is held is the file as it is stored, and a record at a time."""
+    pieces, held, done = unpacked(data), bytearray(), False
+
+    def more() -> bool:
+        nonlocal done
+        piece = next(pieces, None)
+        done = done or piece is None
+        held.extend(piece or b"")
+        return piece is not None
+
+    while True:
+        while not done and len(held) < 2 or held[:2] == b"\r\n":
+            if held[:2] == b"\r\n":
+                del held[:2]
+            else:
+                more()
+        if not held:
+            return
+        seen = 0
+        while (stop := held.find(b"\r\n\r\n", seen)) < 0 and (seen := max(0, len(held) - 3), more())[1]:
+            pass
+        if stop >= 0:  # the block's end is known
+            size = int(header(_headers(bytes(held[:stop])), "Content-Length") or 0)
+            while len(held) < stop + 4 + size and more():
+                pass
+        _, _, end = _next_record(bytes(held), 0) if stop < 0 else (None, None, stop + 4 + size)
+        if end > len(held):
+            raise ValueError("the WARC record is cut short")
+        yield bytes(held[:end]) + b"\r\n\r\n"
+        del held[:end]
 
 
 def response_record(url: str, date: str, page: bytes, key: str) -> tuple[str, bytes]:

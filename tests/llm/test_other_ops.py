@@ -1,12 +1,16 @@
 """Language ID, secrets, top-k, URL filter, WARC, chat and the pipeline: brute force, round trips, edge cases."""
 
+import base64
 import datetime as dt
+import gzip
 import hashlib
 import itertools
 import math
 import random
 import re
 import string
+import uuid
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -409,6 +413,84 @@ def test_warc_headers_that_are_left_out_repeated_or_folded(spark):
             warc.parse_record(wrong)
 
 
+@pytest.mark.parametrize("piece", [1, 7, 1 << 20])
+def test_records_of_files_in_pieces(monkeypatch, piece):
+    monkeypatch.setattr(warc, "PIECE", piece)
+    rng = random.Random(3)
+    records = [bare_response([b"A: b"], rng.randbytes(rng.randrange(0, 90)) + b"\r\n\r\nWARC/1.0\r\n" * rng.randrange(3)) for _ in range(12)]
+    plain = b"".join(records)
+    members = b"".join(gzip.compress(r) for r in records)
+    some = gzip.compress(b"".join(records[:5])) + gzip.compress(b"".join(records[5:])) + b"\0" * 9
+    for data in (plain, gzip.compress(plain), members, some, plain + b"\r\n"):
+        assert list(warc.split_records(data)) == records
+    assert list(warc.split_records(b"")) == [] and list(warc.split_records(gzip.compress(b""))) == []
+    for wrong in (plain[:-30], gzip.compress(plain[:-30]), gzip.compress(plain)[:-20], b"no record", b"WARC/1.0\r\nA: b"):
+        with pytest.raises(ValueError):
+            list(warc.split_records(wrong))
+
+
+class Shown(HTMLParser):
+    """Text as a plain parser sees it: hidden elements left out, block elements end lines."""
+
+    HIDDEN = {"script", "style", "noscript", "template", "svg", "head"}
+    BLOCK = set("p div br hr li ul ol dl dt dd tr table thead tbody section article header footer nav aside main h1 h2 h3 h4 h5 h6 blockquote pre form figure title".split())
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.depth, self.out, self.title, self.in_title = 0, [], None, False
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.depth += tag in self.HIDDEN
+        if tag == "title" and self.title is None:
+            self.in_title, self.title = True, ""
+        if not self.depth:
+            self.out.append("\n" if tag in self.BLOCK else " " if tag in self.HIDDEN else "")
+
+    def handle_endtag(self, tag):
+        self.in_title = self.in_title and tag != "title"
+        if tag in self.HIDDEN:
+            self.depth -= 1
+            self.out.append("" if self.depth else " ")
+        elif not self.depth:
+            self.out.append("\n" if tag in self.BLOCK else "")
+
+    def handle_comment(self, data):
+        self.out.append("" if self.depth else " ")
+
+    def handle_data(self, data):
+        if self.in_title:
+            self.title += data
+        if not self.depth:
+            self.out.append(data)
+
+    def text(self):
+        lines = [re.sub("[ \t\r\f\v ]+", " ", x).strip() for x in "".join(self.out).split("\n")]
+        return "\n".join(x for x in lines if x)
+
+
+def test_derivatives_of_the_given_pages_against_a_plain_build(spark, sf_dir):
+    sha1 = lambda b: "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode()
+    want = []
+    for page in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        date = (dt.date(2024, 1, 1) + dt.timedelta(days=page.page_id * 7 % 360)).isoformat() + "T00:00:00Z"
+        body, url = (page.html or "").encode(), page.url or ""
+        rid, mid, cid = (f"<urn:uuid:{uuid.uuid5(warc.SPACE, x)}>" for x in (f"response {page.page_id} {page.url}", "", ""))
+        mid, cid = (f"<urn:uuid:{uuid.uuid5(warc.SPACE, f'{k} {rid}')}>" for k in ("metadata", "conversion"))
+        shown = Shown(page.html or "")
+        http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(body) + body
+        source = [("WARC-Type", "response"), ("WARC-Record-ID", rid), ("WARC-Date", date), ("WARC-Target-URI", url), ("Content-Type", "application/http; msgtype=response"), ("WARC-Payload-Digest", sha1(body)), ("WARC-Block-Digest", sha1(http)), ("Content-Length", len(http))]
+        fields = [("title", " ".join((shown.title or "").split())), ("text-characters", len(shown.text()))] + [(f"source-{k}", v) for k, v in source] + [("http-content-type", "text/html; charset=utf-8"), ("http-content-length", len(body))]
+        blocks = {"metadata": "".join(f"{k}: {v}\r\n" for k, v in fields).encode(), "conversion": shown.text().encode()}
+        for kind, own, other, mime in (("metadata", mid, cid, "application/warc-fields"), ("conversion", cid, mid, "text/plain; charset=utf-8")):
+            head = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Date", date), ("WARC-Target-URI", url), ("WARC-Refers-To", rid), ("WARC-Refers-To-Target-URI", url), ("WARC-Refers-To-Date", date), ("WARC-Source-Payload-Digest", sha1(body)), ("WARC-Concurrent-To", other), ("Content-Type", mime), ("WARC-Block-Digest", sha1(blocks[kind])), ("Content-Length", len(blocks[kind]))]
+            record = ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n").encode() + blocks[kind] + b"\r\n\r\n"
+            want.append((page.page_id, kind, own, rid, sha1(blocks[kind]), len(record), hashlib.sha256(record).hexdigest()))
+    got = sorted((r.page_id, r.kind, r.record_id, r.refers_to, r.block_digest, r.n_bytes, r.record_sha256) for r in warc.op7_warc(spark, sf_dir).collect())
+    assert got == sorted(want) and len(got) >= 100
+
+
 @pytest.mark.parametrize("compression", ["gzip", "none"])
 def test_warc_files_read_back(spark, tmp_path, compression):
     rows = [(i, f"http://h{i}/é", "2024-01-02T00:00:00Z", PAGE + "\r\n\r\nWARC/1.1\r\n" * (i % 3)) for i in range(23)]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from orrery.llm import decontaminate, jaccard_join, language_id, mixing, secrets
-from orrery.llm._common import materialize
+from orrery.llm._common import discard, materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,7 +89,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if read is not None:
+            discard(read)  # what this stage has read
+        read = docs
     return STAGES[-1][1](spark, docs, sf_dir)

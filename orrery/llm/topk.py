@@ -13,7 +13,8 @@ local score, and a row's score is the sum of its local scores.
    of a task are kept (ties to the smaller id), and a ranking over all tasks ends it.
 
 Queries are read in blocks of about QUERY_BLOCK components: a block's vectors and
-cutoffs are broadcasts of bounded size, and every block goes over all rows.  A
+cutoffs are broadcasts of bounded size, which go once its result is written, and
+every block goes over all rows.  A
 task scores tiles of rows against tiles of queries, so its memory is bounded by
 tiles and the k rows that it holds per query.
 
@@ -149,22 +150,26 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024)
     """query_id, rank, vec_id, score: the k rows with the highest integer inner products for each query row."""
     spark = vectors.sparkSession
     rows = valid_vectors(vectors)
-    out = None
+    done = []
     rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best_of = lambda lists: lists.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
     for ids, qs in _query_blocks(rows.where(is_query), scale):
         shared = spark.sparkContext.broadcast((ids, qs))
         kind = "query_id long, vec_id long, score long"
-        lists = rows.mapInArrow(lambda it, shared=shared: _collect(it, shared, None, k, scale), kind)
-        best = lists.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
+        best = best_of(rows.mapInArrow(lambda it, shared=shared: _collect(it, shared, None, k, scale), kind))
         found = {r["query_id"]: r["t"] for r in best.groupBy("query_id").agg(F.min("score").alias("t"), F.count("*").alias("n")).where(F.col("n") == k).collect()}
         # a bound that was clipped, or no bound, lets every row through
         limit = np.array([found.get(i, _LOW) for i in ids.tolist()], np.int64)
         free = (limit == _LOW) | (limit == _HIGH)
         cutoffs = spark.sparkContext.broadcast((np.where(free, 0, limit), free))
-        part = rows.mapInArrow(lambda it, shared=shared, cutoffs=cutoffs: _collect(it, shared, cutoffs, k, scale), kind)
-        out = part if out is None else out.unionByName(part)
-    merged = out.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    return merged.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        lists = rows.mapInArrow(lambda it, shared=shared, cutoffs=cutoffs: _collect(it, shared, cutoffs, k, scale), kind)
+        done.append(materialize(best_of(lists).select("query_id", "rank", "vec_id", "score"), "top"))
+        shared.destroy()  # the block's result is written
+        cutoffs.destroy()
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def op4_top_k(spark, sf_dir: str) -> DataFrame:

@@ -232,7 +232,9 @@ def draw_sample(known: DataFrame, count: dict[str, int], max_sample: int, seed:
     language's task is small; there the lowest numbers stay, each once."""
     share = max(1, max_sample // len(count))
     scale = 1 << 30
-    quota = known.sparkSession.createDataFrame([(k, i, min(scale, 2 * scale * share // max(1, n) + 1)) for i, (k, n) in enumerate(count.items())], "lang string, number long, quota long")
+    # a local table, whose size the planner sees: it is broadcast if that is small
+    numbers = [min(scale, 2 * scale * share // max(1, n) + 1) for n in count.values()]
+    quota = known.sparkSession.createDataFrame(pa.table({"lang": pa.array(list(count), pa.string()), "number": pa.array(range(len(count)), pa.int64()), "quota": pa.array(numbers, pa.int64())}))
     some = known.select("lang", "text", _number(seed).alias("_draw")).join(quota, "lang").where(F.pmod("_draw", F.lit(scale)) < F.col("quota"))
     one = some.dropDuplicates(["lang", "_draw"])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_draw"))

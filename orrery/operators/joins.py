@@ -303,6 +303,14 @@ def sky_proximity(points: DataFrame, lon: str, lat: str, catalog: DataFrame, key
     return points.join(hit.withColumn("near", F.lit(True)), key, "left").withColumn("near", F.coalesce("near", F.lit(False)))
 
 
+def grouped_radii(catalog: DataFrame, groups: int = 10, slack: float = 1e-6) -> DataFrame:
+    """A catalog's radii raised to the upper edges of equal intervals between the smallest and the largest (groups + 1
+    of them, with a slack at both ends), as the instrument team's masks have them."""
+    low = catalog.agg(F.min("radius") - slack).scalar()
+    step = (catalog.agg(F.max("radius") + slack).scalar() - low) / (groups + 1)
+    return catalog.withColumn("radius", low + (F.floor((F.col("radius") - low) / step) + 1) * step)
+
+
 def dim_lookup(df: DataFrame, dim: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Calibration by several keys; the planner broadcasts the table if it is small enough."""
     return df.join(dim.select(*keys, *values), keys, "left")

@@ -169,6 +169,17 @@ def j13(spark, sf):
     return J.sky_proximity(p, "lon", "lat", src, "vec_id").select("vec_id", "near")
 
 
+@query("j13_grouped_radii", f"""
+WITH p AS (SELECT vec_id, label, {_LL} FROM embeddings), r AS (SELECT lon AS slon, lat AS slat, (vec_id % 5)*1.7+0.3 AS radius FROM p WHERE label=0), e AS (SELECT min(radius)-1e-6::DOUBLE AS lo, (max(radius)-min(radius)+2e-6::DOUBLE)/11 AS step FROM r),
+s AS (SELECT slon, slat, lo+(floor((radius-lo)/step)+1)*step AS radius FROM r, e)
+SELECT vec_id, EXISTS (SELECT 1 FROM s WHERE degrees(2*asin(sqrt(least(1.0, pow(sin(radians((lat-slat)/2)),2)+cos(radians(lat))*cos(radians(slat))*pow(sin(radians((lon-slon)/2)),2))))) <= radius) AS near FROM p""")
+def j13_grouped(spark, sf):
+    x = [F.col("embedding")[i].cast("double") for i in range(3)]
+    p = table(spark, sf, "embeddings").select("vec_id", "label", F.degrees(F.atan2(x[1], x[0])).alias("lon"), F.degrees(F.asin(x[2] / F.sqrt(x[0] * x[0] + x[1] * x[1] + x[2] * x[2]))).alias("lat"))
+    src = p.where("label = 0").select(F.col("lon").alias("slon"), F.col("lat").alias("slat"), ((F.col("vec_id") % 5) * 1.7 + 0.3).alias("radius"))
+    return J.sky_proximity(p, "lon", "lat", J.grouped_radii(src), "vec_id").select("vec_id", "near")
+
+
 @query("j14_dim_lookup", """
 SELECT l_orderkey, l_linenumber, round((l_quantity*p_size + p_retailprice)/100, 4) AS energy FROM lineitem LEFT JOIN part ON l_partkey=p_partkey""")
 def j14(spark, sf):

@@ -224,6 +224,14 @@ def test_sky_proximity_at_poles_and_across_zero(spark):
     assert "NestedLoop" not in d._jdf.queryExecution().executedPlan().toString()
 
 
+def test_radii_are_raised_to_the_edges_of_their_groups(spark):
+    radii = [0.5, 0.5, 0.9, 1.0, 2.2, 3.0, 3.7, 5.0]
+    edges = np.linspace(min(radii) - 1e-6, max(radii) + 1e-6, 12)
+    want = sorted(float(edges[np.digitize(r, edges)]) for r in radii)
+    got = joins.grouped_radii(spark.createDataFrame([(r,) for r in radii], "radius double")).collect()
+    assert sorted(r.radius for r in got) == pytest.approx(want) and max(want) > 5.0
+
+
 def test_sky_cells_bound_the_candidates(spark):
     rng = np.random.default_rng(8)
     place = lambda n: [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(rng.uniform(0, 360, n), np.degrees(np.arcsin(rng.uniform(-1, 1, n))), strict=True))]

@@ -25,8 +25,9 @@ pieces, so every text has a probability above 0, and all probabilities add up to
 
 Defined cases: NULL and empty texts have only their end; a NULL doc_id is not
 held out; repeated rows count and are scored each by itself; without training
-texts only the vocabulary's scores are left (N = 0); a word's time grows with its
-length, its memory too.  Words are looked up by 64-bit hashes.  Other columns are
+texts only the vocabulary's scores are left (N = 0); of a word longer than SPELL
+bytes, the segmentations that cut it at every multiple of SPELL bytes count, so
+memory and time stay in proportion.  Words are looked up by 64-bit hashes.  Other columns are
 ignored.
 """
 
@@ -46,8 +47,8 @@ from ._text import _BYTE, _LOWER, _ODD, SPACES, _power_tables, text_blocks, toke
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 ROUNDS = 4
-#: Bytes of words in a block of lattices.
-BLOCK = 1 << 17
+#: Bytes of words in a block of lattices, and of a word that are spelled at a time.
+BLOCK, SPELL = 1 << 17, 1 << 12
 #: Most words in the broadcast dictionary (24 bytes each), and distinct words that a task holds.
 DICTIONARY = 1 << 20
 HELD = 1 << 20
@@ -212,21 +213,28 @@ def expected(x: Lattice, weight: np.ndarray, alpha: np.ndarray, count: np.ndarra
     return out
 
 
-def _word_blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, lengths) of words with marks, about BLOCK bytes at a time (a lattice takes some hundred
-    bytes for each)."""
+def _word_blocks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, bytes, lengths) of spelled parts of words: a word after its mark, or SPELL bytes of a longer one at a time.
+
+    A block has about BLOCK bytes (a lattice takes some hundred bytes for each), so a row's parts may lie in several."""
     for i, j, data, off in text_blocks(column):
+        parts = np.maximum(1, -(-np.diff(off) // SPELL))
+        row = np.repeat(np.arange(j - i), parts)
+        k = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+        start = off[row] + k * SPELL
+        length = np.minimum(off[row + 1], start + SPELL) - start
+        total = np.cumsum(length + (k == 0))
         a = 0
-        while a < j - i:
-            b = max(a + 1, int(np.searchsorted(off, off[a] + BLOCK, "right")) - 1)
-            length = np.diff(off[a : b + 1]) + 1
-            out = np.empty(int(off[b] - off[a]) + (b - a), np.uint8)
-            marks = np.cumsum(length) - length
+        while a < len(row):
+            b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + BLOCK, "right")))
+            marked = k[a:b] == 0
+            size = length[a:b] + marked
+            out = np.empty(int(size.sum()), np.uint8)
             inside = np.ones(len(out), bool)
-            inside[marks] = False
-            out[marks] = MARK
-            out[inside] = data[off[a] : off[b]]
-            yield i + a, i + b, out, length
+            inside[(np.cumsum(size) - size)[marked]] = False
+            out[~inside] = MARK
+            out[inside] = data[start[a] : start[b - 1] + length[b - 1]]
+            yield i + row[a:b], out, size
             a = b
 
 
@@ -291,7 +299,7 @@ def _expect(batches, shared) -> Iterator[pa.RecordBatch]:
     pieces, weight = shared.value
     total = np.zeros(len(weight))
     for batch in batches:
-        for _, _, data, length in _word_blocks(batch.column(0)):
+        for _, data, length in _word_blocks(batch.column(0)):
             x = lattice(data, length, pieces)
             total += expected(x, weight, forward(x, weight), np.ones(len(length)), len(weight))
     used = np.flatnonzero(total)
@@ -302,11 +310,11 @@ def _word_scores(batches, shared, model) -> Iterator[pa.RecordBatch]:
     """(h, word, c, n) -> (h, c, n, lp): log10 of a word's probability."""
     pieces, weight = shared.value
     for batch in batches:
-        counts = batch.column(2).to_numpy()
-        for i, j, data, length in _word_blocks(batch.column(1)):
+        ln = np.zeros(batch.num_rows)
+        for row, data, length in _word_blocks(batch.column(1)):
             x = lattice(data, length, pieces)
-            lp = model.log10(forward(x, weight)[x.last], counts[i:j])
-            yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(i, j - i) for k in (0, 2, 3)], pa.array(lp)], names=["h", "c", "n", "lp"])
+            np.add.at(ln, row, forward(x, weight)[x.last])
+        yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in (0, 2, 3)], pa.array(model.log10(ln, batch.column(2).to_numpy()))], names=["h", "c", "n", "lp"])
 
 
 @dataclass

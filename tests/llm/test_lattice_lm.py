@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -65,13 +66,31 @@ def test_vocabulary_covers_every_word():
     pieces = lattice_lm.index_pieces(names, weights)
     assert len(set(names)) == len(names) > 30000 and all(bytes([b]) in names for b in range(256))
     words = ["the", "Ω≈ç√", "\U0001f600\U0001f600", "x" * 3000, "日本語", "a▁b"]
-    blocks = list(lattice_lm._word_blocks(pa.array([w.encode() for w in words])))
-    assert sum(j - i for i, j, _, _ in blocks) == len(words)
-    for _, _, data, length in blocks:
+    for _, data, length in lattice_lm._word_blocks(pa.array([w.encode() for w in words])):
         x = lattice_lm.lattice(data, length, pieces)
         assert np.isfinite(lattice_lm.forward(x, pieces.start)[x.last]).all()
 
 
+@pytest.mark.parametrize(("block", "spell"), [(1 << 17, 1 << 12), (40, 1 << 12), (40, 7), (1, 3)])
+def test_blocks_of_words_hold_all_their_bytes(monkeypatch, block, spell):
+    monkeypatch.setattr(lattice_lm, "BLOCK", block)
+    monkeypatch.setattr(lattice_lm, "SPELL", spell)
+    words = [b"a", b"the", "é".encode() * 9, b"x" * 5000, b"yz" * 7, b"q"]
+    got = [b""] * len(words)
+    for row, data, length in lattice_lm._word_blocks(pa.array(words)):
+        assert length.max() <= spell + 1 and len(data) == length.sum() and (len(data) <= block or len(length) == 1)
+        for r, a, n in zip(row.tolist(), (np.cumsum(length) - length).tolist(), length.tolist(), strict=True):
+            got[r] += data[a : a + n].tobytes()
+    assert got == [b"\xff" + w for w in words]
+
+
+def test_a_giant_word_takes_time_in_proportion(spark):
+    start = time.time()
+    docs = spark.createDataFrame([(1, "the " + "ab" * 300_000), (2, "漢字" * 100_000), (3, "the end")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lattice_lm.score(docs, lattice_lm.fit(docs, F.lit(True), rounds=2), ["doc_id"]).collect()}
+    assert got[1].n_tokens == 3 and got[2].n_tokens == 2 and all(math.isfinite(r.score) for r in got.values()) and time.time() - start < 120
+
+
 def documents(seed=2, n=70):
     rng = random.Random(seed)
     syllables = ["th", "er", "ing", "an", "é", "ß", "tion", "q9"]

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 from pyspark.sql.window import Window
 
 from .joins import interp_join, range_join
@@ -90,12 +91,18 @@ def rebin_lightcurve(df: DataFrame, keys: list[str], bin_col: str, per: int, mas
 
 
 def circular_mean(df: DataFrame, keys: list[str], order: str, angle: str) -> DataFrame:
-    """Mean of angles unwrapped along the order, back on the circle."""
+    """Mean of angles unwrapped along the order, back on the circle.  Decimal angles are added exactly and divided
+    once, so the mean is the double nearest to the true one, in whatever order they come."""
     w = Window.partitionBy(*keys).orderBy(order)
     step = F.col(angle) - F.lag(angle).over(w)
-    turns = F.when(step > 180, -360.0).when(step < -180, 360.0).otherwise(0.0)
-    d = df.withColumn("_t", F.coalesce(turns, F.lit(0.0))).withColumn("_u", F.col(angle) + F.sum("_t").over(w))
-    return d.groupBy(*keys).agg(F.pmod(F.avg("_u"), F.lit(360.0)).alias(angle))
+    turns = F.when(step > 180, -360).when(step < -180, 360).otherwise(0)
+    d = df.withColumn("_t", F.coalesce(turns, F.lit(0))).withColumn("_u", F.col(angle) + F.sum("_t").over(w))
+    kind = df.schema[angle].dataType
+    units = 10 ** kind.scale if isinstance(kind, DecimalType) else 1
+    mean = F.try_divide((F.sum("_u") * units).cast("double"), F.count("_u") * units)
+    # taken to within half a turn of 0 first, so a mean is the same double from whichever side it was unwrapped
+    near = mean - 360 * F.round(mean / 360)
+    return d.groupBy(*keys).agg(((near + 360) % 360).alias(angle))
 
 
 def rotation_mean(df: DataFrame, number: Column, value: str, grid: DataFrame, at: str, distance: Column | None = None, fill: float | None = None) -> DataFrame:

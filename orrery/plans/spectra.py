@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -78,10 +80,11 @@ SELECT 'spin' AS op, user_id, bin::BIGINT AS bin, round(counts, 4) AS v FROM a
 UNION ALL SELECT 'curve', user_id, (event_id//20)::BIGINT, round(CASE WHEN sum(CASE WHEN bad THEN 0 ELSE value END)=0 THEN NULL ELSE sum((angle-1)*CASE WHEN bad THEN 0 ELSE value END)/sum(CASE WHEN bad THEN 0 ELSE value END) - 0.5 END, 4) FROM e GROUP BY user_id, event_id//20
 UNION ALL SELECT 'mean', user_id, 0, round(((avg(((event_id*0.37) % 30)-15 ) % 360)+360) % 360, 4) FROM e GROUP BY user_id""")
 def a32(spark, sf):
-    e = table(spark, sf, "events").withColumns({"angle": F.pmod(F.col("event_id") * 7.3, F.lit(360.0)), "counts": F.lit(1), "exposure": F.col("value"), "bad": F.col("event_id") % 11 == 0, "sky": F.lit(1.0), "bin_background": F.lit(0.5)})
+    # angles are decimals, as multiples of 7.3 and 0.37 are: no sum of them depends on its order
+    e = table(spark, sf, "events").withColumns({"angle": F.pmod(F.col("event_id") * F.lit(Decimal("7.3")), F.lit(360)), "counts": F.lit(1), "exposure": F.col("value"), "bad": F.col("event_id") % 11 == 0, "sky": F.lit(1), "bin_background": F.lit(0.5)})
     a = S.rebin_spin(e, ["user_id"], "angle", 8, F.col("bad")).select(F.lit("spin").alias("op"), "user_id", F.col("bin").cast("long").alias("bin"), r(F.col("counts"), "v"))
     b = S.rebin_lightcurve(e.withColumn("flux", F.col("angle")), ["user_id"], "event_id", 20, F.col("bad")).select(F.lit("curve").alias("op"), "user_id", F.col("block").alias("bin"), r(F.col("flux"), "v"))
-    wrapped = e.withColumn("angle", F.pmod(F.pmod(F.col("event_id") * 0.37, F.lit(30.0)) - 15, F.lit(360.0)))
+    wrapped = e.withColumn("angle", F.pmod(F.pmod(F.col("event_id") * F.lit(Decimal("0.37")), F.lit(30)) - 15, F.lit(360)))
     # unwrapped from the first row on, which may lie below or above 0: the mean is the same on the circle
     c = S.circular_mean(wrapped, ["user_id"], "event_id", "angle").select(F.lit("mean").alias("op"), "user_id", F.lit(0).cast("long").alias("bin"), r(F.col("angle"), "v"))
     return a.unionByName(b).unionByName(c)

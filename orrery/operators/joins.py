@@ -102,11 +102,14 @@ def exact_align(left: DataFrame, right: DataFrame, on: str, order: str, values:
     return left.join(first, on, "left").withColumn("missing", F.col("_found").isNull()).drop("_found")
 
 
-def pair_by_key(a: DataFrame, b: DataFrame, key: str, order: str) -> DataFrame:
-    """Inner join in which the last duplicate (by `order`) of each side wins."""
+def pair_by_key(a: DataFrame, b: DataFrame, key: str, order: str, ties: list[str] | None = None) -> DataFrame:
+    """Inner join in which the last duplicate (by `order`) of each side wins; of several last ones the first by
+    `ties` (columns that are not returned)."""
+    ties = ties or []
+
     def last(d: DataFrame, side: str) -> DataFrame:
-        kept = d.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc()))).where("_n = 1").drop("_n")
-        return kept.select(key, *[F.col(c).alias(f"{side}_{c}") for c in d.columns if c != key])
+        kept = d.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(F.col(order).desc(), *ties))).where("_n = 1").drop("_n")
+        return kept.select(key, *[F.col(c).alias(f"{side}_{c}") for c in d.columns if c not in (key, *ties)])
 
     return last(a, "a").join(last(b, "b"), key)
 

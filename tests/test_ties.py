@@ -14,3 +14,15 @@ def test_mean_angle_on_half_a_digit(spark, tmp_path):
     c.execute(f"create view events as from '{tmp_path}/events.parquet/*.parquet'")
     want = c.sql(f"select v from ({registry.ORACLE_SQL['a32_a34_a35_rebin']}) where op = 'mean'").fetchall()[0][0]
     assert got == want == 358.1388
+
+
+def test_pairs_of_tied_lines_take_the_first_of_the_file(spark, tmp_path):
+    # each order has lines of one number in two files; Spark reads the larger file, the second one, first
+    n = 300
+    c = duckdb.connect()
+    (tmp_path / "lineitem.parquet").mkdir()
+    for p, times in ((0, 1), (1, 20)):
+        c.execute(f"copy (select k AS l_orderkey, 1 AS l_linenumber, (p*1000+x)::DOUBLE AS l_quantity, (p*1000+x)::DOUBLE AS l_tax, f AS l_returnflag from range({p}, {p + 1}) a(p), range({times}) d(x), range({n}) b(k), (values ('R'), ('A')) e(f) order by x, k, f) to '{tmp_path}/lineitem.parquet/part-{p}.parquet'")
+    got = registry.QUERIES["j4_pair_by_key"](spark, str(tmp_path))
+    assert got.columns == ["k", "a_n", "a_v", "b_n", "b_v"]
+    assert {tuple(x) for x in got.collect()} == {(k, 1, 0.0, 1, 0.0) for k in range(n)}

@@ -155,18 +155,20 @@ def new_day(df: DataFrame, by: list[str], order: str, night: Column) -> DataFram
     return d.withColumn("day", F.sum("_fall").over(w)).drop("_night", "_fall")
 
 
-def rotate_origin(df: DataFrame, by: list[str], angle: str, offset: Column) -> DataFrame:
-    """Angles turned by -offset, numbered from the smallest."""
-    d = df.withColumn(angle, F.pmod(F.col(angle) - offset, F.lit(360.0)))
-    return d.withColumn("bin", F.row_number().over(Window.partitionBy(*by).orderBy(angle)) - 1)
+def rotate_origin(df: DataFrame, by: list[str], angle: str, offset: Column, ties: list[str] | None = None) -> DataFrame:
+    """Angles turned by -offset, numbered from the smallest, equal ones by `ties`.  Decimal angles are turned
+    exactly (a double a bit below a full turn would come last instead of first)."""
+    d = df.withColumn(angle, F.pmod(F.col(angle) - offset, F.lit(360)))
+    return d.withColumn("bin", F.row_number().over(Window.partitionBy(*by).orderBy(angle, *(ties or []))) - 1)
 
 
-def one_per_day(df: DataFrame, ts: str, value: str, hour: float = 20.0) -> DataFrame:
-    """The measurement nearest to the hour of each day (first on ties); zero values are dropped before."""
+def one_per_day(df: DataFrame, ts: str, value: str, hour: float = 20.0, ties: list[str] | None = None) -> DataFrame:
+    """The measurement nearest to the hour of each day (the first on ties, of equal times the first by `ties`);
+    zero values are dropped before."""
     t = F.col(ts).cast("timestamp")
     off = F.abs(F.unix_micros(t) - F.unix_micros(F.date_trunc("day", t)) - int(hour * 3600e6))
     d = df.where(F.col(value) != 0).withColumn("day", F.to_date(t)).withColumn("_o", off)
-    return d.withColumn("_n", F.row_number().over(Window.partitionBy("day").orderBy("_o", ts))).where("_n = 1").drop("_n", "_o")
+    return d.withColumn("_n", F.row_number().over(Window.partitionBy("day").orderBy("_o", ts, *(ties or [])))).where("_n = 1").drop("_n", "_o")
 
 
 def gated_candidates(df: DataFrame, by: list[str], factor: float, seed: float, few: int = 4) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
@@ -201,9 +203,10 @@ d AS (SELECT *, sum(CASE WHEN before AND NOT night THEN 1 ELSE 0 END) OVER (PART
 SELECT event_id, day::BIGINT AS day, bin::INTEGER AS bin, n=1 AND value<>0 AS daily FROM d""")
 def w10(spark, sf):
     ev = table(spark, sf, "events")
-    d = W.new_day(ev, ["user_id"], "event_id", F.col("event_type") == "error").select("event_id", "day", "user_id", (F.col("event_id") * 7.013).alias("angle"))
-    d = W.rotate_origin(d, ["user_id"], "angle", F.lit(100.0))
-    one = W.one_per_day(ev, "ts", "value").select("event_id", F.lit(True).alias("daily"))
+    d = W.new_day(ev, ["user_id"], "event_id", F.col("event_type") == "error").select("event_id", "day", "user_id", (F.col("event_id") * F.lit(Decimal("7.013"))).alias("angle"))
+    d = W.rotate_origin(d, ["user_id"], "angle", F.lit(100), ["event_id"])
+    # the SQL leaves events of one time open; the smallest event_id stands for them
+    one = W.one_per_day(ev, "ts", "value", ties=["event_id"]).select("event_id", F.lit(True).alias("daily"))
     return d.join(one, "event_id", "left").select("event_id", "day", "bin", F.coalesce("daily", F.lit(False)).alias("daily"))
 
 

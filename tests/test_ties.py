@@ -1,7 +1,12 @@
 """Ties and decimal angles: what must not depend on the order of rows, tasks or sums."""
 
+from decimal import Decimal
+
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 
+from orrery.operators import windows as W
 from orrery.plans import registry
 
 
@@ -26,3 +31,18 @@ def test_pairs_of_tied_lines_take_the_first_of_the_file(spark, tmp_path):
     got = registry.QUERIES["j4_pair_by_key"](spark, str(tmp_path))
     assert got.columns == ["k", "a_n", "a_v", "b_n", "b_v"]
     assert {tuple(x) for x in got.collect()} == {(k, 1, 0.0, 1, 0.0) for k in range(n)}
+
+
+@pytest.mark.parametrize("ids", [[5, 3, 9], [9, 5, 3]])
+def test_daily_measurement_of_equal_times(spark, ids):
+    d = spark.createDataFrame([(i, "2024-01-01 20:00:01", 1.0) for i in ids], "event_id long, ts string, value double").repartition(1)
+    d = d.withColumn("ts", F.col("ts").cast("timestamp"))
+    assert [x["event_id"] for x in W.one_per_day(d, "ts", "value", ties=["event_id"]).collect()] == [3]
+
+
+def test_equal_angles_are_numbered_by_event(spark):
+    # 360,000 events later the angle is the same; doubles differ in their last digits
+    ids = [e + more for e in range(40) for more in (0, 360_000, 720_000)]
+    d = spark.createDataFrame([(1, i) for i in ids], "user_id long, event_id long").withColumn("angle", F.col("event_id") * F.lit(Decimal("7.013")))
+    got = [x["event_id"] for x in W.rotate_origin(d, ["user_id"], "angle", F.lit(100), ["event_id"]).orderBy("bin").collect()]
+    assert got == sorted(ids, key=lambda e: ((7013 * e - 100_000) % 360_000, e))

@@ -69,7 +69,9 @@ def forced_targets(lines: DataFrame, now: Column, repoints: DataFrame, rotation_
     direct = p.where("t LIKE 'repoint%'").select("product", F.regexp_extract("t", r"(\d+)", 1).cast("long").alias("id"))
     rotations = p.where("t LIKE 'cr%'").select("product", F.regexp_extract("t", r"(\d+)", 1).cast("long").alias("cr"))
     numbered = repoints.withColumn("cr", F.floor(F.col("day") / rotation_days)).select("id", "cr")
-    return direct.unionByName(rotations.join(numbered, "cr").select("product", "id")).distinct()
+    # a rotation is asked for once, however many lines name it; products and rotations are few, so pointings stay put
+    asked = F.broadcast(rotations.distinct())
+    return direct.unionByName(numbered.join(asked, "cr").select("product", "id")).distinct()
 
 
 def first_changed(old: DataFrame, new: DataFrame, key: str, columns: list[str], rtol: float = 1e-5, atol: float = 1e-8) -> DataFrame:

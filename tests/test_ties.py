@@ -1,11 +1,13 @@
-"""Ties and decimal angles: what must not depend on the order of rows, tasks or sums."""
+"""Ties and decimal angles: what must not depend on the order of rows, tasks or sums; joins that must not multiply."""
 
+import threading
 from decimal import Decimal
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from orrery.operators import catalog as C
 from orrery.operators import windows as W
 from orrery.plans import registry
 
@@ -46,3 +48,15 @@ def test_equal_angles_are_numbered_by_event(spark):
     d = spark.createDataFrame([(1, i) for i in ids], "user_id long, event_id long").withColumn("angle", F.col("event_id") * F.lit(Decimal("7.013")))
     got = [x["event_id"] for x in W.rotate_origin(d, ["user_id"], "angle", F.lit(100), ["event_id"]).orderBy("bin").collect()]
     assert got == sorted(ids, key=lambda e: ((7013 * e - 100_000) % 360_000, e))
+
+
+def test_many_lines_of_one_rotation(spark):
+    # 200,000 lines name the rotation of 100,000 pointings: asked for once, not 20,000,000,000 times
+    lines = spark.range(200_000).select(F.lit("l3_map cr5, repoint7").alias("target"), F.lit(None).cast("date").alias("ignore_after"))
+    repoints = spark.range(100_000).select("id", F.lit(140).alias("day"))
+    late = threading.Timer(100, spark.sparkContext.cancelAllJobs)
+    late.start()
+    try:
+        assert C.forced_targets(lines, F.lit("2001-01-01").cast("date"), repoints, 27.0, ["l3_map"]).count() == 100_000
+    finally:
+        late.cancel()

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Vector = tuple[Column, Column, Column]
@@ -412,35 +412,41 @@ def principal_temperature(t: list[Column]) -> tuple[Column, Column, Column]:
     return F.when(ok, par), perp, F.when(ok, safe_divide(par, perp))
 
 
-def erfc(x: Column) -> Column:
-    """Complementary error function of x >= 0 by a rational form (relative error below 1.2e-7)."""
-    t = 1 / (1 + 0.5 * x)
+def erfc_argument(x: Column) -> Column:
+    """The rational form's variable."""
+    return 1 / (1 + 0.5 * x)
+
+
+def erfc(x: Column, t: Column | None = None) -> Column:
+    """Complementary error function of x >= 0 by a rational form (relative error below 1.2e-7); t: `erfc_argument(x)` as a
+    column of its own, since it is repeated ten times."""
+    t = erfc_argument(x) if t is None else t
     poly = F.lit(0.17087277)
     for c in (-0.82215223, 1.48851587, -1.13520398, 0.27886807, -0.18628806, 0.09678418, 0.37409196, 1.00002368, -1.26551223):
         poly = poly * t + c
     return t * F.exp(-x * x + poly)
 
 
-def density_scale(energy_range: Column, speed: Column, kelvin: Column) -> Column:
-    """Factor by which a density integrated above `energy_range` (eV) misses its low energies, for a drifting Maxwellian."""
-    ev_speed, per_ev, root = 593.097, 11600.0, 0.88623
-
-    def side(sign: int) -> Column:
-        v = (ev_speed * F.sqrt(energy_range) + sign * speed) / ev_speed
-        s2 = per_ev * v * v / kelvin
-        s = F.sqrt(s2)
-        tail = F.when(s < 9, erfc(s)).otherwise(0.0)
-        return F.try_divide(F.lit(root), s * F.exp(-s2) + root * tail)
+def with_density_truncation(df: DataFrame, name: str, density: Column, speed: Column, parallel: Column, perpendicular: Column, energy_range: Column) -> DataFrame:
+    """A halo density divided by its scale, kept within 1 to 5; NULL for temperatures above 1e8.  The scale is the
+    factor by which a density integrated above `energy_range` (eV) misses its low energies, for a drifting Maxwellian.
 
-    return 0.5 * (side(1) + side(-1))
-
-
-def density_truncation(density: Column, speed: Column, parallel: Column, perpendicular: Column, energy_range: Column) -> Column:
-    """A halo density divided by its scale, kept within 1 to 5; NULL for temperatures above 1e8."""
+    A DataFrame, in steps: as one expression the error function repeats its argument so often that the JVM does not
+    compile the row's method."""
+    ev_speed, per_ev, root = 593.097, 11600.0, 0.88623
     mean = (parallel + 2 * perpendicular) / 3
     use = (parallel > 1e4) & (perpendicular > 1e4) & (energy_range > 5) & (mean < 1e7)
-    scale = F.when(use, clamp(density_scale(energy_range, speed, mean), 1.0, 5.0)).otherwise(1.0)
-    return F.when((parallel <= 1e8) & (perpendicular <= 1e8), density / scale)
+    side = lambda sign: (ev_speed * F.sqrt("_from") + sign * F.col("_speed")) / ev_speed
+    d = df.withColumns({"_use": use, "_density": F.when((parallel <= 1e8) & (perpendicular <= 1e8), density), "_kelvin": F.when(use, mean), "_from": F.when(use, energy_range), "_speed": speed})
+    d = d.withColumns({"_v0": side(1), "_v1": side(-1)})
+    d = d.withColumns({f"_q{i}": per_ev * F.col(f"_v{i}") * F.col(f"_v{i}") / F.col("_kelvin") for i in (0, 1)})
+    d = d.withColumns({f"_s{i}": F.sqrt(f"_q{i}") for i in (0, 1)})
+    d = d.withColumns({f"_t{i}": erfc_argument(F.col(f"_s{i}")) for i in (0, 1)})
+    d = d.withColumns({f"_e{i}": F.when(F.col(f"_s{i}") < 9, erfc(F.col(f"_s{i}"), F.col(f"_t{i}"))).otherwise(0.0) for i in (0, 1)})
+    one = [F.try_divide(F.lit(root), F.col(f"_s{i}") * F.exp(-F.col(f"_q{i}")) + root * F.col(f"_e{i}")) for i in (0, 1)]
+    d = d.withColumn("_scale", 0.5 * (one[0] + one[1]))
+    d = d.withColumn(name, F.col("_density") / F.when(F.col("_use"), clamp(F.col("_scale"), 1.0, 5.0)).otherwise(1.0))
+    return d.drop("_use", "_density", "_kelvin", "_from", "_speed", "_scale", *[f"_{c}{i}" for c in "vqste" for i in (0, 1)])
 
 
 def fit_parameters_to_moments(p: list[Column], mass_over_k: float) -> dict[str, Column]:

@@ -187,8 +187,8 @@ def m25_m26_moments(spark, sf):
     q = F.col("l_quantity")
     p = [q / 50 + 1, q / 40 + 1.5, F.col("l_tax") + 2, F.lit(0.1), F.lit(0.2), F.lit(0.3), F.col("l_discount"), F.lit(0.2), F.lit(0.1), F.lit(1.0)]
     m = X.fit_parameters_to_moments(p, 3.3e-4)
-    cut = X.density_truncation(q, F.lit(400.0), q * 1e5, q * 9e4, F.col("l_linenumber") * 10.0)
-    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", r(m["t_parallel"], "t_parallel", 6), r(m["t_perpendicular"], "t_perpendicular", 6), r(m["vx"] * 1e5, "vx", 6), r(cut, "density", 6))
+    li = X.with_density_truncation(table(spark, sf, "lineitem"), "cut", q, F.lit(400.0), q * 1e5, q * 9e4, F.col("l_linenumber") * 10.0)
+    return li.select("l_orderkey", "l_linenumber", r(m["t_parallel"], "t_parallel", 6), r(m["t_perpendicular"], "t_perpendicular", 6), r(m["vx"] * 1e5, "vx", 6), r(F.col("cut"), "density", 6))
 
 
 @query("m27_log_floor", """

@@ -60,3 +60,9 @@ def test_many_lines_of_one_rotation(spark):
         assert C.forced_targets(lines, F.lit("2001-01-01").cast("date"), repoints, 27.0, ["l3_map"]).count() == 100_000
     finally:
         late.cancel()
+
+
+def test_density_scale_computes_each_step_once(spark, sf_dir):
+    # two sides, each with one error function and one exponential of its own; nothing is repeated by nesting
+    plan = registry.QUERIES["m25_m26_moments"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.upper().count("EXP(") <= 8 and 0 < plan.upper().count("SQRT(") <= 8

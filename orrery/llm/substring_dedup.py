@@ -52,6 +52,8 @@ _U = np.uint64
 #: Suffixes held by a map task before it deals them out, and suffixes meant for one group.
 FLUSH = 1 << 19
 GROUP = 1 << 19
+#: Packages that leave a map task at a time.
+PACKAGES = 32
 #: Equal rows that are written by one task at a time.
 COPIES = 10_000
 
@@ -125,20 +127,24 @@ def suffix_tree(word: np.ndarray, at: np.ndarray, rank: np.ndarray, window: int)
     the one before it (0 for the first).  Suffix i is word[at[i] : at[i] + window]."""
     if not len(at):
         return at, at
-    path = word[at[:, None] + np.arange(window)]
     bits = max(1, int(word.max()).bit_length())
     per = 64 // bits
     keys = []
+    # a column of words at a time: all of them side by side would be the largest array of a group
     for c in range(0, window, per):
         key = np.zeros(len(at), _U)
         for w in range(c, min(window, c + per)):
-            key = key << _U(bits) | path[:, w].astype(_U)
+            key = key << _U(bits) | word[at + w].astype(_U)
         keys.append(key)
     order = np.lexsort((rank, *keys[::-1]))
-    path = path[order]
-    same = path[1:] == path[:-1]
+    del keys
+    at = at[order]
     lcp = np.zeros(len(at), np.int64)
-    lcp[1:] = np.where(same.all(1), window, same.argmin(1))
+    same = np.ones(len(at) - 1, bool)
+    for w in range(window):
+        column = word[at + w]
+        same &= column[1:] == column[:-1]
+        lcp[1:] += same
     return order, lcp
 
 
@@ -187,6 +193,10 @@ def _repeated(k, h, doc, start, word, at, window: int) -> tuple[np.ndarray, tupl
     return kept, (k[head], h[head], s.astype(np.int32), e.astype(np.int32))
 
 
+def _packed(rows: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _GROUPED, strict=True)], schema=_GROUPED)
+
+
 def _deal(k, h, doc, key, count, win, start, at, words, window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     vocab, word = _number(words)
     kept, (sk, sh, s, e) = _repeated(k, h, doc, start, word, at, window)
@@ -204,10 +214,13 @@ def _deal(k, h, doc, key, count, win, start, at, words, window: int, buckets: in
         own, number = _number(word[_ranges(at[head], n + window - 1)])
         small = number.astype(np.uint16 if len(own) <= 1 << 16 else np.uint32)
         rows.append([b, pack(k[used]), pack(h[used]), pack(local.astype(np.int32)), pack(start[head].astype(np.int32)), pack(n.astype(np.int32)), pack(vocab[own]), pack(small), b"", b"", b""])
+        if len(rows) == PACKAGES:
+            yield _packed(rows)
+            rows = []
     if len(s):
         rows.append([int(mix(np.array([len(s)], _U))[0] % _U(buckets)), b"", b"", b"", b"", b"", b"", b"", pack(np.stack([sk, sh])), pack(s), pack(e)])
-    for a in range(0, len(rows), 256):
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[a : a + 256], strict=True), _GROUPED, strict=True)], schema=_GROUPED)
+    if rows:
+        yield _packed(rows)
 
 
 def _windows(batches, window: int, prefix: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -254,8 +267,8 @@ def _windows(batches, window: int, prefix: int, buckets: int) -> Iterator[pa.Rec
 
 def _repeats(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
     """One group: its subtree's nodes of depth `window` and the spans of all their leaves but the first."""
-    ks, hs, docs, starts, ats, words, out = [], [], [], [], [], [], []
-    base = length = 0
+    ks, hs, docs, starts, ats, words, vocabs, out = [], [], [], [], [], [], [], []
+    base = length = known = 0
     for row in pdf.itertuples(index=False):
         if row.rk:
             kh = np.frombuffer(row.rk, np.int64).reshape(2, -1)
@@ -269,12 +282,17 @@ def _repeats(pdf: pd.DataFrame, window: int) -> pd.DataFrame:
         docs.append(np.repeat(np.frombuffer(row.doc, np.int32).astype(np.int64) + base, n))
         starts.append(_ranges(np.frombuffer(row.at, np.int32).astype(np.int64), n))
         ats.append(_ranges(np.cumsum(long) - long + length, n))
-        words.append(vocab[wide])
+        words.append(wide.astype(np.uint32) + np.uint32(known))
+        vocabs.append(vocab)
+        known += len(vocab)
         base += len(k)
         length += len(wide)
     if words:
         k, h, doc, start, at = (np.concatenate(x) for x in (ks, hs, docs, starts, ats))
-        out.append(_repeated(k, h, doc, start, _number(np.concatenate(words))[1], at, window)[1])
+        # every word of a vocabulary is used, so numbering the vocabularies numbers the words
+        word = _number(np.concatenate(vocabs))[1][np.concatenate(words)]
+        del words, vocabs
+        out.append(_repeated(k, h, doc, start, word, at, window)[1])
     if not out:
         return pd.DataFrame({"_k": [], "_h": [], "s": [], "e": []})
     return pd.DataFrame({name: np.concatenate(c) for name, c in zip(("_k", "_h", "s", "e"), zip(*out, strict=True), strict=True)})

@@ -492,3 +492,26 @@ def test_mixing_of_one_row_that_repeats(spark, monkeypatch):
     assert len(got) == len(rows)
     a = [r for r in got if r.source == "a"]
     assert len(a) == 5000 and 0 <= a[0].target - sum(r.taken for r in a) < 3 and {r.taken for r in a} <= {0, 3, 6, 9}
+
+
+def test_suffixes_are_sorted_in_few_bytes_each():
+    import tracemalloc
+
+    import numpy as np
+
+    from orrery.llm.substring_dedup import suffix_tree
+
+    rng = np.random.default_rng(1)
+    n = 1 << 17
+    word = rng.integers(0, 1 << 17, n + 20).astype(np.uint32)
+    word[n // 2 : n // 2 + 5000] = word[:5000]
+    at = np.arange(n)
+    tracemalloc.start()
+    order, lcp = suffix_tree(word, at, at, 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 * n
+    assert (lcp == 20).sum() == 5000 - 19
+    for i in np.flatnonzero(lcp)[:200]:
+        a, b = word[order[i - 1] : order[i - 1] + 20].tolist(), word[order[i] : order[i] + 20].tolist()
+        assert a <= b and a[: lcp[i]] == b[: lcp[i]] and (lcp[i] == 20 or a[lcp[i]] != b[lcp[i]])
